@@ -39,9 +39,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again. It cuts the lineage, survives lost
-    executors, and lets the planner see the table's true size."""
+    executors, and lets the planner see the table's true size. The driver's garbage is collected, so
+    that Spark removes the shuffle files of what is now written."""
     path = f"{shared_dir(df.sparkSession)}/tamiz-tables/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

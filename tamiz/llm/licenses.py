@@ -1,4 +1,151 @@
-"""To follow."""
+"""License scans by ordered signature rules, in SQL functions only.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+A text is reduced to its lower-case words. Its rule keywords decide which of some hundred regexes are
+tried at all; detections are intervals of words, and one that lies within another of the same text is
+dropped, the better rule winning where two are equal.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tamiz.llm.common import documents, let, small_or_shuffled, stored
+from tamiz.llm.spans import matches, placed
+
+SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: The base phrases and their labels.
+BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+#: label, words one of which a text must have, names, versions (as they read once punctuation is gone).
+FAMILIES = [
+    ("gpl", ["gpl", "gnu"], ["gnu general public license", "gnu gpl", "gpl"], ["1", "2", "3", "1 0", "2 0", "3 0"]),
+    ("lgpl", ["lgpl", "lesser", "library"], ["gnu lesser general public license", "gnu library general public license", "gnu lgpl", "lgpl"], ["2", "2 1", "3", "2 0", "3 0"]),
+    ("agpl", ["agpl", "affero"], ["gnu affero general public license", "affero general public license", "gnu agpl", "agpl"], ["1", "3", "1 0", "3 0"]),
+    ("gfdl", ["gfdl", "gnu"], ["gnu free documentation license", "gfdl"], ["1 1", "1 2", "1 3"]),
+    ("apache", ["apache"], ["apache software license", "apache license", "apache licence", "apache"], ["1 0", "1 1", "2 0", "2"]),
+    ("mit", ["mit", "expat"], ["mit license", "mit licence", "expat license"], []),
+    ("bsd", ["bsd"], ["bsd license", "bsd licence", "bsd"], ["0 clause", "2 clause", "3 clause", "4 clause"]),
+    ("mpl", ["mozilla", "mpl"], ["mozilla public license", "mpl"], ["1 0", "1 1", "2 0"]),
+    ("epl", ["eclipse", "epl"], ["eclipse public license", "epl"], ["1 0", "2 0"]),
+    ("cddl", ["cddl"], ["common development and distribution license", "cddl"], ["1 0", "1 1"]),
+    ("cpl", ["cpl"], ["common public license", "cpl"], ["1 0"]),
+    ("eupl", ["eupl"], ["european union public licence", "european union public license", "eupl"], ["1 0", "1 1", "1 2"]),
+    ("artistic", ["artistic"], ["artistic license", "perl artistic license"], ["1 0", "2 0"]),
+    ("boost", ["boost"], ["boost software license"], ["1 0"]),
+    ("isc", ["isc"], ["isc license", "isc licence"], []),
+    ("zlib", ["zlib"], ["zlib license", "zlib libpng license"], []),
+    ("unlicense", ["unlicense"], ["unlicense"], []),
+    ("wtfpl", ["wtfpl"], ["do what the fuck you want to public license", "wtfpl"], ["1", "2"]),
+    ("python", ["psf"], ["python software foundation license", "psf license"], ["2", "2 0"]),
+    ("ofl", ["ofl", "sil"], ["sil open font license", "ofl"], ["1 0", "1 1"]),
+    ("afl", ["afl"], ["academic free license", "afl"], ["2 1", "3 0"]),
+    ("osl", ["osl"], ["open software license", "osl"], ["1 0", "2 0", "2 1", "3 0"]),
+    ("ms-pl", ["microsoft"], ["microsoft public license"], []),
+    ("ms-rl", ["microsoft"], ["microsoft reciprocal license"], []),
+    ("ncsa", ["ncsa"], ["university of illinois ncsa open source license", "ncsa license"], []),
+    ("postgresql", ["postgresql"], ["postgresql license"], []),
+    ("openssl", ["openssl"], ["openssl license"], []),
+    ("odbl", ["odbl"], ["open database license", "odbl"], ["1 0"]),
+    ("upl", ["upl"], ["universal permissive license", "upl"], ["1 0"]),
+    ("blueoak", ["blue"], ["blue oak model license"], ["1 0 0"]),
+    ("vim", ["vim"], ["vim license"], []),
+    ("cc0", ["cc0"], ["creative commons zero", "cc0"], ["1 0"]),
+    *((f"cc-{kind.replace(' ', '-')}", ["cc", "creative"], [f"cc {kind}", f"creative commons {name}"], ["1 0", "2 0", "2 5", "3 0", "4 0"])
+      for kind, name in [("by", "attribution"), ("by sa", "attribution share ?alike"), ("by nd", "attribution no ?derivatives"), ("by nc", "attribution non ?commercial"),
+                         ("by nc sa", "attribution non ?commercial share ?alike"), ("by nc nd", "attribution non ?commercial no ?derivatives")]),
+]
+_GRANT = r"(?:licen[sc]ed|released|distributed|available|provided|published|redistribute it) under (?:the )?(?:terms of (?:the )?)?"
+
+
+def rules() -> list[tuple[int, str, str, str, float]]:
+    """(priority, label, keyword, regex, weight): a grant with a version, a name with a version, a grant, a name."""
+    out = []
+    for label, keywords, names, versions in FAMILIES:
+        for name in names:
+            for version in versions:
+                tail = f" (?:license )?(?:version |v)?{version}(?: or (?:any )?later(?: version)?)?" if label != "bsd" else f" {version}"
+                full = f"{label}-{version.replace(' clause', '-clause').replace(' ', '.')}"
+                out += [(1, full, k, f"{_GRANT}{name}{tail}", 1.0) for k in keywords] + [(2, full, k, f"{name}{tail}", 0.9) for k in keywords]
+            if len(name) > 4:
+                out += [(3, label, k, f"{_GRANT}{name}", 0.8) for k in keywords] + [(4, label, k, name, 0.6) for k in keywords]
+    return out
+
+
+def _base_places(w: Column, phrase: str) -> Column:
+    parts = phrase.split(" ")
+
+    def here(i: Column) -> Column:
+        same = F.get(w, i) == parts[0]
+        for k, part in enumerate(parts[1:], 1):
+            same = same & F.coalesce(F.get(w, i + k) == part, F.lit(False))
+        return same
+
+    return F.filter(F.sequence(F.lit(0), F.size(w) - 1), here)
+
+
+def detections(held: DataFrame) -> DataFrame:
+    """(row, label, weight, start, end) of the rules' detections that are left; start and end in words."""
+    spark = held.sparkSession
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rules())], "rule int, priority int, label string, keyword string, regex string, weight double")
+    gated = held.where("joined is not null").select("row", "joined", F.explode("keywords").alias("_keyword"))
+    tried = gated.join(F.broadcast(table), F.col("_keyword") == F.col("keyword"))  # the rules are a fixed table
+    tried = tried.where(F.expr("regexp_like(joined, concat(' ', regex, ' '))"))
+    tried = tried.withColumn("found", matches(F.col("joined"), F.concat(F.lit("(?<= )"), F.col("regex"), F.lit("(?= )"))))
+    spans = placed(tried.select("row", "rule", "priority", "label", "weight", "joined", "found"), ["row", "rule"], "found")
+    spans = spans.withColumn("first", F.regexp_count(F.substring(F.col("joined"), F.lit(1), F.col("start").cast("int")), F.lit(" ")) - 1)
+    spans = spans.withColumn("last", F.col("first") + F.regexp_count(F.col("value"), F.lit(" ")) + 1)
+    before = Window.partitionBy("row").orderBy("first", F.col("last").desc(), "priority", "rule").rowsBetween(Window.unboundedPreceding, -1)
+    reached = spans.withColumn("_reached", F.max("last").over(before))
+    return reached.where("_reached is null or last > _reached").select("row", "label", "weight", F.col("first").alias("start"), F.col("last").alias("end"))
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """Words, base places, labels and score of each document.
+
+    A null text is empty: no words, no labels, score 0. Repeated rows are scanned each; an empty
+    table gives an empty result; further columns are ignored.
+    """
+    words = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), SEPARATOR), "")
+    keywords = sorted({k for _, ks, _, _ in FAMILIES for k in ks} | {"license", "licence", "licensed"})
+    known = F.array(*[F.lit(k) for k in keywords])
+
+    def read(w: Column) -> Column:
+        found = F.array_intersect(w, known)
+
+        def base(gate: Column) -> Column:
+            return F.when(gate, F.array(*[_base_places(w, p) for p in BASE]))
+
+        return F.struct(F.size(w).cast("long").alias("n_words"), found.alias("keywords"),
+                        F.when(F.size(found) > 0, F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))).alias("joined"),
+                        base(F.size(found) > 0).alias("base"))
+
+    lowered = let(words, lambda w: F.split(F.translate(F.array_join(w, " "), UPPER, LOWER), " "))
+    lowered = F.array_remove(lowered, "")
+    held = stored(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), let(lowered, read).alias("r")).select("doc_id", "row", "r.*"))
+
+    own = detections(held).groupBy(F.col("row").alias("_row")).agg(F.collect_set("label").alias("own"), F.max("weight").alias("weight"), F.count("*").alias("n"))
+    own = stored(own)
+    rows = held.join(small_or_shuffled(own, own.count()), F.col("row") == F.col("_row"), "left")
+    places = F.flatten(F.coalesce("base", F.array().cast("array<array<int>>")))
+    labels = F.filter(F.array(*[F.when(F.size(F.get("base", i)) > 0, F.lit(label)) for i, label in enumerate(BASE.values())]), lambda x: x.isNotNull())
+    rows = rows.withColumn("places", places).withColumn("base_found", F.array_sort(labels))
+    weight = F.greatest(F.coalesce("weight", F.lit(0.0)), F.when(F.size("places") > 0, F.lit(0.6)).otherwise(F.lit(0.0)))
+    return rows.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
+        F.array_join("base_found", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base_found", F.coalesce("own", F.array().cast("array<string>")))), ",").alias("labels"),
+        weight.alias("score"), F.coalesce("n", F.lit(0).cast("long")).alias("n_detections"),
+    )
+
+
+def op6_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned(documents(spark, sf_dir))
+
+
+QUERIES = {"op6_signature_rules": op6_signature_rules}
+ORACLES: dict[str, str] = {}

@@ -17,9 +17,12 @@ from tamiz.llm.common import documents, stored
 DIMENSIONS = 1 << 20
 #: The classifier is fitted on at most this many labelled documents, chosen by the hash of doc_id.
 MOST_LABELLED = 20_000
-SHARDS = 8
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 0.5
+#: Rows that one model is fitted on; larger samples are fitted in shards whose weights are averaged.
+SHARD_ROWS = 4_000
+EPOCHS = 6
+ALPHA, BETA, L2 = 1.0, 1.0, 0.1
+#: L1 follows the positive rows of a shard, within these bounds: a feature of few rows gets no weight.
+LEAST_L1, MOST_L1, POSITIVES_PER_L1 = 2.0, 10.0, 20
 FOLDS = 5
 
 
@@ -58,10 +61,11 @@ def _ftrl(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("place", kind="stable")
     rows = [(np.append(0, np.frombuffer(f, "<i4")).astype(np.int64), float(y)) for f, y in zip(frame["features"], frame["toxic"])]
     z, n = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
+    l1 = min(MOST_L1, max(LEAST_L1, sum(y for _, y in rows) / POSITIVES_PER_L1))
 
     def weights(i):
         zi = z[i]
-        return np.where(np.abs(zi) <= L1, 0.0, (np.sign(zi) * L1 - zi) / ((BETA + np.sqrt(n[i])) / ALPHA + L2))
+        return np.where(np.abs(zi) <= l1, 0.0, (np.sign(zi) * l1 - zi) / ((BETA + np.sqrt(n[i])) / ALPHA + L2))
 
     for _ in range(EPOCHS):
         for i, y in rows:
@@ -86,10 +90,11 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sample = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(place, "doc_id").limit(MOST_LABELLED)
     sample = stored(sample.withColumn("place", place)).withColumnRenamed("doc_id", "_id")
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # at most MOST_LABELLED rows
-    rows = rows.select("text", "toxic", "place", F.pmod(F.col("place"), F.lit(SHARDS)).cast("int").alias("shard"))
+    shards = max(1, sample.count() // SHARD_ROWS)
+    rows = rows.select("text", "toxic", "place", F.pmod(F.col("place"), F.lit(shards)).cast("int").alias("shard"))
     drawn = rows.mapInArrow(_feature_rows, "shard int, place long, toxic int, features binary")
     models = drawn.groupBy("shard").applyInPandas(_ftrl, "feature long, weight double")
-    mean = models.groupBy("feature").agg((F.sum("weight") / SHARDS).alias("weight")).toPandas().sort_values("feature")
+    mean = models.groupBy("feature").agg((F.sum("weight") / shards).alias("weight")).toPandas().sort_values("feature")
     if mean.empty:
         return np.zeros(1, np.int64), np.full(1, -20.0)
     return mean["feature"].to_numpy(np.int64), mean["weight"].to_numpy(float)
