@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,9 @@ from tamiz.llm.components import components
 
 SHINGLE = 5
 LEAST_PERCENT = 75
+#: Bands of more members than this are compared in blocks, of which only links between groups come out.
+SMALL_BAND = 8
+PROBES, MEMBERS = 256, 1024
 SKETCH = 128
 ROWS = 4
 BANDS = SKETCH // ROWS
@@ -115,6 +119,51 @@ def confirmed(pairs: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_confirmed, f"a {kind}, b {kind}")
 
 
+def _links_of_block(frame: pd.DataFrame) -> pd.DataFrame:
+    """Links between the groups of a block, as many as join them: each probe against each member."""
+    probes, members = frame[frame["is_probe"]], frame[~frame["is_probe"]]
+    out: list[tuple] = []
+    if len(probes) and len(members):
+        sets = [np.frombuffer(x, B.U) for x in probes["shingles"]]
+        known, at = np.unique(np.concatenate(sets), return_inverse=True)
+        sizes = np.array([len(x) for x in sets])
+        holds = np.zeros((len(known), len(sets)), np.float32)
+        holds[at, np.repeat(np.arange(len(sets)), sizes)] = 1
+        nodes, groups = probes["node"].to_numpy(), probes["label"].to_numpy()
+        parent: dict = {}
+
+        def root(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for node, label, text in zip(members["node"], members["label"], members["shingles"]):
+            y = np.frombuffer(text, B.U)
+            place = np.minimum(np.searchsorted(known, y), len(known) - 1)
+            both = holds[place[known[place] == y]].sum(axis=0)
+            for k in np.flatnonzero(100 * both >= LEAST_PERCENT * (sizes + len(y) - both)):
+                r, t = root(label), root(groups[k])
+                if r != t:
+                    parent[max(r, t)] = min(r, t)
+                    out.append((node, nodes[k]))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _across_blocks(rows: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
+    """Links between different groups within large bands. Members outside a band's main group are probes;
+    blocks of probes meet blocks of all members, so a task holds PROBES + MEMBERS sets or so and no pair
+    is a row unless it joins two groups."""
+    by_group = rows.groupBy("band", "label").agg(F.count("*").alias("k"))
+    main = by_group.groupBy("band").agg(F.max(F.struct("k", "label")).alias("main"), F.sum("k").alias("all"))
+    main = main.select(F.col("band").alias("_band"), F.col("main.label").alias("main"), F.ceil((F.col("all") - F.col("main.k")) / PROBES).alias("p_blocks"), F.ceil(F.col("all") / MEMBERS).alias("m_blocks"))
+    told = rows.join(main, rows.band == F.col("_band"))
+    block = lambda seed, blocks: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(blocks))
+    every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+    probes = told.where("label <> main").select("band", "node", "label", block(1, "p_blocks").alias("p"), every("m_blocks").alias("m"), F.lit(True).alias("is_probe"))
+    members = told.select("band", "node", "label", every("p_blocks").alias("p"), block(2, "m_blocks").alias("m"), F.lit(False).alias("is_probe"))
+    return probes.unionByName(members).join(sets, "node").groupBy("band", "p", "m").applyInPandas(_links_of_block, f"a {kind}, b {kind}")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept.
 
@@ -147,17 +196,20 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     edges = stored(confirmed(pairs, sets, kind))
     labels = components(edges)
 
-    # Bands whose members are still in several groups: each pair of them from different groups.
-    grouped = rows.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
+    # Bands whose members are still in several groups: pairs of different groups where the band is small,
+    # and blocks of members where it is large.
+    grouped = rows.join(labels, "node", "left").select("band", "node", "n", "members", F.coalesce("label", "node").alias("label"))
     open_bands = grouped.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band")
     left = stored(grouped.join(open_bands, "band"))
-    one, two = (left.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "label"))) for s in "ab")
+    small = left.where(F.col("members") <= SMALL_BAND)
+    one, two = (small.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "label"))) for s in "ab")
     more = (
         one.join(two, "band").where((F.col("label_a") < F.col("label_b")) & (F.lit(100) * F.least("n_a", "n_b") >= F.lit(LEAST_PERCENT) * F.greatest("n_a", "n_b")))
         .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
-    edges = stored(edges.unionByName(confirmed(more, sets, kind)))
+    edges = edges.unionByName(confirmed(more, sets, kind)).unionByName(_across_blocks(left.where(F.col("members") > SMALL_BAND), sets, kind))
+    edges = stored(edges)
     labels = components(edges)
 
     named_classes = classes.join(labels, "node", "left").select(F.col("set_key").alias("_key"), F.coalesce("label", "node").alias("component_id"))
