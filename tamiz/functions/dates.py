@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tamiz.functions.money import let
+
 # Fixed values.
 MONTHS = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre"]
-#: Tried in order; month-first only where day-first is impossible.
-FORMATS = ["yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "dd-MM-yyyy", "dd/MM/yy", "dd-MMM-yyyy", "MMM dd yyyy", "MM/dd/yyyy"]
+#: Format by the shape of the text, so that a text is parsed once at most; day first, month first only where the second part can't be a month.
+SHAPES = [
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"), (r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$", "yyyy/MM/dd"), (r"^[0-9]{2}/(?:0[0-9]|1[0-2])/[0-9]{4}$", "dd/MM/yyyy"),
+    (r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$", "MM/dd/yyyy"), (r"^[0-9]{2}-[0-9]{2}-[0-9]{4}$", "dd-MM-yyyy"), (r"^[0-9]{2}/[0-9]{2}/[0-9]{2}$", "dd/MM/yy"),
+    (r"^[0-9]{2}-[A-Za-z]{3}-[0-9]{4}$", "dd-MMM-yyyy"), (r"^[A-Za-z]{3} [0-9]{2} [0-9]{4}$", "MMM dd yyyy"),
+]
 
 
 def _text(c: Column) -> Column:
@@ -17,13 +23,13 @@ def _text(c: Column) -> Column:
 
 
 def parse_date(c: Column) -> Column:
-    text = _text(c)
-
-    def one(fmt: str) -> Column:
-        day = F.try_to_timestamp(text, F.lit(fmt)).cast("date")
-        return F.when(F.year(day) > 2068, F.add_months(day, -1200)).otherwise(day) if fmt == "dd/MM/yy" else day
+    def read(text: Column) -> Column:
+        out = F.lit(None).cast("date")
+        for shape, fmt in reversed(SHAPES):
+            out = F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt)).cast("date")).otherwise(out)
+        return let(out, lambda day: F.when(F.year(day) > 2068, F.add_months(day, -1200)).otherwise(day))
 
-    return F.coalesce(*[one(f) for f in FORMATS])
+    return let(_text(c), read)
 
 
 def is_invalid_date(c: Column) -> Column:

@@ -49,8 +49,7 @@ def words_to_number(c: Column) -> Column:
         more = F.struct(a["total"].alias("total"), (a["current"] + number).alias("current"))
         return F.when(number.isNotNull(), more).when(times.isNotNull(), grown).otherwise(a)
 
-    value = F.aggregate(tokens, start, step, lambda a: a["total"] + a["current"])
-    return F.when(value > 0, value)
+    return let(F.aggregate(tokens, start, step, lambda a: a["total"] + a["current"]), lambda v: F.when(v > 0, v))
 
 
 def _separators(body: Column) -> Column:
@@ -70,25 +69,34 @@ def _separators(body: Column) -> Column:
 
 def parse_price(c: Column) -> Column:
     """First number of a text, whichever separators it uses, times the first magnitude word; else number words."""
-    kept = F.regexp_replace(c, r"[^0-9.,+\-\s  ]", " ")
-    joined = F.regexp_replace(kept, r"(?<=[0-9])[\s  ]+(?=[0-9])", "")
+    kept = F.regexp_replace(c, r"[^0-9.,+\-\s  ]", " ")
+    joined = F.regexp_replace(kept, r"(?<=[0-9])[\s  ]+(?=[0-9])", "")
     found = F.regexp_extract(joined, r"([+-]?[0-9]+(?:[.,][0-9]+)*)", 1)
-    sign = F.when(found.startswith("-"), -1.0).otherwise(1.0)
-    amount = sign * _separators(F.regexp_replace(found, "^[+-]", "")).try_cast("double")
-    lower, times = F.lower(c), F.lit(1.0)
-    for word, value in reversed(MAGNITUDES.items()):
-        times = F.when(lower.rlike(_whole(word)), value).otherwise(times)
-    return F.coalesce(amount * times, words_to_number(c))
+
+    def number(f: Column) -> Column:
+        amount = let(F.regexp_replace(f, "^[+-]", ""), lambda b: F.when(b != "", _separators(b)).try_cast("double"))
+        return amount * F.when(f.startswith("-"), -1.0).otherwise(1.0)
+
+    def magnitude(lower: Column) -> Column:
+        times = F.lit(1.0)
+        for word, value in reversed(MAGNITUDES.items()):
+            times = F.when(lower.rlike(_whole(word)), value).otherwise(times)
+        return F.when(lower.rlike("|".join(MAGNITUDES)), times).otherwise(1.0)  # most amounts have no such word
+
+    return let(let(found, number) * let(F.lower(c), magnitude), lambda v: F.when(v.isNotNull(), v).otherwise(words_to_number(c)))
 
 
 def detect_currency(c: Column) -> Column:
     """Symbols in order ($ first, so US$ is CLP too), then whole keywords."""
-    text, out = F.lower(F.trim(c)), F.lit("DESCONOCIDA")
-    for word, code in reversed(KEYWORDS):
-        out = F.when(text.rlike(_whole(word)), code).otherwise(out)
-    for symbol, code in reversed(SYMBOLS):
-        out = F.when(text.contains(symbol), code).otherwise(out)
-    return out
+    def read(text: Column) -> Column:
+        out = F.lit("DESCONOCIDA")
+        for word, code in reversed(KEYWORDS):
+            out = F.when(text.rlike(_whole(word)), code).otherwise(out)
+        for symbol, code in reversed(SYMBOLS):
+            out = F.when(text.contains(symbol), code).otherwise(out)
+        return out
+
+    return let(F.lower(F.trim(c)), read)
 
 
 def parse_money_text(c: Column) -> Column:

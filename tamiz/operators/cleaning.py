@@ -58,23 +58,27 @@ def clean_transactional(df: DataFrame) -> DataFrame:
     """Ids, products, dates, money and states by the names of the columns; then movement, flags and score."""
     df = structure.drop_empty(df)
     df = df.toDF(*structure.unique_names(structure.snake_names(df.columns)))
+    # Texts are parsed in a first projection; flags, movement and score only read what it made.
+    parsed: dict[str, Column] = {}
     out: dict[str, Column] = {}
     marks: list[tuple[Column, str]] = []
     amount = state = None
     for c in df.columns:
-        x = F.col(c)
+        x, p = F.col(c), f"_parsed_{c}"
         if _is_id(c):
-            out[c] = text.restore_id(x)
-            marks.append((out[c].isNotNull(), "id_fixed"))
+            parsed[p] = text.restore_id(x)
+            out[c] = F.col(p)
+            marks.append((F.col(p).isNotNull(), "id_fixed"))
         elif _is_product(c):
             out |= {c: x, f"{c}_normalized": text.normalize_product(x)}
         elif "fecha" in c or "date" in c:
-            out[c] = dates.parse_date(x)
-            marks.append((dates.is_invalid_date(x), f"invalid_date_{c}"))
+            parsed[p] = dates.parse_date(x.cast("string"))
+            out[c] = F.col(p)
+            marks.append((F.col(p).isNull() & ~F.trim(x.cast("string")).isin("", "nan", "None"), f"invalid_date_{c}"))
         elif any(k in c for k in MONEY):
-            parsed = money.parse_price(x.cast("string"))
-            out |= {c: F.coalesce(parsed, F.lit(0.0)), f"{c}_original": x, f"{c}_currency": money.detect_currency(x.cast("string"))}
-            marks.append((parsed.isNull(), f"imputed_0_{c}"))
+            parsed[p] = money.parse_price(x.cast("string"))
+            out |= {c: F.coalesce(F.col(p), F.lit(0.0)), f"{c}_original": x, f"{c}_currency": money.detect_currency(x.cast("string"))}
+            marks.append((F.col(p).isNull(), f"imputed_0_{c}"))
             if amount is None and ("monto" in c or "precio" in c):
                 amount = c
         else:
@@ -82,7 +86,7 @@ def clean_transactional(df: DataFrame) -> DataFrame:
             if "estado" in c or "status" in c:
                 out["estado_normalizado"] = text.normalize_state(x)
                 state = c if c == "estado" else state
-    cleaned = df.select(flags(marks).alias("data_quality_flags"), *[v.alias(k) for k, v in out.items()])
+    cleaned = df.withColumns(parsed).select(flags(marks).alias("data_quality_flags"), *[v.alias(k) for k, v in out.items()])
     movement = text.classify_movement(F.col(amount) if amount else F.lit(None).cast("double"), F.col(state) if state else F.lit(None).cast("string"))
     cleaned = cleaned.withColumn("tipo_movimiento", movement)
     return cleaned.withColumn("quality_score", quality_score(cleaned.columns, "estado_normalizado" if "estado_normalizado" in cleaned.columns else None))

@@ -23,13 +23,13 @@ def named(df: DataFrame, tokens: tuple[str, ...]) -> list[str]:
 
 
 def infer_currency(df: DataFrame, currency: str, amount: str, out: str, default: str = BASE) -> DataFrame:
-    """Rows without a currency get the column's own, where one is explicit in more than 80% of the labelled
-    rows; but a foreign one is not spread over amounts whose median is local. One row of statistics is broadcast."""
-    x = F.when(F.col(currency) != "$", F.col(currency))
+    """Rows without a currency get the column's own, where one ($ is one too) is explicit in more than 80% of
+    the labelled rows; but a foreign one is not spread over amounts whose median is local. One row of statistics is broadcast."""
+    codes, x = ["CLP", "USD", "EUR", "GBP", "MXN", "ARS", "BRL", "$"], F.col(currency)
     stats = df.agg(
         F.count(x).alias("_labelled"), F.mode(x, True).alias("_top"), F.median(F.when(x.isNull(), F.col(amount))).alias("_median"),
-        *[F.count_if(x == c).alias(f"_n_{c}") for c in ("CLP", "USD", "EUR", "GBP", "MXN", "ARS", "BRL")])
-    most = F.greatest(*[F.col(f"_n_{c}") for c in ("CLP", "USD", "EUR", "GBP", "MXN", "ARS", "BRL")])
+        *[F.count_if(x == c).alias(f"_n{i}") for i, c in enumerate(codes)])
+    most = F.greatest(*[F.col(f"_n{i}") for i in range(len(codes))])
     spread = F.when((F.col("_labelled") > 0) & (most / F.col("_labelled") > 0.8), F.when(F.col("_top").isin("USD", "EUR") & (F.col("_median") > 5000), F.lit(default)).otherwise(F.col("_top"))).otherwise(F.lit(default))
     stats = stats.select(spread.alias("_spread"))
     return df.crossJoin(F.broadcast(stats)).withColumn(out, F.coalesce(x, F.col("_spread"))).drop("_spread")
@@ -47,8 +47,8 @@ def normalize_scale(df: DataFrame, amount: str, out: str, low: float, high: floa
     inside = usable & ~F.coalesce(F.col(domain).isin("foreign", "unlikely"), F.lit(False)) if domain else usable
     in_range = inside & x.between(low, high)
     first = df.agg(
-        F.percentile(F.when(inside, x), 0.25).alias("_q1"), F.percentile(F.when(inside, x), 0.75).alias("_q3"), F.coalesce(F.stddev_samp(F.when(inside, x)), F.lit(1.0)).alias("_sd"),
-        F.median(F.when(in_range, x)).alias("_in_range"), F.median(F.when(usable, x)).alias("_overall"))
+        F.percentile(F.when(in_range, x), 0.25).alias("_q1"), F.percentile(F.when(in_range, x), 0.75).alias("_q3"), F.coalesce(F.stddev_samp(F.when(in_range, x)), F.lit(1.0)).alias("_sd"),
+        F.median(F.when(in_range, x)).alias("_in_range"), F.median(F.when(inside, x)).alias("_overall"))
     iqr = F.col("_q3") - F.col("_q1")
     width = F.when(iqr == 0, F.when(F.col("_sd") == 0, 1.0).otherwise(F.col("_sd"))).otherwise(iqr)
     first = first.select("*", F.greatest(F.col("_q1") - 1.5 * width, F.lit(low)).alias("_from"), F.least(F.col("_q3") + 1.5 * width, F.lit(high)).alias("_to"))

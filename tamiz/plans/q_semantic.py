@@ -30,18 +30,15 @@ def _(d):
     return d.select("row_no", money.extract_currency(F.col("monto")).alias("code"))
 
 
-_INFER = """SELECT row_no, amount, nullif(code, '$') AS code FROM a"""
-
-
-@query("m3_infer_currency", D, f"""WITH a AS (SELECT row_no, CAST({MONEY_TEXT} AS DOUBLE) AS amount, nullif({CODE}, '$') AS code FROM dirty_sales),
- s AS (SELECT count(code) AS n, greatest(count(CASE WHEN code = 'USD' THEN 1 END), count(CASE WHEN code = 'EUR' THEN 1 END)) AS top, CASE WHEN count(CASE WHEN code = 'EUR' THEN 1 END) >= count(CASE WHEN code = 'USD' THEN 1 END) THEN 'EUR' ELSE 'USD' END AS c, median(CASE WHEN code IS NULL THEN amount END) AS m FROM a)
- SELECT row_no, coalesce(code, CASE WHEN top / n::DOUBLE > 0.8 AND NOT m > 5000 THEN c ELSE 'CLP' END) AS currency FROM a, s""")
+@query("m3_infer_currency", D, f"""WITH a AS (SELECT row_no, CAST({MONEY_TEXT} AS DOUBLE) AS amount, {CODE} AS code FROM dirty_sales), c AS (SELECT code, count(*) AS n FROM a WHERE code IS NOT NULL GROUP BY 1),
+ s AS (SELECT max(n) / sum(n)::DOUBLE AS share, arg_max(code, n) AS top, (SELECT median(amount) FROM a WHERE code IS NULL) AS m FROM c)
+ SELECT row_no, coalesce(code, CASE WHEN share > 0.8 AND NOT (top IN ('USD', 'EUR') AND m > 5000) THEN top ELSE 'CLP' END) AS currency FROM a, s""")
 def _(d):
     df = d.select("row_no", money.parse_money_text(F.col("monto")).alias("amount"), money.extract_currency(F.col("monto")).alias("code"))
     return semantic.infer_currency(df, "code", "amount", "currency").select("row_no", "currency")
 
 
-_SCALE = """u AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3, coalesce(stddev_samp(x), 1.0) AS sd, median(CASE WHEN x BETWEEN 5000 AND 5000000 THEN x END) AS r FROM a WHERE x > 0),
+_SCALE = """u AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3, coalesce(stddev_samp(x), 1.0) AS sd, median(x) AS r FROM a WHERE x BETWEEN 5000 AND 5000000),
  f AS (SELECT *, greatest(q1 - 1.5 * CASE WHEN q3 = q1 THEN CASE WHEN sd = 0 THEN 1 ELSE sd END ELSE q3 - q1 END, 5000) AS lo, least(q3 + 1.5 * CASE WHEN q3 = q1 THEN CASE WHEN sd = 0 THEN 1 ELSE sd END ELSE q3 - q1 END, 5000000) AS hi FROM u),
  k AS (SELECT coalesce(median(CASE WHEN x BETWEEN lo AND hi THEN x END), any_value(r), median(x)) AS m FROM a, f WHERE x > 0),
  t AS (SELECT row_no, x, m, x * CASE WHEN x < m / 20 THEN 1000 WHEN x > m * 20 THEN CAST(0.001 AS DOUBLE) ELSE 1 END AS y FROM a, k)"""

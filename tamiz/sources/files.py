@@ -13,7 +13,7 @@ from tamiz.functions.text import ACCENTS
 
 # Fixed values.
 SEPARATORS = [",", ";", "\t", "|"]
-ENCODINGS = ["utf-8", "latin1"]
+ENCODINGS = ["utf-8", "iso-8859-1"]
 FORMATS = {"csv", "txt", "tsv", "json", "jsonl", "ndjson", "parquet"}
 SNIFFED_LINES = 20
 OVERLAP = 0.70
@@ -129,7 +129,7 @@ def header_row(lines: list[list[str]], most: int = 10) -> int:
 def sniff_encoding(spark: SparkSession, path: str) -> str:
     """UTF-8 unless the first lines don't decode, then Latin-1."""
     sample = spark.read.text(path).limit(SNIFFED_LINES)
-    return ENCODINGS[1] if sample.where(F.col("value").contains("�")).count() else ENCODINGS[0]
+    return ENCODINGS[1] if sample.where(~F.is_valid_utf8("value")).count() else ENCODINGS[0]
 
 
 def read_delimited(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
