@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tamiz.functions.money import let
+
 # They must equal the original tables for equal results.
 STATES = {"vendido": "VENDIDO", "comprado": "COMPRADO", "pendiente": "PENDIENTE", "devuelto": "DEVUELTO", "cambio": "CAMBIO"}
 CATEGORIES = [
@@ -116,13 +118,16 @@ def product_base(c: Column) -> Column:
 
 def keyword_class(c: Column, table: list[tuple[str, list[str]]], other: str = "OTROS") -> Column:
     """The first label with a token that the text contains; null stays null."""
-    text, out = F.upper(c), F.lit(other)
-    for label, tokens in reversed(table):
-        hit = F.lit(False)
-        for token in tokens:
-            hit = hit | text.contains(token)
-        out = F.when(hit, label).otherwise(out)
-    return F.when(c.isNotNull(), out)
+    def first_label(text: Column) -> Column:
+        out = F.lit(other)
+        for label, tokens in reversed(table):
+            hit = F.lit(False)
+            for token in tokens:
+                hit = hit | text.contains(token)
+            out = F.when(hit, label).otherwise(out)
+        return F.when(text.isNotNull(), out)
+
+    return let(F.upper(c), first_label)
 
 
 def packaging(c: Column) -> Column:

@@ -96,7 +96,9 @@ def clean_retail(df: DataFrame, sheet: str | None = None) -> DataFrame:
     """Monthly retail sales in 33 canonical columns."""
     pick = lambda *names: structure.pick(df, *names)
     period = dates.period_parts(pick("periodo").cast("string"))
-    product = text.retail_product(pick("descripcionproducto2", "descripcionproducto", "producto"))
+    # Seven outputs read the product's name, so it is made in a projection of its own.
+    df = df.withColumn("_product", text.retail_product(pick("descripcionproducto2", "descripcionproducto", "producto")))
+    product = F.col("_product")
     units, sale, cost = (pick(*names).cast("string").try_cast("double") for names in (["unidades"], ["venta", "ventas"], ["costoproducto", "costo"]))
     marks = [
         (~period["ok"], "periodo_invalido"), (units.isNull() | sale.isNull(), "metrica_no_numerica"), (units <= 0, "unidades_no_positivas"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.operators.bi import centred_average, interpolated
+from tamiz.operators.stage import staged
 
 # Fixed values.
 MODELS = ["naive_estacional", "nivel_estacional_12m", "nivel_estacional_6m", "tendencia_total", "tendencia_24m", "promedio_movil_12m"]
@@ -36,12 +37,13 @@ def seasonal_index(df: DataFrame, y: str = "y") -> DataFrame:
 
 
 def completed(df: DataFrame) -> DataFrame:
-    """Missing months get the local level times the month's factor, and ``imputed``."""
-    full = interpolated(calendar(df), "series_id", F.col("t"), "y", "_p")
+    """A staged table. Missing months get the local level times the month's factor, and ``imputed``."""
+    full = interpolated(calendar(staged(df)), "series_id", F.col("t"), "y", "_p")
     factors = seasonal_index(full, "_p")
     level = full.withColumn("m", F.month("month")).join(factors, ["series_id", "m"]).withColumn("_level", F.col("y") / F.col("factor"))
     level = interpolated(level, "series_id", F.col("t"), "_level", "_l2")
-    return level.select("series_id", "month", "t", "n", F.coalesce("y", F.col("_l2") * F.col("factor")).alias("y"), F.col("y").isNull().alias("imputed"))
+    done = level.select("series_id", "month", "t", "n", F.coalesce("y", F.col("_l2") * F.col("factor")).alias("y"), F.col("y").isNull().alias("imputed"))
+    return staged(done)  # models, backtest and selection each read it several times
 
 
 def _future(train: DataFrame, horizon: int) -> DataFrame:

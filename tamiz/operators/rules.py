@@ -118,13 +118,19 @@ def validate(df: DataFrame, rules: RuleSet) -> Outcome:
     return Outcome(marked.where(~out).select(df.columns), marked.where(out).select(df.columns), counts, fatal)
 
 
-def split_by_score(df: DataFrame, least: int = 50) -> tuple[DataFrame, DataFrame]:
-    """(kept, quarantined) by score and flags; without these columns all rows are kept."""
+def rejected_by_score(columns: list[str], least: int = 50) -> Column:
+    """Whether a row's score or flags send it to quarantine; without these columns none does."""
     out = F.lit(False)
-    if "quality_score" in df.columns:
+    if "quality_score" in columns:
         out = out | F.coalesce(F.col("quality_score") < least, F.lit(False))
-    if "data_quality_flags" in df.columns:
+    if "data_quality_flags" in columns:
         out = out | F.coalesce(F.exists("data_quality_flags", lambda t: t.contains("missing_id") | t.contains("invalid_id")), F.lit(False))
+    return out
+
+
+def split_by_score(df: DataFrame, least: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(kept, quarantined) by score and flags."""
+    out = rejected_by_score(df.columns, least)
     return df.where(~out), df.where(out)
 
 

@@ -84,13 +84,20 @@ SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 97 = 0 THEN -l_partkey -
 DERIVED["titles"] = DERIVED["titles"].replace('"', "")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores where it has fewer splits than cores, as parsing texts takes more than
+    moving them; a table of many splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table."""
     if name not in DERIVED:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     given = set(re.findall(r"\{(\w+)\}", DERIVED[name]))
     text = DERIVED[name].replace("\\", "\\\\") if name == "titles" else DERIVED[name]
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in given})
+    return spark.sql(text, **{t: spread(table(spark, sf_dir, t)) if t == "orders" else table(spark, sf_dir, t) for t in given})
 
 
 def oracle(views: list[str] | str, body: str) -> str:

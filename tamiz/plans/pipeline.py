@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tamiz.operators import cleaning, quality, rules, semantic
+from tamiz.operators.stage import staged
 from tamiz.sources import files, sinks
 
 
@@ -26,7 +27,7 @@ class Run:
 def process(df: DataFrame, hint: str, ruleset: rules.RuleSet | None = None, frozen: DataFrame | None = None, enrich: bool = True) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """(valid, quarantined, violations) of one table."""
     cleaner = cleaning.choose(df.columns, hint=hint)
-    cleaned = cleaner.clean(df) if cleaner else df
+    cleaned = staged(cleaner.clean(df)) if cleaner else df  # kept, rejected and enriched rows all come from one parse
     if frozen is not None and (bad := quality.drift(frozen, cleaned).where("severity = 'fatal'").collect()):
         raise DriftError(", ".join(f"{r['column_name']} {r['change']}" for r in bad))
     kept, rejected = rules.split_by_score(cleaned)

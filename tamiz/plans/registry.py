@@ -12,9 +12,13 @@ from tamiz.plans.catalog import ORACLES, QUERIES, query, table
 
 def monthly_sales(d: DataFrame) -> DataFrame:
     """Dirty sales cleaned in one projection, split from quarantine and rolled up by month and movement."""
-    kept, _ = rules.split_by_score(cleaning.clean_transactional(d))
+    # The score bounds the sums; a filter would be pushed below the projection and have every text parsed again.
+    cleaned = cleaning.clean_transactional(d)
+    kept = ~rules.rejected_by_score(cleaned.columns)
     month = F.date_format("fecha_venta", "yyyy-MM")
-    return kept.groupBy(month.alias("month"), "tipo_movimiento").agg(F.count("*").alias("n"), F.round(F.sum("monto"), 2).alias("total"), F.round(F.avg("quality_score"), 4).alias("score"))
+    sums = cleaned.groupBy(month.alias("month"), "tipo_movimiento").agg(
+        F.count_if(kept).alias("n"), F.round(F.sum(F.when(kept, F.col("monto"))), 2).alias("total"), F.round(F.avg(F.when(kept, F.col("quality_score"))), 4).alias("score"))
+    return sums.where("n > 0")
 
 
 @query("flagship_monthly_sales", "dirty_sales", f"""SELECT strftime({q_clean.DATE}, '%Y-%m') AS month, {q_clean.MOVEMENT} AS tipo_movimiento, count(*) AS n, round(sum(coalesce({q_clean.PRICE}, 0)), 2) AS total, round(avg({q_clean.SCORE}), 4) AS score
