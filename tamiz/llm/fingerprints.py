@@ -73,11 +73,11 @@ def printed(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """``docs`` (doc_id, text, carried…) with ``next_<c>`` of text and each carried column, from the next
-    row by descending doc_id, ties by text; after the last comes the first.
+def with_next(docs: DataFrame, made: dict[str, Column]) -> DataFrame:
+    """``docs`` (doc_id, text) with the columns ``made`` of the text, and ``next_<c>`` of text and each of
+    these, from the next row by descending doc_id, ties by text; after the last comes the first.
 
-    Rows meet in buckets of neighbouring ids. The first row of each bucket is copied to the bucket
+    ``made`` is computed once a row, and once more only for the few that are copied. Rows meet in buckets of neighbouring ids. The first row of each bucket is copied to the bucket
     before it, the very first one to the last bucket, so no task sees more than a bucket.
     """
     bucket = F.shiftright(F.col("doc_id"), BUCKET_BITS)
@@ -86,13 +86,14 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     n = ranked.count()
     into = ranked.select(((F.col("rank") + 1) % F.lit(max(n, 1))).alias("_rank"), F.col("bucket").alias("_bucket"))
     moves = stored(ranked.join(into, F.col("rank") == F.col("_rank")).select(F.col("head").alias("_head"), "_bucket"))
-    names = ["doc_id", "text", *carried]
+    names = ["doc_id", "text", *[c.alias(name) for name, c in made.items()]]
     own = docs.where("doc_id is not null").select(*names, bucket.alias("_bucket"), F.lit(0).alias("_copied"))
     copied = docs.join(small_or_shuffled(moves, n), F.col("doc_id") == F.col("_head")).select(*names, "_bucket", F.lit(1).alias("_copied"))
     order = Window.partitionBy("_bucket").orderBy(F.col("_copied"), F.col("doc_id").desc(), F.col("text"))
-    found = own.unionByName(copied).select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ["text", *carried]])
+    found = own.unionByName(copied).select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ["text", *made]])
     found = found.where("_copied = 0").drop("_bucket", "_copied")
-    nowhere = docs.where("doc_id is null").select(*names, *[F.lit(None).cast(docs.schema[c].dataType).alias(f"next_{c}") for c in ["text", *carried]])
+    nowhere = docs.where("doc_id is null").select(*names)
+    nowhere = nowhere.select("*", *[F.lit(None).cast(nowhere.schema[c].dataType).alias(f"next_{c}") for c in ["text", *made]])
     return found.unionByName(nowhere)
 
 
@@ -105,8 +106,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     own = docs.select("doc_id", text.alias("text"))
-    signed = own.withColumn("prints", fingerprint(F.col("text")))
-    rows = with_next(signed, ["prints"])
+    rows = with_next(own, {"prints": fingerprint(F.col("text"))})
     n = F.char_length("text").cast("long")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (n - half).cast("int")), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
