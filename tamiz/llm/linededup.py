@@ -1,13 +1,20 @@
-"""Line dedup by content-defined chunks of lines, in SQL functions only.
+"""Line dedup by passages or by content-defined chunks of lines, in SQL functions only.
 
-A rolling hash over the last ROLL line hashes ends a chunk wherever it is 0 modulo DIVISOR, so an
-inserted line moves no boundary further down. Chunks of two or more lines, with a word in them, that
-occur more than once in the corpus are removed but for the first (by doc_id, then place). Hashes only
-find the candidates; equal bytes decide.
+``passages_removed`` compares every two lines that follow each other, so a repeated run of two or more
+lines goes whole, wherever it starts and ends; all but the first (by doc_id, then place) are removed.
+
+``deduplicated`` compares chunks only: a rolling hash over the last ROLL line hashes ends a chunk
+wherever it is 0 modulo DIVISOR, so an inserted line moves no boundary further down. Chunks of two or
+more lines, with a word in them, that occur more than once are removed but for the first; the edges of
+a repeated passage stay, and short passages may hold no chunk.
+
+In both, hashes only find the candidates; equal bytes decide.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +23,7 @@ from tamiz.llm.common import documents, let, small_or_shuffled, stored
 ROLL = 3
 DIVISOR = 4
 LEAST_LINES = 2
+HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
 def _turned(x: Column, bits: int) -> Column:
@@ -51,18 +59,18 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with the kept lines as ``text``, and ``n_lines``, ``n_removed``.
+def pairs(lines: Column) -> Column:
+    """array of (first, last) of each two lines that follow each other, with a word in them."""
+    worded = lambda i: F.rlike(F.get(lines, i), F.lit(HAS_WORD))
+    starts = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: (i < F.size(lines)) & (worded(i - 1) | worded(i)))
+    return F.transform(starts, lambda i: F.struct(i.alias("first"), (i + 1).alias("last")))
 
-    A null text stays null, with no lines; an empty text is one empty line; a text may lose all its
-    lines and is then empty. A null doc_id comes first. Rows equal in doc_id and text are one
-    document: they keep and lose the same lines. Columns named n_lines or n_removed are replaced; an
-    empty table gives an empty result.
-    """
-    docs = docs.drop("n_lines", "n_removed")
+
+def _again(docs: DataFrame, pieces: Callable[[Column], Column]) -> DataFrame:
+    """(_row, removed): the places, among the ``pieces`` of each text, of those that occur before in the corpus."""
 
     def hashed(x: Column) -> Column:
-        placed = F.transform(chunks(x), lambda c, k: F.struct(k.alias("place"), (c["last"] - c["first"] + 1).alias("n"), F.xxhash64(_text_of(x, c)).alias("hash")))
+        placed = F.transform(pieces(x), lambda c, k: F.struct(k.alias("place"), (c["last"] - c["first"] + 1).alias("n"), F.xxhash64(_text_of(x, c)).alias("hash")))
         return F.filter(placed, lambda c: c["n"] >= LEAST_LINES)
 
     cut = docs.select("doc_id", _row_key().alias("row"), F.explode(let(_lines(F.col("text")), hashed)).alias("c"))
@@ -74,15 +82,36 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     near = docs.join(small_or_shuffled(wanted, wanted.count()), _row_key() == F.col("_row"))
 
     def taken(x: Column) -> Column:
-        return let(chunks(x), lambda cs: F.transform(F.col("places"), lambda k: F.struct(k.alias("place"), _text_of(x, F.get(cs, k)).alias("lines"))))
+        return let(pieces(x), lambda cs: F.transform(F.col("places"), lambda k: F.struct(k.alias("place"), _text_of(x, F.get(cs, k)).alias("lines"))))
 
     found = near.select("doc_id", F.col("_row").alias("row"), F.explode(let(_lines(F.col("text")), taken)).alias("c"))
-    found = stored(found.select("doc_id", "row", "c.place", "c.lines").where(F.rlike("lines", F.lit(r"[^\x20\x09-\x0D]"))).withColumn("hash", F.xxhash64("lines")))
+    found = stored(found.select("doc_id", "row", "c.place", "c.lines").where(F.rlike("lines", F.lit(HAS_WORD))).withColumn("hash", F.xxhash64("lines")))
     firsts = found.groupBy("hash", "lines").agg(F.min(F.struct("doc_id", "row", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
     firsts = firsts.select(F.col("hash").alias("_hash"), F.col("lines").alias("_lines"), "first")
     again = found.join(firsts, (F.col("hash") == F.col("_hash")) & (F.col("lines") == F.col("_lines")))
     again = again.where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
-    removed = stored(again.groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("removed")))
+    return stored(again.groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("removed")))
+
+
+def _left(docs: DataFrame, removed: DataFrame, kept: Callable[[Column], Column]) -> DataFrame:
+    """``docs`` with the text and the number of removed lines that ``kept`` gives for the lines of a text that loses some."""
+    rows = docs.join(small_or_shuffled(removed, removed.count()), _row_key() == F.col("_row"), "left")
+    out = F.when(F.col("removed").isNotNull(), let(_lines(F.col("text")), kept))
+    rows = rows.withColumn("_out", out).withColumn("_n", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines(F.col("text")))))
+    same = [c for c in docs.columns if c != "text"]
+    rows = rows.select(*same, F.coalesce("_out.text", "text").alias("text"), F.col("_n").cast("long").alias("n_lines"), F.coalesce("_out.n", F.lit(0).cast("long")).alias("n_removed"))
+    return rows.select(*docs.columns, "n_lines", "n_removed")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with the kept lines as ``text``, and ``n_lines``, ``n_removed``.
+
+    A null text stays null, with no lines; an empty text is one empty line; a text may lose all its
+    lines and is then empty. A null doc_id comes first. Rows equal in doc_id and text are one
+    document: they keep and lose the same lines. Columns named n_lines or n_removed are replaced; an
+    empty table gives an empty result.
+    """
+    docs = docs.drop("n_lines", "n_removed")
 
     def kept(x: Column) -> Column:
         def joined(cs: Column) -> Column:
@@ -94,16 +123,33 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
         return let(chunks(x), joined)
 
-    rows = docs.join(small_or_shuffled(removed, removed.count()), _row_key() == F.col("_row"), "left")
-    out = F.when(F.col("removed").isNotNull(), let(_lines(F.col("text")), kept))
-    rows = rows.withColumn("_out", out).withColumn("_n", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines(F.col("text")))))
-    same = [c for c in docs.columns if c != "text"]
-    rows = rows.select(*same, F.coalesce("_out.text", "text").alias("text"), F.col("_n").cast("long").alias("n_lines"), F.coalesce("_out.n", F.lit(0).cast("long")).alias("n_removed"))
-    return rows.select(*docs.columns, "n_lines", "n_removed")
+    return _left(docs, _again(docs, chunks), kept)
+
+
+def passages_removed(docs: DataFrame) -> DataFrame:
+    """As ``deduplicated``, but every run of two or more lines that occurs before in the corpus goes whole.
+
+    A line goes if it and the line before or after it occur together earlier, so the first occurrence
+    of a line always stays somewhere. A blank line between blank lines stays.
+    """
+    docs = docs.drop("n_lines", "n_removed")
+
+    def kept(x: Column) -> Column:
+        def joined(cs: Column) -> Column:
+            gone = F.flatten(F.transform(F.col("removed"), lambda k: F.array(F.get(cs, k)["first"], F.get(cs, k)["last"])))
+            left = F.array_except(F.sequence(F.lit(1), F.size(x)), gone)
+            return let(left, lambda at: F.struct(
+                F.array_join(F.transform(at, lambda i: F.get(x, i - 1)), "\n").alias("text"),
+                (F.size(x) - F.size(at)).cast("long").alias("n"),
+            ))
+
+        return let(pairs(x), joined)
+
+    return _left(docs, _again(docs, pairs), kept)
 
 
 def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicated(documents(spark, sf_dir).select("doc_id", "text"))
+    return passages_removed(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 QUERIES = {"op5_line_chunks": op5_line_chunks}

@@ -187,6 +187,36 @@ def test_line_chunks(given, empty):
     assert linededup.deduplicated(empty).count() == 0
 
 
+def test_planted_passages_go_whole(spark, tmp_path):
+    own = lambda d, n: [f"own {d} {k}" for k in range(n)]
+    rows, want = [], {}
+    for n in range(2, 11):
+        for copy in range(4):
+            d = 10 * n + copy
+            passage, before, after = [f"passage {n} line {k}" for k in range(n)], own(d, copy), own(-d, copy * n % 4)
+            rows.append((d, "\n".join(before + passage + after)))
+            want[d] = ("\n".join(before + (passage if not copy else []) + after), n if copy else 0)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = linededup.op5_line_chunks(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.text, r.n_removed) for r in got} == want
+
+
+def test_passages(given, empty):
+    docs = {(r.doc_id, r.row, r.text) for r in given.select("doc_id", "text", linededup._row_key().alias("row")).collect()}
+    seen, gone = set(), {}
+    for d, row, text in sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
+        lines, out = (text or "").split("\n"), set()
+        for i, two in enumerate(zip(lines, lines[1:])):
+            if words(" ".join(two)):
+                out |= {i, i + 1} if two in seen else set()
+                seen.add(two)
+        gone[d, text] = None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in out), len(out)
+    got = linededup.passages_removed(given)
+    want = [(r.doc_id, gone[r.doc_id, r.text][0], 0 if r.text is None else len(r.text.split("\n")), gone[r.doc_id, r.text][1]) for r in given.collect()]
+    assert bag(want) == bag((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()) and any(x[3] for x in want)
+    assert linededup.passages_removed(empty).count() == 0
+
+
 def test_licenses(given, empty):
     def base(text):
         w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)) if x]
