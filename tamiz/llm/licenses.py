@@ -20,7 +20,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: label, words one of which a text must have, names, versions (as they read once punctuation is gone).
+#: label, words that gate its names, names, versions (as they read once punctuation is gone).
 FAMILIES = [
     ("gpl", ["gpl", "gnu"], ["gnu general public license", "gnu gpl", "gpl"], ["1", "2", "3", "1 0", "2 0", "3 0"]),
     ("lgpl", ["lgpl", "lesser", "library"], ["gnu lesser general public license", "gnu library general public license", "gnu lgpl", "lgpl"], ["2", "2 1", "3", "2 0", "3 0"]),
@@ -51,9 +51,9 @@ FAMILIES = [
     ("openssl", ["openssl"], ["openssl license"], []),
     ("odbl", ["odbl"], ["open database license", "odbl"], ["1 0"]),
     ("upl", ["upl"], ["universal permissive license", "upl"], ["1 0"]),
-    ("blueoak", ["blue"], ["blue oak model license"], ["1 0 0"]),
+    ("blueoak", ["oak"], ["blue oak model license"], ["1 0 0"]),
     ("vim", ["vim"], ["vim license"], []),
-    ("cc0", ["cc0"], ["creative commons zero", "cc0"], ["1 0"]),
+    ("cc0", ["cc0", "creative"], ["creative commons zero", "cc0"], ["1 0"]),
     *((f"cc-{kind.replace(' ', '-')}", ["cc", "creative"], [f"cc {kind}", f"creative commons {name}"], ["1 0", "2 0", "2 5", "3 0", "4 0"])
       for kind, name in [("by", "attribution"), ("by sa", "attribution share ?alike"), ("by nd", "attribution no ?derivatives"), ("by nc", "attribution non ?commercial"),
                          ("by nc sa", "attribution non ?commercial share ?alike"), ("by nc nd", "attribution non ?commercial no ?derivatives")]),
@@ -61,18 +61,79 @@ FAMILIES = [
 _GRANT = r"(?:licen[sc]ed|released|distributed|available|provided|published|redistribute it) under (?:the )?(?:terms of (?:the )?)?"
 
 
+_LATER = "(?: or (?:any )?later(?: version)?)?"
+
+#: Short names that are written in one word with their version (GPLv2, LGPL3).
+_JOINED = {"gpl", "lgpl", "agpl", "gfdl", "mpl", "epl", "cddl", "cpl", "eupl", "ofl", "afl", "osl", "odbl", "upl", "wtfpl", "apache"}
+#: label, name: too common a word alone, a license after a grant.
+_GRANTED = [("mit", "mit"), ("mit", "expat"), ("isc", "isc"), ("zlib", "zlib")]
+#: label, name: SPDX identifiers that are no name above; with a version if the family has any.
+_IDS = [("boost", "bsl"), ("python", "psf"), ("artistic", "artistic"), ("blueoak", "blueoak"), ("ms-pl", "ms pl"), ("ms-rl", "ms rl")]
+_SPDX = "spdx license identifier "
+#: An identifier further on in an expression; the words before it are not part of the match.
+_SPDX_NEXT = f"(?<={_SPDX}[a-z0-9 ]{{1,60}} (?:or|and) )"
+
+_FSF = "redistribute it and or modify it under the terms of (?:version {v} of )?the gnu {kind}public license as published by the free software foundation"
+#: label, keyword, regex of license bodies and headers.
+BODIES = [
+    ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("boost", "hereby", "permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    ("isc", "hereby", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms(?: with or without modification)?"),
+    ("bsd-3-clause", "endorse", "may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "acknowledgement", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("cc0", "waived", "to the extent possible under law (?:[^ ]+ ){1,20}waived all copyright and related or neighbou?ring rights"),
+    *((f"{label}-{v.replace(' ', '.')}", "gnu", _FSF.format(v=v, kind=kind) + f" either version {v} of the license(?: or at your option any later version)?")
+      for label, kind, versions in [("gpl", "general ", ["1", "2", "3"]), ("lgpl", "(?:lesser|library) general ", ["2", "2 1", "3"]), ("agpl", "affero general ", ["1", "3"])] for v in versions),
+]
+
+
+def _keyword(name: str, keywords: list[str]) -> str:
+    """A word that stands in every text with ``name``: one of ``keywords``, or else its word for license."""
+    parts = name.split(" ")
+    return next((k for k in keywords if k in parts), None) or next(p for p in parts if p in ("license", "licence"))
+
+
 def rules() -> list[tuple[int, str, str, str, float]]:
-    """(priority, label, keyword, regex, weight): a grant with a version, a name with a version, a grant, a name."""
+    """(priority, label, keyword, regex, weight): a grant with a version or an SPDX tag, a name with a
+    version or a body, a grant, a name. A name of up to four letters alone is no license, as it has
+    other meanings, but beside the word license it is."""
     out = []
+
+    def versioned(full: str, keyword: str, name: str, tail: str) -> None:
+        out.extend([(1, full, keyword, f"{_GRANT}{name}{tail}", 1.0), (2, full, keyword, f"{name}{tail}", 0.9)])
+
     for label, keywords, names, versions in FAMILIES:
+        ids = [name for other, name in _IDS if other == label]
+        full = {v: f"{label}-{v.replace(' clause', '-clause').replace(' ', '.')}" for v in versions}
         for name in names:
+            gate, last = _keyword(name, keywords), name.split(" ")[-1]
             for version in versions:
-                tail = f" (?:license )?(?:version |v)?{version}(?: or (?:any )?later(?: version)?)?" if label != "bsd" else f" {version}"
-                full = f"{label}-{version.replace(' clause', '-clause').replace(' ', '.')}"
-                out += [(1, full, k, f"{_GRANT}{name}{tail}", 1.0) for k in keywords] + [(2, full, k, f"{name}{tail}", 0.9) for k in keywords]
+                versioned(full[version], gate, name, f" (?:license )?(?:version |v ?)?{version}{_LATER}" if label != "bsd" else f" {version}")
+                if last in _JOINED:
+                    major = version.split(" ")[0]
+                    end = f"{major}(?: 0)?" if version == f"{major} 0" and major not in versions else version
+                    for v in ["v", ""][: 1 if label == "apache" else 2]:
+                        versioned(full[version], f"{last}{v}{major}", name, f"{v}{end}{_LATER}")
+            out.append((3, label, gate, f"{_GRANT}{name}", 0.8))
             if len(name) > 4:
-                out += [(3, label, k, f"{_GRANT}{name}", 0.8) for k in keywords] + [(4, label, k, name, 0.6) for k in keywords]
-    return out
+                out.append((4, label, gate, name, 0.6))
+            else:
+                out.extend((4, label, gate, regex, 0.6) for regex in (f"{name} licen[sc]ed?", f"licen[sc]e {name}"))
+        for name in ids:
+            for version in versions:
+                versioned(full[version], name.split(" ")[0], name, f" {version}")
+            if not versions:
+                out.extend([(3, label, "ms", f"{_GRANT}{name}", 0.8), (4, label, "ms", name, 0.6)])
+        for name in [*ids, label.replace("-", " ")]:
+            for version in [*versions, ""]:
+                regex, own = f"{name} {version}{_LATER}" if version else name, full.get(version, label)
+                out.extend((1, own, "spdx", f"{at}{regex}", 1.0) for at in (_SPDX, _SPDX_NEXT))
+    out += [(1, "bsd-0-clause", "spdx", f"{at}0bsd", 1.0) for at in (_SPDX, _SPDX_NEXT)] + [(2, "bsd-0-clause", "0bsd", "0bsd", 0.9)]
+    out += [(3, label, name, f"{_GRANT}{name}", 0.8) for label, name in _GRANTED]
+    return out + [(2, label, keyword, regex, 0.9) for label, keyword, regex in BODIES]
 
 
 def _base_places(w: Column, phrase: str) -> Column:
@@ -110,7 +171,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     table gives an empty result; further columns are ignored.
     """
     words = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), SEPARATOR), "")
-    keywords = sorted({k for _, ks, _, _ in FAMILIES for k in ks} | {"license", "licence", "licensed"})
+    keywords = sorted({r[2] for r in rules()} | {k for _, ks, _, _ in FAMILIES for k in ks} | {"license", "licence", "licensed"})
     known = F.array(*[F.lit(k) for k in keywords])
 
     def read(w: Column) -> Column:

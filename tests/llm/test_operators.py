@@ -233,6 +233,34 @@ def test_licenses(given, empty):
     assert len({r[3] for r in licenses.rules()}) > 200
 
 
+def test_common_license_statements(spark):
+    cases = [
+        ("It is released under the LGPL.", "lgpl"), ("licensed under the GPL", "gpl"), ("available under CC0", "cc0"), ("distributed under the terms of the BSD", "bsd"),
+        ("released under MIT", "mit"), ("License: GPL", "gpl"), ("the gpl", ""), ("a bsd system", ""), ("we fly to OSL", ""),
+        *((name, label) for name, label in [("GPLv2", "gpl-2"), ("GPLv3+", "gpl-3"), ("GNU GPLv3", "gpl-3"), ("GPL3", "gpl-3"), ("LGPLv2.1", "lgpl-2.1"), ("AGPLv3", "agpl-3"), ("MPLv2", "mpl-2.0"), ("MPLv2.0", "mpl-2.0"), ("MPL, v. 2.0", "mpl-2.0")]),
+        ("the Common Public License 1.0", "cpl-1.0"), ("Creative Commons Zero", "cc0"), ("Academic Free License v3.0", "afl-3.0"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+        ("names may be used to endorse or promote products derived from this software", "bsd-3-clause"),
+        ("The origin of this software must not be misrepresented;", "zlib"), ("This is free and unencumbered software released into the public domain.", "unlicense"),
+        ("To the extent possible under law, Ana has waived all copyright and related or neighboring rights", "cc0"),
+        ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl-2"),
+        ("SPDX-License-Identifier: ISC", "isc"), ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"), ("SPDX-License-Identifier: Apache-2.0 OR MIT", "apache-2.0,mit"),
+        ("BSL-1.0", "boost-1.0"), ("BSD-3-Clause", "bsd-3-clause"), ("0BSD", "bsd-0-clause"), ("Artistic-2.0", "artistic-2.0"), ("MS-PL", "ms-pl"), ("Python 2.0", ""),
+    ]
+    got = licenses.scanned(spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    labels = {r.doc_id: set(filter(None, r.labels.split(","))) - set(filter(None, r.base_labels.split(","))) for r in got}
+    assert [(text, set(filter(None, want.split(",")))) for text, want in cases] == [(text, labels[i]) for i, (text, _) in enumerate(cases)]
+    assert all((r.score > 0) == (r.labels != "") for r in got)
+
+
+def test_every_rule_can_be_reached():
+    """The keyword of a rule is a word of each text that the rule's own words make."""
+    for label, keywords, names, _ in licenses.FAMILIES:
+        assert all(licenses._keyword(name, keywords) in name.split(" ") for name in names), label
+
+
 def test_contained_detections_are_dropped(spark):
     text = " released under the mozilla public license version 2 0 and the isc license "
     held = spark.createDataFrame([(1, text, ["mozilla", "isc"])], "row long, joined string, keywords array<string>")
