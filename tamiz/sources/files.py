@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,25 +127,64 @@ def header_row(lines: list[list[str]], most: int = 10) -> int:
     return best
 
 
-def sniff_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless the first lines don't decode, then Latin-1."""
-    sample = spark.read.text(path).limit(SNIFFED_LINES)
-    return ENCODINGS[1] if sample.where(~F.is_valid_utf8("value")).count() else ENCODINGS[0]
+def latin_files(spark: SparkSession, path: str) -> tuple[list[str], int, bool]:
+    """Of all lines: the files with a byte that is not UTF-8, the number of files, and whether a quoted field may hold a line break."""
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+    found = text.groupBy("file").agg(F.bool_or(~F.is_valid_utf8("value")).alias("latin"), F.bool_or(odd).alias("odd")).where("latin or odd").collect()
+    return [r["file"] for r in found if r["latin"]], len(spark.read.text(path).inputFiles()), any(r["odd"] for r in found)
+
+
+def records(lines: list[str]) -> list[str]:
+    """Lines joined where a quoted field goes on, without a last one that stays open."""
+    out: list[str] = []
+    for line in lines:
+        if out and out[-1].count('"') % 2:
+            out[-1] += f"\n{line}"
+        else:
+            out.append(line)
+    return out[:-1] if len(out) > 1 and out[-1].count('"') % 2 else out
 
 
 def read_delimited(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
-    """Delimited text, every column a string; lines with too many fields lose the rest, as Spark's permissive mode has it."""
-    encoding = sniff_encoding(spark, path)
-    lines = [r["value"] for r in spark.read.option("encoding", encoding).text(path).limit(SNIFFED_LINES).collect()]
+    """Delimited text, every column a string; lines with too many fields lose the rest, as Spark's permissive mode has it.
+
+    A file is Latin-1 if any of its bytes is not UTF-8. Lines before the header are cut by their place
+    in each file. Files are split among tasks unless a quoted field may hold a line break.
+    """
+    latin, n_files, broken = latin_files(spark, path)
+    mixed = 0 < len(latin) < n_files
+
+    def decoded(scan: Callable[[str], DataFrame]) -> DataFrame:
+        if not mixed:
+            return scan(ENCODINGS[bool(latin)])
+        is_latin = F.col("_metadata.file_path").isin(latin)
+        return scan(ENCODINGS[0]).where(~is_latin).unionAll(scan(ENCODINGS[1]).where(is_latin))
+
+    lines = [r["value"] for r in decoded(lambda e: spark.read.option("encoding", e).text(path)).limit(SNIFFED_LINES).collect()]
+    lines = records(lines) if broken else lines
     separator = separator or sniff_separator(lines)
     first = header_row([line.split(separator) for line in lines])
-    reader = spark.read.options(sep=separator, encoding=encoding, mode="PERMISSIVE", header=first == 0)
+    reader = lambda e: spark.read.options(sep=separator, encoding=e, mode="PERMISSIVE", header=first == 0, multiLine=broken)
+    if first == 0 and not mixed:
+        return reader(ENCODINGS[bool(latin)]).csv(path)
+    names = [c.strip().strip('"') or f"c{i}" for i, c in enumerate(lines[first].split(separator))]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if first == 0:
-        return reader.csv(path)
-    names = [c.strip() or f"c{i}" for i, c in enumerate(lines[first].split(separator))]
-    seen = {x for x in lines[: first + 1]}
-    body = spark.read.option("encoding", encoding).text(path).where(~F.col("value").isin(*seen))
-    return body.select(F.from_csv("value", F.lit(", ".join(f"`{n}` string" for n in names)), {"sep": separator}).alias("r")).select("r.*")
+        return decoded(lambda e: reader(e).schema(schema).csv(path))
+
+    cut = sum(bool(line.strip()) for line in lines[: first + 1])  # the reader drops blank lines
+
+    def body(e: str) -> DataFrame:
+        # Rows of a file's first block follow each other in one task, so ids from its least one are places in the file.
+        rows = reader(e).schema(schema).csv(path)
+        placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("_id"))
+        placed = placed.where(F.col("_file").isin(latin) == (e == ENCODINGS[1])) if mixed else placed
+        starts = placed.groupBy(F.col("_file").alias("_of")).agg(F.min("_id").alias("_start"))
+        placed = placed.join(starts, F.col("_file") == F.col("_of")).where(F.col("_id").isNull() | (F.col("_id") - F.col("_start") >= cut))
+        return placed.select(*[F.col(f"`{n}`") for n in names])
+
+    return body(ENCODINGS[0]).unionAll(body(ENCODINGS[1])) if mixed else body(ENCODINGS[bool(latin)])
 
 
 def flattened(df: DataFrame) -> DataFrame:

@@ -174,6 +174,22 @@ def test_latin1(spark, tmp_path):
     assert files.read_delimited(spark, str(tmp_path / "a.csv")).first()["producto"] == "ñandú"
 
 
+def test_latin1_after_the_first_lines(spark, tmp_path):
+    rows = "producto,n\n" + "".join(f"x{i},{i}\n" for i in range(60))
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one/a.csv").write_bytes((rows + "ñandú,60\n").encode("latin-1"))
+    assert files.read_delimited(spark, str(tmp_path / "one")).where("n = 60").first()["producto"] == "ñandú"
+    (tmp_path / "one/b.csv").write_text(rows + "ñandú,60\n", encoding="utf-8")
+    got = files.read_delimited(spark, str(tmp_path / "one"))
+    assert got.count() == 122 and [r["producto"] for r in got.where("n = 60").collect()] == ["ñandú", "ñandú"]
+
+
+def test_preamble_is_cut_by_place(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('Informe mensual|\nnombre|monto\nana|5\nInforme mensual|\nnombre|monto\n"lu\nis"|6\nana|5\n')
+    got = [tuple(r) for r in files.read_delimited(spark, str(tmp_path / "a.txt")).collect()]
+    assert sorted(got, key=str) == sorted([("ana", "5"), ("Informe mensual", None), ("nombre", "monto"), ("lu\nis", "6"), ("ana", "5")], key=str)
+
+
 def test_one_bad_file_does_not_stop_the_others(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n")
     (tmp_path / "b.docx").write_text("?")
