@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamiz.operators.stage import staged
+
 
 def rollup(df: DataFrame, *keys: str) -> DataFrame:
     """Sales, units, cost, lines, margin and its share by any keys; null keys are a group."""
@@ -68,10 +70,16 @@ def concentration(df: DataFrame, key: str, group: str, share: float = 0.8) -> Da
     """
     members = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("venta").alias("venta"))
     groups = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.sum("venta").alias("venta"))
-    # Members of equal sales are one step of the curve, which keeps the ordered pass small.
-    steps = members.groupBy("venta").agg(F.count("*").alias("n"))
-    down = Window.orderBy(F.col("venta").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    steps = steps.select("venta", "n", F.coalesce(F.sum(F.col("venta") * F.col("n")).over(down), F.lit(0)).alias("before"))
+    # Members of equal sales are one step of the curve. Steps are range-partitioned, and each partition
+    # goes on from the sums before it, so no task sees them all.
+    steps = members.groupBy("venta").agg(F.count("*").alias("n")).repartitionByRange(F.col("venta").desc())
+    steps = staged(steps.withColumn("_part", F.spark_partition_id()))
+    step_sum = F.sum(F.col("venta") * F.col("n"))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    starts = steps.groupBy("_part").agg(step_sum.alias("_sum"))  # one row a partition
+    starts = starts.select("_part", F.coalesce(F.sum("_sum").over(earlier(Window.orderBy("_part"))), F.lit(0)).alias("_start"))
+    within = F.coalesce(step_sum.over(earlier(Window.partitionBy("_part").orderBy(F.col("venta").desc()))), F.lit(0))
+    steps = steps.withColumn("_within", within).join(F.broadcast(starts), "_part").select("venta", "n", (F.col("_within") + F.col("_start")).alias("before"))
     total = members.agg(F.sum("venta").alias("total"), F.count("*").alias("members"))
     fits = F.greatest(F.lit(0), F.least(F.col("n"), F.floor((share * F.col("total") - F.col("before")) / F.col("venta"))))
     reach = steps.crossJoin(F.broadcast(total)).agg((F.sum(F.when(F.col("venta") > 0, fits).otherwise(0)) + 1).alias("n_share"))

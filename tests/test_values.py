@@ -139,6 +139,23 @@ def test_shares_sum_to_a_hundred(spark):
     assert abs(bi.with_share(bi.rollup(df, "k")).agg(F.sum("share")).first()[0] - 100) < 1e-4
 
 
+def test_concentration_in_range_partitions(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(bi, "staged", lambda df, f=bi.staged: held.append(f(df)) or held[-1], raising=False)
+    df = spark.range(5000).selectExpr("id AS k", "id % 3 AS g", "id % 4000 + 1 AS venta").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one partition
+    try:
+        got = bi.concentration(df, "k", "g").first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sums, run, n = sorted((i % 4000 + 1 for i in range(5000)), reverse=True), 0, 0
+    for x in sums:
+        run += x
+        n += run <= 0.8 * sum(sums)
+    assert (got["members"], got["n_share"]) == (5000, n + 1)
+    assert len(held) == 1 and held[0].select("_part").distinct().count() > 1
+
+
 def test_sequential_ids_without_pattern(spark):
     df = spark.createDataFrame([(1, None), (2, " "), (3, "x")], "n int, id string")
     assert {r.n: r.id for r in bi.sequential_ids(df, "id", ["n"]).collect()} == {1: "AUTO-0001", 2: "AUTO-0002", 3: "x"}
