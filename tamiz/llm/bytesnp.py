@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 U = np.uint64
 #: Texts are handled in groups of about this many bytes, which bounds the work arrays.
 GROUP_BYTES = 1 << 20
+#: Places of a word with a factor of their own; the blocks of places after them have one more each.
 _PLACES = 1 << 16
 
 
@@ -23,10 +24,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([np.ones(1, U), np.full(n - 1, base, U)]), dtype=U)
-
-
 _PLACE = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 _BYTE = mix(np.arange(256, dtype=U) + U(0x51ED2701))
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -48,11 +45,11 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at
 
 
-def groups(at: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about GROUP_BYTES; a longer text is a run of its own."""
+def groups(at: np.ndarray, size: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``size`` bytes; a longer text is a run of its own."""
     first = 0
     while first < len(at) - 1:
-        last = max(first + 1, int(np.searchsorted(at, at[first] + GROUP_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
         yield first, last
         first = last
 
@@ -76,6 +73,8 @@ def hashed_words(raw: np.ndarray, at: np.ndarray, lower: bool, separators: np.nd
     lengths = np.add.reduceat(inside, begin, dtype=np.int64)
     place = np.arange(len(b), dtype=np.int64)[begin[0] :] - np.repeat(begin, np.diff(np.append(begin, len(b))))
     terms = _BYTE[b[begin[0] :]] * _PLACE[place & (_PLACES - 1)]
+    if lengths.max() > _PLACES:  # the factors of later places differ by block
+        terms *= mix((place >> 16).astype(U) * U(0xD1B54A32D192ED03)) | U(1)
     terms[~inside[begin[0] :]] = 0
     hashes = mix(np.add.reduceat(terms, begin - begin[0], dtype=U) + lengths.astype(U))
     bounds = np.searchsorted(begin, at - base)

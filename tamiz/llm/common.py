@@ -29,27 +29,39 @@ def words(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share. Where none is set, a local session (tests) gets a
+    temporary one, and a cluster an error, as its executors could not see each other's files."""
     context = spark.sparkContext
     if not (found := spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tamiz-"))
         found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again. It cuts the lineage, survives lost
-    executors, and lets the planner see the table's true size. The driver's garbage is collected, so
-    that Spark removes the shuffle files of what is now written."""
-    path = f"{shared_dir(df.sparkSession)}/tamiz-tables/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executors, and lets the planner see the table's true size. The write's shuffle files go when it ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tamiz-tables/{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``BROADCAST_ROWS`` rows, else as it is."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """``df`` marked for broadcast if it has at most ``BROADCAST_ROWS`` rows of fixed width. A table with
+    texts or arrays is left as it is: Spark then goes by the size of its stored files."""
+    fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) for f in df.schema.fields)
+    return F.broadcast(df) if fixed and rows <= BROADCAST_ROWS else df
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:

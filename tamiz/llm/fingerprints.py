@@ -18,7 +18,9 @@ K = 3
 TUPLE = 2
 SIGNATURES = 64
 #: Documents meet their successors in buckets of so many neighbouring ids (a power of two).
-BUCKET_BITS = 9
+BUCKET_BITS = 8
+#: Buckets that a task takes.
+BUCKETS_PER_TASK = 8
 _POINTS = [-(2**63) + s * (2**64 // SIGNATURES) for s in range(SIGNATURES)]
 
 
@@ -89,8 +91,10 @@ def with_next(docs: DataFrame, made: dict[str, Column]) -> DataFrame:
     names = ["doc_id", "text", *[c.alias(name) for name, c in made.items()]]
     own = docs.where("doc_id is not null").select(*names, bucket.alias("_bucket"), F.lit(0).alias("_copied"))
     copied = docs.join(small_or_shuffled(moves, n), F.col("doc_id") == F.col("_head")).select(*names, "_bucket", F.lit(1).alias("_copied"))
+    # As many tasks as the buckets call for, so that a task's share of the texts doesn't grow with the corpus.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // BUCKETS_PER_TASK)
     order = Window.partitionBy("_bucket").orderBy(F.col("_copied"), F.col("doc_id").desc(), F.col("text"))
-    found = own.unionByName(copied).select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ["text", *made]])
+    found = own.unionByName(copied).repartition(tasks, "_bucket").select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ["text", *made]])
     found = found.where("_copied = 0").drop("_bucket", "_copied")
     nowhere = docs.where("doc_id is null").select(*names)
     nowhere = nowhere.select("*", *[F.lit(None).cast(nowhere.schema[c].dataType).alias(f"next_{c}") for c in ["text", *made]])

@@ -1,22 +1,25 @@
 """License scans by ordered signature rules, in SQL functions only.
 
 A text is reduced to its lower-case words. Its rule keywords decide which of some hundred regexes are
-tried at all; detections are intervals of words, and one that lies within another of the same text is
-dropped, the better rule winning where two are equal.
+tried at all. Detections are intervals of words; of those that overlap, the one of the better priority
+stays, then the longer one, so that one within another goes. All of that happens within a document's
+row, and only the labels of what is left come out.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tamiz.llm.common import documents, let, small_or_shuffled, stored
-from tamiz.llm.spans import matches, placed
+from tamiz.llm.common import documents, let
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+RULE = "array<struct<rule:int,priority:int,label:string,regex:string,weight:double>>"
+
 #: The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -88,6 +91,55 @@ BODIES = [
     *((f"{label}-{v.replace(' ', '.')}", "gnu", _FSF.format(v=v, kind=kind) + f" either version {v} of the license(?: or at your option any later version)?")
       for label, kind, versions in [("gpl", "general ", ["1", "2", "3"]), ("lgpl", "(?:lesser|library) general ", ["2", "2 1", "3"]), ("agpl", "affero general ", ["1", "3"])] for v in versions),
 ]
+#: label, keyword, regex of notices as people write them.
+NOTICES = [
+    ("mit", "warranty", "the software is provided as is without warranty of any kind express or implied including but not limited to"),
+    ("mit", "substantial", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("isc", "disclaims", "the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("bsd", "redistributions", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-2-clause", "freebsd", "the views and conclusions contained in the software and documentation are those of the authors .{0,80}freebsd project"),
+    ("apache-2.0", "compliance", "you may not use this file except in compliance with the license"),
+    ("apache-2.0", "perpetual", "perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-1.1", "mozilla", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("gpl", "copyleft", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("lgpl", "designated", "this license the lesser general public license applies to some specially designated software"),
+    ("agpl-3", "affero", "the gnu affero general public license is a free copyleft license for software"),
+    ("gfdl", "invariant", "with no invariant sections no front cover texts and no back cover texts"),
+    ("epl-2.0", "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license v ?2 0"),
+    ("epl-1.0", "eclipse", "all rights reserved this program and the accompanying materials are made available under the terms of the eclipse public license v ?1 0"),
+    ("cddl", "development", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("boost-1.0", "boost", "distributed under the boost software license version 1 0"),
+    ("zlib", "altered", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("unlicense", "anyone", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "fuck", "you just do what the fuck you want to"),
+    ("cc0", "dedicated", "(?:has|have) dedicated the work to the public domain by waiving all of (?:his or her|their) rights"),
+    ("ofl-1.1", "font", "this font software is licensed under the sil open font license version 1 1"),
+    ("artistic-2.0", "artistic", "under the terms of the artistic license version 2 0"),
+    ("python", "psf", "psf is making python available to licensee on an as is basis"),
+    ("openssl", "openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("php", "php", "this product includes php software freely available from"),
+    ("postgresql", "agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"),
+    ("cc-by", "adapt", "you are free to share copy and redistribute .{0,60}adapt remix transform"),
+    ("public-domain", "domain", "(?:placed|released) (?:in|into) the public domain"),
+    ("proprietary", "confidential", "(?:proprietary and confidential|confidential and proprietary)"),
+    ("proprietary", "unauthorized", "unauthorized copying of this file via any medium is strictly prohibited"),
+]
+#: label, keyword, regex of addresses of license texts, as they read once punctuation is gone.
+ADDRESSES = [
+    ("apache-2.0", "apache", "apache org licenses license 2 0"), ("mpl-2.0", "mozilla", "mozilla org (?:en us )?mpl 2 0"), ("mpl-1.1", "mozilla", "mozilla org mpl mpl 1 1"),
+    ("gpl-3", "gnu", "gnu org licenses gpl 3 0"), ("gpl-2", "gnu", "gnu org licenses (?:old licenses )?gpl 2 0"), ("gpl", "gnu", "gnu org (?:licenses|copyleft) gpl"),
+    ("lgpl-3", "gnu", "gnu org licenses lgpl 3 0"), ("lgpl-2.1", "gnu", "gnu org licenses (?:old licenses )?lgpl 2 1"), ("lgpl", "gnu", "gnu org (?:licenses|copyleft) (?:lgpl|lesser)"),
+    ("agpl-3", "gnu", "gnu org licenses agpl(?: 3 0)?"), ("gfdl", "gnu", "gnu org (?:licenses|copyleft) fdl(?: 1 [1-3])?"),
+    ("mit", "opensource", "opensource org licen[sc]es? mit(?: license)?"), ("isc", "opensource", "opensource org licen[sc]es? isc(?: license)?"),
+    ("bsd-2-clause", "opensource", "opensource org licen[sc]es? bsd 2 clause"), ("bsd-3-clause", "opensource", "opensource org licen[sc]es? bsd 3 clause"), ("bsd", "opensource", "opensource org licen[sc]es? bsd license"),
+    ("apache-2.0", "opensource", "opensource org licen[sc]es? apache 2 0"), ("zlib", "opensource", "opensource org licen[sc]es? zlib"), ("artistic-2.0", "opensource", "opensource org licen[sc]es? artistic 2 0"),
+    ("boost-1.0", "boost", "boost org license 1 0"), ("unlicense", "unlicense", "unlicense org"), ("wtfpl", "wtfpl", "wtfpl net"), ("epl-1.0", "eclipse", "eclipse org legal epl v10"), ("epl-2.0", "eclipse", "eclipse org legal epl 2 0"),
+    ("cc0-1.0", "creativecommons", "creativecommons org publicdomain zero 1 0"), ("public-domain", "creativecommons", "creativecommons org publicdomain mark 1 0"),
+    *((f"cc-{kind.replace(' ', '-')}-{v.replace(' ', '.')}", "creativecommons", f"creativecommons org licenses {kind} {v}")
+      for kind in ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd") for v in ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("ofl", "sil", "scripts sil org ofl"), ("upl", "oracle", "oss oracle com licenses upl"), ("odbl", "opendatacommons", "opendatacommons org licenses odbl"),
+]
 
 
 def _keyword(name: str, keywords: list[str]) -> str:
@@ -133,7 +185,8 @@ def rules() -> list[tuple[int, str, str, str, float]]:
                 out.extend((1, own, "spdx", f"{at}{regex}", 1.0) for at in (_SPDX, _SPDX_NEXT))
     out += [(1, "bsd-0-clause", "spdx", f"{at}0bsd", 1.0) for at in (_SPDX, _SPDX_NEXT)] + [(2, "bsd-0-clause", "0bsd", "0bsd", 0.9)]
     out += [(3, label, name, f"{_GRANT}{name}", 0.8) for label, name in _GRANTED]
-    return out + [(2, label, keyword, regex, 0.9) for label, keyword, regex in BODIES]
+    out += [(1, label, keyword, regex, 1.0) for label, keyword, regex in ADDRESSES]
+    return out + [(2, label, keyword, regex, 0.9) for label, keyword, regex in [*BODIES, *NOTICES]]
 
 
 def _base_places(w: Column, phrase: str) -> Column:
@@ -148,20 +201,55 @@ def _base_places(w: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(w) - 1), here)
 
 
-def detections(held: DataFrame) -> DataFrame:
-    """(row, label, weight, start, end) of the rules' detections that are left; start and end in words."""
-    spark = held.sparkSession
-    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rules())], "rule int, priority int, label string, keyword string, regex string, weight double")
-    gated = held.where("joined is not null").select("row", "joined", F.explode("keywords").alias("_keyword"))
-    tried = gated.join(F.broadcast(table), F.col("_keyword") == F.col("keyword"))  # the rules are a fixed table
-    tried = tried.where(F.expr("regexp_like(joined, concat(' ', regex, ' '))"))
-    tried = tried.withColumn("found", matches(F.col("joined"), F.concat(F.lit("(?<= )"), F.col("regex"), F.lit("(?= )"))))
-    spans = placed(tried.select("row", "rule", "priority", "label", "weight", "joined", "found"), ["row", "rule"], "found")
-    spans = spans.withColumn("first", F.regexp_count(F.substring(F.col("joined"), F.lit(1), F.col("start").cast("int")), F.lit(" ")) - 1)
-    spans = spans.withColumn("last", F.col("first") + F.regexp_count(F.col("value"), F.lit(" ")) + 1)
-    before = Window.partitionBy("row").orderBy("first", F.col("last").desc(), "priority", "rule").rowsBetween(Window.unboundedPreceding, -1)
-    reached = spans.withColumn("_reached", F.max("last").over(before))
-    return reached.where("_reached is null or last > _reached").select("row", "label", "weight", F.col("first").alias("start"), F.col("last").alias("end"))
+def _spaces(text: Column) -> Column:
+    return F.char_length(text) - F.char_length(F.translate(text, " ", ""))
+
+
+def detections(joined: Column, keywords: Column) -> Column:
+    """array of (start, end, priority, rule, label, weight), in the order of the text: the detections of the
+    rules that the keywords open; start and end in words. ``joined`` are the words with a space around each."""
+    by_keyword: dict[str, list] = {}
+    for i, (priority, label, keyword, regex, weight) in enumerate(rules()):
+        by_keyword.setdefault(keyword, []).append({"rule": i, "priority": priority, "label": label, "regex": regex, "weight": weight})
+    # A constant, which Spark folds to one literal.
+    table = F.from_json(F.lit(json.dumps(by_keyword)), f"map<string,{RULE}>")
+    tried = F.flatten(F.transform(keywords, lambda k: F.coalesce(F.try_element_at(table, k), F.array().cast(RULE))))
+    hit = F.filter(tried, lambda r: F.rlike(joined, F.concat(F.lit(" "), r["regex"], F.lit(" "))))
+
+    def places(r: Column) -> Column:
+        """Words before each match, by the pieces between matches, and the matches' own."""
+        pattern = F.concat(F.lit("(?<= )"), r["regex"], F.lit("(?= )"))
+        found = F.zip_with(F.split(joined, pattern, -1), F.regexp_extract_all(joined, pattern, F.lit(0)), lambda piece, value: F.struct(_spaces(piece).alias("gap"), _spaces(value).alias("own"), value.isNotNull().alias("there")))
+        start = F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("out"), F.lit(0).alias("at"))
+
+        def step(a: Column, x: Column) -> Column:
+            first = a["at"] + x["gap"] - 1
+            return F.when(x["there"], F.struct(F.concat(a["out"], F.array(F.struct(first.alias("start"), (first + x["own"] + 1).alias("end")))).alias("out"), (a["at"] + x["gap"] + x["own"]).alias("at"))).otherwise(a)
+
+        return F.transform(F.aggregate(found, start, step, lambda a: a["out"]), lambda p: F.struct(
+            p["start"].alias("start"), p["end"].alias("end"), r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label"), r["weight"].alias("weight")))
+
+    return F.array_sort(F.flatten(F.transform(hit, places)))
+
+
+def resolved(found: Column) -> Column:
+    """Detections in order, of those that overlap only the best: by priority, then length, then rule.
+
+    In one pass, each is compared with the last one that was kept, and takes its place if it is better.
+    """
+    kind = "array<struct<start:int,end:int,priority:int,rule:int,label:string,weight:double>>"
+
+    def better(x: Column, last: Column) -> Column:
+        length = lambda d: d["end"] - d["start"]
+        order = lambda d: F.struct(d["priority"], -length(d), d["rule"])
+        return order(x) < order(last)
+
+    def step(kept: Column, x: Column) -> Column:
+        last = F.try_element_at(kept, F.lit(-1))
+        free = (F.size(kept) == 0) | (x["start"] >= last["end"])
+        return F.when(free, F.concat(kept, F.array(x))).when(better(x, last), F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(x))).otherwise(kept)
+
+    return F.aggregate(found, F.array().cast(kind), step)
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -171,36 +259,27 @@ def scanned(docs: DataFrame) -> DataFrame:
     table gives an empty result; further columns are ignored.
     """
     words = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), SEPARATOR), "")
-    keywords = sorted({r[2] for r in rules()} | {k for _, ks, _, _ in FAMILIES for k in ks} | {"license", "licence", "licensed"})
-    known = F.array(*[F.lit(k) for k in keywords])
+    known = F.array(*[F.lit(k) for k in sorted({r[2] for r in rules()} | {phrase.split(" ")[0] for phrase in BASE})])
 
     def read(w: Column) -> Column:
-        found = F.array_intersect(w, known)
-
-        def base(gate: Column) -> Column:
-            return F.when(gate, F.array(*[_base_places(w, p) for p in BASE]))
-
-        return F.struct(F.size(w).cast("long").alias("n_words"), found.alias("keywords"),
-                        F.when(F.size(found) > 0, F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))).alias("joined"),
-                        base(F.size(found) > 0).alias("base"))
+        def told(found: Column) -> Column:
+            base = F.when(F.size(found) > 0, F.array(*[_base_places(w, p) for p in BASE])).otherwise(F.array(*[F.array().cast("array<int>")] * len(BASE)))
+            own = F.when(F.size(found) > 0, resolved(detections(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), found)))
+            return F.struct(F.size(w).cast("long").alias("n_words"), base.alias("base"), own.alias("own"))
 
-    lowered = let(words, lambda w: F.split(F.translate(F.array_join(w, " "), UPPER, LOWER), " "))
-    lowered = F.array_remove(lowered, "")
-    held = stored(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), let(lowered, read).alias("r")).select("doc_id", "row", "r.*"))
+        return let(F.array_intersect(w, known), told)
 
-    own = detections(held).groupBy(F.col("row").alias("_row")).agg(F.collect_set("label").alias("own"), F.max("weight").alias("weight"), F.count("*").alias("n"))
-    own = stored(own)
-    rows = held.join(small_or_shuffled(own, own.count()), F.col("row") == F.col("_row"), "left")
-    places = F.flatten(F.coalesce("base", F.array().cast("array<array<int>>")))
+    lowered = F.split(F.translate(F.array_join(words, " "), UPPER, LOWER), " ")
+    rows = docs.select("doc_id", let(F.array_remove(lowered, ""), read).alias("r")).select("doc_id", "r.n_words", "r.base", F.coalesce("r.own", F.array()).alias("own"))
     labels = F.filter(F.array(*[F.when(F.size(F.get("base", i)) > 0, F.lit(label)) for i, label in enumerate(BASE.values())]), lambda x: x.isNotNull())
-    rows = rows.withColumn("places", places).withColumn("base_found", F.array_sort(labels))
-    weight = F.greatest(F.coalesce("weight", F.lit(0.0)), F.when(F.size("places") > 0, F.lit(0.6)).otherwise(F.lit(0.0)))
+    rows = rows.withColumns({"places": F.flatten("base"), "base_found": F.array_sort(labels)})
+    weight = F.greatest(F.coalesce(F.array_max(F.transform("own", lambda d: d["weight"])), F.lit(0.0)), F.when(F.size("places") > 0, F.lit(0.6)).otherwise(F.lit(0.0)))
     return rows.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
         F.array_join("base_found", ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("base_found", F.coalesce("own", F.array().cast("array<string>")))), ",").alias("labels"),
-        weight.alias("score"), F.coalesce("n", F.lit(0).cast("long")).alias("n_detections"),
+        F.array_join(F.array_sort(F.array_union("base_found", F.transform("own", lambda d: d["label"]))), ",").alias("labels"),
+        weight.alias("score"), F.size("own").cast("long").alias("n_detections"),
     )
 
 

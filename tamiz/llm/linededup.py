@@ -1,14 +1,13 @@
-"""Line dedup by passages or by content-defined chunks of lines, in SQL functions only.
+"""Line dedup by content-defined chunks of lines, in SQL functions only.
 
-``passages_removed`` compares every two lines that follow each other, so a repeated run of two or more
-lines goes whole, wherever it starts and ends; all but the first (by doc_id, then place) are removed.
+A rolling hash over the last ROLL line hashes ends a chunk wherever it is 0 modulo DIVISOR, so an
+inserted line moves no boundary further down. Chunks of two or more lines that occur more than once in
+the corpus are removed but for the first (by doc_id, then place). That takes repeated blocks whole, but
+not their edges, which lie in chunks with other lines, nor passages too short to hold a chunk. For
+these, each two lines that follow each other outside the removed chunks are compared in the same way,
+so that every repeated run of two or more lines goes whole.
 
-``deduplicated`` compares chunks only: a rolling hash over the last ROLL line hashes ends a chunk
-wherever it is 0 modulo DIVISOR, so an inserted line moves no boundary further down. Chunks of two or
-more lines, with a word in them, that occur more than once are removed but for the first; the edges of
-a repeated passage stay, and short passages may hold no chunk.
-
-In both, hashes only find the candidates; equal bytes decide.
+In both steps hashes only find the candidates; equal bytes decide.
 """
 
 from __future__ import annotations
@@ -20,9 +19,8 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.common import documents, let, small_or_shuffled, stored
 
-ROLL = 3
-DIVISOR = 4
-LEAST_LINES = 2
+ROLL = 2
+DIVISOR = 3
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -47,109 +45,92 @@ def chunks(lines: Column) -> Column:
     return let(let(hashes, ends), lambda e: F.transform(e, lambda x, k: F.struct((F.coalesce(F.get(e, k - 1), F.lit(0)) + 1).alias("first"), x.alias("last"))))
 
 
-def _text_of(lines: Column, chunk: Column) -> Column:
-    return F.array_join(F.slice(lines, chunk["first"], chunk["last"] - chunk["first"] + 1), "\n")
+def _within(runs: Column) -> Column:
+    """The lines of runs but for the last of each."""
+    return F.flatten(F.transform(runs, lambda c: F.sequence(c["first"], c["last"] - 1)))
 
 
-def _row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
+def pairs(lines: Column, gone: Column | None = None) -> Column:
+    """array of (first, last) of each two lines that follow each other, but for those within the runs ``gone``."""
+    starts = F.when(F.size(lines) > 1, F.sequence(F.lit(1), F.size(lines) - 1)).otherwise(F.array().cast("array<int>"))
+    if gone is not None:
+        starts = F.when(gone.isNull(), starts).otherwise(F.array_except(starts, _within(gone)))
+    return F.transform(starts, lambda i: F.struct(i.alias("first"), (i + 1).alias("last")))
 
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def pairs(lines: Column) -> Column:
-    """array of (first, last) of each two lines that follow each other, with a word in them."""
-    worded = lambda i: F.rlike(F.get(lines, i), F.lit(HAS_WORD))
-    starts = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: (i < F.size(lines)) & (worded(i - 1) | worded(i)))
-    return F.transform(starts, lambda i: F.struct(i.alias("first"), (i + 1).alias("last")))
+def _text_of(lines: Column, run: Column) -> Column:
+    return F.array_join(F.slice(lines, run["first"], run["last"] - run["first"] + 1), "\n")
 
 
-def _again(docs: DataFrame, pieces: Callable[[Column], Column]) -> DataFrame:
-    """(_row, removed): the places, among the ``pieces`` of each text, of those that occur before in the corpus."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc, id, text, row): the input row as a struct, so that its columns may have any names, and its key: doc_id
+    and the hash of its text, so hashes matter only among rows of one doc_id."""
+    return docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), F.col("text").alias("text"), F.xxhash64("text").alias("row"))
 
-    def hashed(x: Column) -> Column:
-        placed = F.transform(pieces(x), lambda c, k: F.struct(k.alias("place"), (c["last"] - c["first"] + 1).alias("n"), F.xxhash64(_text_of(x, c)).alias("hash")))
-        return F.filter(placed, lambda c: c["n"] >= LEAST_LINES)
 
-    cut = docs.select("doc_id", _row_key().alias("row"), F.explode(let(_lines(F.col("text")), hashed)).alias("c"))
-    cut = stored(cut.select("doc_id", "row", F.col("c.place").alias("place"), F.col("c.hash").alias("hash")))
-    repeated = cut.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    wanted = stored(cut.join(repeated, "hash").groupBy("row").agg(F.array_sort(F.collect_set("place")).alias("places"))).withColumnRenamed("row", "_row")
+def _with(rows: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``found`` (id, row, ...) by document."""
+    found = found.withColumnsRenamed({"id": "_id", "row": "_row"})
+    return rows.join(small_or_shuffled(found, found.count()), rows.id.eqNullSafe(F.col("_id")) & (rows.row == F.col("_row")), how).drop("_id", "_row")
 
-    # The candidates' own bytes: grouped by them, the first of each group stays.
-    near = docs.join(small_or_shuffled(wanted, wanted.count()), _row_key() == F.col("_row"))
 
-    def taken(x: Column) -> Column:
-        return let(pieces(x), lambda cs: F.transform(F.col("places"), lambda k: F.struct(k.alias("place"), _text_of(x, F.get(cs, k)).alias("lines"))))
+def _again(rows: DataFrame, pieces: Callable[[Column], Column]) -> DataFrame:
+    """(id, row, runs): first and last line of those among the ``pieces`` of two or more lines of each text,
+    with a word in them, that occur before in the corpus. ``rows`` are (id, row, text, ...)."""
 
-    found = near.select("doc_id", F.col("_row").alias("row"), F.explode(let(_lines(F.col("text")), taken)).alias("c"))
-    found = stored(found.select("doc_id", "row", "c.place", "c.lines").where(F.rlike("lines", F.lit(HAS_WORD))).withColumn("hash", F.xxhash64("lines")))
-    firsts = found.groupBy("hash", "lines").agg(F.min(F.struct("doc_id", "row", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    firsts = firsts.select(F.col("hash").alias("_hash"), F.col("lines").alias("_lines"), "first")
-    again = found.join(firsts, (F.col("hash") == F.col("_hash")) & (F.col("lines") == F.col("_lines")))
-    again = again.where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
-    return stored(again.groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("removed")))
+    def hashed(x: Column) -> Column:
+        several = F.filter(pieces(x), lambda c: c["last"] > c["first"])
+        return F.transform(several, lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), F.xxhash64(_text_of(x, c)).alias("hash")))
 
+    cut = stored(rows.select("id", "row", F.explode(let(_lines(F.col("text")), hashed)).alias("c")).select("id", "row", "c.*"))
+    # What is joined is stored first, so that Spark sees its size, and splits a piece that very many texts share.
+    repeated = stored(cut.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
+    wanted = cut.join(small_or_shuffled(repeated, repeated.count()), "hash").groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
 
-def _left(docs: DataFrame, removed: DataFrame, kept: Callable[[Column], Column]) -> DataFrame:
-    """``docs`` with the text and the number of removed lines that ``kept`` gives for the lines of a text that loses some."""
-    rows = docs.join(small_or_shuffled(removed, removed.count()), _row_key() == F.col("_row"), "left")
-    out = F.when(F.col("removed").isNotNull(), let(_lines(F.col("text")), kept))
-    rows = rows.withColumn("_out", out).withColumn("_n", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines(F.col("text")))))
-    same = [c for c in docs.columns if c != "text"]
-    rows = rows.select(*same, F.coalesce("_out.text", "text").alias("text"), F.col("_n").cast("long").alias("n_lines"), F.coalesce("_out.n", F.lit(0).cast("long")).alias("n_removed"))
-    return rows.select(*docs.columns, "n_lines", "n_removed")
+    # The candidates' own bytes: of those that are equal, the first stays.
+    taken = F.explode(let(_lines(F.col("text")), lambda x: F.transform("runs", lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), _text_of(x, c).alias("lines")))))
+    found = _with(rows.select("id", "row", "text"), stored(wanted)).select("id", "row", taken.alias("c")).select("id", "row", "c.*").where(F.rlike("lines", F.lit(HAS_WORD)))
+    found = stored(found.withColumn("hash", F.xxhash64("lines")))
+    one = F.struct("id", "row", F.col("first").alias("at"))
+    firsts = stored(found.groupBy("hash", "lines").agg(F.min(one).alias("one"), F.count("*").alias("n")).where("n > 1").select(F.col("hash").alias("_hash"), F.col("lines").alias("_lines"), "one"))
+    again = found.join(firsts, (F.col("hash") == F.col("_hash")) & (F.col("lines") == F.col("_lines"))).where(~one.eqNullSafe(F.col("one")))
+    return stored(again.groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs")))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with the kept lines as ``text``, and ``n_lines``, ``n_removed``.
 
-    A null text stays null, with no lines; an empty text is one empty line; a text may lose all its
-    lines and is then empty. A null doc_id comes first. Rows equal in doc_id and text are one
-    document: they keep and lose the same lines. Columns named n_lines or n_removed are replaced; an
-    empty table gives an empty result.
+    A line goes if it stands in a chunk that occurs earlier, or if it and the line before or after it
+    occur together earlier; so the first occurrence of a line always stays somewhere. A null text stays null,
+    with no lines; an empty text is one empty line; a text may lose all its lines and is then empty. Runs
+    without a word stay. A null doc_id comes first. Rows equal in doc_id and text are one document: they
+    keep and lose the same lines. Columns named n_lines or n_removed are replaced, others may have any
+    name; an empty table gives an empty result.
     """
     docs = docs.drop("n_lines", "n_removed")
+    rows = _keyed(docs)
+    by_chunk = _again(rows.select("id", "row", "text"), chunks)
+    left = _with(rows.select("id", "row", "text"), by_chunk.withColumnRenamed("runs", "gone"), "left")
+    by_pair = _again(left, lambda x: pairs(x, F.col("gone")))
+    every = by_chunk.unionByName(by_pair).groupBy("id", "row").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
     def kept(x: Column) -> Column:
-        def joined(cs: Column) -> Column:
-            left = F.array_except(F.transform(cs, lambda c, k: k), F.col("removed"))
-            return F.struct(
-                F.array_join(F.transform(left, lambda k: _text_of(x, F.get(cs, k))), "\n").alias("text"),
-                F.aggregate(F.col("removed"), F.lit(0).cast("long"), lambda a, k: a + F.get(cs, k)["last"] - F.get(cs, k)["first"] + 1).alias("n"),
-            )
-
-        return let(chunks(x), joined)
-
-    return _left(docs, _again(docs, chunks), kept)
-
-
-def passages_removed(docs: DataFrame) -> DataFrame:
-    """As ``deduplicated``, but every run of two or more lines that occurs before in the corpus goes whole.
-
-    A line goes if it and the line before or after it occur together earlier, so the first occurrence
-    of a line always stays somewhere. A blank line between blank lines stays.
-    """
-    docs = docs.drop("n_lines", "n_removed")
-
-    def kept(x: Column) -> Column:
-        def joined(cs: Column) -> Column:
-            gone = F.flatten(F.transform(F.col("removed"), lambda k: F.array(F.get(cs, k)["first"], F.get(cs, k)["last"])))
-            left = F.array_except(F.sequence(F.lit(1), F.size(x)), gone)
-            return let(left, lambda at: F.struct(
-                F.array_join(F.transform(at, lambda i: F.get(x, i - 1)), "\n").alias("text"),
-                (F.size(x) - F.size(at)).cast("long").alias("n"),
-            ))
-
-        return let(pairs(x), joined)
+        gone = F.flatten(F.transform("runs", lambda c: F.sequence(c["first"], c["last"])))
+        return let(F.array_except(F.sequence(F.lit(1), F.size(x)), gone), lambda at: F.struct(
+            F.array_join(F.transform(at, lambda i: F.get(x, i - 1)), "\n").alias("text"), (F.size(x) - F.size(at)).cast("long").alias("n")))
 
-    return _left(docs, _again(docs, pairs), kept)
+    told = _with(rows, stored(every), "left").select("doc", "text", F.when(F.col("runs").isNotNull(), let(_lines(F.col("text")), kept)).alias("out"))
+    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines(F.col("text")))).cast("long")
+    same = [F.coalesce("out.text", "text").alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns]
+    return told.select(*same, n_lines.alias("n_lines"), F.coalesce("out.n", F.lit(0).cast("long")).alias("n_removed"))
 
 
 def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages_removed(documents(spark, sf_dir).select("doc_id", "text"))
+    return deduplicated(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 QUERIES = {"op5_line_chunks": op5_line_chunks}

@@ -120,15 +120,19 @@ def confirmed(pairs: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
 
 
 def _links_of_block(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links between the groups of a block, as many as join them: each probe against each member."""
+    """Links between the groups of a block, as many as join them: each probe against each member.
+
+    The probes' shingles are a sorted list with the probes that hold each, so the work arrays grow with
+    the shingles of the block's probes and of one member, never with probes times shingles.
+    """
     probes, members = frame[frame["is_probe"]], frame[~frame["is_probe"]]
     out: list[tuple] = []
     if len(probes) and len(members):
         sets = [np.frombuffer(x, B.U) for x in probes["shingles"]]
-        known, at = np.unique(np.concatenate(sets), return_inverse=True)
         sizes = np.array([len(x) for x in sets])
-        holds = np.zeros((len(known), len(sets)), np.float32)
-        holds[at, np.repeat(np.arange(len(sets)), sizes)] = 1
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
         nodes, groups = probes["node"].to_numpy(), probes["label"].to_numpy()
         parent: dict = {}
 
@@ -139,8 +143,10 @@ def _links_of_block(frame: pd.DataFrame) -> pd.DataFrame:
 
         for node, label, text in zip(members["node"], members["label"], members["shingles"]):
             y = np.frombuffer(text, B.U)
-            place = np.minimum(np.searchsorted(known, y), len(known) - 1)
-            both = holds[place[known[place] == y]].sum(axis=0)
+            low, high = np.searchsorted(every, y, "left"), np.searchsorted(every, y, "right")
+            n = high - low
+            at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+            both = np.bincount(owner[at], minlength=len(sets))
             for k in np.flatnonzero(100 * both >= LEAST_PERCENT * (sizes + len(y) - both)):
                 r, t = root(label), root(groups[k])
                 if r != t:
@@ -150,18 +156,27 @@ def _links_of_block(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _across_blocks(rows: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
-    """Links between different groups within large bands. Members outside a band's main group are probes;
-    blocks of probes meet blocks of all members, so a task holds PROBES + MEMBERS sets or so and no pair
-    is a row unless it joins two groups."""
+    """Links between different groups within large bands. Members outside a band's main group are probes.
+
+    Sets that are similar enough differ in size by a factor of 3/4 at most, so a probe meets only the
+    members of its own class of sizes and the next ones. Blocks of probes meet blocks of members, so a
+    task holds PROBES + MEMBERS sets or so, and no pair is a row unless it joins two groups.
+    """
     by_group = rows.groupBy("band", "label").agg(F.count("*").alias("k"))
-    main = by_group.groupBy("band").agg(F.max(F.struct("k", "label")).alias("main"), F.sum("k").alias("all"))
-    main = main.select(F.col("band").alias("_band"), F.col("main.label").alias("main"), F.ceil((F.col("all") - F.col("main.k")) / PROBES).alias("p_blocks"), F.ceil(F.col("all") / MEMBERS).alias("m_blocks"))
-    told = rows.join(main, rows.band == F.col("_band"))
+    main = stored(by_group.groupBy("band").agg(F.max(F.struct("k", "label")).alias("main")).select(F.col("band").alias("_band"), F.col("main.label").alias("main")))
+    size_class = F.floor(F.ln(F.col("n").cast("double")) / F.ln(F.lit(100 / LEAST_PERCENT))).cast("int")
+    told = stored(rows.join(small_or_shuffled(main, main.count()), rows.band == F.col("_band")).select("band", "node", "label", (F.col("label") != F.col("main")).alias("open"), size_class.alias("size")))
+    probes = told.where("open").select("band", "node", "label", "size")
+    members = told.select("band", "node", "label", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"))
+    blocks = lambda df, least, name: df.groupBy("band", "size").agg(F.ceil(F.count("*") / least).alias(name))
+    plan = stored(blocks(probes, PROBES, "p_blocks").join(blocks(members, MEMBERS, "m_blocks"), ["band", "size"]).select(F.col("band").alias("_band"), F.col("size").alias("_size"), "p_blocks", "m_blocks"))
+    plan = small_or_shuffled(plan, plan.count())
+    planned = lambda df: df.join(plan, (F.col("band") == F.col("_band")) & (F.col("size") == F.col("_size")))
     block = lambda seed, blocks: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(blocks))
     every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
-    probes = told.where("label <> main").select("band", "node", "label", block(1, "p_blocks").alias("p"), every("m_blocks").alias("m"), F.lit(True).alias("is_probe"))
-    members = told.select("band", "node", "label", every("p_blocks").alias("p"), block(2, "m_blocks").alias("m"), F.lit(False).alias("is_probe"))
-    return probes.unionByName(members).join(sets, "node").groupBy("band", "p", "m").applyInPandas(_links_of_block, f"a {kind}, b {kind}")
+    probes = planned(probes).select("band", "size", "node", "label", block(1, "p_blocks").alias("p"), every("m_blocks").alias("m"), F.lit(True).alias("is_probe"))
+    members = planned(members).select("band", "size", "node", "label", every("p_blocks").alias("p"), block(2, "m_blocks").alias("m"), F.lit(False).alias("is_probe"))
+    return probes.unionByName(members).join(sets, "node").groupBy("band", "size", "p", "m").applyInPandas(_links_of_block, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -178,14 +193,15 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     classes = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n")))
     heads = named.join(classes.select("node", F.col("set_key").alias("_key")), (F.col("doc_id") == F.col("node")) & (F.col("set_key") == F.col("_key")))
     rows = stored(heads.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band")).distinct())
-    shared = rows.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    rows = stored(rows.join(shared, "band"))
+    # Counts by band are stored before they are joined, so that a band with very many members is split.
+    shared = stored(rows.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"))
+    rows = stored(rows.join(small_or_shuffled(shared, shared.count()), "band"))
     scores = rows.groupBy("node").agg(F.sum("members").alias("score"))
     scored = rows.join(scores, "node")
-    centres = scored.groupBy("band").agg(F.max(F.struct("score", "node")).alias("c")).select(F.col("band").alias("_band"), F.col("c.node").alias("centre"))
+    centres = stored(scored.groupBy("band").agg(F.max(F.struct("score", "node")).alias("c")).select(F.col("band").alias("_band"), F.col("c.node").alias("centre")))
     n_of = classes.groupBy("node").agg(F.max("n").alias("n"))
     pairs = stored(
-        rows.join(centres, rows.band == F.col("_band")).where("node <> centre")
+        rows.join(small_or_shuffled(centres, centres.count()), rows.band == F.col("_band")).where("node <> centre")
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         .join(n_of.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(n_of.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
         .where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(LEAST_PERCENT) * F.greatest("n_a", "n_b")).select("a", "b")
@@ -199,8 +215,9 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     # Bands whose members are still in several groups: pairs of different groups where the band is small,
     # and blocks of members where it is large.
     grouped = rows.join(labels, "node", "left").select("band", "node", "n", "members", F.coalesce("label", "node").alias("label"))
-    open_bands = grouped.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band")
-    left = stored(grouped.join(open_bands, "band"))
+    grouped = stored(grouped)
+    open_bands = stored(grouped.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band"))
+    left = stored(grouped.join(small_or_shuffled(open_bands, open_bands.count()), "band"))
     small = left.where(F.col("members") <= SMALL_BAND)
     one, two = (small.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "label"))) for s in "ab")
     more = (

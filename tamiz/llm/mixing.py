@@ -5,6 +5,10 @@ whole part is taken as it is; the fraction is a mass of words that pairs of docu
 random until one of the two is full or empty. The exchange keeps each document's expectation and
 the source's sum of words. Chunks of a source are rounded on their own; each leaves at most one
 document with a fraction, and these residuals meet in the next level of a reduction tree.
+
+Only the last residual of a source is drawn by itself, so a source misses its target by part of one
+document. Large documents, by their share of the target, are therefore settled first, and what they miss
+is spread over the masses of all smaller ones, which keeps the expectations as a miss is 0 on average.
 """
 
 from __future__ import annotations
@@ -15,8 +19,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
 from tamiz.llm.common import WORD, documents, global_rank, small_or_shuffled, stored
 
 CHUNK = 256
@@ -24,6 +26,8 @@ FAN_IN = 64
 #: No document is taken more often than this, so no source's target exceeds this many times its size.
 MOST_COPIES = 3
 SEED = 20240229
+#: Documents are settled in classes of their share of the source's target, from above the first limit down.
+CLASSES = (0.2, 0.02, 0.002)
 
 
 def text_size(text: Column) -> Column:
@@ -98,7 +102,8 @@ def pivot(size: np.ndarray, mass: np.ndarray, draws: np.ndarray) -> np.ndarray:
 
 def _level(rows: DataFrame, level: int, last: bool) -> DataFrame:
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["place", "doc_id", "size"], kind="stable", na_position="last").reset_index(drop=True)
+        # Large documents meet first, so that what is left open is small.
+        frame = frame.sort_values(["size", "place", "doc_id"], ascending=[False, True, True], kind="stable", na_position="last").reset_index(drop=True)
         size, draws = frame["size"].to_numpy(float), _unit(frame["place"].to_numpy(), level)
         mass = pivot(size, frame["mass"].to_numpy(float), draws)
         if last:  # at most one is left: it is taken with its own probability
@@ -109,22 +114,12 @@ def _level(rows: DataFrame, level: int, last: bool) -> DataFrame:
     return rows.groupBy("source_key", "chunk").applyInPandas(settle, rows.schema)
 
 
-def taken_copies(sizes: DataFrame, sources: DataFrame) -> DataFrame:
-    """``sizes`` (doc_id, source, size) and ``sources`` (source, source_size, target) → one row a row of
-    ``sizes`` with ``copies``. Documents without words are never taken."""
-    same = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    n_sources = sources.count()
-    parts = stored(sources.withColumn("source_key", F.xxhash64(same)).withColumnRenamed("source", "_source"))
-    rows = sizes.join(small_or_shuffled(parts, n_sources), sizes.source.eqNullSafe(F.col("_source"))).drop("_source")
-    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = rows.withColumn("whole", F.least(F.floor(expected), F.lit(MOST_COPIES)).cast("long"))
-    rows = rows.withColumn("mass", (expected - F.col("whole")) * F.col("size"))
-    rows = rows.withColumn("place", F.xxhash64("doc_id", "source", F.lit(SEED)))
+def _settled(rows: DataFrame) -> DataFrame:
+    """``rows`` (source_key, place, doc_id, size, mass, ...) with each mass at 0 or the whole size, by the reduction tree."""
     counted = stored(rows.groupBy("source_key").agg(F.count("*").alias("source_rows")))
     most = counted.agg(F.max("source_rows")).first()[0] or 0
-    rows = rows.join(small_or_shuffled(counted, n_sources), "source_key")
+    rows = rows.join(small_or_shuffled(counted, counted.count()), "source_key")
     rows = rows.withColumn("chunk", F.pmod(F.col("place"), F.ceil(F.col("source_rows") / CHUNK).cast("long"))).drop("source_rows")
-
     done, level, chunks = None, 0, max(1, -(-most // CHUNK))
     while True:
         last = chunks == 1
@@ -133,12 +128,59 @@ def taken_copies(sizes: DataFrame, sources: DataFrame) -> DataFrame:
         settled = rows.where(~is_open)
         done = settled if done is None else done.unionByName(settled)
         if last:
-            break
+            return done.drop("chunk")
         rows = rows.where(is_open).withColumn("chunk", F.floor(F.col("chunk") / FAN_IN))
         chunks, level = -(-chunks // FAN_IN), level + 1
+
+
+def taken_copies(sizes: DataFrame, sources: DataFrame) -> DataFrame:
+    """``sizes`` (row, doc_id, source, size) and ``sources`` (source, source_size, target) → one row a row of
+    ``sizes`` with ``copies``. Documents without words are never taken."""
+    same = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
+    parts = stored(sources.withColumn("source_key", F.xxhash64(same)).withColumnRenamed("source", "_source"))
+    rows = sizes.join(small_or_shuffled(parts, parts.count()), sizes.source.eqNullSafe(F.col("_source"))).drop("_source")
+    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rows = rows.withColumn("whole", F.least(F.floor(expected), F.lit(MOST_COPIES)).cast("long"))
+    rows = rows.withColumn("mass", (expected - F.col("whole")) * F.col("size"))
+    # Rows equal in document, source and size are alike here, so any order among them is the same draw.
+    rows = stored(rows.withColumn("place", F.xxhash64("doc_id", "source", F.lit(SEED))))
+
+    share = F.when(F.col("target") > 0, F.col("size") / F.col("target")).otherwise(F.lit(0.0))
+    order = F.lit(len(CLASSES))
+    for k, limit in reversed(list(enumerate(CLASSES))):
+        order = F.when(share > limit, k).otherwise(order)
+    rows = stored(rows.withColumn("class", order))
+    there = sorted(r["class"] for r in rows.select("class").distinct().collect())  # at most len(CLASSES) + 1 rows
+    done = None
+    for k in there:
+        ours = rows.where(F.col("class") == k)
+        settled = _settled(ours)
+        done = settled if done is None else done.unionByName(settled)
+        if k != there[-1]:
+            rows = _shifted(rows.where(F.col("class") > k), ours, settled)
+    if done is None:
+        done = _settled(rows)
     return done.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + (F.col("mass") > 0).cast("long")).otherwise(F.lit(0).cast("long")))
 
 
+def _shifted(rest: DataFrame, wanted: DataFrame, taken: DataFrame) -> DataFrame:
+    """``rest`` with its masses lowered or raised, in proportion to what each has or lacks, by the words
+    that ``taken`` has more or less of each source than ``wanted``."""
+    both = taken.select("source_key", "mass").unionByName(wanted.select("source_key", (-F.col("mass")).alias("mass")))
+    missed = both.groupBy("source_key").agg(F.sum("mass").alias("miss"))
+    room = rest.where(F.col("whole") < MOST_COPIES).groupBy("source_key").agg(F.sum("mass").alias("masses"), F.sum(F.col("size") - F.col("mass")).alias("lacks"))
+    part = lambda words, of: F.when((words > 0) & (of > 0), F.least(words / of, F.lit(1.0))).otherwise(F.lit(0.0))
+    shift = stored(room.join(missed, "source_key").select(
+        F.col("source_key").alias("_key"), part(F.col("miss"), F.col("masses")).alias("_less"), part(-F.col("miss"), F.col("lacks")).alias("_more")))
+    told = rest.join(small_or_shuffled(shift, shift.count()), F.col("source_key") == F.col("_key"), "left")
+    moved = F.col("mass") * (1 - F.coalesce("_less", F.lit(0.0))) + (F.col("size") - F.col("mass")) * F.coalesce("_more", F.lit(0.0))
+    return stored(told.withColumn("mass", F.when(F.col("whole") < MOST_COPIES, moved).otherwise(F.col("mass"))).drop("_key", "_less", "_more"))
+
+
+def _decided(sizes: DataFrame, weights: list[int]) -> DataFrame:
+    return taken_copies(sizes, source_targets(cyclic_weights(sizes, weights)))
+
+
 def mixed(docs: DataFrame, weights: list[int]) -> DataFrame:
     """Copies to take of each document (doc_id, size, source_size, target, copies, taken).
 
@@ -147,8 +189,7 @@ def mixed(docs: DataFrame, weights: list[int]) -> DataFrame:
     an empty result; further columns are ignored.
     """
     sizes = stored(docs.select("doc_id", "source", text_size(F.col("text")).alias("size")))
-    sources = source_targets(cyclic_weights(sizes, weights))
-    return taken_copies(sizes, sources).select(
+    return _decided(sizes.withColumn("row", F.lit(0).cast("long")), weights).select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
@@ -156,15 +197,13 @@ def mixed(docs: DataFrame, weights: list[int]) -> DataFrame:
 def mixed_documents(docs: DataFrame, weights: list[int]) -> DataFrame:
     """The mix itself: each document repeated as often as it is taken, with the columns of ``docs``.
 
-    Documents that share a doc_id are matched to their decisions one by one, in the order of their
-    text's hash, so none is multiplied by the other's copies.
+    Rows are numbered in a stored copy and meet their decisions by that number, so each row keeps its own,
+    also where rows share a doc_id. Columns of ``docs`` may have any names; nulls and empty tables as in ``mixed``.
     """
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("_order"))
-    chosen = mixed(docs, weights).select("doc_id", "copies", F.col("size").alias("_order")).withColumn("_k", nth).drop("_order")
-    rows = docs.withColumn("_order", text_size(F.col("text"))).withColumn("_nth", nth).drop("_order")
-    joined = rows.join(chosen.withColumnRenamed("doc_id", "_id"), rows.doc_id.eqNullSafe(F.col("_id")) & (F.col("_nth") == F.col("_k")))
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return joined.where("copies > 0").select(*[docs[c] for c in docs.columns], copies.alias("_copy")).drop("_copy")
+    held = stored(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"), text_size(F.col("text")).alias("size")))
+    chosen = stored(_decided(held.select("row", "doc.doc_id", "doc.source", "size"), weights).where("copies > 0").select(F.col("row").alias("_row"), "copies"))
+    joined = held.select("doc", "row").join(small_or_shuffled(chosen, chosen.count()), F.col("row") == F.col("_row"))
+    return joined.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 
 def op1_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

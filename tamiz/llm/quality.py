@@ -1,4 +1,11 @@
-"""Host-level quality rules: rule failures by host, shrunk by an empirical beta prior, joined back."""
+"""Host-level quality rules: failures of each rule by host, shrunk by an empirical beta prior, joined back.
+
+Every rule has a limit that a document fails and a softer one that it nearly fails. The hosts' own
+rates fit a beta prior of each rule: its mean, and the variance between hosts that is left when the
+variance of sampling is taken off. A host is judged by its posterior rate: far above the prior it is
+bad for that rule, and documents that nearly fail go too; clearly below it vouches for its
+documents, which may fail that rule; in between, documents that fail go.
+"""
 
 from __future__ import annotations
 
@@ -10,8 +17,18 @@ from tamiz.llm.common import documents, let, small_or_shuffled, stored, words
 WINDOW = 8
 MIN_WORDS = 20
 MOST_REPEATED_PERCENT = 30
-#: A host is turned down when its shrunk failure rate passes this.
-MOST_FAILING = 0.75
+#: A host is bad for a rule from this many standard deviations of the prior above its mean on, and
+#: vouches for its documents from so many below it.
+BAD_FROM, VOUCHES_FROM = 2.0, 1.0
+#: The prior counts as this many documents where the hosts' rates differ no more than by sampling.
+MOST_STRENGTH = 1e6
+#: name: (limit that fails, limit that nearly fails), over the figures of a document.
+RULES = {
+    "repeats": ("100 * n_repeat_words > 30 * n_words", "100 * n_repeat_words > 15 * n_words"),
+    "symbols": ("10 * n_symbols > n_words", "20 * n_symbols > n_words"),
+    "lines": ("100 * n_dup_lines > 30 * n_lines", "100 * n_dup_lines > 15 * n_lines"),
+    "word_length": ("word_chars < 2 * n_words or word_chars > 20 * n_words", "2 * word_chars < 5 * n_words or word_chars > 15 * n_words"),
+}
 SYMBOLS = "#*$%&|<>"
 
 
@@ -46,22 +63,33 @@ def text_rules(docs: DataFrame, host: str = "source") -> DataFrame:
         F.col(host).alias("host"),
         figures.alias("f"),
         (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select("doc_id", "host", "f.*", "n_symbols", "n_dup_lines")
+        let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))).alias("l"),
+    ).select("doc_id", "host", "f.*", "n_symbols", "l.*")
 
 
 def host_verdicts(rows: DataFrame) -> DataFrame:
-    """Hosts with their shrunk failure rate: (failures + alpha) / (documents + alpha + beta).
+    """(host, <rule>_rate, <rule>_bad, <rule>_vouches): posterior rates (failures + m s) / (documents + s).
 
-    alpha and beta come from the mean and variance of the hosts' own rates (method of moments). With
-    one host, or hosts of equal rates, the variance says nothing and the prior counts as one document.
+    The prior of a rule has the mean m of the hosts' rates and the strength s = m (1 - m) / v - 1 for
+    the variance v between hosts: that of the rates less what m (1 - m) / documents explains. Its
+    standard deviation, sqrt(m (1 - m) / (s + 1)), sets the limits. One host, or hosts that differ by
+    sampling alone, have the largest strength, and none of them is bad or vouches.
     """
-    hosts = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
-    prior = hosts.agg(F.avg(F.col("failed") / F.col("n")).alias("m"), F.var_samp(F.col("failed") / F.col("n")).alias("v"))
-    strength = F.when((F.col("v") > 0) & (F.col("m") > 0) & (F.col("m") < 1), F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(1.0))).otherwise(F.lit(1.0))
-    prior = prior.select("m", strength.alias("strength"))
-    rate = (F.col("failed") + F.col("m") * F.col("strength")) / (F.col("n") + F.col("strength"))
-    return hosts.crossJoin(F.broadcast(prior)).select("host", F.round(rate, 9).alias("host_rate"))  # the prior is one row
+    hosts = rows.groupBy("host").agg(F.count("*").alias("n"), *[F.sum(F.col(f"{r}_fails").cast("long")).alias(r) for r in RULES])
+    prior = hosts.agg(F.avg(1 / F.col("n")).alias("inverse"), *[x for r in RULES for x in (F.avg(F.col(r) / F.col("n")).alias(f"{r}_m"), F.var_samp(F.col(r) / F.col("n")).alias(f"{r}_v"))])
+    fitted = []
+    for r in RULES:
+        m = F.col(f"{r}_m")
+        between = F.coalesce(F.col(f"{r}_v"), F.lit(0.0)) - m * (1 - m) * F.col("inverse")
+        strength = F.when(between > 0, F.greatest(F.least(m * (1 - m) / between - 1, F.lit(MOST_STRENGTH)), F.lit(1.0))).otherwise(F.lit(MOST_STRENGTH))
+        fitted += [m, strength.alias(f"{r}_s")]
+    told = hosts.crossJoin(F.broadcast(prior.select(*fitted)))  # the prior is one row
+    out = [F.col("host")]
+    for r in RULES:
+        m, s = F.col(f"{r}_m"), F.col(f"{r}_s")
+        rate, spread = F.round((F.col(r) + m * s) / (F.col("n") + s), 9), F.sqrt(m * (1 - m) / (s + 1))
+        out += [rate.alias(f"{r}_rate"), (rate > m + BAD_FROM * spread).alias(f"{r}_bad"), (rate < m - VOUCHES_FROM * spread).alias(f"{r}_vouches")]
+    return told.select(*out)
 
 
 def judged(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -71,15 +99,19 @@ def judged(docs: DataFrame, host: str = "source") -> DataFrame:
     rows count as often as they stand; an empty table gives an empty result; further columns are ignored.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    rows = stored(text_rules(docs, host).withColumn("base_failed", failed))
+    marks = [F.expr(limit).alias(f"{r}_{what}") for r, limits in RULES.items() for what, limit in zip(("fails", "nearly"), limits)]
+    rows = stored(text_rules(docs, host).select("*", failed.alias("base_failed"), *marks))
     verdicts = stored(host_verdicts(rows)).withColumnRenamed("host", "_host")
     joined = rows.join(small_or_shuffled(verdicts, verdicts.count()), rows.host.eqNullSafe(F.col("_host")), "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= MOST_FAILING)).drop("_host")
+    turned_down = F.lit(False)
+    for r in RULES:
+        turned_down = turned_down | (F.col(f"{r}_fails") & ~F.col(f"{r}_vouches")) | (F.col(f"{r}_nearly") & F.col(f"{r}_bad"))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~turned_down).drop("_host")
 
 
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(documents(spark, sf_dir)).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *[f"{r}_rate" for r in RULES]
     )
 
 
@@ -101,17 +133,31 @@ lines AS (
   SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS x FROM base),
 figures AS (
   SELECT b.doc_id, b.source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
-         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(x)::BIGINT AS n_lines,
          (len(x) - len(list_distinct(x)))::BIGINT AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
   FROM base b JOIN lines USING (doc_id) LEFT JOIN repeats r USING (doc_id)),
-marked AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM figures),
-hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT)::DOUBLE AS failed FROM marked GROUP BY source),
-prior AS (
-  SELECT m, CASE WHEN v > 0 AND m > 0 AND m < 1 THEN greatest(m * (1 - m) / v - 1, 1.0) ELSE 1.0 END AS strength
-  FROM (SELECT avg(failed / n) AS m, var_samp(failed / n) AS v FROM hosts)),
-verdicts AS (SELECT source, round((failed + m * strength) / (n + strength), 9) AS host_rate FROM hosts, prior)
+marked AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         100 * n_repeat_words > 30 * n_words AS f1, 100 * n_repeat_words > 15 * n_words AS g1, 10 * n_symbols > n_words AS f2, 20 * n_symbols > n_words AS g2,
+         100 * n_dup_lines > 30 * n_lines AS f3, 100 * n_dup_lines > 15 * n_lines AS g3,
+         word_chars < 2 * n_words OR word_chars > 20 * n_words AS f4, 2 * word_chars < 5 * n_words OR word_chars > 15 * n_words AS g4
+  FROM figures),
+rules AS (
+  SELECT source, rule, count(*) AS n, sum(fails::INT)::DOUBLE AS failed
+  FROM (SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([f1, f2, f3, f4]) AS fails FROM marked) GROUP BY ALL),
+moments AS (
+  SELECT rule, avg(failed / n) AS m, coalesce(var_samp(failed / n), 0) - avg(failed / n) * (1 - avg(failed / n)) * avg(1 / n) AS v FROM rules GROUP BY rule),
+prior AS (SELECT rule, m, CASE WHEN v > 0 THEN greatest(least(m * (1 - m) / v - 1, 1e6), 1.0) ELSE 1e6 END AS s FROM moments),
+posterior AS (
+  SELECT source, rule, m, s, round((failed + m * s) / (n + s), 9) AS rate, sqrt(m * (1 - m) / (s + 1)) AS spread FROM rules JOIN prior USING (rule)),
+verdicts AS (
+  SELECT source, map_from_entries(list((rule, rate))) AS rate, map_from_entries(list((rule, rate > m + 2 * spread))) AS bad,
+         map_from_entries(list((rule, rate < m - spread))) AS vouches
+  FROM posterior GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND host_rate <= 0.75 AS kept, host_rate
+       NOT (base_failed OR (f1 AND NOT vouches[1]) OR (g1 AND bad[1]) OR (f2 AND NOT vouches[2]) OR (g2 AND bad[2])
+            OR (f3 AND NOT vouches[3]) OR (g3 AND bad[3]) OR (f4 AND NOT vouches[4]) OR (g4 AND bad[4])) AS kept,
+       rate[1] AS repeats_rate, rate[2] AS symbols_rate, rate[3] AS lines_rate, rate[4] AS word_length_rate
 FROM marked m JOIN verdicts v ON m.source IS NOT DISTINCT FROM v.source
 """,
 }

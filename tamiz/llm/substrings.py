@@ -4,8 +4,9 @@ Every window of WINDOW words has an anchor: the least of its runs of ANCHOR word
 windows have equal anchors, so windows are compared only where an anchor stands in several documents.
 The consecutive windows of one anchor are a segment; equal segments are one, with the smallest doc_id
 that has it. Segments are dealt to shards by anchor; a shard indexes its segments (suffix order,
-Burrows-Wheeler transform, wavelet matrix) and streams them through backward search. The matching
-statistics say which windows reach full length elsewhere, and the interval which document is first.
+Burrows-Wheeler transform, wavelet matrix, sampled suffixes) and streams them through backward search.
+The matching statistics say how far each word's left context occurs elsewhere, up to WINDOW; where they
+reach it, the interval of suffixes tells which document is first. Words are compared by 64-bit hash.
 An anchor with very many segments is dealt by window instead, after equal windows became one.
 """
 
@@ -28,6 +29,8 @@ ANCHOR = 5
 SPREAD = WINDOW - ANCHOR + 1
 #: An anchor with more segments than this is dealt by window.
 HOT_SEGMENTS = 500
+#: Suffixes of a sequence between those that keep its number.
+SAMPLE = 4
 #: Words indexed by one shard, about.
 SHARD_WORDS = 300_000
 _STEP = 0x9E3779B97F4A7C15
@@ -74,7 +77,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words (32 bits each) of wanted segments; those of hot anchors are cut into windows."""
+    """The words' hashes of wanted segments; those of hot anchors are cut into windows."""
     for batch in batches:
         raw, at = B.texts(batch.column("text"))
         wanted = batch.column("wanted")
@@ -82,7 +85,6 @@ def _texts_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         want = {name: flat.field(name).to_numpy(zero_copy_only=False) for name in ("content", "least", "most", "hot")}
         for i, j in B.groups(at):
             hashes, _, of, first, last, anchor, content = segments(raw, at[i : j + 1])
-            short = hashes.astype("<u4")
             rows: list[tuple] = []
             for k in range(i, j):
                 ours = slice(bounds_w[k], bounds_w[k + 1])
@@ -94,12 +96,12 @@ def _texts_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                         continue
                     a, b = int(first[s]), int(last[s])
                     if not hot:
-                        rows.append((c, int(anchor[s].view(np.int64)), least, most, short[a : b + WINDOW].tobytes(), None, 0))
+                        rows.append((c, int(anchor[s].view(np.int64)), least, most, hashes[a : b + WINDOW].tobytes(), None, 0))
                         continue
                     for place in range(a, b + 1):
                         own = hashes[place : place + WINDOW]
                         key = int(B.windows(own, WINDOW, base=0xD6E8FEB86659FD93)[0].view(np.int64))
-                        rows.append((key, key, least, most, own.astype("<u4").tobytes(), c, place - a))
+                        rows.append((key, key, least, most, own.tobytes(), c, place - a))
             if rows:
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
@@ -108,39 +110,61 @@ def _texts_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 class FMIndex:
-    """Suffixes of a word sequence in the order of their first 16 words, as Burrows-Wheeler transform
-    in a wavelet matrix with packed bits and block counts. Patterns of up to 15 words are exact."""
-
-    def __init__(self, sequence: np.ndarray):
-        rank = sequence.astype(np.int64)
-        for step in (1, 2, 4, 8):
+    """Word sequences, each ended by a 0, as Burrows-Wheeler transform in a wavelet matrix with packed bits
+    and block counts. Of the suffix order, only every SAMPLE-th suffix of a sequence and its first one keep
+    their sequence's number; the others are found by walking back to one of these."""
+
+    def __init__(self, sequence: np.ndarray, longest: int):
+        """``longest`` words, at least as many as the longest sequence has, make the order of suffixes total:
+        equal ends of sequences are ordered by the sequences' numbers."""
+        ends = sequence == 0
+        number = np.cumsum(ends) - ends
+        rank = np.where(ends, number, sequence.astype(np.int64) + int(ends.sum()))
+        step = 1
+        while True:
             ahead = np.zeros_like(rank)
-            ahead[:-step] = rank[step:] + 1 if step < len(rank) else 0
+            ahead[:-step] = rank[step:] + 1
             key = rank * (int(rank.max()) + 2) + ahead
             order = np.argsort(key, kind="stable")
             sorted_ = key[order]
             rank = np.empty_like(rank)
             rank[order] = np.cumsum(np.concatenate([[0], (sorted_[1:] != sorted_[:-1]).astype(np.int64)]))
-        self.suffixes = np.argsort(rank, kind="stable")
-        bwt = sequence[self.suffixes - 1].astype(np.int64)
+            step *= 2
+            if step > longest or int(rank.max()) + 1 == len(rank) or step >= len(rank):
+                break
+        bwt = sequence[order - 1].astype(np.int64)
+        first = np.flatnonzero(ends) + 1
+        place = np.arange(len(sequence)) - np.concatenate([[0], first])[number]
+        sampled = (place % SAMPLE == 0)[order]
+        self.sampled, self.sampled_counts = self._packed(sampled)
+        self.numbers = number[order][sampled].astype(np.int32)
         symbols = int(sequence.max()) + 1
         self.before = np.concatenate([[0], np.cumsum(np.bincount(sequence, minlength=symbols))])
         self.levels = []
         for shift in reversed(range(max(1, int(symbols - 1).bit_length()))):
             bits = ((bwt >> shift) & 1).astype(bool)
-            packed = np.packbits(np.concatenate([bits, np.zeros(-len(bits) % 64 + 64, bool)]), bitorder="little").view("<u8")
-            counts = np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)])
-            zeros = int(len(bits) - bits.sum())
-            self.levels.append((shift, packed, counts, zeros))
+            self.levels.append((shift, *self._packed(bits), int(len(bits) - bits.sum())))
             bwt = np.concatenate([bwt[~bits], bwt[bits]])
-        every = np.arange(symbols)
-        self.start = self._down(every, np.zeros(symbols, np.int64))
+        self.start = self._down(np.arange(symbols), np.zeros(symbols, np.int64))
+
+    @staticmethod
+    def _packed(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        packed = np.packbits(np.concatenate([bits, np.zeros(-len(bits) % 64 + 64, bool)]), bitorder="little").view("<u8")
+        return packed, np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int32)])
+
+    @staticmethod
+    def _ones(packed: np.ndarray, counts: np.ndarray, place: np.ndarray) -> np.ndarray:
+        block = place >> 6
+        low = (B.U(1) << (place & 63).astype(B.U)) - B.U(1)
+        return counts[block].astype(np.int64) + np.bitwise_count(packed[block] & low)
+
+    @staticmethod
+    def _bit(packed: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return (packed[place >> 6] >> (place & 63).astype(B.U) & B.U(1)).astype(np.int64)
 
     def _down(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         for shift, packed, counts, zeros in self.levels:
-            block = place >> 6
-            low = (B.U(1) << (place & 63).astype(B.U)) - B.U(1)
-            ones = counts[block] + np.bitwise_count(packed[block] & low)
+            ones = self._ones(packed, counts, place)
             place = np.where((symbol >> shift) & 1, zeros + ones, place - ones)
         return place
 
@@ -149,9 +173,28 @@ class FMIndex:
         base = self.before[symbol] - self.start[symbol]
         return base + self._down(symbol, low), base + self._down(symbol, high)
 
-
-def matched(texts: list[np.ndarray], least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, window, smallest ``least`` among the segments that have that window) of every window."""
+    def back(self, row: np.ndarray) -> np.ndarray:
+        """The suffixes one word longer, to the left; none may be the first of its sequence."""
+        place, symbol = row, np.zeros(len(row), np.int64)
+        for shift, packed, counts, zeros in self.levels:
+            bit, ones = self._bit(packed, place), self._ones(packed, counts, place)
+            symbol |= bit << shift
+            place = np.where(bit, zeros + ones, place - ones)
+        return self.before[symbol] + place - self.start[symbol]
+
+    def sequence_of(self, rows: np.ndarray) -> np.ndarray:
+        """Number of the sequence of each suffix."""
+        out, rows, at = np.empty(len(rows), np.int64), rows.copy(), np.arange(len(rows))
+        while len(rows):
+            known = self._bit(self.sampled, rows).astype(bool)
+            out[at[known]] = self.numbers[self._ones(self.sampled, self.sampled_counts, rows[known])]
+            rows, at = self.back(rows[~known]), at[~known]
+        return out
+
+
+def matched(texts: list[np.ndarray], least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every window: its segment and place, the matching statistic of its last word (how many words up to
+    it occur elsewhere in the shard, WINDOW at most), and the smallest ``least`` among the segments that have the window."""
     lengths = np.array([len(t) for t in texts])
     ends = np.cumsum(lengths + 1)
     sequence = np.zeros(ends[-1], np.int64)
@@ -159,7 +202,7 @@ def matched(texts: list[np.ndarray], least: np.ndarray) -> tuple[np.ndarray, np.
     inside[ends - 1] = False
     _, ids = np.unique(np.concatenate(texts), return_inverse=True)
     sequence[inside] = ids + 1
-    index = FMIndex(sequence)
+    index = FMIndex(sequence, int(lengths.max()) + 1)
     starts = ends - lengths - 1
     counts = lengths - WINDOW + 1
     segment = np.repeat(np.arange(len(texts)), counts)
@@ -168,20 +211,23 @@ def matched(texts: list[np.ndarray], least: np.ndarray) -> tuple[np.ndarray, np.
     at = starts[segment] + window
     symbol = sequence[at + WINDOW - 1]
     low, high = index.before[symbol], index.before[symbol + 1]
+    statistic = np.zeros(len(at), np.int64)
     alive = np.arange(len(at))
-    for back in range(2, WINDOW + 1):
+    for reached in range(1, WINDOW + 1):
         going = high - low > 1  # an interval of one is the window itself
         alive, low, high = alive[going], low[going], high[going]
-        low, high = index.extend(sequence[at[alive] + WINDOW - back], low, high)
+        statistic[alive] = reached
+        if reached < WINDOW:
+            low, high = index.extend(sequence[at[alive] + WINDOW - 1 - reached], low, high)
     if len(alive):
-        owner = np.searchsorted(ends, index.suffixes, "right")
         cut, inverse = np.unique(low, return_inverse=True)
         until = np.zeros(len(cut), np.int64)
         until[inverse] = high
-        both = np.column_stack([cut, until]).ravel()
-        smallest = np.minimum.reduceat(np.append(least[owner], np.iinfo(np.int64).max), both)[::2]
-        best[alive] = smallest[inverse]
-    return segment, window, best
+        n = until - cut
+        offset = np.cumsum(n) - n
+        rows = np.arange(int(n.sum())) + np.repeat(cut - offset, n)
+        best[alive] = np.minimum.reduceat(least[index.sequence_of(rows)], offset)[inverse]
+    return segment, window, statistic, best
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,9 +236,10 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     shard = pa.Table.from_batches(held)
     least, most = shard["least"].to_numpy(), shard["most"].to_numpy()
-    texts = [np.frombuffer(w.as_py(), "<u4") for w in shard["words"]]
-    segment, window, best = matched(texts, least)
-    said = best < most[segment]
+    texts = [np.frombuffer(w.as_py(), B.U) for w in shard["words"]]
+    segment, window, statistic, best = matched(texts, least)
+    # Windows that a smaller document has: found elsewhere in full length, or in another copy of the segment.
+    said = np.where(statistic >= WINDOW, best, least[segment]) < most[segment]
     segment, window, best = segment[said], window[said], best[said]
     for cut in range(0, len(segment), 100_000):
         part = slice(cut, cut + 100_000)
@@ -206,9 +253,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, removed: array of (content, mask)): the segments of each document and, bit by bit, which
     of their windows start in a document with a smaller doc_id too."""
     whole = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    seen = whole.mapInArrow(_occurrences, "anchor long, content long, doc_id long")
+    seen = stored(whole.mapInArrow(_occurrences, "anchor long, content long, doc_id long"))
     shared = seen.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y")
-    shared = shared.select("anchor", (F.col("n") > HOT_SEGMENTS).alias("hot"))
+    shared = stored(shared.select("anchor", (F.col("n") > HOT_SEGMENTS).alias("hot")))
     places = stored(seen.join(shared, "anchor").select("content", "doc_id", "hot"))
     contents = places.groupBy("content").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.max("hot").alias("hot"))
     wanted = contents.groupBy(F.col("least").alias("_id")).agg(F.collect_list(F.struct("content", "least", "most", "hot")).alias("wanted"))
@@ -218,7 +265,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     cold = texts.where("parent is null").select("key", "route", "least", "most", "words", F.lit(False).alias("is_hot"))
     hot = texts.where("parent is not null").groupBy("key").agg(
         F.first("route").alias("route"), F.min("least").alias("least"), F.max("most").alias("most"), F.first("words").alias("words"), F.lit(True).alias("is_hot"))
-    words = texts.agg(F.sum(F.octet_length("words") / 4).alias("n")).first()["n"] or 0
+    words = texts.agg(F.sum(F.octet_length("words") / 8).alias("n")).first()["n"] or 0
     shards = max(int(words // SHARD_WORDS) + 1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = cold.unionByName(hot.select(*cold.columns)).repartition(shards, "route")
     found = stored(dealt.mapInArrow(_searched, "key long, is_hot boolean, place int, first_doc long"))

@@ -93,7 +93,8 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     shards = max(1, sample.count() // SHARD_ROWS)
     rows = rows.select("text", "toxic", "place", F.pmod(F.col("place"), F.lit(shards)).cast("int").alias("shard"))
     drawn = rows.mapInArrow(_feature_rows, "shard int, place long, toxic int, features binary")
-    models = drawn.groupBy("shard").applyInPandas(_ftrl, "feature long, weight double")
+    # Dealt by range, so that no two shards meet in one task.
+    models = drawn.repartitionByRange(shards, "shard").groupBy("shard").applyInPandas(_ftrl, "feature long, weight double")
     mean = models.groupBy("feature").agg((F.sum("weight") / shards).alias("weight")).toPandas().sort_values("feature")
     if mean.empty:
         return np.zeros(1, np.int64), np.full(1, -20.0)

@@ -53,6 +53,8 @@ def test_mixing(given, empty):
         want[key] = r.target
         assert r.taken % max(r.size, 1) == 0 and 0 <= r.taken <= 3 * r.size
     assert all(abs(taken[k] - want[k]) <= longest[k] + 1e-6 for k in want)
+    # Where documents are small against the target, it is met within 2 %.
+    assert all(abs(taken[k] - want[k]) <= 0.02 * want[k] for k in want if longest[k] <= 0.05 * want[k])
     out = mixing.mixed_documents(given, [1, 2, 3])
     assert out.columns == given.columns
     assert out.count() == sum(r.copies for r in got)
@@ -93,12 +95,51 @@ def test_quality(given, empty):
     assert quality.judged(empty).count() == 0
 
 
-def test_a_failing_host_loses_its_documents(spark):
-    rows = [(i, "too short" if i % 2 or i % 3 else "word " * 5 + " ".join(map(str, range(40))), "bad" if i < 60 else "good") for i in range(60)]
-    rows += [(i, " ".join(map(str, range(i, i + 40))), "good") for i in range(60, 120)]
-    got = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, source string"))
-    assert got.where("host = 'bad' and kept").count() == 0 < got.where("host = 'bad' and not base_failed").count()
-    assert got.where("host = 'good' and not kept").count() == 0
+def test_mixing_meets_its_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = mixing.mixed(docs, [1, 2, 3]).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.max("size").alias("longest")).collect()
+    assert sorted(abs(r.taken - r.target) / r.target for r in rows)[-2] < 0.03 and all(abs(r.taken - r.target) < r.longest for r in rows)
+
+
+def test_mixing_through_the_reduction_tree(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 4)
+    monkeypatch.setattr(mixing, "FAN_IN", 3)
+    rows = [(i, " ".join(["w"] * (i % 17 + 1)), f"s{i % 2}") for i in range(400)]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string"), [1, 2]).groupBy("target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    assert len(got) == 2 and all(r.n == 200 and abs(r.taken - r.target) <= 17 for r in got)
+
+
+def test_mixed_documents_keep_their_own_decision(spark):
+    rows = [(7, f"{'a ' * n}", "s", n) for n in range(1, 40)] + [(None, "b b", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int").withColumns({"_order": F.lit(1), "row": F.lit("x"), "doc": F.lit(2)})
+    out = mixing.mixed_documents(docs, [1])
+    assert out.columns == docs.columns and all(len(r.text.split()) == r.copies for r in out.collect())
+
+
+def test_hosts_decide(spark):
+    """Of hosts that differ, a bad one loses documents that nearly fail, and a good one keeps those that fail a rule of the method."""
+    plain = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    fails, nearly = lambda k: plain(k) + " " + "#" * 10, lambda k: plain(k) + " ###"
+    rows = []
+    for host, n_bad in [("bad", 60), *((f"h{i}", 20) for i in range(8)), *((f"good{i}", 0) for i in range(2))]:
+        rows += [(len(rows) + i, fails(len(rows) + i) if i < n_bad else plain(len(rows) + i), host) for i in range(100)]
+    rows += [(10000, nearly(10000), "bad"), (10001, nearly(10001), "h1"), (10002, fails(10002), "good0"), (10003, fails(10003), "h1"), (10004, "too short", "good0")]
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [got[d].kept for d in range(10000, 10005)] == [False, True, True, False, False]
+    assert all(got[d].kept for d, text, host in rows if "#" not in text and d < 10000)
+    # The posterior by hand.
+    n, failed = Counter(h for _, _, h in rows), Counter(h for _, text, h in rows if text.count("#") * 10 > len(text.split()))
+    rates = [failed[h] / n[h] for h in n]
+    m = sum(rates) / len(rates)
+    v = sum((x - m) ** 2 for x in rates) / (len(rates) - 1) - m * (1 - m) * sum(1 / x for x in n.values()) / len(n)
+    s = max(1.0, m * (1 - m) / v - 1)
+    assert all(abs(r.symbols_rate - (failed[r.host] + m * s) / (n[r.host] + s)) < 1e-8 for r in got.values())
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_the_host_verdicts_change_documents(spark, sf):
+    got = quality.op2_host_rules(spark, f"/root/testdata/{sf}")
+    assert got.where("not kept and not base_failed").count() > 0.05 * got.count() and got.where("kept").count() > 0.8 * got.count()
 
 
 def test_substrings(given, empty):
@@ -123,19 +164,49 @@ def test_substrings_dealt_by_window(given, monkeypatch):
     assert bag(tuple(r) for r in substrings.deduplicated(given).collect()) == want
 
 
-def test_fm_index_counts():
+def test_fm_index_counts_and_finds():
     import numpy as np
 
     rng = np.random.default_rng(2)
-    sequence = np.append(rng.integers(1, 6, 399), 0)  # as in a shard, a separator ends it
-    index = substrings.FMIndex(sequence)
+    texts = [rng.integers(1, 6, n) for n in (60, 1, 90, 21, 130, 21, 60)]
+    texts[6] = texts[0]
+    sequence = np.concatenate([np.append(t, 0) for t in texts])
+    index = substrings.FMIndex(sequence, 131)
+    places = [(k, i) for k, t in enumerate(texts) for i in range(len(t))]
     for length in range(1, 14):
-        for at in rng.integers(0, 386, 30):
-            pattern = sequence[at : at + length]
+        for k, at in (places[x] for x in rng.integers(0, len(places), 30)):
+            pattern = texts[k][at : at + length]
             low, high = index.before[pattern[-1:]], index.before[pattern[-1:] + 1]
             for s in pattern[-2::-1]:
                 low, high = index.extend(np.array([s]), low, high)
-            assert high[0] - low[0] == sum((sequence[i : i + length] == pattern).all() for i in range(400 - length + 1))
+            want = sorted(j for j, t in enumerate(texts) for i in range(len(t) - len(pattern) + 1) if (t[i : i + len(pattern)] == pattern).all())
+            assert sorted(index.sequence_of(np.arange(low[0], high[0])).tolist()) == want
+
+
+def test_matching_statistics():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 3, n).astype(np.uint64) << np.uint64(40) for n in rng.integers(13, 40, 12)]  # equal low halves
+    least = rng.permutation(12).astype(np.int64)
+    runs = lambda t, n: [tuple(t[i : i + n].tolist()) for i in range(len(t) - n + 1)]
+    every = {n: Counter(r for t in texts for r in runs(t, n)) for n in range(1, 14)}
+    segment, window, statistic, best = substrings.matched(texts, least)
+    for s, w, n, b in zip(segment, window, statistic, best):
+        words_ = tuple(texts[s][w : w + 13].tolist())
+        assert n == max(k for k in range(14) if k == 0 or every[k][words_[13 - k :]] > 1)
+        assert b == min(least[j] for j, t in enumerate(texts) if words_ in runs(t, 13))
+
+
+def test_words_longer_than_the_table_of_places():
+    import pyarrow as pa
+
+    from tamiz.llm import bytesnp
+
+    a, b = ("a" + "x" * 65535 + t for t in ("by", "ay"))
+    swapped = "b" + "x" * 65535 + "ay"
+    raw, at = bytesnp.texts(pa.array([f"{a} {b} {swapped}"]))
+    assert len(set(bytesnp.hashed_words(raw, at, lower=False)[0].tolist())) == 3
 
 
 def test_toxicity(given, labels, empty):
@@ -152,6 +223,56 @@ def test_toxicity(given, labels, empty):
     assert toxicity.scored(given, labels.limit(0)).where("predicted = 1").count() == 0
 
 
+def test_ftrl_against_plain_python():
+    import math
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    rows = [(int(rng.integers(0, 2)), np.unique(rng.integers(1, 60, 12)).astype("<i4")) for _ in range(300)]
+    rows = [(y, np.unique(np.append(f, 100 + y)).astype("<i4")) for y, f in rows]
+    frame = pd.DataFrame({"place": range(300), "toxic": [y for y, _ in rows], "features": [f.tobytes() for _, f in rows]})
+    z, n, l1 = defaultdict(float), defaultdict(float), min(toxicity.MOST_L1, max(toxicity.LEAST_L1, sum(y for y, _ in rows) / toxicity.POSITIVES_PER_L1))
+    weight = lambda i: 0.0 if abs(z[i]) <= l1 else (math.copysign(l1, z[i]) - z[i]) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+    for _ in range(toxicity.EPOCHS):
+        for y, f in rows:
+            w = {i: weight(i) for i in [0, *f.tolist()]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i in w:
+                step = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA
+                z[i] += g - step * w[i]
+                n[i] += g * g
+    got = dict(toxicity._ftrl(frame).itertuples(index=False))
+    want = {i: weight(i) for i in z if weight(i)}
+    assert set(got) == set(want) and {100, 101} <= set(got) and len(got) < 62 and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_weights_are_the_mean_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 40)
+    rows = [(i, f"word{i % 7} {'awful thing' if i % 3 == 0 else 'nice day'} tail{i % 5}", i % 3 == 0) for i in range(400)]
+    docs, marks = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, int(y)) for i, _, y in rows], "doc_id long, toxic int")
+    used = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    shards = len(used) // 40
+    place = {r.doc_id: r.p for r in docs.select("doc_id", F.xxhash64("doc_id").alias("p")).collect()}
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    from tamiz.llm import bytesnp
+
+    sums = Counter()
+    for shard in range(shards):
+        ours = [r for r in used if place[r[0]] % shards == shard]
+        raw, at = bytesnp.texts(pa.array([t for _, t, _ in ours]))
+        doc, feature = toxicity.features(raw, at)
+        frame = pd.DataFrame({"place": [place[d] for d, _, _ in ours], "toxic": [int(y) for _, _, y in ours], "features": [np.unique(feature[doc == k]).astype("<i4").tobytes() for k in range(len(ours))]})
+        for f, w in toxicity._ftrl(frame).itertuples(index=False):
+            sums[int(f)] += w / shards
+    got = dict(zip(*(x.tolist() for x in toxicity.fitted(docs, marks))))
+    assert shards > 4 and set(got) == set(sums) and all(abs(got[f] - sums[f]) < 1e-9 for f in sums)
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, marks = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.scored(docs.select("doc_id", "text"), marks).where("held_out").join(marks, "doc_id").select("score", "toxic").collect()
@@ -160,31 +281,20 @@ def test_toxicity_on_held_out_rows(spark):
     assert above > 0.85
 
 
-def test_line_chunks(given, empty):
-    got = linededup.deduplicated(given)
-    assert got.columns == [*given.columns, "n_lines", "n_removed"]
-    parts = given.select("doc_id", "text", linededup._row_key().alias("row"), linededup.chunks(linededup._lines(F.col("text"))).alias("c")).collect()
-    seen = defaultdict(list)
-    for r in parts:
-        lines = (r.text or "").split("\n")
-        assert [x for c in r.c for x in range(c.first, c.last + 1)] == list(range(1, len(lines) + 1))
-        for k, c in enumerate(r.c):
-            piece = "\n".join(lines[c.first - 1 : c.last])
-            if c.last > c.first and words(piece):
-                seen[piece].append((r.doc_id is not None, r.doc_id or 0, r.row, k))
-    want = []
-    for r in parts:
-        lines = (r.text or "").split("\n")
-        stay, gone = [], 0
-        for k, c in enumerate(r.c):
-            piece = "\n".join(lines[c.first - 1 : c.last])
-            if piece in seen and min(seen[piece]) != (r.doc_id is not None, r.doc_id or 0, r.row, k):
-                gone += c.last - c.first + 1
-            else:
-                stay.append(piece)
-        want.append((r.doc_id, None if r.text is None else "\n".join(stay), 0 if r.text is None else len(lines), gone))
-    assert bag(want) == bag((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()) and any(x[3] for x in want)
-    assert linededup.deduplicated(empty).count() == 0
+def test_chunks_cover_each_text(given):
+    for r in given.select("text", linededup.chunks(linededup._lines(F.col("text"))).alias("c")).collect():
+        assert [x for c in r.c for x in range(c.first, c.last + 1)] == list(range(1, len((r.text or "").split("\n")) + 1))
+
+
+def test_chunks_do_the_removing(spark):
+    """Of a long repeated passage, whole chunks go in the first step, and pairs of lines only take its edges."""
+    passage = "\n".join(f"passage line {k} with some words" for k in range(60))
+    docs = spark.createDataFrame([(1, "a\n" + passage + "\nb"), (2, passage + "\nc")], "doc_id long, text string")
+    rows = linededup._keyed(docs).select("id", "row", "text")
+    runs = linededup._again(rows, linededup.chunks).collect()
+    lost = {x for r in runs for c in r.runs for x in range(c.first, c.last + 1)}
+    assert [r.id for r in runs] == [2] and len(lost) > 30 and lost < set(range(1, 61))
+    assert {r.doc_id: r.text for r in linededup.deduplicated(docs).collect()} == {1: "a\n" + passage + "\nb", 2: "c"}
 
 
 def test_planted_passages_go_whole(spark, tmp_path):
@@ -202,7 +312,7 @@ def test_planted_passages_go_whole(spark, tmp_path):
 
 
 def test_passages(given, empty):
-    docs = {(r.doc_id, r.row, r.text) for r in given.select("doc_id", "text", linededup._row_key().alias("row")).collect()}
+    docs = {(r.doc_id, r.row, r.text) for r in given.select("doc_id", "text", F.xxhash64("text").alias("row")).collect()}
     seen, gone = set(), {}
     for d, row, text in sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
         lines, out = (text or "").split("\n"), set()
@@ -211,10 +321,11 @@ def test_passages(given, empty):
                 out |= {i, i + 1} if two in seen else set()
                 seen.add(two)
         gone[d, text] = None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in out), len(out)
-    got = linededup.passages_removed(given)
+    got = linededup.deduplicated(given)
+    assert got.columns == [*given.columns, "n_lines", "n_removed"]
     want = [(r.doc_id, gone[r.doc_id, r.text][0], 0 if r.text is None else len(r.text.split("\n")), gone[r.doc_id, r.text][1]) for r in given.collect()]
     assert bag(want) == bag((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()) and any(x[3] for x in want)
-    assert linededup.passages_removed(empty).count() == 0
+    assert linededup.deduplicated(empty).count() == 0
 
 
 def test_licenses(given, empty):
@@ -261,11 +372,53 @@ def test_every_rule_can_be_reached():
         assert all(licenses._keyword(name, keywords) in name.split(" ") for name in names), label
 
 
-def test_contained_detections_are_dropped(spark):
-    text = " released under the mozilla public license version 2 0 and the isc license "
-    held = spark.createDataFrame([(1, text, ["mozilla", "isc"])], "row long, joined string, keywords array<string>")
-    got = {(r.label, r.start, r.end) for r in licenses.detections(held).collect()}
-    assert got == {("mpl-2.0", 0, 9), ("isc", 11, 13)}
+def _resolved(spark, text):
+    w = F.split(F.trim(F.lit(text)), " ")
+    known = F.array(*[F.lit(k) for k in sorted({r[2] for r in licenses.rules()})])
+    return [tuple(d)[:2] + (d.label,) for d in spark.range(1).select(licenses.resolved(licenses.detections(F.lit(text), F.array_intersect(w, known))).alias("d")).first().d]
+
+
+def test_overlapping_detections(spark):
+    assert _resolved(spark, " released under the mozilla public license version 2 0 and the isc license ") == [(0, 9, "mpl-2.0"), (11, 13, "isc")]
+    # The body is longer than the names in it; a grant that runs into a name with its version gives way to it.
+    assert _resolved(spark, " x permission is hereby granted free of charge to any person obtaining a copy y ") == [(1, 14, "mit")]
+    assert _resolved(spark, " apache license 2 0 apache license ") == [(0, 4, "apache-2.0"), (4, 6, "apache")]
+
+
+def test_detections_against_plain_python(spark):
+    """The same rules by Python's re, and the overlaps by a plain loop over all detections."""
+    texts = [
+        "licensed under the gnu general public license version 3 or later see gnu org licenses gpl 3 0 html and the mit license the mit license",
+        "spdx license identifier apache 2 0 or mit you may not use this file except in compliance with the license apache org licenses license 2 0",
+        "creativecommons org licenses by sa 4 0 cc by sa 4 0 cc by released under the terms of the bsd 3 clause license gplv2 lgpl 2 1",
+        "redistribution and use in source and binary forms with or without modification redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    ]
+    for text in texts:
+        w, joined = set(text.split()), f" {text} "
+        found = []
+        for rule, (priority, label, keyword, regex, _) in enumerate(licenses.rules()):
+            if keyword in w and "(?<=spdx" not in regex:  # re has no look-behind of varying length
+                for m in re.finditer(f"(?<= ){regex}(?= )", joined):
+                    start = joined[: m.start()].count(" ") - 1
+                    found.append((start, start + m[0].count(" ") + 1, priority, rule, label))
+        kept = []
+        for d in sorted(found):
+            if not kept or d[0] >= kept[-1][1]:
+                kept.append(d)
+            elif (d[2], d[0] - d[1], d[3]) < (kept[-1][2], kept[-1][0] - kept[-1][1], kept[-1][3]):
+                kept[-1] = d
+        got = [d for d in _resolved(spark, joined)]
+        want = [(a, b, label) for a, b, _, _, label in kept]
+        assert got == want or "or mit" in text and set(want) - set(got) <= {x for x in want if x[2] == "mit"}
+        assert got
+
+
+def test_notices_and_addresses(spark):
+    """Every hand-written rule finds its own words and names their license."""
+    plain = lambda regex: re.sub(r"\(\?:([^|()]*)[^()]*\)\??", r"\1", regex.replace("licen[sc]es?", "licenses").replace(".{0,80}", "").replace(".{0,60}", "").replace("(?: 1 [1-3])?", "").replace("v ?", "v "))
+    rows = [(i, plain(regex), label) for i, (label, _, regex) in enumerate([*licenses.NOTICES, *licenses.ADDRESSES, *licenses.BODIES]) if "[^" not in regex]
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string, label string")).collect()}
+    assert [(text, label) for i, text, label in rows if label not in got[i]] == []
 
 
 def luhn(value):
@@ -295,9 +448,66 @@ def test_pii(given, empty):
     spans = {r.doc_id: r.spans for r in got}
     assert all(set(filter(None, w[-1].split(","))) <= set(spans[w[0]].split(",")) for w in want if w[0] is not None)
     assert spans[25] == "phone:5:16"  # no plus sign, but the word before it introduces numbers
+    assert all(r.has_personal_data == (r.spans != "") for r in got)
     assert pii.extracted(empty).count() == 0
 
 
+def test_pii_graph_against_plain_python(spark):
+    import random
+
+    rng = random.Random(8)
+    words_ = ["call", "the", "key", "of", "mail", "to", "id"]
+    row = lambda kind, k: (kind, f"{kind}{rng.randint(0, k)}", " ".join(rng.choices(words_[:4] if kind == "phone" else words_, k=3)), rng.choice(["now", "ok"]))
+    seeds, supposed, candidates = [row("phone", 40) for _ in range(60)], [row("secret", 15) for _ in range(30)], [row("phone", 200) for _ in range(25)] + [row("secret", 90) for _ in range(15)]
+    edges = {}
+    for rows, sure, seed in ((seeds, True, 1.0), (supposed, False, 1.0), (candidates, False, 0.0)):
+        for kind, value, before, after in rows:
+            w = before.split(" ")
+            for sort, p in (("1", w[-1]), ("2", " ".join(w[-2:])), ("3", before), ("both", f"{w[-1]} _ {after}")):
+                old = edges.get((kind, sort, p, value), (False, 0.0))
+                edges[kind, sort, p, value] = old[0] or sure, max(old[1], seed)
+    total = Counter()
+    for (kind, sort, p, _), (_, seed) in edges.items():
+        total[kind, sort, p] += seed
+    edges = {e: x for e, x in edges.items() if total[e[:3]] >= pii.LEAST_SEEDS}
+    likely, first = defaultdict(float), {}
+    for k in range(1, pii.ROUNDS + 1):
+        counts = {e: max(x[1], likely[e[0], e[3]] if likely[e[0], e[3]] >= pii.LEAST_CONFIDENCE else 0.0) for e, x in edges.items()}
+        every, n, none = Counter(), Counter(), defaultdict(lambda: 1.0)
+        for e, c in counts.items():
+            every[e[:3]] += c
+            n[e[:3]] += 1
+        for e, c in counts.items():
+            none[e[0], e[3], e[1]] *= 1 - (every[e[:3]] - c) / (n[e[:3]] - 1 + pii.DOUBT)
+        likely = defaultdict(float)
+        for (kind, value, _), x in none.items():
+            likely[kind, value] = max(likely[kind, value], 1 - x)
+        for e, x in likely.items():
+            if x >= pii.LEAST_CONFIDENCE:
+                first.setdefault(e, k)
+    sure = {(e[0], e[3]) for e, x in edges.items() if x[0]}
+    want = {e: first[e] for e, x in likely.items() if x >= pii.LEAST_CONFIDENCE and e not in sure}
+    kind = "kind string, value string, before string, after string"
+    got = pii.scored_graph(*(spark.createDataFrame(rows, kind) for rows in (seeds, supposed, candidates))).collect()
+    assert {(r["kind"], r["instance"]): r["round"] for r in got} == want and len(want) > 3
+
+
+def test_pii_contexts_and_candidates(spark):
+    """Groups of digits, addresses without a dot and mixed strings are found where the words around known ones stand."""
+    rows = [(i, f"dial +1 555 000 {1000 + i} please") for i in range(6)] + [(10, "dial (555) 123-4567 please"), (11, "we saw 555 123 4567 birds")]
+    rows += [(20 + i, f"write user{i}@site{i}.org today") for i in range(6)] + [(30, "write bob@localhost today"), (31, "a@b")]
+    rows += [(40 + i, f'api key: "{hashlib.sha256(str(i).encode()).hexdigest()[:40]}"') for i in range(6)] + [(50, 'api key: "k3y9x8w7v6u5t4s"'), (51, "model a1b2c3d4e5f6a7")]
+    rows += [(60, f"{'w' * 200_000} dial {'9' * 200_000} x@ {'a' * 200_000}1")]
+    got = {r.doc_id: r.spans for r in pii.extracted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[d] for d in (10, 11, 30, 31, 50, 51, 60)] == ["phone:5:19", "", "email:6:19", "", "secret:10:25", "", ""]
+    assert all(got[40 + i] == "secret:10:50" for i in range(6))
+
+
+def test_the_method_adds_personal_data(spark):
+    got = pii.op7_bootstrapped_pii(spark, "/root/testdata/sf0.01")
+    assert got.where("n_added > 0").count() > 5 and got.where("has_personal_data").count() < 0.1 * got.count()
+
+
 def test_packing(given, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -309,7 +519,7 @@ def test_packing(given, empty):
         cut = [0, *range((len(ids) - 1) % 1024 + 1, len(ids), 1024), len(ids)]
         for k, (a, b) in enumerate(zip(cut, cut[1:])):
             want.append((r.doc_id, k, a, b - a, zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids[a:b]))))
-    got = packing.packed(given, packing.ranks_path()).collect()
+    got = packing.packed(given, packing.tokenizer_path()).collect()
     assert bag((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == bag(want)
     by = defaultdict(list)
     for r in got:
@@ -320,17 +530,90 @@ def test_packing(given, empty):
             assert offset == reach
             reach += length
         assert reach <= 1024
-    assert len(by) <= -(-sum(w[3] for w in want) // 1024) * 1.03 + 1
-    assert packing.packed(empty, packing.ranks_path()).count() == 0
+    assert len(by) <= best_fit(Counter(w[3] for w in want), 1024) * 1.005 + 1
+    assert packing.packed(empty, packing.tokenizer_path()).count() == 0
+
 
+def best_fit(counts, capacity):
+    """Sequences of plain best-fit decreasing."""
+    import bisect
 
-@pytest.mark.parametrize("text", ["a  b", "a   b", " a", "a ", "a\n b", "a \nb", "it's  don't 12 3 \t x", "<|endoftext|> a <|endoftext|>", "  a 　b", "é😀 漢 字", ""])
-def test_ids_are_the_tokenizers(text):
+    gaps, n = [], 0
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            at = bisect.bisect_left(gaps, length)
+            if at == len(gaps):
+                n, gap = n + 1, capacity - length
+            else:
+                gap = gaps.pop(at) - length
+            if gap:
+                bisect.insort(gaps, gap)
+    return n
+
+
+def test_rounds_pack_as_best_fit_does(spark):
+    import random
+
+    rng = random.Random(1)
+    counts = {n: rng.choice([1, 2, rng.randint(1, 3000)]) for n in range(1, 1025) if rng.random() < 0.5 * (1.3 - n / 1024)}
+    rows = packing.rounds(spark.createDataFrame(list(counts.items()), "length long, n long")).collect()
+    placed, reach = defaultdict(list), defaultdict(list)
+    for r in rows:
+        placed[r.length].append((r["first"], r["last"]))
+        pieces = r["last"] - r["first"]
+        for k in range(-(-pieces // r.per)):
+            reach[r.sequence + k].append((1024 - r.gap, min(r.per, pieces - k * r.per) * r.length))
+    assert all([x for a, b in sorted(placed[n]) for x in (a, b)][0::2] == [0, *[b for _, b in sorted(placed[n])][:-1]] and sorted(placed[n])[-1][1] == counts[n] for n in counts)
+    for at in reach.values():
+        end = 0
+        for offset, length in sorted(at):
+            assert offset == end
+            end += length
+        assert end <= 1024
+    plain = best_fit(counts, 1024)
+    assert len(reach) <= plain * 1.01 + 1
+
+
+def test_a_round_takes_the_least_gap_for_the_longest_first(spark):
+    items = spark.createDataFrame([(300, 3, 0), (280, 2, 5), (260, 1, 0)], "length long, left long, rank long").coalesce(1)
+    gaps = spark.createDataFrame([(270, 100, 1), (290, 200, 1), (310, 300, 2), (900, 400, 1)], "gap long, sequence long, sequences long").coalesce(1)
+    got = sorted(tuple(r[c] for c in ("length", "first", "last", "gap", "sequence", "sequences")) for r in packing._matched(items, gaps).collect())
+    assert got == [(260, 0, 1, 270, 100, 1), (280, 5, 6, 290, 200, 1), (300, 0, 2, 310, 300, 2), (300, 2, 3, 900, 400, 1)]
+
+
+AWKWARD = ["a  b", "a   b", " a", "a ", "a\n b", "a \nb", "it's  don't 12 3 \t x", "<|endoftext|> a <|endoftext|>", "  a　b", "é😀 漢 字", "", None, "\n", "\n\n a", "a\xa0 b", "x\r\n y", "a\x1c b", "a\x85 b", "é b\n\né  c", "don 't 's", "a\u200b b", "x" * 3000 + " y"]
+
+
+def ids_of(column):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
-    assert packing.text_ids(packing.ranks_path())(text).tolist() == want
+    from tamiz.llm import bytesnp
+
+    tokens, fast, got = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.Ids(packing.tokenizer_path()), []
+    _, at = bytesnp.texts(column)
+    for i, j in bytesnp.groups(at, packing.UNIT_BYTES):
+        ids, bounds = fast.batch(column.slice(i, j - i))
+        got += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    return got, [e.ids + [2] for e in tokens.encode_batch([x or "" for x in column.to_pylist()], add_special_tokens=False)]
+
+
+def test_ids_are_the_tokenizers():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    mixed = ["".join(rng.choices([" ", "\n", "\t", "\xa0", "'", "s", "a", "é", "漢", "1", "-", "<|endoftext|>", "word", "  "], k=40)) for _ in range(300)]
+    got, want = ids_of(pa.array([*AWKWARD, *mixed], pa.string()))
+    assert got == want
+
+
+def test_ids_are_the_tokenizers_on_all_documents():
+    import pyarrow.parquet as pq
+
+    got, want = ids_of(pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].combine_chunks())
+    assert got == want and len(got) == 10_000
 
 
 def shingles(text):
@@ -357,6 +640,26 @@ def test_minhash(given, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_minhash_in_blocks(given, monkeypatch):
+    want = bag(tuple(r) for r in minhash.near_duplicates(given).collect())
+    for name, value in (("SMALL_BAND", 2), ("PROBES", 2), ("MEMBERS", 3)):
+        monkeypatch.setattr(minhash, name, value)
+    assert bag(tuple(r) for r in minhash.near_duplicates(given).collect()) == want
+
+
+def test_links_of_a_block():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 60, 30)).astype(np.uint64) for _ in range(40)]
+    sets[20:30] = [np.unique(np.append(s[2:], np.uint64(99))) for s in sets[:10]]
+    frame = pd.DataFrame({"node": range(40), "label": range(40), "shingles": [s.tobytes() for s in sets], "is_probe": [k < 15 for k in range(40)]})
+    near = {(k, j) for j in range(15) for k in range(15, 40) if 100 * len(np.intersect1d(sets[j], sets[k])) >= 75 * len(np.union1d(sets[j], sets[k]))}
+    got = {(int(a), int(b)) for a, b in minhash._links_of_block(frame).itertuples(index=False)}
+    assert got and got <= near and {a for a, _ in near} == {a for a, _ in got}
+
+
 def test_sketches_fill_and_estimate():
     import numpy as np
 
@@ -408,3 +711,29 @@ def test_order_minhash_entries(spark):
         want.append([h for h, _ in picks])
     hashes = spark.createDataFrame([(i, x) for i, x in enumerate(want)], "i int, x array<long>").orderBy("i").select((F.xxhash64("x").bitwiseAND(0x7FFFFFFF)).cast("int")).collect()
     assert spark.createDataFrame([(text,)], "t string").select(fingerprints.fingerprint(F.col("t"))).first()[0] == [r[0] for r in hashes]
+
+
+#: Names that operators use inside, for columns of the input.
+NAMES = """copies size row rows _row _id id doc doc_ out runs gone hash place places removed lines first last n n_words n_lines score predicted held_out shard toxic kind kinds value
+    before after start end spans r base own labels label w prints bucket _bucket _copied next_text edited host base_failed kept source_size target mass whole chunk source_key class
+    band node members shingles component_id set_key bands piece length part nth rank gap sequence offset anchor content wanted keep words key joined keywords""".split()
+
+
+@pytest.fixture(scope="module")
+def few(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 60")
+
+
+@pytest.mark.parametrize("what", ["mixing", "mixed_documents", "quality", "substrings", "toxicity", "lines", "licenses", "pii", "packing", "minhash", "fingerprints"])
+def test_extra_columns_may_have_any_name(few, spark, what):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    run = {
+        "mixing": lambda d: mixing.mixed(d, [1, 2, 3]), "mixed_documents": lambda d: mixing.mixed_documents(d, [1, 2, 3]), "quality": quality.judged, "substrings": substrings.deduplicated,
+        "toxicity": lambda d: toxicity.scored(d, labels), "lines": linededup.deduplicated, "licenses": licenses.scanned, "pii": pii.extracted,
+        "packing": lambda d: packing.pieces(d, packing.tokenizer_path()).drop("part", "nth"), "minhash": minhash.near_duplicates, "fingerprints": fingerprints.fingerprinted,
+    }[what]
+    wide = few.select("*", *[F.lit("x").alias(c) for c in NAMES])
+    plain = run(few)
+    kept = [c for c in plain.columns]
+    got = run(wide).select(kept)
+    assert bag(map(tuple, got.collect())) == bag(map(tuple, plain.collect()))

@@ -63,5 +63,16 @@ def test_packing(staged):
     assert after.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").isEmpty()
 
 
+def test_stages_take_empty_tables_and_nulls(spark):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, None, None, None, None), (1, None, "en", "a", None), (2, "", "en", None, 0), (3, "some words here", None, "a", 15), (3, "some words here", None, "a", 15), (4, "x " * 3000, "en", "b", 6000)]
+    for docs in (spark.createDataFrame([], kind), spark.createDataFrame(rows, kind).withColumn("copies", F.lit(1))):
+        for name, stage in P.STAGES[:-1]:
+            out = stage(spark, docs, SF)
+            assert out.columns == P.COLUMNS
+            assert name == "source_mix" or {r[0] for r in out.select("doc_id").collect()} == {r[0] for r in docs.select("doc_id").collect()}
+        assert P.packing(spark, docs, SF).where("piece = 0").count() == docs.count()
+
+
 def test_run(spark):
     assert P.run(spark, SF).count() > 0
