@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import json
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -168,9 +172,34 @@ def note_confidence(note: Column) -> Column:
     return out
 
 
+@functools.cache
+def _compatibility() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """What NFKC makes of single characters: one other character, several, or one for a letter and its marks.
+    Made from Python's Unicode data for the Basic Multilingual Plane, but for Hangul syllables."""
+    plane = [chr(i) for i in range(0x80, 0x10000) if not 0xD800 <= i < 0xE000 and not 0xAC00 <= i < 0xD7A4]
+    plain = {c: n for c in plane if (n := unicodedata.normalize("NFKC", c)) != c}
+    marked = {d: c for c in plane if c not in plain and len(d := unicodedata.normalize("NFD", c)) > 1}
+    return {c: n for c, n in plain.items() if len(n) == 1}, {c: n for c, n in plain.items() if len(n) > 1}, marked
+
+
+def nfkc(c: Column) -> Column:
+    """Compatible forms to plain ones: full-width letters, ligatures, superscripts, circled digits, letters with
+    separate accents. Texts of ASCII alone, nearly all, are passed at once."""
+    single, several, marked = _compatibility()
+    table = lambda d: F.from_json(F.lit(json.dumps(d)), "map<string,string>")  # noqa: E731  a constant
+    mapped = lambda text, pattern, d: F.array_join(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.coalesce(F.try_element_at(table(d), x), x)), "")
+
+    def spread(text: Column) -> Column:
+        return F.when(F.translate(text, "".join(several), "") != text, mapped(text, "(?s).", several)).otherwise(text)
+
+    def joined(text: Column) -> Column:
+        return F.when(text.rlike(r"\p{M}"), mapped(text, r"(?s)\P{M}?\p{M}+|\P{M}", marked)).otherwise(text)
+
+    full = let(let(F.translate(c, "".join(single), "".join(single.values())), spread), joined)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), full).otherwise(c)
+
+
 def sanitize(c: Column) -> Column:
-    """Full-width forms and special spaces to plain ones, control characters out, spaces collapsed, empty and nan to null."""
-    wide = "".join(chr(0xFF01 + i) for i in range(94)) + "　   "
-    plain = "".join(chr(0x21 + i) for i in range(94)) + "    "
-    text = F.trim(F.regexp_replace(F.regexp_replace(F.translate(c, wide, plain), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", ""), r"\s+", " "))
+    """NFKC, control characters out, spaces collapsed, empty and nan to null."""
+    text = F.trim(F.regexp_replace(F.regexp_replace(nfkc(c), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", ""), r"\s+", " "))
     return F.when(~F.lower(text).isin("", "nan"), text)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamiz.operators import statistics
 from tamiz.operators.stage import staged
 
 
@@ -25,9 +26,12 @@ def with_share(df: DataFrame, value: str = "venta", name: str = "share") -> Data
 
 def kpis(df: DataFrame) -> DataFrame:
     """One row of totals, averages and distinct counts."""
-    one = df.agg(
+    names = {c: f"n_{c}" for c in ("cliente_codigo", "producto", "comuna", "region", "familia")} | {"fecha": "n_meses"}
+    held = staged(df.select("venta", "unidades", "costo", *names))  # the joined rows are read several times
+    counts = statistics.distinct_counts(held, list(names))
+    one = held.agg(
         F.sum("venta").alias("venta"), F.sum("unidades").alias("unidades"), F.sum("costo").alias("costo"), F.count("*").alias("lineas"),
-        *[F.count_distinct(c).alias(f"n_{c}") for c in ("cliente_codigo", "producto", "comuna", "region", "familia")], F.count_distinct("fecha").alias("n_meses"))
+        *[F.any_value(F.lit(counts[c]).cast("long")).alias(name) for c, name in names.items()])
     per = lambda a, b: F.when(F.col(b) != 0, F.round(F.col(a) / F.col(b), 6))
     return one.withColumns({
         "margen": F.col("venta") - F.col("costo"), "margen_pct": F.when(F.col("venta") != 0, F.round((F.col("venta") - F.col("costo")) / F.col("venta") * 100, 6)),
@@ -42,11 +46,11 @@ def growth(df: DataFrame) -> DataFrame:
     return years.join(before, "anio", "left").withColumns({"venta_yoy": rate("venta", "_v"), "unidades_yoy": rate("unidades", "_u")}).drop("_v", "_u")
 
 
-def missing_months(df: DataFrame, month: str = "fecha") -> DataFrame:
-    """Months between the first and the last that have no row."""
-    span = df.agg(F.min(month).alias("a"), F.max(month).alias("b")).where("a is not null")
-    calendar = span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias(month))
-    return calendar.join(df.select(month).distinct(), month, "left_anti")
+def missing_months(df: DataFrame, month: str = "fecha", *keys: str) -> DataFrame:
+    """Months between the first and the last that have no row; with ``keys``, of each of their series."""
+    span = df.groupBy(*keys).agg(F.min(month).alias("a"), F.max(month).alias("b")).where("a is not null")
+    calendar = span.select(*keys, F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias(month))
+    return calendar.join(df.select(*keys, month).distinct(), [*keys, month], "left_anti")
 
 
 def canonical_labels(df: DataFrame, key: str, label: str) -> DataFrame:
@@ -91,6 +95,7 @@ def concentration(df: DataFrame, key: str, group: str, share: float = 0.8) -> Da
 
 
 def units_pivot(df: DataFrame, products: list[str]) -> DataFrame:
+    """Units by month, one column for each of ``products``, which the caller knows to be few."""
     return df.groupBy("fecha").pivot("producto", products).agg(F.sum("unidades")).na.fill(0)
 
 

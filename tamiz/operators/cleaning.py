@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tamiz.functions import dates, money, text
 from tamiz.operators import structure
 
+# Name tokens, columns and penalties.
 MONEY = ("monto", "precio", "total", "amount", "price")
 CAR_DROPS = ["make", "model", "trim", "body", "vin", "state", "color", "interior", "seller", "saledate", "Unnamed: 0"]
 CAR_COLUMNS = ["year", "transmission", "condition", "odometer", "mmr", "sellingprice"]
@@ -72,9 +73,9 @@ def clean_transactional(df: DataFrame) -> DataFrame:
         elif _is_product(c):
             out |= {c: x, f"{c}_normalized": text.normalize_product(x)}
         elif "fecha" in c or "date" in c:
-            parsed[p] = dates.parse_date(x.cast("string"))
+            parsed[p] = dates.as_date(x, dict(df.dtypes)[c])
             out[c] = F.col(p)
-            marks.append((F.col(p).isNull() & ~F.trim(x.cast("string")).isin("", "nan", "None"), f"invalid_date_{c}"))
+            marks.append((F.col(p).isNull() & x.isNotNull() & ~F.trim(x.cast("string")).isin("", "nan", "None"), f"invalid_date_{c}"))
         elif any(k in c for k in MONEY):
             parsed[p] = money.parse_price(x.cast("string"))
             out |= {c: F.coalesce(F.col(p), F.lit(0.0)), f"{c}_original": x, f"{c}_currency": money.detect_currency(x.cast("string"))}
@@ -157,6 +158,7 @@ class Cleaner:
     clean: Callable[[DataFrame], DataFrame]
 
 
+# Columns by which a table is known.
 _RETAIL = ({"periodo", "unidades", "venta", "comuna"}, {"grupoclientes", "codigodelcliente", "descripcionproducto2", "costoproducto", "tipodereposicion", "region"})
 _TOKENS = ("monto", "precio", "total", "amount", "price", "fecha", "date", "estado", "status", "id_", "_id", "codigo", "trx", "folio", "transaccion")
 

@@ -7,12 +7,17 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamiz.operators import statistics
+
 #: The widest integers that an INT and a BIGINT hold.
 INT_MAX, BIGINT_MAX = 2**31 - 1, 2**63 - 1
 
 
 def preload_guard(df: DataFrame, bigints: list[str] = (), longest: int = 1_000_000, largest: float = 1e28) -> DataFrame:
-    """Infinite, not-a-number and too large values become null, integers out of range too; texts are cut."""
+    """Infinite, not-a-number and too large values become null, integers out of range too.
+
+    Texts are cut at ``longest`` characters, as a fixed-width load asks; a caller who loads elsewhere sets it.
+    """
     out = []
     for c, t in df.dtypes:
         x = F.col(c)
@@ -31,14 +36,15 @@ def _is_key_name(name: str) -> bool:
 
 
 def audit(df: DataFrame, name: str) -> DataFrame:
-    """One row a column: nulls, distinct values and the figures that fit its type, all from one aggregate."""
+    """One row a column: nulls, distinct values and the figures that fit its type, from one aggregate and the
+    exact distinct counts."""
     aggs, kinds = [F.count("*").alias("_rows")], {}
     for c, t in df.dtypes:
         x = F.col(f"`{c}`")
         numeric, dated = t in ("int", "bigint", "smallint", "double", "float") or t.startswith("decimal"), t in ("date", "timestamp", "timestamp_ntz")
         none = F.lit(None)
         figures = {
-            "nulls": F.count_if(x.isNull()), "uniques": F.count_distinct(x),
+            "nulls": F.count_if(x.isNull()),
             "low": F.min(x.cast("double")) if numeric else F.any_value(none.cast("double")), "high": F.max(x.cast("double")) if numeric else F.any_value(none.cast("double")),
             "longest": F.max(F.length(x)).cast("long") if t == "string" else F.any_value(none.cast("long")),
             "negatives": F.count_if(x < 0) if numeric else F.any_value(none.cast("long")),
@@ -51,6 +57,7 @@ def audit(df: DataFrame, name: str) -> DataFrame:
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("kind"), F.col(f"_{i}").alias("f")) for i, (c, t) in enumerate(kinds.items(), 1)])
     tall = wide.select(F.col("_rows").alias("n_rows"), F.explode(rows).alias("r")).select(F.lit(name).alias("table_name"), "n_rows", "r.column_name", "r.kind", "r.f.*")
+    tall = tall.join(F.broadcast(statistics.distinct_table(df, df.columns)), "column_name")  # one row a column
     tall = tall.withColumn("null_pct", F.when(F.col("n_rows") > 0, F.round(F.col("nulls") * 100 / F.col("n_rows"), 4)).otherwise(0.0))
     named = F.lower("column_name").rlike("(key|_id|id)$")
     whole = named & (F.col("nulls") == 0)
@@ -203,6 +210,14 @@ def schema_drift(first: DataFrame, other: DataFrame) -> DataFrame:
     return a.join(b, "column_name", "full").withColumn("change", change).where("change is not null")
 
 
+def schema_drift_cells(first: DataFrame, other: DataFrame) -> DataFrame:
+    """``schema_drift`` with the filled cells of each column in either file, null where it has none."""
+    count = lambda df, name: df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias(name)) for c in df.columns])).alias("r")).select("r.*")
+    found = schema_drift(first, other)
+    return found.join(count(first, "cells_was"), "column_name", "left").join(count(other, "cells_is"), "column_name", "left")
+
+
 def pascal_keys(columns: list[str]) -> dict[str, str]:
     """product_key, Datekey → ProductKey, DateKey."""
     return {c: "".join(w.capitalize() for w in re.sub("(?i)_?key$", "", c).split("_")) + "Key" for c in columns if re.search("key$", c, re.I)}

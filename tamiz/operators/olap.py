@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamiz.operators import statistics
+
 #: A level of a hierarchy has at least this many times the values of the level above.
 LEVEL_RATIO = 1.5
 
@@ -41,7 +43,7 @@ def hierarchies(df: DataFrame, keys: list[str]) -> DataFrame:
         if c not in keys:
             families.setdefault(c.split("_")[0], []).append(c)
     columns = [c for group in families.values() if len(group) > 1 for c in group]
-    counts = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first().asDict() if columns else {}
+    counts = statistics.distinct_counts(df, columns)
     rows = []
     for family, group in families.items():
         levels: list[str] = []
@@ -85,9 +87,12 @@ def last_nonempty(df: DataFrame, by: list[str], value: str, when: str) -> DataFr
 
 
 def self_check(df: DataFrame, levels: list[str], measure: str) -> DataFrame:
-    """The detail's total against the total of each level's rollup."""
-    out = df.agg(F.sum(measure).alias("total")).select(F.lit("detail").alias("level"), "total")
-    for level in levels:
-        one = df.groupBy(level).agg(F.sum(measure).alias("t")).agg(F.sum("t").alias("total"))
-        out = out.unionByName(one.select(F.lit(level).alias("level"), "total"))
-    return out
+    """The detail's total against the total of each level's rollup, by grouping sets in one pass over the rows."""
+    view = df.select(*levels, F.col(measure).alias("_m"))
+    names, sets = ", ".join(levels), ", ".join(["()", *[f"({c})" for c in levels]])
+    groups = df.sparkSession.sql(f"SELECT grouping_id({names}) AS _g, sum(_m) AS t FROM {{view}} GROUP BY {names} GROUPING SETS ({sets})", view=view)
+    all_ones = 2 ** len(levels) - 1
+    level = F.when(F.col("_g") == all_ones, "detail")
+    for i, c in enumerate(levels):
+        level = level.when(F.col("_g") == all_ones - 2 ** (len(levels) - 1 - i), c)
+    return groups.groupBy(level.alias("level")).agg(F.sum("t").alias("total"))

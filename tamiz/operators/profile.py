@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.functions import dates
+from tamiz.operators import statistics
+from tamiz.operators.stage import staged
 
 # Limits and name tokens of roles.
 IDENTIFIER_RATIO, DIMENSION_VALUES, DIMENSION_RATIO, CODE_VALUES, CODE_RATIO, DATE_SHARE = 0.92, 200, 0.5, 12, 0.01, 0.9
@@ -31,17 +33,20 @@ def is_internal(name: str) -> bool:
 
 
 def column_roles(df: DataFrame) -> DataFrame:
-    """(column, kind, nulls, uniques, unique_ratio, role, total) from one aggregate over all columns."""
+    """(column, kind, nulls, uniques, unique_ratio, role, total): one aggregate over all columns, then the exact
+    distinct counts."""
     aggs = []
     for i, (c, t) in enumerate(df.dtypes):
         x = F.col(f"`{c}`")
         dated = F.count_if(dates.parse_date(x).isNotNull()) if t == "string" and name_has(c, DATE_TOKENS) else F.any_value(F.lit(0).cast("long"))
         aggs.append(F.struct(
-            F.count_if(x.isNull()).alias("nulls"), F.count_distinct(x).alias("uniques"), F.min(x.cast("string")).alias("low"), F.max(x.cast("string")).alias("high"), dated.alias("dated"),
+            F.count_if(x.isNull()).alias("nulls"), F.approx_count_distinct(x, statistics.SKETCH_ERROR).alias("sketch"), F.min(x.cast("string")).alias("low"), F.max(x.cast("string")).alias("high"), dated.alias("dated"),
             (F.sum(x.cast("double")) if t in NUMERIC else F.any_value(F.lit(None).cast("double"))).alias("total")).alias(f"_{i}"))
-    wide = df.agg(F.count("*").alias("rows"), *aggs)
+    wide = staged(df.agg(F.count("*").alias("rows"), *aggs))  # one row
+    told = wide.select(*[F.col(f"_{i}.sketch").alias(f"_{i}") for i in range(len(df.columns))]).first()
+    uniques = statistics.distinct_table(df, df.columns, dict(zip(df.columns, told)))
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("kind"), F.lit(name_has(c, DATE_TOKENS)).alias("date_name"), F.lit(name_has(c, ID_TOKENS)).alias("id_name"), F.lit(is_internal(c)).alias("internal"), F.col(f"_{i}").alias("f")) for i, (c, t) in enumerate(df.dtypes)])
-    tall = wide.select("rows", F.explode(rows).alias("r")).select("rows", "r.column_name", "r.kind", "r.date_name", "r.id_name", "r.internal", "r.f.*")
+    tall = wide.select("rows", F.explode(rows).alias("r")).select("rows", "r.column_name", "r.kind", "r.date_name", "r.id_name", "r.internal", "r.f.*").join(F.broadcast(uniques), "column_name")  # one row a column
     filled, numeric = F.col("rows") - F.col("nulls"), F.col("kind").isin(*NUMERIC)
     ratio = F.when(filled > 0, F.col("uniques") / filled).otherwise(0.0)
     role = (
@@ -73,19 +78,25 @@ def value_counts(df: DataFrame, column: str, n: int = 10) -> DataFrame:
 
 def numeric_stats(df: DataFrame, column: str) -> DataFrame:
     x = F.col(column).cast("double")
-    return df.agg(F.min(x).alias("low"), F.max(x).alias("high"), F.round(F.avg(x), 6).alias("mean"), F.round(F.sum(x), 4).alias("total"), F.median(x).alias("median"), F.count_if(x < 0).alias("negatives"), F.count_if(x == 0).alias("zeros"))
+    return df.agg(F.min(x).alias("low"), F.max(x).alias("high"), F.round(F.avg(x), 6).alias("mean"), F.round(F.sum(x), 4).alias("total"), F.lit(statistics.quantiles(df, {"median": (x, 0.5)})["median"]).cast("double").alias("median"), F.count_if(x < 0).alias("negatives"), F.count_if(x == 0).alias("zeros"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 24) -> DataFrame:
     """Counts of equal bins between the 1st and 99th percentile, empty ones included; no row for fewer
     than ten values or three distinct ones."""
     x = F.col(column).cast("double")
-    span = df.agg(F.percentile(x, 0.01).alias("a"), F.percentile(x, 0.99).alias("b"), F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.count_distinct(x).alias("d")).where("n >= 10 and d >= 3")
-    span = span.select(F.when(F.col("a") == F.col("b"), F.col("lo")).otherwise(F.col("a")).alias("a"), F.when(F.col("a") == F.col("b"), F.col("hi")).otherwise(F.col("b")).alias("b")).withColumn("w", (F.col("b") - F.col("a")) / bins)
-    inside = df.select(x.alias("_x")).crossJoin(F.broadcast(span)).where("_x between a and b")
-    counts = inside.groupBy(F.least(F.floor((F.col("_x") - F.col("a")) / F.col("w")), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    frame = span.select("a", "w", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return frame.join(counts, "bin", "left").select("bin", F.round(F.col("a") + F.col("w") * F.col("bin"), 2).alias("low"), F.coalesce("n", F.lit(0)).alias("n"))
+    ends = statistics.quantiles(df, {"a": (x, 0.01), "b": (x, 0.99), "lo": (x, 0.0), "hi": (x, 1.0)})
+    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    if ends["lo"] is None:
+        return frame.select("bin", F.lit(None).cast("double").alias("low"), F.lit(0).cast("long").alias("n")).limit(0)
+    # Three distinct values are two ends and something between them.
+    n = df.agg(F.count(x).alias("n"), F.count_if((x > ends["lo"]) & (x < ends["hi"])).alias("between")).first()
+    a, b = (ends["a"], ends["b"]) if ends["a"] != ends["b"] else (ends["lo"], ends["hi"])
+    w = (b - a) / bins
+    inside = df.select(x.alias("_x")).where(F.col("_x").between(a, b))
+    counts = inside.groupBy(F.least(F.floor((F.col("_x") - a) / w), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n")) if w else inside.groupBy(F.lit(0).alias("bin")).agg(F.count("*").alias("n"))
+    out = frame.join(F.broadcast(counts), "bin", "left").select("bin", F.round(F.lit(a) + F.lit(w) * F.col("bin"), 2).alias("low"), F.coalesce("n", F.lit(0)).alias("n"))
+    return out if n["n"] >= 10 and n["between"] else out.limit(0)
 
 
 def grain(first, last) -> str:
@@ -123,11 +134,19 @@ def scatter(df: DataFrame, by: str, x: str, y: str, n: int = 120) -> DataFrame:
 
 
 def redundant_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairs of columns that stand for each other: as many pairs of values as values of either; one aggregate."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    wide = df.agg(*[F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit("\0"))).alias(f"_{c}") for c in columns], *[F.count_distinct(F.struct(a, b)).alias(f"_{a}_{b}") for a, b in pairs])
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), ((F.col(f"_{a}_{b}") == F.col(f"_{a}")) & (F.col(f"_{a}_{b}") == F.col(f"_{b}"))).alias("same")) for a, b in pairs])
-    return wide.select(F.explode(rows).alias("r")).where("r.same").select("r.a", "r.b")
+    """Pairs of columns that stand for each other: as many pairs of values as values of either; null is a value.
+
+    Sketches leave out the pairs of columns whose numbers of values differ clearly; the rest is counted exactly.
+    """
+    filled = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(c) for c in columns])
+    told = dict(zip(columns, filled.agg(*statistics.sketches(columns)).first()))
+    far = 10 * statistics.SKETCH_ERROR
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :] if abs(told[a] - told[b]) <= far * max(told[a], told[b])]
+    single = statistics.distinct_counts(filled, sorted({c for p in pairs for c in p}), told)
+    pairs = [(a, b) for a, b in pairs if single[a] == single[b]]
+    both = filled.select(*[F.struct(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    n = statistics.distinct_counts(both, both.columns) if pairs else {}
+    return df.sparkSession.createDataFrame([(a, b) for i, (a, b) in enumerate(pairs) if n[f"{i}"] == single[a]], "a string, b string")
 
 
 def dimension_score(uniques: Column, name: Column) -> Column:
@@ -138,7 +157,7 @@ def dimension_score(uniques: Column, name: Column) -> Column:
 
 def insights(df: DataFrame) -> dict[str, DataFrame]:
     """Profile, series, breakdowns, histogram and scatter of a data set, each a DataFrame."""
-    roles = column_roles(df).cache()
+    roles = staged(column_roles(df))
     ranked = dataset_profile(roles)
     pick = lambda role, n: [r["column_name"] for r in ranked.where((F.col("role") == role) & (F.col("place") <= n)).orderBy("place").collect()]  # noqa: E731  columns, not rows
     day, measures, dims = pick("date", 1), pick("measure", 3), pick("dimension", 6)

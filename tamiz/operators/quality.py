@@ -8,6 +8,8 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.operators import statistics
+
 #: Above this many distinct values a column is high-cardinality and counted no further.
 DISTINCT_CAP = 50_000
 # Type changes that only widen.
@@ -23,7 +25,7 @@ def _tall(df: DataFrame, figures) -> DataFrame:
 
 
 def detect_schema(df: DataFrame) -> DataFrame:
-    out = _tall(df, lambda x: {"nulls": F.count_if(x.isNull()), "uniques": F.count_distinct(x)})
+    out = _tall(df, lambda x: {"nulls": F.count_if(x.isNull())}).join(F.broadcast(statistics.distinct_table(df, df.columns)), "column_name")  # one row a column
     ratio = lambda a: F.when(F.col("n_rows") > 0, F.round(a / F.col("n_rows"), 6)).otherwise(0.0)
     key = (F.col("uniques") == F.col("n_rows")) & (F.col("nulls") == 0)
     return out.select("column_name", "kind", ratio(F.col("nulls")).alias("null_ratio"), ratio(F.col("uniques")).alias("unique_ratio"), key.alias("candidate_key"))
@@ -38,9 +40,8 @@ def null_profile(df: DataFrame) -> DataFrame:
 def capped_distinct(df: DataFrame, cap: int = DISTINCT_CAP) -> DataFrame:
     """Distinct values, exact up to ``cap``. A sketch first tells the columns that are far above, which
     the exact count then leaves out."""
-    sketch = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(c) for c in df.columns]).first()
-    low = [c for c in df.columns if sketch[c] <= 1.2 * cap]
-    exact = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in low]).first().asDict() if low else {}
+    sketch = dict(zip(df.columns, df.agg(*statistics.sketches(df.columns)).first()))
+    exact = statistics.distinct_counts(df, [c for c in df.columns if sketch[c] <= 1.2 * cap], sketch)
     rows = [(c, str(exact[c]) if exact.get(c, cap + 1) <= cap else f">{cap}", exact.get(c, cap + 1) > cap) for c in df.columns]
     return df.sparkSession.createDataFrame(rows, "column_name string, uniques string, high_cardinality boolean")
 
@@ -52,6 +53,7 @@ def flag_breakdown(df: DataFrame, flags: str = "data_quality_flags") -> DataFram
 
 
 def score_distribution(df: DataFrame, score: str = "quality_score", least: int = 50) -> DataFrame:
+    """Scores are whole numbers from 0 to 100, so a percentile's buffer holds as many values at most."""
     x = F.col(score)
     at = lambda p: F.percentile(x, p).cast("double")
     return df.agg(
@@ -77,6 +79,15 @@ def fingerprint(df: DataFrame) -> str:
     return hashlib.sha256(json.dumps(sorted(df.dtypes)).encode()).hexdigest()[:16]
 
 
+def drift_cells(frozen: DataFrame, current: DataFrame) -> DataFrame:
+    """``drift`` with ``cells``: how many filled cells a change concerns, of the frozen table where the column
+    is missing now, else of the current one."""
+    filled = lambda df, gone: null_profile(df).select("column_name", F.col("non_null").alias("cells"), F.lit(gone).alias("gone"))
+    both = filled(frozen, True).unionByName(filled(current, False))
+    found = drift(frozen, current).withColumn("gone", F.col("change") == "missing")
+    return found.join(both, ["column_name", "gone"]).drop("gone")
+
+
 def freeze(df: DataFrame) -> str:
     return df.schema.json()
 

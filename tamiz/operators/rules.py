@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACTIONS = ("warn", "quarantine", "fail")
@@ -29,14 +31,30 @@ class RuleSet:
     required: tuple[str, ...] = ()
     rules: tuple[Rule, ...] = field(default=())
 
+    @staticmethod
+    def from_file(path: str) -> RuleSet:
+        """From a rule file, JSON or YAML by its ending. It is a file of the driver, as all settings."""
+        with open(path, encoding="utf-8") as f:
+            if path.endswith(".json"):
+                return RuleSet.from_dict(json.load(f))
+            import yaml  # only needed for YAML files
+
+            return RuleSet.from_dict(yaml.safe_load(f) or {})
+
+    @staticmethod
+    def for_dataset(dataset: str, folder: str) -> RuleSet | None:
+        """The rules of ``dataset`` in a folder of rule files named like data sets; None if it has none."""
+        found = [p for end in (".yaml", ".yml", ".json") if os.path.exists(p := os.path.join(folder, dataset + end))]
+        return RuleSet.from_file(found[0]) if found else None
+
     @staticmethod
     def from_dict(spec: dict) -> RuleSet:
-        """From the mapping of a YAML file."""
+        """From the mapping of a rule file."""
         made = [
             Rule(r["name"], r["column"], r["type"], r.get("on_violation", "warn"), r.get("min"), r.get("max"), tuple(r.get("values", ())), r.get("pattern", ""), r.get("dtype", ""))
             for r in spec.get("rules", [])
         ]
-        return RuleSet(spec["dataset"], tuple(spec.get("required_columns", ())), tuple(made))
+        return RuleSet(spec.get("dataset", "unknown"), tuple(spec.get("required_columns", ())), tuple(made))
 
 
 def violation(rule: Rule) -> Column | None:
@@ -144,5 +162,10 @@ def gate(extracted: DataFrame, cleaned: DataFrame, quarantined: DataFrame, thres
 
 
 def members_of_duplicates(df: DataFrame, columns: list[str]) -> DataFrame:
-    """All rows whose key occurs more than once, by a window."""
-    return df.withColumn("_n", F.count("*").over(Window.partitionBy(*columns))).where("_n > 1").drop("_n")
+    """All rows whose key occurs more than once; nulls are equal. Keys are counted before the shuffle, and
+    only the repeated ones meet their rows."""
+    again = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)]).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    same = F.lit(True)
+    for i, c in enumerate(columns):
+        same = same & df[c].eqNullSafe(F.col(f"_{i}"))
+    return df.join(again, same, "left_semi")

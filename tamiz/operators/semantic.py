@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions import dates, money, text
+from tamiz.operators import statistics
+from tamiz.operators.stage import staged
 
 # Exchange rates, bounds of domains, and name tokens.
 RATES = {"USD": 950.0, "EUR": 1050.0}
@@ -24,38 +26,40 @@ def named(df: DataFrame, tokens: tuple[str, ...]) -> list[str]:
 
 def infer_currency(df: DataFrame, currency: str, amount: str, out: str, default: str = BASE) -> DataFrame:
     """Rows without a currency get the column's own, where one ($ is one too) is explicit in more than 80% of
-    the labelled rows; but a foreign one is not spread over amounts whose median is local. One row of statistics is broadcast."""
-    codes, x = ["CLP", "USD", "EUR", "GBP", "MXN", "ARS", "BRL", "$"], F.col(currency)
-    stats = df.agg(
-        F.count(x).alias("_labelled"), F.mode(x, True).alias("_top"), F.median(F.when(x.isNull(), F.col(amount))).alias("_median"),
-        *[F.count_if(x == c).alias(f"_n{i}") for i, c in enumerate(codes)])
-    most = F.greatest(*[F.col(f"_n{i}") for i in range(len(codes))])
-    spread = F.when((F.col("_labelled") > 0) & (most / F.col("_labelled") > 0.8), F.when(F.col("_top").isin("USD", "EUR") & (F.col("_median") > 5000), F.lit(default)).otherwise(F.col("_top"))).otherwise(F.lit(default))
-    stats = stats.select(spread.alias("_spread"))
-    return df.crossJoin(F.broadcast(stats)).withColumn(out, F.coalesce(x, F.col("_spread"))).drop("_spread")
+    the labelled rows; but a foreign one is not spread over amounts whose median is local."""
+    x = F.col(currency)
+    counts = df.where(x.isNotNull()).groupBy(x.alias("code")).agg(F.count("*").alias("n"))  # one row a currency
+    told = counts.agg(F.sum("n").alias("all"), F.max(F.struct("n", "code")).alias("most")).first()
+    spread = default
+    if told["all"] and told["most"]["n"] / told["all"] > 0.8:
+        spread = told["most"]["code"]
+        if spread in ("USD", "EUR"):
+            middle = statistics.quantiles(df, {"m": (F.when(x.isNull(), F.col(amount)), 0.5)})["m"]
+            spread = default if middle is not None and middle > 5000 else spread
+    return df.withColumn(out, F.coalesce(x, F.lit(spread)))
 
 
 def normalize_scale(df: DataFrame, amount: str, out: str, low: float, high: float, currency: str | None = None, domain: str | None = None, scale_down: bool = True) -> DataFrame:
     """Amounts a thousand times too small or large against the column's anchor are moved by 1000.
 
-    The anchor is the median of in-range, in-domain values within the Tukey fence. Two small aggregates
-    make it; a row's correction holds only if it comes nearer to the anchor (in logarithms) and stays
+    The anchor is the median of in-range, in-domain values within the Tukey fence, by exact quantiles of the
+    column, so ``df`` should be cheap to read; a row's correction holds only if it comes nearer to the anchor (in logarithms) and stays
     within a hundredth and a hundred times of it. Adds ``out`` and ``<out>_scaled``.
     """
     x = F.col(amount)
     usable = x.isNotNull() & (x > 0)
     inside = usable & ~F.coalesce(F.col(domain).isin("foreign", "unlikely"), F.lit(False)) if domain else usable
     in_range = inside & x.between(low, high)
-    first = df.agg(
-        F.percentile(F.when(in_range, x), 0.25).alias("_q1"), F.percentile(F.when(in_range, x), 0.75).alias("_q3"), F.coalesce(F.stddev_samp(F.when(in_range, x)), F.lit(1.0)).alias("_sd"),
-        F.median(F.when(in_range, x)).alias("_in_range"), F.median(F.when(inside, x)).alias("_overall"))
-    iqr = F.col("_q3") - F.col("_q1")
-    width = F.when(iqr == 0, F.when(F.col("_sd") == 0, 1.0).otherwise(F.col("_sd"))).otherwise(iqr)
-    first = first.select("*", F.greatest(F.col("_q1") - 1.5 * width, F.lit(low)).alias("_from"), F.least(F.col("_q3") + 1.5 * width, F.lit(high)).alias("_to"))
-    fenced = df.crossJoin(F.broadcast(first))
-    anchor = fenced.agg(F.median(F.when(inside & x.between(F.col("_from"), F.col("_to")), x)).alias("_fence"), F.any_value("_in_range").alias("_r"), F.any_value("_overall").alias("_o"))
-    anchor = anchor.select(F.coalesce("_fence", "_r", "_o").alias("_anchor"))
-    a = F.col("_anchor")
+    some = F.when(in_range, x)
+    told = statistics.quantiles(df, {"q1": (some, 0.25), "q3": (some, 0.75), "in_range": (some, 0.5), "overall": (F.when(inside, x), 0.5)})
+    anchor = told["overall"]
+    if told["q1"] is not None:
+        sd = df.agg(F.stddev_samp(some)).first()[0]
+        width = told["q3"] - told["q1"] or (1.0 if sd is None else sd) or 1.0
+        fence = inside & x.between(max(told["q1"] - 1.5 * width, low), min(told["q3"] + 1.5 * width, high))
+        fenced = statistics.quantiles(df, {"m": (F.when(fence, x), 0.5)})["m"]
+        anchor = told["in_range"] if fenced is None else fenced
+    a = F.lit(anchor).cast("double")
     factor = F.when(x < a / 20, 1000.0)
     factor = factor.when(x > a * 20, 0.001) if scale_down else factor
     factor = factor.otherwise(1.0)
@@ -64,7 +68,7 @@ def normalize_scale(df: DataFrame, amount: str, out: str, low: float, high: floa
     moved = x * factor
     nearer = F.abs(F.ln(moved) - F.ln(a)) < F.abs(F.ln(x) - F.ln(a))
     takes = F.coalesce(inside & (factor != 1.0) & nearer & moved.between(a / 100, a * 100), F.lit(False))
-    return df.crossJoin(F.broadcast(anchor)).withColumns({out: F.when(takes, moved).otherwise(x), f"{out}_scaled": takes}).drop("_anchor")
+    return df.withColumns({out: F.when(takes, moved).otherwise(x), f"{out}_scaled": takes})
 
 
 def scale_report(df: DataFrame, amount: str, scaled: str) -> DataFrame:
@@ -91,7 +95,8 @@ def normalize_money(df: DataFrame, target: str, domain: str | None = None) -> Da
     shipping = any(k in target.lower() for k in SHIPPING)
     low, high = (1000.0, 50000.0) if shipping else (5000.0, 5000000.0)
     raw = F.col(target).cast("string")
-    df = df.withColumns({f"{target}_parsed": money.parse_money_text(raw), "_code": money.extract_currency(raw)})
+    # Texts are parsed once; the statistics below read the stored columns.
+    df = staged(df.withColumns({f"{target}_parsed": money.parse_money_text(raw), "_code": money.extract_currency(raw)}))
     df = infer_currency(df, "_code", f"{target}_parsed", f"{target}_moneda_origen")
     df = normalize_scale(df, f"{target}_parsed", f"{target}_monto_origen", low, high, f"{target}_moneda_origen", domain, not shipping)
     amount, code = exchange(F.col(f"{target}_monto_origen"), F.col(f"{target}_moneda_origen"))

@@ -18,6 +18,7 @@ _K = "CAST(o_orderkey AS STRING)"
 _Y, _M, _D = "CAST(year(o_orderdate) AS STRING)", "lpad(CAST(month(o_orderdate) AS STRING), 2, '0')", "lpad(CAST(day(o_orderdate) AS STRING), 2, '0')"
 _A = "CAST(floor(o_totalprice) AS BIGINT)"
 _DOTTED = f"CAST(CAST(({_A} - {_A} % 1000) / 1000 AS BIGINT) AS STRING) || '.' || lpad(CAST({_A} % 1000 AS STRING), 3, '0')"
+_NAME = "CASE month(o_orderdate) WHEN 1 THEN 'January' WHEN 2 THEN 'February' WHEN 3 THEN 'March' WHEN 4 THEN 'April' WHEN 5 THEN 'May' WHEN 6 THEN 'June' WHEN 7 THEN 'July' WHEN 8 THEN 'August' WHEN 9 THEN 'September' WHEN 10 THEN 'October' WHEN 11 THEN 'November' ELSE 'December' END"
 
 DERIVED = {
     "dirty_sales": f"""
@@ -81,9 +82,20 @@ FROM {part}""",
     "lineitem_broken": """
 SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 97 = 0 THEN -l_partkey - 1 WHEN l_partkey % 89 = 0 THEN NULL ELSE l_partkey END AS l_partkey, l_suppkey, l_quantity FROM {lineitem}""",
 }
+DERIVED["noted_dates"] = f"""
+SELECT o_orderkey AS row_no, o_orderdate AS stamp, CASE o_orderkey % 12 WHEN 0 THEN CAST(day(o_orderdate) AS STRING) || '/' || CAST(month(o_orderdate) AS STRING) || '/' || {_Y}
+  WHEN 1 THEN {_Y} || '-' || {_M} || '-' || {_D} || ' 10:30:00' WHEN 2 THEN {_Y} || '-' || {_M} || '-' || {_D} || 'T23:59:59Z' WHEN 3 THEN {_D} || '.' || {_M} || '.' || {_Y}
+  WHEN 4 THEN CAST(day(o_orderdate) AS STRING) || ' ' || {_NAME} || ' ' || {_Y} WHEN 5 THEN {_NAME} || ' ' || CAST(day(o_orderdate) AS STRING) || ', ' || {_Y}
+  WHEN 6 THEN {_Y} || {_M} || {_D} WHEN 7 THEN {_D} || '-' || {_M} || '-' || {_Y} || ' 7:05' WHEN 8 THEN CAST(day(o_orderdate) AS STRING) || '-' || CAST(month(o_orderdate) AS STRING) || '-' || substr({_Y}, 3, 2)
+  WHEN 9 THEN {_Y} || '/' || {_M} || '/' || {_D} || ' 25:00' WHEN 10 THEN '31/02/' || {_Y} ELSE {_D} || ' ' || {_M} || ' ' || {_Y} END AS fecha
+FROM {{orders}}"""
 DERIVED["titles"] = DERIVED["titles"].replace('"', "")
 
 
+#: Derived tables whose texts are parsed by most queries over them.
+PARSED = {"dirty_sales", "retail", "noted_dates"}
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt to all cores where it has fewer splits than cores, as parsing texts takes more than
     moving them; a table of many splits stays as it is."""
@@ -97,7 +109,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     given = set(re.findall(r"\{(\w+)\}", DERIVED[name]))
     text = DERIVED[name].replace("\\", "\\\\") if name == "titles" else DERIVED[name]
-    return spark.sql(text, **{t: spread(table(spark, sf_dir, t)) if t == "orders" else table(spark, sf_dir, t) for t in given})
+    return spark.sql(text, **{t: spread(table(spark, sf_dir, t)) if t == "orders" and name in PARSED else table(spark, sf_dir, t) for t in given})
 
 
 def oracle(views: list[str] | str, body: str) -> str:

@@ -50,7 +50,7 @@ def run(spark: SparkSession, source: str, out: str, run_id: str, rulesets: dict[
             valid, rejected, violations = process(table.df, name, (rulesets or {}).get(name))
             path = sinks.run_path(out, run_id, name)
             sinks.write_parquet(valid, f"{path}/clean")
-            sinks.quarantine(rejected, f"{path}/quarantine", "score or rule")
+            sinks.quarantine(rejected, f"{path}/quarantine", "score-or-rule")
             done.tables[name] = spark.read.parquet(f"{path}/clean")
             frames[name] = (table.df, done.tables[name], spark.read.parquet(f"{path}/quarantine"))
             if violations is not None:

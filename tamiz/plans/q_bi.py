@@ -50,9 +50,9 @@ def _(s):
     return m.join(before, ["anio", "mes"], "left").select("anio", "mes", "venta", F.round((F.col("venta") / F.col("b") - 1) * 100, 6).alias("yoy"))
 
 
-@query("a5_missing_months", M, "SELECT strftime(x, '%Y-%m-%d') AS month FROM (SELECT unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS x FROM monthly WHERE series_id LIKE '%1') WHERE CAST(x AS DATE) NOT IN (SELECT month FROM monthly WHERE series_id LIKE '%1')")
+@query("a5_missing_months", M, "SELECT series_id, strftime(x, '%Y-%m-%d') AS month FROM (SELECT series_id, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS x FROM monthly GROUP BY series_id) WHERE (series_id, CAST(x AS DATE)) NOT IN (SELECT (series_id, month) FROM monthly)")
 def _(m):
-    return bi.missing_months(m.where("series_id like '%1'"), "month").select(F.date_format("month", "yyyy-MM-dd").alias("month"))
+    return bi.missing_months(m, "month", "series_id").select("series_id", F.date_format("month", "yyyy-MM-dd").alias("month"))
 
 
 @query("a6_canonical_labels", S, "WITH c AS (SELECT cliente_codigo, cliente_nombre, count(*) AS n FROM sales WHERE cliente_codigo IS NOT NULL GROUP BY ALL) SELECT cliente_codigo, arg_min(cliente_nombre, (-n, cliente_nombre)) AS cliente_nombre, count(*) AS n_labels FROM c GROUP BY cliente_codigo")
@@ -93,10 +93,14 @@ def _(s):
     return brands.withColumn("c", F.sum("venta").over(w)).crossJoin(F.broadcast(total)).select("familia", "venta", F.round(F.col("c") / F.col("t") * 100, 6).alias("cumulative"))
 
 
-@query("a10_units_pivot", S, "SELECT strftime(fecha, '%Y-%m-%d') AS fecha, CAST(coalesce(sum(CASE WHEN producto = 'small ring' THEN unidades END), 0) AS BIGINT) AS small_ring, CAST(coalesce(sum(CASE WHEN producto = 'blue bolt' THEN unidades END), 0) AS BIGINT) AS blue_bolt FROM sales GROUP BY 1")
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("a10_units_pivot", S, "SELECT strftime(fecha, '%Y-%m-%d') AS fecha, " + ", ".join(f"CAST(coalesce(sum(CASE WHEN grupo_cliente = '{g}' THEN unidades END), 0) AS BIGINT) AS {g.lower()}" for g in _SEGMENTS) + " FROM sales GROUP BY 1")
 def _(s):
-    out = bi.units_pivot(s, ["small ring", "blue bolt"])
-    return out.select(F.date_format("fecha", "yyyy-MM-dd").alias("fecha"), F.col("small ring").alias("small_ring"), F.col("blue bolt").alias("blue_bolt"))
+    """Units by month and group of clients, which takes every row of the sales into one of its cells."""
+    out = bi.units_pivot(s.select("fecha", F.col("grupo_cliente").alias("producto"), "unidades"), _SEGMENTS)
+    return out.select(F.date_format("fecha", "yyyy-MM-dd").alias("fecha"), *[F.col(g).alias(g.lower()) for g in _SEGMENTS])
 
 
 @query("a11_products_per_year", S, "SELECT anio, count(DISTINCT producto) AS n FROM sales WHERE anio IS NOT NULL GROUP BY anio")

@@ -55,12 +55,32 @@ def _(d):
     return d.select("row_no", F.date_format(day, "yyyy-MM-dd").alias("fecha"), F.coalesce(dates.is_invalid_date(F.col("fecha_venta")), F.lit(False)).alias("is_invalid"))
 
 
+_DAY = "CASE WHEN row_no % 12 IN (9, 10) THEN NULL ELSE strftime(stamp, '%Y-%m-%d') END"
+
+
+@query("t3_noted_dates", "noted_dates", f"SELECT row_no, {_DAY} AS fecha, row_no % 12 IN (9, 10) AS is_invalid FROM noted_dates")
+def _(d):
+    """Unpadded days, times of day, names of months, years of two digits; the 31st of February and an hour of 25 are none."""
+    day = dates.parse_date(F.col("fecha"))
+    return d.select("row_no", F.date_format(day, "yyyy-MM-dd").alias("fecha"), F.coalesce(dates.is_invalid_date(F.col("fecha")), F.lit(False)).alias("is_invalid"))
+
+
+@query("c6_typed_dates", "noted_dates", f"SELECT row_no, strftime(stamp, '%Y-%m-%d') AS fecha_alta, strftime(DATE '1899-12-30' + CAST(45000 + row_no % 700 AS INT), '%Y-%m-%d') AS fecha_serial, {_DAY} AS fecha, CASE WHEN row_no % 12 IN (9, 10) THEN 'invalid_date_fecha' ELSE '' END AS flags FROM noted_dates")
+def _(d):
+    """Typed columns of dates keep their days through the cleaner, serial days become dates, and only texts that are none are flagged."""
+    out = cleaning.clean_transactional(d.select("row_no", F.col("stamp").alias("fecha_alta"), (45000 + F.col("row_no") % 700).alias("fecha_serial"), "fecha"))
+    shown = [F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("fecha_alta", "fecha_serial", "fecha")]
+    return out.select("row_no", *shown, F.array_join("data_quality_flags", ";").alias("flags"))
+
+
 @query("t4_parse_price", D, f"SELECT row_no, {PRICE} AS monto FROM dirty_sales")
 def _(d):
     return d.select("row_no", money.parse_price(F.col("monto")).alias("monto"))
 
 
-@query("t4b_words_to_number", D)
+# Every run of digits is a number of its own to the words' parser, and what touches letters is no word.
+@query("t4b_words_to_number", D, """SELECT row_no, CASE WHEN monto = 'sesenta lucas' THEN CAST(60000 AS DOUBLE) WHEN ends_with(monto, 'k') THEN NULL WHEN ends_with(monto, ' mil') THEN CAST(replace(monto, ' mil', '') AS DOUBLE) * 1000
+ ELSE nullif(list_sum(list_transform(regexp_extract_all(monto, '[0-9]+'), lambda x: CAST(x AS DOUBLE))), 0) END AS value FROM dirty_sales""")
 def _(d):
     return d.select("row_no", money.words_to_number(F.col("monto")).alias("value"))
 
@@ -271,9 +291,9 @@ def _(d):
     return structure.with_key(d, "id_venta").select("row_no", "id_venta")
 
 
-@query("p10_reorder", "nation", "SELECT n_name, CAST(NULL AS VARCHAR) AS missing, n_nationkey FROM nation")
-def _(n):
-    return structure.reordered(n, ["n_name", "missing", "n_nationkey"], strict=True)
+@query("p10_reorder", "customer", "SELECT c_name, CAST(NULL AS VARCHAR) AS missing, c_custkey FROM customer")
+def _(c):
+    return structure.reordered(c, ["c_name", "missing", "c_custkey"], strict=True)
 
 
 @query("p11_clean_text", D, r"SELECT row_no, nullif(trim(regexp_replace(producto, '\s+', ' ', 'g')), '') AS producto FROM dirty_sales")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from tamiz.operators import cleaning, rules
+from tamiz.operators.stage import shared_home
 from tamiz.plans import pipeline
 from tamiz.plans import q_clean as C
 from tamiz.plans.catalog import query
@@ -16,21 +16,19 @@ from tamiz.streaming import streams
 
 
 def _folder(df, name):
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tamiz-")
-    return f"{root.rstrip('/')}/tamiz-queries/{uuid.uuid4().hex}-{name}"
+    return f"{shared_home(df.sparkSession)}/tamiz-queries/{uuid.uuid4().hex}-{name}"
 
 
 D = "dirty_sales"
 
 
-@query("s1_discover_tables", "nation region", "SELECT 'nation' AS table_name, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region")
-def _(n, r):
-    top = _folder(n, "lake")
-    n.write.parquet(f"{top}/nation.parquet")
-    r.write.parquet(f"{top}/region.parquet")
+@query("s1_discover_tables", "customer orders", "SELECT 'customer' AS table_name, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders")
+def _(c, o):
+    top = _folder(c, "lake")
+    c.write.parquet(f"{top}/customer.parquet")
+    o.write.parquet(f"{top}/orders.parquet")
     out = None
-    for name, t in files.discover_tables(n.sparkSession, top).tables.items():
+    for name, t in files.discover_tables(c.sparkSession, top).tables.items():
         one = t.df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
         out = one if out is None else out.unionByName(one)
     return out
@@ -78,19 +76,19 @@ def _(t):
     return files.read_titles(t.sparkSession, path, "title_basics").where("tconst is not null").select("tconst", "startYear", "runtimeMinutes")
 
 
-@query("s10_compatible_union", "orders", "SELECT o_orderkey AS \"Order Key\", o_orderstatus AS \"Estado\", o_totalprice AS \"Total\", 'a' AS hoja_origen FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, NULL, 'b' FROM orders WHERE o_orderkey % 2 = 0")
+@query("s10_compatible_union", "orders", "SELECT o_orderkey AS \"Order Key\", o_orderstatus AS \"Estado\", o_totalprice AS \"Total\", 'a' AS hoja_origen FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, NULL, 'b' FROM orders")
 def _(o):
     a = o.select(F.col("o_orderkey").alias("Order Key"), F.col("o_orderstatus").alias("Estado"), F.col("o_totalprice").alias("Total"))
-    b = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("ESTADO "), F.lit(None).cast("double").alias("total"))
+    b = o.select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("ESTADO "), F.lit(None).cast("double").alias("total"))
     return files.union_parts({"a": a, "b": b, "c": o.select("o_custkey")})[0]
 
 
-@query("s11_range_plan", "orders", "WITH s AS (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0), t AS (SELECT *, CAST(greatest(500, ceil(500 * (b - a + 1) / n::DOUBLE)) AS BIGINT) AS st FROM s) SELECT CAST(g AS INT) AS n, a + g * st AS low, least(a + (g + 1) * st - 1, b) AS high FROM t, generate_series(0, 100000) AS x(g) WHERE a + g * st <= b")
+@query("s11_range_plan", "orders", "WITH s AS (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b, count(*) AS n FROM orders), t AS (SELECT *, CAST(greatest(500, ceil(500 * (b - a + 1) / n::DOUBLE)) AS BIGINT) AS st FROM s) SELECT CAST((x - a) / st AS INT) AS n, x AS low, least(x + st - 1, b) AS high FROM (SELECT *, unnest(generate_series(a, b, st)) AS x FROM t)")
 def _(o):
-    return files.plan_ranges(o.where("o_orderkey % 3 = 0"), "o_orderkey", 500)
+    return files.plan_ranges(o, "o_orderkey", 500)
 
 
-@query("s12_pending_chunks", "orders", "WITH s AS (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders) SELECT CAST(g AS INT) AS n, a + g * 500 AS low, least(a + (g + 1) * 500 - 1, b) AS high FROM s, generate_series(0, 100000) AS x(g) WHERE a + g * 500 <= b AND g % 3 <> 0")
+@query("s12_pending_chunks", "orders", "WITH s AS (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders) SELECT CAST((x - a) / 500 AS INT) AS n, x AS low, least(x + 499, b) AS high FROM (SELECT *, unnest(generate_series(a, b, 500)) AS x FROM s) WHERE CAST((x - a) / 500 AS INT) % 3 <> 0")
 def _(o):
     plan = files.plan_ranges(o, "o_orderkey", 500)
     return files.pending(plan, plan.select("n", F.when(F.col("n") % 3 == 0, "completed").otherwise("failed").alias("status")))
@@ -101,10 +99,10 @@ def _(o):
     return files.ledger_summary(o.select(F.when(F.col("o_orderkey") % 3 == 0, "completed").otherwise("failed").alias("status"), F.col("o_custkey").alias("rows"), (F.col("o_orderkey") % 2).alias("retries"), F.col("o_totalprice").alias("seconds")))
 
 
-@query("s14_sql_views", "nation region", "SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
-def _(n, r):
-    files.register_views(n.sparkSession, {"s14_nation": n, "s14_region": r})
-    return n.sparkSession.sql("SELECT r_name, count(*) AS n FROM s14_nation JOIN s14_region ON n_regionkey = r_regionkey GROUP BY 1")
+@query("s14_sql_views", "orders customer", "SELECT c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
+def _(o, c):
+    files.register_views(o.sparkSession, {"s14_orders": o, "s14_customer": c})
+    return o.sparkSession.sql("SELECT c_mktsegment, count(*) AS n FROM s14_orders JOIN s14_customer ON o_custkey = c_custkey GROUP BY 1")
 
 
 @query("k1_csv_sink", "orders", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus || ';' || o_orderpriority AS flags FROM orders")
@@ -114,11 +112,11 @@ def _(o):
     return o.sparkSession.read.option("header", True).csv(path)
 
 
-@query("k2_parquet_sink", D, "SELECT row_no, CAST(2 AS INT) AS n FROM dirty_sales")
+@query("k2_parquet_sink", D, "SELECT row_no, coalesce(estado, '') || '|' || coalesce(notas_jose, '') AS flags, (SELECT count(*) FROM dirty_sales) AS written FROM dirty_sales")
 def _(d):
     path = _folder(d, "k2")
-    sinks.write_parquet(d.select("row_no", F.array(F.lit("a"), F.lit("b")).alias("flags")), path)
-    return d.sparkSession.read.parquet(path).select("row_no", F.size("flags").alias("n"))
+    written = sinks.write_parquet(d.select("row_no", F.array(F.coalesce("estado", F.lit("")), F.coalesce("notas_jose", F.lit(""))).alias("flags")), path)
+    return d.sparkSession.read.parquet(path).select("row_no", F.array_join("flags", "|").alias("flags"), F.lit(written).cast("long").alias("written"))
 
 
 @query("k3_partitioned_sink", "orders", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
@@ -128,9 +126,13 @@ def _(o):
     return o.sparkSession.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 
-@query("k4_zstd_sink", "orders", "SELECT count(*) > 0 AS ok FROM orders")
+@query("k4_zstd_sink", "orders", "SELECT o_orderkey, o_totalprice, true AS hashed FROM orders")
 def _(o):
-    return sinks.write_zstd(o, _folder(o, "k4")).agg((F.count_if((F.col("bytes") > 0) & (F.length("checksum") == 32)) == F.count("*")).alias("ok"))
+    """The rows read back, each beside whether its file is in the list of checksums."""
+    path = _folder(o, "k4")
+    listed = sinks.write_zstd(o, path).select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), ((F.col("bytes") > 0) & F.col("checksum").rlike("^[0-9a-f]{32}$")).alias("hashed"))
+    rows = o.sparkSession.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("_metadata.file_name").alias("name"))
+    return rows.join(listed, "name", "left").select("o_orderkey", "o_totalprice", F.coalesce("hashed", F.lit(False)).alias("hashed"))
 
 
 @query("k5_quarantine_sink", "orders", "SELECT 'negative' AS reason, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'odd', count(*) FROM orders WHERE o_orderkey % 2 = 1")
@@ -141,12 +143,14 @@ def _(o):
     return o.sparkSession.read.parquet(path).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("k7_run_manifest", "orders", "SELECT 'orders' AS name, count(*) > 0 AS hashed FROM orders")
-def _(o):
-    path = _folder(o, "k7")
-    sinks.write_parquet(o, path)
-    m = sinks.manifest(o.sparkSession, {"orders": path}, {"threshold": "0.05"})
-    return m.select(F.get_json_object("manifest", "$.outputs[0].table_name").alias("name"), (F.length(F.get_json_object("manifest", "$.outputs[0].sha256")) == 64).alias("hashed"))
+@query("k7_run_manifest", "orders customer", "SELECT 'customer' AS name, count(*) AS n, true AS hashed FROM customer UNION ALL SELECT 'orders', count(*), true FROM orders")
+def _(o, c):
+    paths = {name: _folder(df, f"k7-{name}") for name, df in (("orders", o), ("customer", c))}
+    sinks.write_parquet(o, paths["orders"])
+    sinks.write_parquet(c, paths["customer"])
+    outputs = F.from_json(F.get_json_object("manifest", "$.outputs"), "array<struct<table_name:string,rows:long,sha256:string>>")
+    m = sinks.manifest(o.sparkSession, paths, {"threshold": "0.05"}).select(F.explode(outputs).alias("r"))
+    return m.select(F.col("r.table_name").alias("name"), F.col("r.rows").alias("n"), F.col("r.sha256").rlike("^[0-9a-f]{64}$").alias("hashed"))
 
 
 @query("k8_flat_columns", "orders", "SELECT o_orderkey, o_orderstatus || ';' || o_orderpriority AS tags, '{\"a\":' || o_custkey || '}' AS s, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE o_orderstatus END AS maybe FROM orders")
@@ -154,10 +158,10 @@ def _(o):
     return sinks.flat(o.select("o_orderkey", F.array("o_orderstatus", "o_orderpriority").alias("tags"), F.struct(F.col("o_custkey").alias("a")).alias("s"), F.when(F.col("o_orderkey") % 2 == 1, F.array("o_orderstatus")).alias("maybe")))
 
 
-@query("k9_publish", "nation region", "SELECT r_name, n_name FROM nation JOIN region ON n_regionkey = r_regionkey")
-def _(n, r):
-    sinks.publish({"k9_nation": n, "k9_region": r}, _folder(n, "k9"))
-    return n.sparkSession.sql("SELECT r_name, n_name FROM k9_nation JOIN k9_region ON n_regionkey = r_regionkey")
+@query("k9_publish", "part lineitem", "SELECT p_brand, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS units FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def _(p, li):
+    sinks.publish({"k9_part": p, "k9_lineitem": li}, _folder(p, "k9"))
+    return p.sparkSession.sql("SELECT p_brand, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS units FROM k9_lineitem JOIN k9_part ON l_partkey = p_partkey GROUP BY 1")
 
 
 @query("x1_streaming_clean", D, f"SELECT row_no, {C.SCORE} < 50 AS quarantined FROM dirty_sales")
@@ -175,10 +179,8 @@ def _(e):
     e.select(F.col("ts").cast("timestamp").alias("ts"), F.nullif(F.col("event_type"), F.lit("error")).alias("event_type")).write.parquet(f"{top}/in")
     stream = spark.readStream.schema("ts timestamp, event_type string").parquet(f"{top}/in")
     out = streams.hourly_quality(stream, "ts", ["event_type"])
-    # Complete figures go to a folder, batch by batch, and the last one stands.
-    q = out.writeStream.outputMode("complete").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{top}/out")).option("checkpointLocation", f"{top}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{top}/out").select(F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n", "nulls_event_type")
+    streams.write_hourly(out, f"{top}/out", f"{top}/checkpoint")
+    return streams.read_hourly(spark, f"{top}/out").select(F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n", "nulls_event_type")
 
 
 @query("pipeline_dirty_sales", D, f"SELECT CASE WHEN {C.SCORE} < 50 THEN 'quarantined' ELSE 'valid' END AS part, count(*) AS n FROM dirty_sales GROUP BY 1")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tamiz.operators import lake
 from tamiz.plans.catalog import query
+from tamiz.plans.q_files import _folder
 
 _TYPES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz"}
 _TABLES = {
@@ -80,9 +81,9 @@ def _(li):
     return lake.duplicate_keys(li, "l_orderkey")
 
 
-@query("j2_guarded_join", "nation region", "SELECT n_regionkey AS k, n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
-def _(n, r):
-    return lake.guarded_left_join(n.withColumnRenamed("n_regionkey", "k"), r.withColumnRenamed("r_regionkey", "k"), "k")
+@query("j2_guarded_join", "orders customer", "SELECT o_custkey AS k, o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def _(o, c):
+    return lake.guarded_left_join(o.select(F.col("o_custkey").alias("k"), "o_orderkey"), c.select(F.col("c_custkey").alias("k"), "c_name"), "k")
 
 
 _ORPHANS = """WITH lost AS (SELECT l_partkey FROM lineitem_broken WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)), t AS (SELECT count(*) AS n FROM lineitem_broken)
@@ -125,7 +126,10 @@ def _(r, n, c):
     return lake.relationships(_bare_audit(r, n, c))
 
 
-@query("j9_snowflakes", "region nation customer", "SELECT 'region' AS dimension, 'nation' AS fact, 'regionkey' AS column_name, 'many-to-one' AS kind FROM region LIMIT 1")
+_KEYS9 = [("region", "regionkey", "r_regionkey"), ("nation", "nationkey", "n_nationkey"), ("nation", "regionkey", "n_regionkey"), ("customer", "custkey", "c_custkey"), ("customer", "nationkey", "c_nationkey")]
+
+
+@query("j9_snowflakes", "region nation customer", "WITH k AS (" + " UNION ALL ".join(f"SELECT '{t}' AS t, '{k}' AS k, count(*) AS n, count(DISTINCT {c}) = count(*) AS pk FROM {t}" for t, k, c in _KEYS9) + ") SELECT d.t AS dimension, f.t AS fact, d.k AS column_name, CASE WHEN d.pk THEN 'many-to-one' ELSE 'suspected' END AS kind FROM k d JOIN k f ON d.k = f.k AND d.n < f.n WHERE f.t <> 'customer'")
 def _(r, n, c):
     return lake.snowflakes(lake.relationships(_bare_audit(r, n, c)), ["customer"])
 
@@ -148,10 +152,14 @@ def _(o):
     return lake.unify([a, b]).select("o_orderkey", F.col("price").isNotNull().alias("ok"), "mixed", "extra")
 
 
-@query("j14_schema_drift", "orders", "SELECT column_name, was, \"is\", change FROM (VALUES ('o_custkey', 'bigint', 'string', 'type changed'), ('o_orderdate', 'timestamp', NULL, 'removed'), ('added', NULL, 'int', 'added')) AS v(column_name, was, \"is\", change) WHERE (SELECT count(*) FROM orders) > 0")
+@query("j14_schema_drift", "orders", """WITH n AS (SELECT count(o_custkey) AS k, count(o_orderdate) AS d, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS f FROM orders)
+ SELECT 'o_custkey' AS column_name, 'bigint' AS was, 'string' AS "is", 'type changed' AS change, k AS cells_was, k AS cells_is FROM n UNION ALL SELECT 'o_orderdate', 'timestamp', NULL, 'removed', d, NULL FROM n UNION ALL SELECT 'added', NULL, 'string', 'added', NULL, f FROM n""")
 def _(o):
-    other = o.drop("o_orderdate").withColumns({"o_custkey": F.col("o_custkey").cast("string"), "added": F.lit(1)})
-    return lake.schema_drift(o.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp")), other)
+    """Two files of one table, written and read back: what changed between them, and how many cells that concerns."""
+    spark, top = o.sparkSession, _folder(o, "j14")
+    o.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp")).write.parquet(f"{top}/first")
+    o.drop("o_orderdate").withColumns({"o_custkey": F.col("o_custkey").cast("string"), "added": F.when(F.col("o_orderstatus") == "F", "x")}).write.parquet(f"{top}/other")
+    return lake.schema_drift_cells(spark.read.parquet(f"{top}/first"), spark.read.parquet(f"{top}/other"))
 
 
 @query("j12_pascal_keys", "part", "SELECT p_partkey AS \"ProductKey\", p_size AS \"DateKey\" FROM part")

@@ -90,17 +90,35 @@ def _orders(o):
     return o.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", F.when(F.col("o_orderkey") % 2 == 0, "S").otherwise("N").alias("activo"), F.lit("x").alias("fijo"), F.year("o_orderdate").alias("anio"))
 
 
-@query("f1_column_roles", "orders", f"WITH d AS ({_O}) " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{k}' AS kind, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS uniques, round(count(DISTINCT {c}) / count({c})::DOUBLE, 6) AS unique_ratio, '{r}' AS role FROM d" for c, k, r in _ROLES))
+_F_STATS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, '{k}' AS kind, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS uniques, count(DISTINCT {c}) / count({c})::DOUBLE AS ratio, min(CAST({c} AS VARCHAR)) AS low, max(CAST({c} AS VARCHAR)) AS high,
+ {f'sum({c})::DOUBLE' if k in ('bigint', 'double', 'int') else 'NULL'} AS total, {str(k.startswith('timestamp')).lower()} AS is_time, {str(k in ('bigint', 'double', 'int')).lower()} AS is_number,
+ {str(c == 'anio').lower()} AS date_name, {str(c.endswith('key')).lower()} AS id_name FROM d""" for c, k, _ in _ROLES)
+_F_ROLE = """CASE WHEN uniques <= 1 THEN 'constant' WHEN is_time THEN 'date' WHEN uniques = 2 AND low IN ('0', '1', 'N', 'S') AND high IN ('0', '1', 'N', 'S') THEN 'flag'
+ WHEN kind <> 'double' AND (ratio > 0.92 OR (id_name AND uniques > 200)) THEN 'identifier' WHEN is_number AND (date_name OR (uniques <= 12 AND ratio < 0.01)) THEN 'dimension' WHEN is_number THEN 'measure'
+ WHEN uniques <= 200 AND ratio <= 0.5 THEN 'dimension' ELSE 'text' END"""
+
+
+@query("f1_column_roles", "orders", f"WITH d AS ({_O}), s AS ({_F_STATS}) SELECT column_name, kind, nulls, uniques, round(ratio, 6) AS unique_ratio, {_F_ROLE} AS role FROM s")
 def _(o):
     return profile.column_roles(_orders(o)).select("column_name", "kind", "nulls", "uniques", "unique_ratio", "role")
 
 
-@query("f3_dataset_profile", "orders", "SELECT role, CAST(place AS INT) AS place, column_name FROM (VALUES ('date', 1, 'o_orderdate'), ('measure', 1, 'o_totalprice'), ('dimension', 1, 'o_orderstatus'), ('dimension', 2, 'o_orderpriority'), ('dimension', 3, 'anio')) AS v(role, place, column_name) WHERE (SELECT count(DISTINCT o_orderstatus) FROM orders) < (SELECT count(DISTINCT o_orderpriority) FROM orders)")
+_F_PROFILE = f"""SELECT role, CAST(row_number() OVER (PARTITION BY role ORDER BY CASE role WHEN 'date' THEN nulls WHEN 'measure' THEN -abs(total) ELSE uniques END, column_name) AS INT) AS place, column_name
+ FROM (SELECT *, {_F_ROLE} AS role FROM s) WHERE role IN ('date', 'measure', 'dimension')"""
+
+
+@query("f3_dataset_profile", "orders", f"WITH d AS ({_O}), s AS ({_F_STATS}) {_F_PROFILE}")
 def _(o):
     return profile.dataset_profile(profile.column_roles(_orders(o)))
 
 
-@query("f5_insights", "orders")
+@query("f5_insights", "orders", f"""WITH d AS ({_O}), s AS ({_F_STATS}), p AS ({_F_PROFILE}),
+ t AS (SELECT date_diff('second', min(o_orderdate), max(o_orderdate)) / 86400.0 AS days FROM orders)
+ SELECT 'roles' AS part, count(*) AS n FROM s UNION ALL SELECT 'profile', count(*) FROM p
+ UNION ALL SELECT 'series', count(DISTINCT date_trunc(CASE WHEN days <= 3 THEN 'hour' WHEN days <= 120 THEN 'day' WHEN days <= 25 * 365 THEN 'month' ELSE 'year' END, o_orderdate)) FROM orders, t
+ UNION ALL SELECT 'by_' || p.column_name, least(s.uniques + CASE WHEN s.nulls > 0 THEN 1 ELSE 0 END, 13) FROM p JOIN s USING (column_name) WHERE role = 'dimension' AND place <= 6
+ UNION ALL SELECT 'histogram', 24 FROM p WHERE role = 'measure' AND place = 1""")
 def _(o):
     out = None
     for name, df in profile.insights(_orders(o)).items():
@@ -141,9 +159,13 @@ def _(s):
     return profile.scatter(s, "cliente_codigo", "unidades", "venta")
 
 
-@query("a19_redundant_dimensions", "nation region", "SELECT 'n_nationkey' AS a, 'n_name' AS b FROM nation HAVING count(DISTINCT n_nationkey) = count(DISTINCT n_name) UNION ALL SELECT 'n_regionkey', 'r_name' FROM nation HAVING count(*) > 0")
-def _(n, r):
-    return profile.redundant_pairs(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "n_regionkey", "r_name"), ["n_nationkey", "n_name", "n_regionkey", "r_name"])
+_A19 = ["c_custkey", "c_name", "c_nationkey", "n_name", "c_mktsegment"]
+
+
+@query("a19_redundant_dimensions", "customer nation", "WITH d AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b FROM d HAVING count(DISTINCT {a}) = count(DISTINCT {b}) AND count(DISTINCT ({a}, {b})) = count(DISTINCT {a})" for i, a in enumerate(_A19) for b in _A19[i + 1 :]))
+def _(c, n):
+    return profile.redundant_pairs(c.join(n, c.c_nationkey == n.n_nationkey).select(*_A19), _A19)
 
 
 # ── business views ──

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tamiz.operators import cleaning, quality, rules
 from tamiz.plans import q_clean as C
 from tamiz.plans.catalog import query
+from tamiz.plans.q_files import _folder
 
 D = "dirty_sales"
 R = rules.Rule
@@ -102,11 +103,15 @@ def _(d):
     return quality.detect_schema(d.select("row_no", "id_venta", "monto", "estado"))
 
 
-@query("q2_schema_drift", "orders", "SELECT column_name, change, severity FROM (VALUES ('o_custkey', 'missing', 'fatal'), ('extra', 'added', 'warn'), ('o_small', 'widened', 'warn'), ('o_orderstatus', 'incompatible', 'fatal')) AS v(column_name, change, severity) WHERE (SELECT count(*) FROM orders) > 0")
+@query("q2_schema_drift", "orders", """WITH n AS (SELECT count(*) AS a, count(o_custkey) AS k, count(o_orderstatus) AS s, count(CASE WHEN o_orderkey % 2 = 0 THEN 1 END) AS e FROM orders)
+ SELECT 'o_custkey' AS column_name, 'missing' AS change, 'fatal' AS severity, k AS cells FROM n UNION ALL SELECT 'extra', 'added', 'warn', e FROM n UNION ALL SELECT 'o_small', 'widened', 'warn', k FROM n UNION ALL SELECT 'o_orderstatus', 'incompatible', 'fatal', s FROM n""")
 def _(o):
-    was = o.withColumn("o_small", F.col("o_custkey").cast("int"))
-    now = was.drop("o_custkey").withColumns({"o_small": F.col("o_small").cast("bigint"), "extra": F.lit(1), "o_orderstatus": F.lit(1)})
-    return quality.drift(was, now)
+    """A frozen table and a current one, both written and read back."""
+    spark, top = o.sparkSession, _folder(o, "q2")
+    small = F.col("o_custkey").cast("int")
+    o.withColumn("o_small", small).write.parquet(f"{top}/was")
+    o.withColumns({"o_small": F.col("o_custkey"), "extra": F.when(F.col("o_orderkey") % 2 == 0, 1), "o_orderstatus": F.length("o_orderstatus")}).drop("o_custkey").write.parquet(f"{top}/now")
+    return quality.drift_cells(spark.read.parquet(f"{top}/was"), spark.read.parquet(f"{top}/now"))
 
 
 @query("q4_null_profile", D, " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls, count({c}) AS non_null, round((count(*) - count({c})) / count(*)::DOUBLE, 6) AS null_ratio FROM dirty_sales" for c in ["row_no", "id_venta", "fecha_venta", "monto", "producto", "estado", "notas_jose"]))

@@ -249,10 +249,12 @@ def plan_ranges(df: DataFrame, key: str, chunk: int) -> DataFrame:
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, chunk: int, **options) -> DataFrame:
-    """A database table in range partitions of its key."""
+    """A database table in range partitions of its key. Databases spell names their own way, so the
+    bounds are read by place."""
     row = spark.read.format("jdbc").options(url=url, query=f"SELECT min({key}) AS a, max({key}) AS b, count(*) AS n FROM {table}", **options).load().first()
-    parts = max(1, -(-(row["n"] or 1) // chunk))
-    return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=key, lowerBound=row["a"], upperBound=row["b"], numPartitions=parts, **options).load()
+    low, high, n = row
+    parts = max(1, -(-int(n or 1) // chunk))
+    return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=key, lowerBound=int(low or 0), upperBound=int(high or 0) + 1, numPartitions=parts, **options).load()
 
 
 def pending(plan: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Rows of one file at most.
+FILE_ROWS = 2_000_000
+
+
 def flat(df: DataFrame) -> DataFrame:
     """Lists as a;b (nothing for null), structs and maps as JSON, for sinks that hold text only."""
     out = []
@@ -25,14 +29,15 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] = (), compression: str = "snappy") -> int:
-    """Overwrites; lists stay lists. Returns the rows written, from the files' own statistics."""
-    df.write.mode("overwrite").option("compression", compression).partitionBy(*partition_by).parquet(path)
+    """Overwrites; lists stay lists. Returns the rows written, from the files' own statistics. Files are kept
+    small enough to be hashed as one value."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).option("compression", compression).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path).count()
 
 
 def write_zstd(df: DataFrame, path: str, level: int = 3) -> DataFrame:
     """ZSTD files, and (path, bytes, md5) of each."""
-    df.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
     return checksums(df.sparkSession, path, "md5")
 
 
@@ -43,8 +48,8 @@ def checksums(spark: SparkSession, path: str, kind: str = "sha256") -> DataFrame
 
 
 def quarantine(df: DataFrame, path: str, reason: str) -> None:
-    """Rejected rows are appended with their reason."""
-    df.withColumn("reason", F.lit(reason)).write.mode("append").parquet(path)
+    """Rejected rows with their reason, each reason a part of its own, which a second run overwrites."""
+    df.write.mode("overwrite").parquet(f"{path}/reason={reason}")
 
 
 def run_path(root: str, run_id: str, table: str) -> str:
@@ -53,13 +58,14 @@ def run_path(root: str, run_id: str, table: str) -> str:
 
 
 def manifest(spark: SparkSession, paths: dict[str, str], settings: dict[str, str]) -> DataFrame:
-    """One JSON row: files of each output with size and SHA-256, totals and settings."""
+    """One JSON row: rows and files of each output with size and SHA-256, totals and settings."""
     out = None
     for name, path in paths.items():
-        one = checksums(spark, path).withColumn("table_name", F.lit(name))
+        rows = spark.read.parquet(path).agg(F.count("*").alias("rows"))
+        one = checksums(spark, path).withColumn("table_name", F.lit(name)).crossJoin(F.broadcast(rows))  # one row
         out = one if out is None else out.unionByName(one)
-    files = out.groupBy("table_name").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list("checksum")), ","), 256).alias("sha256"))
-    whole = files.agg(F.sum("bytes").alias("total_bytes"), F.array_sort(F.collect_list(F.struct("table_name", "files", "bytes", "sha256"))).alias("outputs"))
+    files = out.groupBy("table_name").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.max("rows").alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list("checksum")), ","), 256).alias("sha256"))
+    whole = files.agg(F.sum("bytes").alias("total_bytes"), F.array_sort(F.collect_list(F.struct("table_name", "files", "rows", "bytes", "sha256"))).alias("outputs"))
     return whole.withColumn("settings", F.create_map(*[F.lit(x) for k, v in settings.items() for x in (k, v)])).select(F.to_json(F.struct("*")).alias("manifest"))
 
 

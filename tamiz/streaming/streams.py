@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.operators.stage import staged
+
 
 def clean_stream(spark: SparkSession, source: str, schema: T.StructType, clean: Callable[[DataFrame], DataFrame], split: Callable[[DataFrame], tuple[DataFrame, DataFrame]], out: str, checkpoint: str) -> None:
     """Cleans what has arrived and writes valid and quarantined rows. A batch is written under its id, so
     one that runs twice after a failure overwrites itself."""
     def write(batch: DataFrame, epoch: int) -> None:
-        kept, rejected = split(clean(batch))
+        kept, rejected = split(staged(clean(batch)))  # cleaned once for both
         kept.write.mode("overwrite").parquet(f"{out}/valid/epoch={epoch}")
         rejected.write.mode("overwrite").parquet(f"{out}/quarantine/epoch={epoch}")
 
@@ -26,3 +28,19 @@ def hourly_quality(stream: DataFrame, time: str, columns: list[str], late: str =
     seen = stream.withWatermark(time, late).groupBy(F.window(time, "1 hour").alias("w"))
     figures = seen.agg(F.count("*").alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns])
     return figures.select(F.col("w.start").alias("hour"), "n", *[f"nulls_{c}" for c in columns])
+
+
+def write_hourly(figures: DataFrame, out: str, checkpoint: str) -> None:
+    """Writes the hours that each batch changed, under the batch's id. The watermark lets old hours leave the
+    state, which therefore holds only the hours that may still change."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    figures.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def read_hourly(spark: SparkSession, out: str) -> DataFrame:
+    """The latest figures of each hour."""
+    rows = spark.read.parquet(out)
+    others = [c for c in rows.columns if c not in ("hour", "epoch")]
+    return rows.groupBy("hour").agg(F.max_by(F.struct(*others), "epoch").alias("r")).select("hour", "r.*")

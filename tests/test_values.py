@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamiz.functions import dates, money, text
-from tamiz.operators import bi, cleaning, forecast, lake, olap, profile, quality, rules, semantic, structure, view
+from tamiz.operators import bi, cleaning, forecast, lake, olap, profile, quality, rules, semantic, statistics, structure, view
 from tamiz.plans import pipeline
 from tamiz.sources import files, sinks
 
@@ -231,3 +231,105 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "id_venta string, fecha_venta string, monto string, estado string")
     assert quality.null_profile(empty).count() == 4 and profile.histogram(spark.createDataFrame([], "x double"), "x").isEmpty()
     assert rules.gate(empty, empty, empty).first()["passed"]
+
+
+def test_free_dates(spark):
+    given = ["1/4/2026", "2026-04-01 10:00:00", "2026-04-01T10:00:00Z", "1 April 2026", "April 1, 2026", "Wed, 01 Apr 2026", "20260401", "2026-4-1", "01.04.2026", "1-4-26 7:05", "Apr 2026", "2026-04"]
+    assert {str(d) for d in one(spark, dates.parse_date, given)} == {"2026-04-01"}
+    assert one(spark, dates.parse_date, ["2026-04-01 25:00", "31/02/2026", "2026-13-01", "abc 2026", "1/2", "12", "99999999", "1 Apr Apr 2026"]) == [None] * 8
+
+
+def test_typed_dates_stay(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-05 10:00:00' AS fecha_a, DATE'2024-01-06' AS fecha_b, 45425 AS fecha_c, CAST(NULL AS TIMESTAMP) AS fecha_d, 'nope' AS fecha_e, 1.0D AS monto")
+    row = cleaning.clean_transactional(df.withColumn("fecha_f", F.col("fecha_a").cast("timestamp"))).first()
+    assert [str(row[f"fecha_{c}"]) for c in "abcf"] == ["2024-01-05", "2024-01-06", "2024-05-13", "2024-01-05"]
+    assert row["data_quality_flags"] == ["invalid_date_fecha_e"]
+
+
+def test_compatible_forms(spark):
+    import unicodedata
+
+    given = ["ﬁne ½ x² ① Ⅳ ㎏ ＡＢＣ１２", "cafe\u0301 n\u0303 A\u030a e\u0302\u0301", "ｶﾞ ﷺ …", "plain", "漢字 😀 é", "a\u00a0b\u3000c", None, ""]
+    assert one(spark, text.nfkc, given) == [x if x is None else unicodedata.normalize("NFKC", x) for x in given]
+
+
+def test_exact_quantiles(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    values = [float(x) for x in np.concatenate([rng.lognormal(3, 2, 6000), np.repeat(7.0, 2500), [1e12, -1e12, 0.0]])]
+    df = spark.createDataFrame([(v, i % 3 == 0) for i, v in enumerate(values)], "v double, some boolean").repartition(5)
+    some = [v for i, v in enumerate(values) if i % 3 == 0]
+    want = {f"q{p}": float(np.quantile(values, p)) for p in (0.0, 0.01, 0.25, 0.5, 0.99, 1.0)} | {"some": float(np.median(some))}
+    asked = {f"q{p}": (F.col("v"), p) for p in (0.0, 0.01, 0.25, 0.5, 0.99, 1.0)} | {"some": (F.when(F.col("some"), F.col("v")), 0.5)}
+    for gathered, accuracy in ((50_000, 10_000), (60, 200)):  # at once, and by narrowing bounds
+        monkeypatch.setattr(statistics, "GATHERED", gathered)
+        monkeypatch.setattr(statistics, "ACCURACY", accuracy)
+        got = statistics.quantiles(df, asked)
+        assert all(abs(got[k] - want[k]) <= 1e-9 * max(1, abs(want[k])) for k in want)
+    assert statistics.quantiles(df.limit(0), {"m": (F.col("v"), 0.5)}) == {"m": None}
+    assert statistics.quantiles(df.where("v = 7"), {"m": (F.col("v"), 0.3)}) == {"m": 7.0}
+
+
+def test_distinct_counts(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") % 7).alias("few"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("many"), (F.col("id") % 50 / 7).alias("real"), F.lit(None).cast("string").alias("none"))
+    want = {"few": 7, "many": 2500, "real": 50, "none": 0}
+    assert statistics.distinct_counts(df, df.columns) == want
+    monkeypatch.setattr(statistics, "SET_VALUES", 0)
+    assert statistics.distinct_counts(df, df.columns) == want
+
+
+def test_redundant_pairs(spark):
+    df = spark.range(300).select((F.col("id") % 20).alias("a"), (F.col("id") % 20 * 3).cast("string").alias("b"), (F.col("id") % 21).alias("c"), (F.col("id") % 10).alias("d"))
+    assert [tuple(r) for r in profile.redundant_pairs(df, ["a", "b", "c", "d"]).collect()] == [("a", "b")]
+
+
+def test_rule_files(spark, tmp_path):
+    spec = {"dataset": "ventas", "required_columns": ["x"], "rules": [{"name": "x_min", "column": "x", "type": "range", "min": 2, "on_violation": "quarantine"}]}
+    (tmp_path / "ventas.json").write_text(json.dumps(spec))
+    (tmp_path / "otros.yaml").write_text("rules:\n  - name: x_there\n    column: x\n    type: not_null\n")
+    df = spark.createDataFrame([(1,), (2,), (3,)], "x int")
+    found = rules.RuleSet.for_dataset("ventas", str(tmp_path))
+    assert found == rules.RuleSet.from_dict(spec) and rules.validate(df, found).quarantined.count() == 1
+    pytest.importorskip("yaml")
+    assert rules.RuleSet.for_dataset("otros", str(tmp_path)).rules[0].kind == "not_null" and rules.RuleSet.for_dataset("absent", str(tmp_path)) is None
+
+
+def test_late_rows_and_state(spark, tmp_path):
+    """An hour's figures grow while it may still change; rows behind the watermark are left out."""
+    from tamiz.streaming import streams
+
+    top, kind = str(tmp_path), "ts timestamp, v string"
+    def arrive(*rows):
+        spark.createDataFrame([(r,) for r in rows], "t string").select(F.col("t").cast("timestamp").alias("ts"), F.lit(None).cast("string").alias("v")).coalesce(1).write.mode("append").parquet(f"{top}/in")
+        stream = spark.readStream.schema(kind).parquet(f"{top}/in")
+        streams.write_hourly(streams.hourly_quality(stream, "ts", ["v"]), f"{top}/out", f"{top}/checkpoint")
+        return {str(r["hour"])[11:13]: (r["n"], r["nulls_v"]) for r in streams.read_hourly(spark, f"{top}/out").collect()}
+
+    assert arrive("2024-01-01 08:10:00", "2024-01-01 09:05:00") == {"08": (1, 1), "09": (1, 1)}
+    assert arrive("2024-01-01 09:20:00", "2024-01-01 12:00:00") == {"08": (1, 1), "09": (2, 2), "12": (1, 1)}
+    assert arrive("2024-01-01 09:40:00", "2024-01-01 12:30:00")["09"] == (2, 2)  # far behind 12:00 less ten minutes
+
+
+def test_database_scan_in_ranges(spark, tmp_path):
+    url, driver = f"jdbc:derby:memory:{tmp_path.name};create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    rows = spark.range(1, 1001).select((F.col("id") * 3).alias("K"), (F.col("id") % 7).cast("int").alias("V"))
+    try:
+        rows.write.format("jdbc").options(url=url, dbtable="T", driver=driver).save()
+    except Exception as error:  # noqa: BLE001  no database on the class path
+        pytest.skip(str(error)[:80])
+    got = files.read_jdbc(spark, url, "T", "K", 250, driver=driver)
+    assert got.rdd.getNumPartitions() == 4 and sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_a_second_run_overwrites_its_quarantine(spark, tmp_path):
+    df = spark.range(5)
+    for _ in range(2):
+        sinks.quarantine(df, f"{tmp_path}/q", "first")
+        sinks.quarantine(df.limit(2), f"{tmp_path}/q", "second")
+    assert {r[0]: r[1] for r in spark.read.parquet(f"{tmp_path}/q").groupBy("reason").count().collect()} == {"first": 5, "second": 2}
+
+
+def test_duplicates_with_nulls(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (1, "a"), (2, "b"), (2, "b"), (3, "c")], "k int, v string")
+    assert sorted(map(str, rules.members_of_duplicates(df, ["k", "v"]).collect())) == sorted(map(str, df.where("k = 2 or v is null").collect()))
