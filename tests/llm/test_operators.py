@@ -713,6 +713,34 @@ def test_order_minhash_entries(spark):
     assert spark.createDataFrame([(text,)], "t string").select(fingerprints.fingerprint(F.col("t"))).first()[0] == [r[0] for r in hashes]
 
 
+def test_rotations_of_a_ring_against_independent_orders():
+    """Likeness of texts with one word changed: the mean is that of independent orders; the spread is equal for
+    texts of 250 k-mers, and no more than twice as large for texts of 20."""
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    points = np.linspace(0, 1, fingerprints.SIGNATURES, endpoint=False)
+
+    def ring(h):
+        order = np.argsort(h)
+        at = np.searchsorted(h[order], points)
+        return np.stack([order[(at + q) % len(h)] for q in range(2)], axis=1)
+
+    for n, most in ((250, 1.25), (20, 2.0)):
+        found = {"ring": [], "orders": []}
+        for _ in range(200):
+            a, b = rng.random((fingerprints.SIGNATURES, n)), rng.random((fingerprints.SIGNATURES, n))
+            changed = np.arange(n // 2, n // 2 + 3)  # one word is in three k-mers
+            other = a.copy()
+            other[:, changed] = b[:, changed]
+            picks = lambda x: np.argsort(x, axis=1)[:, :2]
+            same = lambda p, q: np.mean([(np.sort(x) == np.sort(y)).all() and not np.isin(x, changed).any() for x, y in zip(p, q)])
+            found["orders"].append(same(picks(a), picks(other)))
+            found["ring"].append(same(ring(a[0]), ring(other[0])))
+        assert abs(np.mean(found["ring"]) - np.mean(found["orders"])) < 0.03
+        assert np.std(found["ring"]) < most * np.std(found["orders"])
+
+
 #: Names that operators use inside, for columns of the input.
 NAMES = """copies size row rows _row _id id doc doc_ out runs gone hash place places removed lines first last n n_words n_lines score predicted held_out shard toxic kind kinds value
     before after start end spans r base own labels label w prints bucket _bucket _copied next_text edited host base_failed kept source_size target mass whole chunk source_key class
