@@ -97,12 +97,17 @@ def title_case(c: Column) -> Column:
     return F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
 
 
-def retail_product(c: Column) -> Column:
-    text = F.regexp_replace(F.upper(F.trim(F.regexp_replace(c, r"\s+", " "))), r"\.+$", "")
-    return blank_to_null(F.regexp_replace(F.regexp_replace(text, r"\bMARITNI\b", "MARTINI"), r"\bMART\s+INI\b", "MARTINI"))
+# Typing errors of a brand with what they stand for, units of a pack, the packaging mark.
+BRAND_TYPOS = [(r"\bMARITNI\b", "MARTINI"), (r"\bMART\s+INI\b", "MARTINI")]
+PACK = r"(?i)([0-9]{2,4})\s*(KG|GRS|GR|G)\b\.?"
+PACKAGING = r"\bRRP\b"
 
 
-PACK = r"(?i)([0-9]{2,4})\s*(KG|GRS|GR|G)\b\.?"
+def retail_product(c: Column) -> Column:
+    text = F.regexp_replace(F.upper(F.trim(F.regexp_replace(c, r"\s+", " "))), r"\.+$", "")
+    for typo, brand in BRAND_TYPOS:
+        text = F.regexp_replace(text, typo, brand)
+    return blank_to_null(text)
 
 
 def pack_grams(c: Column) -> Column:
@@ -116,7 +121,7 @@ def pack_label(c: Column) -> Column:
 
 def product_base(c: Column) -> Column:
     """The name without size, packaging mark and punctuation."""
-    bare = F.regexp_replace(F.regexp_replace(c, PACK, " "), r"\bRRP\b", " ")
+    bare = F.regexp_replace(F.regexp_replace(c, PACK, " "), PACKAGING, " ")
     return clean_text(F.regexp_replace(F.upper(bare), r"[^A-ZÁÉÍÓÚÑ0-9/ ]+", " "))
 
 
@@ -135,7 +140,7 @@ def keyword_class(c: Column, table: list[tuple[str, list[str]]], other: str = "O
 
 
 def packaging(c: Column) -> Column:
-    return F.when(F.coalesce(c, F.lit("")).rlike(r"\bRRP\b"), "RRP").otherwise("ESTANDAR")
+    return F.when(F.coalesce(c, F.lit("")).rlike(PACKAGING), "RRP").otherwise("ESTANDAR")
 
 
 def domain_score(c: Column) -> Column:

@@ -83,9 +83,10 @@ def backtest(full: DataFrame, holdout: int = 12) -> DataFrame:
     """(series_id, k, model, mape, residual_std) of series long enough to hold months out."""
     long = full.where(F.col("n") >= holdout + 13)
     train, held = long.where(F.col("t") <= F.col("n") - holdout), long.where(F.col("t") > F.col("n") - holdout).select("series_id", "month", "y")
-    predicted = predictions(train, holdout)
-    spread = held.join(predicted, ["series_id", "month"]).groupBy("series_id", "k").agg(F.stddev_samp(F.col("y") - F.col("p")).alias("residual_std"))
-    return mape(held, predicted, "k", "model").withColumn("mape", F.round("mape", 2)).join(spread, ["series_id", "k"])
+    both = held.join(predictions(train, holdout), ["series_id", "month"])  # joined once for both figures
+    error = F.col("y") - F.col("p")
+    share = F.avg(F.when(F.col("y") != 0, F.abs(error) / F.abs("y"))) * 100
+    return both.groupBy("series_id", "k", "model").agg(F.round(share, 2).alias("mape"), F.stddev_samp(error).alias("residual_std")).where("mape is not null")
 
 
 def selected(full: DataFrame, holdout: int = 12, force: str | None = None) -> DataFrame:
