@@ -4,20 +4,19 @@ A rolling hash over the last ROLL line hashes ends a chunk wherever it is 0 modu
 inserted line moves no boundary further down. Chunks of two or more lines that occur more than once in
 the corpus are removed but for the first (by doc_id, then place). That takes repeated blocks whole, but
 not their edges, which lie in chunks with other lines, nor passages too short to hold a chunk. For
-these, each two lines that follow each other outside the removed chunks are compared in the same way,
+these, each two lines that follow each other outside the repeated chunks are compared in the same way,
 so that every repeated run of two or more lines goes whole.
 
-In both steps hashes only find the candidates; equal bytes decide.
+Hashes only find the candidates; equal bytes decide. Texts are read three times and meet other tables
+twice, by a shuffle at every size: once for the candidates' bytes, once for what is left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import documents, let, small_or_shuffled, stored
+from tamiz.llm.common import documents, let, stored
 
 ROLL = 2
 DIVISOR = 3
@@ -45,16 +44,9 @@ def chunks(lines: Column) -> Column:
     return let(let(hashes, ends), lambda e: F.transform(e, lambda x, k: F.struct((F.coalesce(F.get(e, k - 1), F.lit(0)) + 1).alias("first"), x.alias("last"))))
 
 
-def _within(runs: Column) -> Column:
-    """The lines of runs but for the last of each."""
-    return F.flatten(F.transform(runs, lambda c: F.sequence(c["first"], c["last"] - 1)))
-
-
-def pairs(lines: Column, gone: Column | None = None) -> Column:
-    """array of (first, last) of each two lines that follow each other, but for those within the runs ``gone``."""
+def pairs(lines: Column) -> Column:
+    """array of (first, last) of each two lines that follow each other."""
     starts = F.when(F.size(lines) > 1, F.sequence(F.lit(1), F.size(lines) - 1)).otherwise(F.array().cast("array<int>"))
-    if gone is not None:
-        starts = F.when(gone.isNull(), starts).otherwise(F.array_except(starts, _within(gone)))
     return F.transform(starts, lambda i: F.struct(i.alias("first"), (i + 1).alias("last")))
 
 
@@ -73,31 +65,56 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _with(rows: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` joined to ``found`` (id, row, ...) by document."""
-    found = found.withColumnsRenamed({"id": "_id", "row": "_row"})
-    return rows.join(small_or_shuffled(found, found.count()), rows.id.eqNullSafe(F.col("_id")) & (rows.row == F.col("_row")), how).drop("_id", "_row")
+    """``rows`` joined to ``found`` (id, row, ...) by document, in the same way at every size."""
+    found = found.withColumnsRenamed({"id": "_id", "row": "_row"}).hint("merge")
+    return rows.join(found, rows.id.eqNullSafe(F.col("_id")) & (rows.row == F.col("_row")), how).drop("_id", "_row")
+
+
+_ONE = ("id", "row", "first")
+
+
+def _cut(rows: DataFrame) -> DataFrame:
+    """(id, row, pair, first, last, hash) of each chunk of two or more lines and each pair of lines, in one scan. ``rows`` are (id, row, text)."""
 
+    def pieces(x: Column) -> Column:
+        piece = lambda pair: lambda c: F.struct(F.lit(pair).alias("pair"), c["first"].alias("first"), c["last"].alias("last"), F.xxhash64(_text_of(x, c)).alias("hash"))
+        several = F.filter(chunks(x), lambda c: c["last"] > c["first"])
+        return F.concat(F.transform(several, piece(False)), F.transform(pairs(x), piece(True)))
 
-def _again(rows: DataFrame, pieces: Callable[[Column], Column]) -> DataFrame:
-    """(id, row, runs): first and last line of those among the ``pieces`` of two or more lines of each text,
-    with a word in them, that occur before in the corpus. ``rows`` are (id, row, text, ...)."""
+    return stored(rows.select("id", "row", F.explode(let(_lines(F.col("text")), pieces)).alias("c")).select("id", "row", "c.*"))
 
-    def hashed(x: Column) -> Column:
-        several = F.filter(pieces(x), lambda c: c["last"] > c["first"])
-        return F.transform(several, lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), F.xxhash64(_text_of(x, c)).alias("hash")))
 
-    cut = stored(rows.select("id", "row", F.explode(let(_lines(F.col("text")), hashed)).alias("c")).select("id", "row", "c.*"))
-    # What is joined is stored first, so that Spark sees its size, and splits a piece that very many texts share.
-    repeated = stored(cut.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
-    wanted = cut.join(small_or_shuffled(repeated, repeated.count()), "hash").groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
+def _repeated(cut: DataFrame) -> DataFrame:
+    """The pieces whose hash occurs more than once; ``is_first`` marks the first of each hash.
 
-    # The candidates' own bytes: of those that are equal, the first stays.
+    The hashes are stored before they are joined, so that Spark sees their size and splits a piece that
+    very many texts share.
+    """
+    again = stored(cut.groupBy("hash").agg(F.min(F.struct(*_ONE)).alias("one"), F.count("*").alias("n")).where("n > 1").select("hash", "one"))
+    return cut.join(again, "hash").withColumn("is_first", F.struct(*_ONE).eqNullSafe(F.col("one"))).drop("one")
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """(id, row, runs): first and last line of the pieces of each text to be compared by their bytes: repeated
+    chunks, and repeated pairs that don't lie within a repeated chunk. Of such chunks, the first one's pairs are
+    compared too, as they may be the first of pairs elsewhere."""
+    cut = _cut(rows)
+    by_chunk = stored(_repeated(cut.where("not pair")))
+    inside = by_chunk.where("not is_first").select(F.col("id").alias("_id"), F.col("row").alias("_row"), F.explode(F.sequence("first", F.col("last") - 1)).alias("_first"))
+    own = cut.where("pair")
+    others = stored(own.join(inside, own.id.eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")) & (F.col("first") == F.col("_first")), "left_anti"))
+    every = by_chunk.unionByName(_repeated(others)).groupBy("id", "row")
+    return stored(every.agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs")))
+
+
+def _again(rows: DataFrame) -> DataFrame:
+    """(id, row, runs): first and last line of the pieces, with a word in them, that occur before in the corpus, byte by byte."""
     taken = F.explode(let(_lines(F.col("text")), lambda x: F.transform("runs", lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), _text_of(x, c).alias("lines")))))
-    found = _with(rows.select("id", "row", "text"), stored(wanted)).select("id", "row", taken.alias("c")).select("id", "row", "c.*").where(F.rlike("lines", F.lit(HAS_WORD)))
+    found = _with(rows, _candidates(rows)).select("id", "row", taken.alias("c")).select("id", "row", "c.*").where(F.rlike("lines", F.lit(HAS_WORD)))
     found = stored(found.withColumn("hash", F.xxhash64("lines")))
-    one = F.struct("id", "row", F.col("first").alias("at"))
-    firsts = stored(found.groupBy("hash", "lines").agg(F.min(one).alias("one"), F.count("*").alias("n")).where("n > 1").select(F.col("hash").alias("_hash"), F.col("lines").alias("_lines"), "one"))
-    again = found.join(firsts, (F.col("hash") == F.col("_hash")) & (F.col("lines") == F.col("_lines"))).where(~one.eqNullSafe(F.col("one")))
+    firsts = found.groupBy("hash", "lines").agg(F.min(F.struct(*_ONE)).alias("one"), F.count("*").alias("n")).where("n > 1")
+    firsts = stored(firsts.select(F.col("hash").alias("_hash"), F.col("lines").alias("_lines"), "one")).hint("merge")
+    again = found.join(firsts, (F.col("hash") == F.col("_hash")) & (F.col("lines") == F.col("_lines"))).where(~F.struct(*_ONE).eqNullSafe(F.col("one")))
     return stored(again.groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs")))
 
 
@@ -113,17 +130,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_removed")
     rows = _keyed(docs)
-    by_chunk = _again(rows.select("id", "row", "text"), chunks)
-    left = _with(rows.select("id", "row", "text"), by_chunk.withColumnRenamed("runs", "gone"), "left")
-    by_pair = _again(left, lambda x: pairs(x, F.col("gone")))
-    every = by_chunk.unionByName(by_pair).groupBy("id", "row").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-
     def kept(x: Column) -> Column:
         gone = F.flatten(F.transform("runs", lambda c: F.sequence(c["first"], c["last"])))
         return let(F.array_except(F.sequence(F.lit(1), F.size(x)), gone), lambda at: F.struct(
             F.array_join(F.transform(at, lambda i: F.get(x, i - 1)), "\n").alias("text"), (F.size(x) - F.size(at)).cast("long").alias("n")))
 
-    told = _with(rows, stored(every), "left").select("doc", "text", F.when(F.col("runs").isNotNull(), let(_lines(F.col("text")), kept)).alias("out"))
+    told = _with(rows, _again(rows.select("id", "row", "text")), "left").select("doc", "text", F.when(F.col("runs").isNotNull(), let(_lines(F.col("text")), kept)).alias("out"))
     n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines(F.col("text")))).cast("long")
     same = [F.coalesce("out.text", "text").alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns]
     return told.select(*same, n_lines.alias("n_lines"), F.coalesce("out.n", F.lit(0).cast("long")).alias("n_removed"))
