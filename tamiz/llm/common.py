@@ -64,6 +64,12 @@ def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if fixed and rows <= BROADCAST_ROWS else df
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` marked for a sort-merge join: a side that grows with the data meets the other by a shuffle at
+    every size, and Spark can split what one key has too much of."""
+    return df.hint("merge")
+
+
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Adds the 0-based place of each row in a total order, without one task that sees all rows:
     rows are range-partitioned and stored, and each partition starts at the number of rows before it."""

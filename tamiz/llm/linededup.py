@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import documents, let, stored
+from tamiz.llm.common import documents, let, shuffled, stored
 
 ROLL = 2
 DIVISOR = 3
@@ -66,7 +66,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _with(rows: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
     """``rows`` joined to ``found`` (id, row, ...) by document, in the same way at every size."""
-    found = found.withColumnsRenamed({"id": "_id", "row": "_row"}).hint("merge")
+    found = shuffled(found.withColumnsRenamed({"id": "_id", "row": "_row"}))
     return rows.join(found, rows.id.eqNullSafe(F.col("_id")) & (rows.row == F.col("_row")), how).drop("_id", "_row")
 
 
@@ -113,8 +113,8 @@ def _again(rows: DataFrame) -> DataFrame:
     found = _with(rows, _candidates(rows)).select("id", "row", taken.alias("c")).select("id", "row", "c.*").where(F.rlike("lines", F.lit(HAS_WORD)))
     found = stored(found.withColumn("hash", F.xxhash64("lines")))
     firsts = found.groupBy("hash", "lines").agg(F.min(F.struct(*_ONE)).alias("one"), F.count("*").alias("n")).where("n > 1")
-    firsts = stored(firsts.select(F.col("hash").alias("_hash"), F.col("lines").alias("_lines"), "one")).hint("merge")
-    again = found.join(firsts, (F.col("hash") == F.col("_hash")) & (F.col("lines") == F.col("_lines"))).where(~F.struct(*_ONE).eqNullSafe(F.col("one")))
+    firsts = stored(firsts.select(F.col("hash").alias("_hash"), F.col("lines").alias("_lines"), "one"))
+    again = found.join(shuffled(firsts), (F.col("hash") == F.col("_hash")) & (F.col("lines") == F.col("_lines"))).where(~F.struct(*_ONE).eqNullSafe(F.col("one")))
     return stored(again.groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs")))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm import bytesnp as B
-from tamiz.llm.common import documents, small_or_shuffled, stored
+from tamiz.llm.common import documents, shuffled, small_or_shuffled, stored
 from tamiz.llm.components import components
 
 SHINGLE = 5
@@ -165,12 +165,12 @@ def _across_blocks(rows: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
     by_group = rows.groupBy("band", "label").agg(F.count("*").alias("k"))
     main = stored(by_group.groupBy("band").agg(F.max(F.struct("k", "label")).alias("main")).select(F.col("band").alias("_band"), F.col("main.label").alias("main")))
     size_class = F.floor(F.ln(F.col("n").cast("double")) / F.ln(F.lit(100 / LEAST_PERCENT))).cast("int")
-    told = stored(rows.join(small_or_shuffled(main, main.count()), rows.band == F.col("_band")).select("band", "node", "label", (F.col("label") != F.col("main")).alias("open"), size_class.alias("size")))
+    told = stored(rows.join(shuffled(main), rows.band == F.col("_band")).select("band", "node", "label", (F.col("label") != F.col("main")).alias("open"), size_class.alias("size")))
     probes = told.where("open").select("band", "node", "label", "size")
     members = told.select("band", "node", "label", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"))
     blocks = lambda df, least, name: df.groupBy("band", "size").agg(F.ceil(F.count("*") / least).alias(name))
     plan = stored(blocks(probes, PROBES, "p_blocks").join(blocks(members, MEMBERS, "m_blocks"), ["band", "size"]).select(F.col("band").alias("_band"), F.col("size").alias("_size"), "p_blocks", "m_blocks"))
-    plan = small_or_shuffled(plan, plan.count())
+    plan = shuffled(plan)
     planned = lambda df: df.join(plan, (F.col("band") == F.col("_band")) & (F.col("size") == F.col("_size")))
     block = lambda seed, blocks: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(blocks))
     every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
@@ -195,13 +195,13 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = stored(heads.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band")).distinct())
     # Counts by band are stored before they are joined, so that a band with very many members is split.
     shared = stored(rows.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"))
-    rows = stored(rows.join(small_or_shuffled(shared, shared.count()), "band"))
+    rows = stored(rows.join(shuffled(shared), "band"))
     scores = rows.groupBy("node").agg(F.sum("members").alias("score"))
     scored = rows.join(scores, "node")
     centres = stored(scored.groupBy("band").agg(F.max(F.struct("score", "node")).alias("c")).select(F.col("band").alias("_band"), F.col("c.node").alias("centre")))
     n_of = classes.groupBy("node").agg(F.max("n").alias("n"))
     pairs = stored(
-        rows.join(small_or_shuffled(centres, centres.count()), rows.band == F.col("_band")).where("node <> centre")
+        rows.join(shuffled(centres), rows.band == F.col("_band")).where("node <> centre")
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         .join(n_of.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(n_of.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
         .where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(LEAST_PERCENT) * F.greatest("n_a", "n_b")).select("a", "b")
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     grouped = rows.join(labels, "node", "left").select("band", "node", "n", "members", F.coalesce("label", "node").alias("label"))
     grouped = stored(grouped)
     open_bands = stored(grouped.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band"))
-    left = stored(grouped.join(small_or_shuffled(open_bands, open_bands.count()), "band"))
+    left = stored(grouped.join(shuffled(open_bands), "band"))
     small = left.where(F.col("members") <= SMALL_BAND)
     one, two = (small.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "label"))) for s in "ab")
     more = (

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tamiz.llm.common import WORD, documents, global_rank, small_or_shuffled, stored
+from tamiz.llm.common import WORD, documents, global_rank, shuffled, small_or_shuffled, stored
 
 CHUNK = 256
 FAN_IN = 64
@@ -203,7 +203,7 @@ def mixed_documents(docs: DataFrame, weights: list[int]) -> DataFrame:
     held = stored(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"), text_size(F.col("text")).alias("size")))
     chosen = stored(_decided(held.select("row", "doc.doc_id", "doc.source", "size"), weights).where("copies > 0").select(F.col("row").alias("_row"), "copies"))
     # By a shuffle at every size: the decisions grow with the documents.
-    joined = held.select("doc", "row").join(chosen.hint("merge"), F.col("row") == F.col("_row"))
+    joined = held.select("doc", "row").join(shuffled(chosen), F.col("row") == F.col("_row"))
     return joined.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 
