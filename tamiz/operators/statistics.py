@@ -16,6 +16,8 @@ GATHERED = 50_000
 ACCURACY = 10_000
 #: Columns with fewer values than this, by the sketch, are counted as sets in one aggregate.
 SET_VALUES = 2_000
+#: Cells of a table, by its counted rows, up to which all columns are counted in one aggregate.
+COPIED_CELLS = 5_000_000
 #: Relative standard deviation of the distinct sketch.
 SKETCH_ERROR = 0.02
 
@@ -92,7 +94,9 @@ def distinct_counts(df: DataFrame, columns: list[str], sketch: dict[str, int] |
     if not columns:
         return {}
     if sketch is None:
-        told = df.agg(*sketches(columns)).first()
+        *told, rows = df.agg(*sketches(columns), F.count("*")).first()
+        if rows * len(columns) <= COPIED_CELLS:  # small enough to copy each row once a column, in one job
+            return dict(zip(columns, df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(columns)]).first()))
         sketch = dict(zip(columns, told))
     types = dict(df.dtypes)
     few = [c for c in columns if sketch[c] <= SET_VALUES and types[c] not in ("double", "float")]

@@ -275,6 +275,8 @@ def test_distinct_counts(spark, monkeypatch):
     df = spark.range(5000).select((F.col("id") % 7).alias("few"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("many"), (F.col("id") % 50 / 7).alias("real"), F.lit(None).cast("string").alias("none"))
     want = {"few": 7, "many": 2500, "real": 50, "none": 0}
     assert statistics.distinct_counts(df, df.columns) == want
+    monkeypatch.setattr(statistics, "COPIED_CELLS", 0)
+    assert statistics.distinct_counts(df, df.columns) == want
     monkeypatch.setattr(statistics, "SET_VALUES", 0)
     assert statistics.distinct_counts(df, df.columns) == want
 
