@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.llm import fingerprints, licenses, linededup, minhash, mixing, packing, pii, quality, substrings, toxicity
+from tamiz.llm import credentials, fingerprints, lexical, licenses, linededup, minhash, mixing, packing, pii, quality, substrings, toxicity
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -746,7 +746,8 @@ def test_rotations_of_a_ring_against_independent_orders():
 #: Names that operators use inside, for columns of the input.
 NAMES = """copies size row rows _row _id id doc doc_ out runs gone hash place places removed lines first last n n_words n_lines score predicted held_out shard toxic kind kinds value
     before after start end spans r base own labels label w prints bucket _bucket _copied next_text edited host base_failed kept source_size target mass whole chunk source_key class
-    band node members shingles component_id set_key bands piece length part nth rank gap sequence offset anchor content wanted keep words key joined keywords""".split()
+    band node members shingles component_id set_key bands piece length part nth rank gap sequence offset anchor content wanted keep words key joined keywords
+    terms times tf term item_id coordinate coordinates values level chunk score id kind low high begin stop block role""".split()
 
 
 @pytest.fixture(scope="module")
@@ -754,15 +755,16 @@ def few(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 60")
 
 
-@pytest.mark.parametrize("what", ["mixing", "mixed_documents", "quality", "substrings", "toxicity", "lines", "licenses", "pii", "packing", "minhash", "fingerprints"])
+@pytest.mark.parametrize("what", ["mixing", "mixed_documents", "quality", "substrings", "toxicity", "lines", "licenses", "pii", "packing", "minhash", "fingerprints", "lexical", "credentials"])
 def test_extra_columns_may_have_any_name(few, spark, what):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     run = {
         "mixing": lambda d: mixing.mixed(d, [1, 2, 3]), "mixed_documents": lambda d: mixing.mixed_documents(d, [1, 2, 3]), "quality": quality.judged, "substrings": substrings.deduplicated,
         "toxicity": lambda d: toxicity.scored(d, labels), "lines": linededup.deduplicated, "licenses": licenses.scanned, "pii": pii.extracted,
         "packing": lambda d: packing.pieces(d, packing.tokenizer_path()).drop("part", "nth"), "minhash": minhash.near_duplicates, "fingerprints": fingerprints.fingerprinted,
+        "lexical": lambda d: lexical.ranked(d, spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")), "credentials": credentials.secrets,
     }[what]
-    wide = few.select("*", *[F.lit("x").alias(c) for c in NAMES])
+    wide = few.select("*", *[F.lit("x").alias(c) for c in dict.fromkeys(NAMES)])
     plain = run(few)
     kept = [c for c in plain.columns]
     got = run(wide).select(kept)
