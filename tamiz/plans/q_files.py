@@ -11,7 +11,7 @@ from tamiz.operators.stage import shared_home
 from tamiz.plans import pipeline
 from tamiz.plans import q_clean as C
 from tamiz.plans.catalog import query
-from tamiz.sources import files, sinks
+from tamiz.sources import extract, files, sinks
 from tamiz.streaming import streams
 
 
@@ -99,6 +99,31 @@ def _(o):
     return files.ledger_summary(o.select(F.when(F.col("o_orderkey") % 3 == 0, "completed").otherwise("failed").alias("status"), F.col("o_custkey").alias("rows"), (F.col("o_orderkey") % 2).alias("retries"), F.col("o_totalprice").alias("seconds")))
 
 
+_CHUNKS = "WITH s AS (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b, count(*) AS n FROM orders), t AS (SELECT *, CAST(greatest(500, ceil(500 * (b - a + 1) / n::DOUBLE)) AS BIGINT) AS st FROM s)"
+
+
+def _extracted(o):
+    """An extract that ended after its first chunks and was taken up again."""
+    job = extract.Extract(o.sparkSession, _folder(o, "s12"))
+    job.plan(extract.planned(o, "o_orderkey", 500))
+    read = extract.from_table(o.select("o_orderkey", "o_totalprice"), "o_orderkey")
+    job.run(read, wave=2, waves=1)
+    job.run(read)
+    return job
+
+
+@query("s12_resumed_extract", "orders", f"{_CHUNKS} SELECT o_orderkey, o_totalprice, CAST((o_orderkey - a) // st AS INT) AS chunk FROM orders, t")
+def _(o):
+    return _extracted(o).rows()
+
+
+@query("s12_extract_ledger", "orders", f"""{_CHUNKS} SELECT CAST((o_orderkey - a) // st AS INT) AS n, a + ((o_orderkey - a) // st) * st AS low, least(a + ((o_orderkey - a) // st) * st + st - 1, b) AS high, 'completed' AS status, count(*) AS rows,
+ CAST(0 AS BIGINT) AS retries, true AS intact FROM orders, t GROUP BY ALL""")
+def _(o):
+    job = _extracted(o)
+    return job.chunks().join(job.damaged().select("n", F.lit(False).alias("intact")), "n", "left").select("n", "low", "high", "status", "rows", "retries", F.coalesce("intact", F.lit(True)).alias("intact"))
+
+
 @query("s14_sql_views", "orders customer", "SELECT c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
 def _(o, c):
     files.register_views(o.sparkSession, {"s14_orders": o, "s14_customer": c})
