@@ -20,6 +20,8 @@ class Run:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
     violations: dict[str, DataFrame] = field(default_factory=dict)
+    #: Lines of delimited tables with another number of fields than the header's.
+    rejected: dict[str, DataFrame] = field(default_factory=dict)
     totals: DataFrame | None = None
     passed: bool = True
 
@@ -51,6 +53,9 @@ def run(spark: SparkSession, source: str, out: str, run_id: str, rulesets: dict[
             path = sinks.run_path(out, run_id, name)
             sinks.write_parquet(valid, f"{path}/clean")
             sinks.quarantine(rejected, f"{path}/quarantine", "score-or-rule")
+            if table.rejected is not None:
+                table.rejected.write.mode("overwrite").parquet(f"{path}/rejected-lines")
+                done.rejected[name] = spark.read.parquet(f"{path}/rejected-lines")
             done.tables[name] = spark.read.parquet(f"{path}/clean")
             frames[name] = (table.df, done.tables[name], spark.read.parquet(f"{path}/quarantine"))
             if violations is not None:

@@ -41,6 +41,30 @@ def _(c):
     return files.read_delimited(c.sparkSession, path)
 
 
+_BAD = "CASE WHEN c_custkey % 10 = 3 THEN 'too many fields' WHEN c_custkey % 10 = 7 THEN 'too few fields' END"
+
+
+def _broken_file(c):
+    """Customers as delimited files, each with a header; some lines have a field too many, some one too few, some names a line break in quotes."""
+    name = F.when(F.col("c_custkey") % 10 == 1, F.concat(F.lit('"'), F.col("c_name"), F.lit(";\n"), F.col("c_mktsegment"), F.lit('"'))).otherwise(F.col("c_name"))
+    last = F.when(F.col("c_custkey") % 10 == 3, F.concat(F.lit(";"), F.col("c_mktsegment"), F.lit(";odd"))).when(F.col("c_custkey") % 10 == 7, F.lit("")).otherwise(F.concat(F.lit(";"), F.col("c_mktsegment")))
+    rows = c.select((F.col("c_custkey") % 4).alias("part"), F.col("c_custkey").alias("place"), F.concat(F.col("c_custkey").cast("string"), F.lit(";"), name, last).alias("line"))
+    heads = c.sparkSession.range(4).select(F.col("id").alias("part"), F.lit(-1).cast("long").alias("place"), F.lit("key;name;segment").alias("line"))
+    path = _folder(c, "broken.csv")
+    rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "place").select("line", "part").write.partitionBy("part").text(path)
+    return files.scan_delimited(c.sparkSession, path)
+
+
+@query("s3_rejected_lines", "customer", f"SELECT {_BAD} AS reason, c_custkey % 10 = 7 AS kept, c_custkey || ';' || c_name || CASE WHEN c_custkey % 10 = 3 THEN ';' || c_mktsegment || ';odd' ELSE '' END AS line FROM customer WHERE c_custkey % 10 IN (3, 7)")
+def _(c):
+    return _broken_file(c).rejected.select("reason", "kept", "line")
+
+
+@query("s3_rows_beside_rejected", "customer", "SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_custkey % 10 = 1 THEN c_name || ';' || chr(10) || c_mktsegment ELSE c_name END AS name, CASE WHEN c_custkey % 10 <> 7 THEN c_mktsegment END AS segment FROM customer WHERE c_custkey % 10 <> 3")
+def _(c):
+    return _broken_file(c).rows
+
+
 @query("s5_tsv_scan", "customer", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer")
 def _(c):
     path = _folder(c, "customers.tsv")

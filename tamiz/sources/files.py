@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Callable
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tamiz.functions.text import ACCENTS
+from tamiz.operators.stage import staged
 
 # Fixed values.
 SEPARATORS = [",", ";", "\t", "|"]
@@ -39,6 +42,8 @@ class Table:
     df: DataFrame
     origin: str
     kind: str
+    #: Lines of delimited input with another number of fields than the header's.
+    rejected: DataFrame | None = None
 
 
 @dataclass
@@ -83,7 +88,11 @@ def discover_tables(spark: SparkSession, path: str) -> Found:
         try:
             if kind not in FORMATS:
                 raise ValueError(f"unknown format {kind}; supported: {', '.join(sorted(FORMATS))}")
-            found.tables[name] = Table(name, read(spark, p, kind), p, kind)
+            if kind in ("csv", "txt", "tsv"):
+                scan = scan_delimited(spark, p, "\t" if kind == "tsv" else None)
+                found.tables[name] = Table(name, scan.rows, p, kind, scan.rejected)
+            else:
+                found.tables[name] = Table(name, read(spark, p, kind), p, kind)
         except Exception as error:  # noqa: BLE001  one bad file must not stop the others
             found.errors[p] = str(error)[:300]
     if not found.tables and len(paths) == 1 and found.errors:
@@ -127,12 +136,102 @@ def header_row(lines: list[list[str]], most: int = 10) -> int:
     return best
 
 
-def latin_files(spark: SparkSession, path: str) -> tuple[list[str], int, bool]:
-    """Of all lines: the files with a byte that is not UTF-8, the number of files, and whether a quoted field may hold a line break."""
+@dataclass
+class Scan:
+    """A delimited input: its rows, and (file, reason, kept, line) of the lines that don't have the header's number of fields."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+TOO_MANY, TOO_FEW, UNCLOSED = "too many fields", "too few fields", "unclosed quote"
+def file_kinds(spark: SparkSession, path: str, encoding: str | None = None) -> dict[tuple[str, bool], list[str]]:
+    """Files by encoding and by whether a line has an odd number of quotes, as told by all their lines. Files all of one
+    kind are named by ``path`` alone."""
     text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
-    found = text.groupBy("file").agg(F.bool_or(~F.is_valid_utf8("value")).alias("latin"), F.bool_or(odd).alias("odd")).where("latin or odd").collect()
-    return [r["file"] for r in found if r["latin"]], len(spark.read.text(path).inputFiles()), any(r["odd"] for r in found)
+    odd = _quotes(F.col("value")) % 2 == 1
+    latin = F.lit(encoding != ENCODINGS[0]) if encoding else F.bool_or(~F.is_valid_utf8("value"))
+    seen = text.groupBy("file").agg(latin.alias("latin"), F.bool_or(odd).alias("odd"))
+    kinds: dict[tuple[str, bool], list[str]] = {}
+    for r in seen.groupBy("latin", "odd").agg(F.array_sort(F.collect_list("file")).alias("files")).collect():  # names of files, which Spark's driver lists too
+        kinds[encoding or ENCODINGS[r["latin"]], r["odd"]] = [unquote(f) for f in r["files"]]
+    return {k: [path] for k in kinds} if len(kinds) == 1 else kinds or {(encoding or ENCODINGS[0], False): [path]}
+
+
+def _quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"')))
+
+
+def _after(inside: Column, piece: Column) -> Column:
+    """Whether what follows a piece between separators is inside quotes (1 or 0). A quote opens a field only at its beginning."""
+    return F.when((inside == 1) | piece.startswith('"'), (inside + _quotes(piece)) % 2).otherwise(F.lit(0))
+
+
+def _state_after(line: Column, separator: str, inside: int) -> Column:
+    pieces = F.aggregate(F.split(line, re.escape(separator)), F.lit(inside), lambda s, p: _after(s, p))
+    return F.when(F.contains(line, F.lit('"')), pieces).otherwise(F.lit(inside))
+
+
+def _field_count(line: Column, separator: str) -> Column:
+    """Separators within quotes end no field."""
+    start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"))
+
+    def step(a: Column, p: Column) -> Column:
+        after = _after(a["s"], p)
+        return F.struct(after.alias("s"), (a["n"] + (after == 0).cast("int")).alias("n"))
+
+    return F.aggregate(F.split(line, re.escape(separator)), start, step)["n"]
+
+
+def lines_of(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
+    """(file, block, id, value): physical lines; ids of one block of a file rise with its lines."""
+    # The reader hands on bytes as they are.
+    value = F.col("value") if encoding == ENCODINGS[0] else F.decode(F.col("value").cast("binary"), encoding)
+    text = spark.read.text(paths)
+    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), value.alias("value"))
+
+
+def whole_records(lines: DataFrame, separator: str) -> DataFrame:
+    """(file, place, value, closed): lines joined where a quoted field goes on, and the record's place in its file.
+
+    Files stay split. What a line does to the state "inside quotes" is one of four functions: it keeps it, turns it, or sets it either way. Their
+    running composition is told by the last line that sets the state and the number of turns since, first within each
+    block, then over the blocks of a file. Lines of a record that is never closed stay single, as it would take in all that follows.
+    """
+    told = lines.withColumns({f"t{k}": _state_after(F.col("value"), separator, k) for k in (0, 1)})
+    block = Window.partitionBy("file", "block").orderBy("id")
+    until, before = block.rowsBetween(Window.unboundedPreceding, Window.currentRow), block.rowsBetween(Window.unboundedPreceding, -1)
+    turns = told.withColumn("turns", F.sum(((F.col("t0") == 1) & (F.col("t1") == 0)).cast("int")).over(until))
+    turns = turns.withColumn("fixed", F.when(F.col("t0") == F.col("t1"), (F.col("t0") + F.col("turns")) % 2))
+    held = staged(turns.withColumns({
+        "n_before": F.coalesce(F.max("turns").over(before), F.lit(0)), "fixed_before": F.last("fixed", True).over(before), "fixed_until": F.last("fixed", True).over(until),
+    }).select("file", "block", "id", "value", "turns", "n_before", "fixed_before", "fixed_until"))
+    last = F.max_by(F.struct("turns", "fixed_until"), "id")
+    inside = lambda s: F.count_if((F.coalesce("fixed_before", F.lit(s)) + F.col("n_before")) % 2 == 0)
+    blocks = held.groupBy("file", "block").agg(last.alias("last"), inside(0).alias("if_outside"), inside(1).alias("if_inside"))
+    # A file has few blocks: one for each split.
+    of_file = Window.partitionBy("file").orderBy("block")
+    blocks = blocks.withColumn("turned", F.sum("last.turns").over(of_file))
+    blocks = blocks.withColumn("set", F.when(F.col("last.fixed_until").isNotNull(), (F.col("last.fixed_until") + F.col("last.turns") + F.col("turned")) % 2))
+    blocks = blocks.withColumn("after", (F.coalesce(F.last("set", True).over(of_file), F.lit(0)) + F.col("turned")) % 2)
+    blocks = blocks.withColumn("state", F.coalesce(F.lag("after").over(of_file), F.lit(0)))
+    blocks = blocks.withColumn("starts", F.when(F.col("state") == 0, F.col("if_outside")).otherwise(F.col("if_inside")))
+    blocks = blocks.withColumn("first", F.coalesce(F.sum("starts").over(of_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ends_open = F.last("after").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) == 1
+    blocks = blocks.select("file", "block", "state", "first", ends_open.alias("ends_open"), F.sum("starts").over(Window.partitionBy("file")).alias("all"))
+    placed = held.join(blocks, ["file", "block"]).withColumn("starts", (F.coalesce("fixed_before", F.col("state")) + F.col("n_before")) % 2 == 0)
+    placed = placed.withColumn("place", F.col("first") + F.sum(F.col("starts").cast("int")).over(until) - 1)
+    unclosed = F.col("ends_open") & (F.col("place") == F.col("all") - 1)
+    single = placed.where(unclosed).select("file", "place", "value", F.lit(False).alias("closed"))
+    gathered = placed.where(~unclosed).groupBy("file", "place").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "id", "value"))), lambda x: x["value"]), "\n").alias("value"))
+    return gathered.withColumn("closed", F.lit(True)).unionByName(single)
+
+
+def placed_lines(lines: DataFrame) -> DataFrame:
+    """(file, place, value, closed) of lines that are records; the place is told in a file's first block, and null behind it."""
+    first = lines.where("block = 0").groupBy(F.col("file").alias("_of")).agg(F.min("id").alias("_start"))
+    place = F.when(F.col("block") == 0, F.col("id") - F.col("_start"))
+    return lines.join(first, F.col("file") == F.col("_of"), "left").select("file", place.alias("place"), "value", F.lit(True).alias("closed"))
 
 
 def records(lines: list[str]) -> list[str]:
@@ -146,45 +245,45 @@ def records(lines: list[str]) -> list[str]:
     return out[:-1] if len(out) > 1 and out[-1].count('"') % 2 else out
 
 
-def read_delimited(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
-    """Delimited text, every column a string; lines with too many fields lose the rest, as Spark's permissive mode has it.
+def scan_delimited(spark: SparkSession, path: str, separator: str | None = None, encoding: str | None = None) -> Scan:
+    """Delimited text, every column a string, and what is wrong with its lines.
 
-    A file is Latin-1 if any of its bytes is not UTF-8. Lines before the header are cut by their place
-    in each file. Files are split among tasks unless a quoted field may hold a line break.
+    A line with more fields than the header is left out; one with fewer is kept, with nulls; lines of a quoted field
+    that is never closed are left out. All three are in ``rejected``. A file is Latin-1 if any of its bytes is not
+    UTF-8, unless ``encoding`` tells. Lines before the header are cut by their place in each file. Only files with
+    lines of an odd number of quotes have their lines joined, and stay split for it.
     """
-    latin, n_files, broken = latin_files(spark, path)
-    mixed = 0 < len(latin) < n_files
-
-    def decoded(scan: Callable[[str], DataFrame]) -> DataFrame:
-        if not mixed:
-            return scan(ENCODINGS[bool(latin)])
-        is_latin = F.col("_metadata.file_path").isin(latin)
-        return scan(ENCODINGS[0]).where(~is_latin).unionAll(scan(ENCODINGS[1]).where(is_latin))
-
-    lines = [r["value"] for r in decoded(lambda e: spark.read.option("encoding", e).text(path)).limit(SNIFFED_LINES).collect()]
-    lines = records(lines) if broken else lines
+    kinds = file_kinds(spark, path, encoding)
+    (first_encoding, odd), paths = min(kinds.items(), key=lambda k: k[1])
+    lines = [r["value"] for r in lines_of(spark, paths[:1], first_encoding).limit(SNIFFED_LINES).collect()]
+    lines = records(lines) if odd else lines
+    if lines:
+        lines[0] = lines[0].removeprefix("\ufeff")
     separator = separator or sniff_separator(lines)
     first = header_row([line.split(separator) for line in lines])
-    reader = lambda e: spark.read.options(sep=separator, encoding=e, mode="PERMISSIVE", header=first == 0, multiLine=broken)
-    if first == 0 and not mixed:
-        return reader(ENCODINGS[bool(latin)]).csv(path)
-    names = [c.strip().strip('"') or f"c{i}" for i, c in enumerate(lines[first].split(separator))]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    if first == 0:
-        return decoded(lambda e: reader(e).schema(schema).csv(path))
-
-    cut = sum(bool(line.strip()) for line in lines[: first + 1])  # the reader drops blank lines
-
-    def body(e: str) -> DataFrame:
-        # Rows of a file's first block follow each other in one task, so ids from its least one are places in the file.
-        rows = reader(e).schema(schema).csv(path)
-        placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("_id"))
-        placed = placed.where(F.col("_file").isin(latin) == (e == ENCODINGS[1])) if mixed else placed
-        starts = placed.groupBy(F.col("_file").alias("_of")).agg(F.min("_id").alias("_start"))
-        placed = placed.join(starts, F.col("_file") == F.col("_of")).where(F.col("_id").isNull() | (F.col("_id") - F.col("_start") >= cut))
-        return placed.select(*[F.col(f"`{n}`") for n in names])
-
-    return body(ENCODINGS[0]).unionAll(body(ENCODINGS[1])) if mixed else body(ENCODINGS[bool(latin)])
+    header = next(csv.reader([lines[first]], delimiter=separator), []) if lines else []
+    names = distinct_names([c.strip() or f"_c{i}" for i, c in enumerate(header)]) or ["value"]
+    found = None
+    for (coding, quoted), of_kind in kinds.items():
+        own = lines_of(spark, of_kind, coding)
+        own = whole_records(own, separator) if quoted else placed_lines(own)
+        found = own if found is None else found.unionByName(own)
+    body = (F.col("place").isNull() | (F.col("place") > first)) & (F.trim("value") != "")
+    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))] + [T.StructField("_bad", T.StringType())])
+    options = {"sep": separator, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    # Within the case, so that no later filter on a field is tried on the header first.
+    parsed = found.where(body).withColumn("r", F.when(body & F.col("closed"), F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)))
+    n = _field_count(F.col("value"), separator)
+    reason = F.when(~F.col("closed"), F.lit(UNCLOSED)).when(F.col("r._bad").isNotNull(), F.when(n > len(names), F.lit(TOO_MANY)).otherwise(F.lit(TOO_FEW)))
+    parsed = parsed.withColumn("reason", reason)
+    kept = F.col("reason").isNull() | (F.col("reason") == TOO_FEW)
+    rows = parsed.where(kept).select(*[F.col(f"r._{i}").alias(c) for i, c in enumerate(names)])
+    return Scan(rows, parsed.where("reason is not null").select("file", "reason", kept.alias("kept"), F.col("value").alias("line")))
+
+
+def read_delimited(spark: SparkSession, path: str, separator: str | None = None, encoding: str | None = None) -> DataFrame:
+    """The rows of ``scan_delimited``."""
+    return scan_delimited(spark, path, separator, encoding).rows
 
 
 def flattened(df: DataFrame) -> DataFrame:

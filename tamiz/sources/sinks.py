@@ -25,7 +25,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    flat(df).write.mode("overwrite").option("header", True).csv(path)
+    flat(df).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] = (), compression: str = "snappy") -> int:

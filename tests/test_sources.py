@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.sources import extract
+from tamiz.sources import extract, files
 
 
 def some(spark, n=100):
@@ -115,3 +115,77 @@ def test_a_database_is_extracted_by_one_query_a_chunk(spark, tmp_path):
     job.plan(extract.planned(df, "K", 10))
     job.run(extract.from_jdbc(spark, url, "T", "K", driver=driver), wave=3)
     assert bag(job.rows().toDF("chunk", "k", "v")) == bag(df.toDF("k", "v")) and job.ledger().where("status <> 'completed'").count() == 0
+
+
+def scanned(spark, path, **options):
+    scan = files.scan_delimited(spark, str(path), **options)
+    return [tuple(r) for r in scan.rows.collect()], sorted((r["reason"], r["kept"], r["line"]) for r in scan.rejected.collect())
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name,note\n1,a,x\n2,b,y,extra\n3,c\n\n4,"d,e","f ""g"""\n5,5" disk,z\n6,"h\ni, j",k\n7,"l",m,n,o\n')
+    rows, bad = scanned(spark, tmp_path / "a.csv")
+    assert sorted(rows) == [("1", "a", "x"), ("3", "c", None), ("4", "d,e", 'f "g"'), ("5", '5" disk', "z"), ("6", "h\ni, j", "k")]
+    assert bad == [(files.TOO_FEW, True, "3,c"), (files.TOO_MANY, False, "2,b,y,extra"), (files.TOO_MANY, False, '7,"l",m,n,o')]
+
+
+def test_a_quote_that_never_closes_is_reported_and_takes_nothing_in(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text('id,name\n1,a\n2,"b\n3,c\n4,d\n')
+    (tmp_path / "in/b.csv").write_text("id,name\n5,e\n6,f,g\n")
+    rows, bad = scanned(spark, tmp_path / "in")
+    assert sorted(rows) == [("1", "a"), ("5", "e")]
+    assert bad == [(files.TOO_MANY, False, "6,f,g")] + [(files.UNCLOSED, False, x) for x in ('2,"b', "3,c", "4,d")]
+
+
+@pytest.mark.parametrize("coding", ["utf-8", "iso-8859-1"])
+def test_quoted_files_stay_split(spark, tmp_path, coding):
+    """Records over several lines and over the borders of blocks, against Python's reader."""
+    import csv
+    import random
+
+    rng = random.Random(6)
+    cell = lambda: "".join(rng.choice(["a", "é", ",", "\n", '"', " ", "bc", "\n\n"]) for _ in range(rng.randrange(9)))
+    rows = [[f"{i}", cell(), cell() + "x"] for i in range(3000)]
+    with open(tmp_path / "a.csv", "w", newline="", encoding=coding) as out:
+        csv.writer(out, lineterminator="\n").writerows([["id", "name", "note"], *rows])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        scan = files.scan_delimited(spark, str(tmp_path / "a.csv"))
+        assert spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 10
+        assert sorted(map(tuple, scan.rows.collect())) == sorted((a, b or None, c) for a, b, c in rows)
+        assert scan.rejected.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_only_files_with_odd_quotes_are_joined(spark, tmp_path):
+    top = tmp_path / "in put"
+    top.mkdir()
+    (top / "a.csv").write_text("\ufeffid;name\n1;a\n", encoding="utf-8")
+    (top / "b.csv").write_text('id;name\n2;"b\nb"\n')
+    (top / "c.csv").write_bytes('id;name\n3;ñ\n'.encode("latin-1"))
+    kinds = files.file_kinds(spark, str(top))
+    assert {k: [os.path.basename(f) for f in v] for k, v in kinds.items()} == {("utf-8", False): ["a.csv"], ("utf-8", True): ["b.csv"], ("iso-8859-1", False): ["c.csv"]}
+    rows, bad = scanned(spark, top)
+    assert sorted(rows) == [("1", "a"), ("2", "b\nb"), ("3", "ñ")] and bad == []
+    assert files.scan_delimited(spark, str(top)).rows.columns == ["id", "name"]
+
+
+def test_delimited_edge_cases(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert scanned(spark, tmp_path / "empty.csv") == ([], [])
+    (tmp_path / "head.csv").write_text("a,b\n")
+    assert scanned(spark, tmp_path / "head.csv") == ([], [])
+    (tmp_path / "twice.csv").write_text('a,,a,"b.c"\n1,2,3,4\n')
+    scan = files.scan_delimited(spark, str(tmp_path / "twice.csv"))
+    assert scan.rows.columns == ["a", "_c1", "a_2", "b.c"] and scan.rows.first() == ("1", "2", "3", "4")
+    wide = ",".join(f"c{i}" for i in range(6000))
+    (tmp_path / "wide.csv").write_text(wide + "\n" + '"a\nb"' + "," * 5999 + '\n"' + '""' * 30000 + '"' + "," * 6000 + "\n")
+    scan = files.scan_delimited(spark, str(tmp_path / "wide.csv"))
+    assert len(scan.rows.columns) == 6000 and [r["c0"] for r in scan.rows.select("c0").collect()] == ["a\nb"] and [r["reason"] for r in scan.rejected.collect()] == [files.TOO_MANY]
+    (tmp_path / "known.csv").write_bytes("a,b\né,1\n".encode("latin-1"))
+    assert scanned(spark, tmp_path / "known.csv", encoding="iso-8859-1", separator=",")[0] == [("é", "1")]
