@@ -7,6 +7,8 @@ first, and what is exact is then counted only where it has to be.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,16 +26,21 @@ SKETCH_ERROR = 0.02
 
 def quantiles(df: DataFrame, wanted: dict[str, tuple[Column, float]]) -> dict[str, float | None]:
     """name → (column, share) gives name → quantile, interpolated between neighbours, nulls left out; None for no values.
+    NaN is greater than all other values, as Spark sorts it; a quantile that would touch one is NaN.
 
     A sketch tells two bounds around each rank. One aggregate counts what lies below and between them; once
     that is few rows, their values are fetched by count. Each round narrows the bounds by ACCURACY / 4 or so.
     """
     given = list(wanted)
     wanted = {f"_{i}": wanted[name] for i, name in enumerate(given)}  # names that need no quotes
-    rows = df.select(*[column.cast("double").alias(n) for n, (column, _) in wanted.items()])
-    first = rows.agg(*[F.struct(F.count(n).alias("n"), F.min(n).alias("low"), F.max(n).alias("high")).alias(n) for n in wanted]).first()
-    out: dict[str, float | None] = {n: None for n in wanted if not first[n]["n"]}
-    rank = {n: wanted[n][1] * (first[n]["n"] - 1) for n in wanted if n not in out}
+    given_rows = df.select(*[column.cast("double").alias(n) for n, (column, _) in wanted.items()])
+    real = lambda n: F.when(~F.isnan(n), F.col(n))
+    rows = given_rows.select(*[real(n).alias(n) for n in wanted])
+    first = given_rows.agg(*[F.struct(F.count(real(n)).alias("n"), F.count(n).alias("all"), F.min(real(n)).alias("low"), F.max(real(n)).alias("high")).alias(n) for n in wanted]).first()
+    out: dict[str, float | None] = {n: None for n in wanted if not first[n]["all"]}
+    rank = {n: wanted[n][1] * (first[n]["all"] - 1) for n in wanted if n not in out}
+    out |= {n: math.nan for n, r in rank.items() if math.ceil(r) >= first[n]["n"]}
+    rank = {n: r for n, r in rank.items() if n not in out}
     bounds = {n: (first[n]["low"], first[n]["high"]) for n in rank}
     below, inside = dict.fromkeys(rank, 0), {n: first[n]["n"] for n in rank}
     margin = dict.fromkeys(rank, 2 / ACCURACY)
@@ -53,7 +60,7 @@ def quantiles(df: DataFrame, wanted: dict[str, tuple[Column, float]]) -> dict[st
             first_in, last_in = c["below"] + c["low"], c["below"] + c["low"] + c["between"] - 1
             known = [low if k < first_in else high if k > last_in else c["least"] if k == first_in else c["most"] if k == last_in else None for k in ranks]
             if None not in known:
-                out[n] = known[0] + (known[1] - known[0]) * (rank[n] - ranks[0])
+                out[n] = _part(*known, rank[n] - ranks[0])
             bounds[n], below[n], inside[n] = (c["least"], c["most"]), first_in, c["between"]
     for n in rank:
         if n not in out and bounds[n][0] == bounds[n][1]:
@@ -70,10 +77,15 @@ def quantiles(df: DataFrame, wanted: dict[str, tuple[Column, float]]) -> dict[st
                 low = value if low is None and at + k > int(want) else low
                 high = value if high is None and at + k > int(want) + (want > int(want)) else high
                 at += k
-            out[n] = low + (high - low) * (want - int(want))
+            out[n] = _part(low, high, want - int(want))
     return {name: out[f"_{i}"] for i, name in enumerate(given)}
 
 
+def _part(low: float, high: float, share: float) -> float:
+    """Between two neighbours; equal ones may be infinite."""
+    return low if low == high or not share else low + (high - low) * share
+
+
 def _around(x: Column, low: float, high: float) -> Column:
     inner = F.when((x > low) & (x < high), x)
     return F.struct(

@@ -6,10 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tamiz.operators import cleaning, rules
+from tamiz.operators import cleaning, rules, semantic
 from tamiz.operators.stage import shared_home
 from tamiz.plans import pipeline
 from tamiz.plans import q_clean as C
+from tamiz.plans import q_semantic as S
 from tamiz.plans.catalog import query
 from tamiz.sources import extract, files, sinks
 from tamiz.streaming import streams
@@ -222,6 +223,34 @@ def _(d):
     return read("valid", False).unionByName(read("quarantine", True))
 
 
+@query("x1_streaming_enrich", D, S.MONEY_SQL)
+def _(d):
+    """Anchors learned and saved by a batch run, then used row by row on a stream of the same rows."""
+    spark, top = d.sparkSession, _folder(d, "x1-enrich")
+    rows = d.select("row_no", "monto", "producto")
+    rows.write.parquet(f"{top}/in")
+    semantic.learn(spark.read.parquet(f"{top}/in")).save(spark, f"{top}/anchors")
+    streams.enrich_stream(spark, f"{top}/in", rows.schema, semantic.Anchors.read(spark, f"{top}/anchors"), f"{top}/out", f"{top}/checkpoint")
+    out = spark.read.parquet(f"{top}/out").drop("producto_domain_flag")
+    return out.withColumns({c: F.round(c, 4) for c in ("monto_monto_origen", "monto_final")})
+
+
+_DAY = f"strftime({C.DATE}, '%Y-%m-%d')"
+
+
+@query("x2_flag_counts", D, f"""SELECT {_DAY} AS day, CAST(NULL AS VARCHAR) AS flag, count(*) AS n, count(*) - count(producto) AS nulls_producto, CAST(sum({C.SCORE}) AS BIGINT) AS score_sum, count({C.SCORE}) AS scored FROM dirty_sales WHERE {C.DATE} IS NOT NULL GROUP BY 1
+ UNION ALL SELECT day, flag, count(*), count(*) - count(producto), CAST(sum(score) AS BIGINT), count(score) FROM (SELECT {_DAY} AS day, producto, {C.SCORE} AS score, unnest({C.FLAGS}) AS flag FROM dirty_sales WHERE {C.DATE} IS NOT NULL) GROUP BY 1, 2""")
+def _(d):
+    """Cleaned sales arrive as a stream; their dates are the event time, so an hour is a day's first one."""
+    spark, top = d.sparkSession, _folder(d, "x2-flags")
+    cleaned = cleaning.clean_transactional(d).select(F.col("fecha_venta").cast("timestamp").alias("ts"), "producto", "data_quality_flags", "quality_score").where("ts is not null")
+    cleaned.write.parquet(f"{top}/in")
+    stream = spark.readStream.schema(cleaned.schema).parquet(f"{top}/in")
+    streams.write_hourly(streams.hourly_flags(stream, "ts", ["producto"], "data_quality_flags", "quality_score"), f"{top}/out", f"{top}/checkpoint")
+    out = streams.read_hourly(spark, f"{top}/out", ["flag"])
+    return out.select(F.date_format("hour", "yyyy-MM-dd").alias("day"), "flag", "n", "nulls_producto", "score_sum", "scored")
+
+
 @query("x2_streaming_quality", "events", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, count(*) AS n, count(*) - count(nullif(event_type, 'error')) AS nulls_event_type FROM events GROUP BY 1")
 def _(e):
     spark, top = e.sparkSession, _folder(e, "x2")

@@ -59,7 +59,8 @@ def _(d):
     return d.select("row_no", amount.alias("amount"), code.alias("currency"))
 
 
-@query("m6_normalize_money", D, f"""WITH b AS (SELECT row_no, monto, producto, CAST({MONEY_TEXT} AS DOUBLE) AS x, {CODE} AS code, coalesce({DOMAIN}, 0) >= 0 AS fits FROM dirty_sales),
+#: The whole of M6 over the derived table.
+MONEY_SQL = f"""WITH b AS (SELECT row_no, monto, producto, CAST({MONEY_TEXT} AS DOUBLE) AS x, {CODE} AS code, coalesce({DOMAIN}, 0) >= 0 AS fits FROM dirty_sales),
  c AS (SELECT code, count(*) AS n FROM b WHERE code IS NOT NULL GROUP BY 1), s AS (SELECT max(n) / sum(n)::DOUBLE AS share, arg_max(code, n) AS top, (SELECT median(x) FROM b WHERE code IS NULL) AS m FROM c),
  a AS (SELECT b.*, coalesce(code, CASE WHEN share > 0.8 AND NOT (top IN ('USD', 'EUR') AND m > 5000) THEN top ELSE 'CLP' END) AS cur FROM b, s),
  u AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3, coalesce(stddev_samp(x), 1.0) AS sd, median(x) AS r FROM a WHERE fits AND x BETWEEN 5000 AND 5000000),
@@ -69,7 +70,10 @@ def _(d):
  z AS (SELECT *, coalesce(fits AND x > 0 AND y <> x AND abs(ln(y) - ln(m)) < abs(ln(x) - ln(m)) AND y BETWEEN m / 100 AND m * 100, false) AS takes FROM t),
  o AS (SELECT *, CASE WHEN takes THEN y ELSE x END AS amount FROM z)
  SELECT row_no, monto, producto, x AS monto_parsed, cur AS monto_moneda_origen, round(amount, 4) AS monto_monto_origen, round(amount * CASE cur WHEN 'USD' THEN 950 WHEN 'EUR' THEN 1050 ELSE 1 END, 4) AS monto_final,
- CASE WHEN amount IS NOT NULL AND cur IN ('USD', 'EUR', 'CLP') THEN 'CLP' ELSE cur END AS monto_final_currency, takes AS monto_scale_corrected FROM o""")
+ CASE WHEN amount IS NOT NULL AND cur IN ('USD', 'EUR', 'CLP') THEN 'CLP' ELSE cur END AS monto_final_currency, takes AS monto_scale_corrected FROM o"""
+
+
+@query("m6_normalize_money", D, MONEY_SQL)
 def _(d):
     out = semantic.normalize_money(d.select("row_no", "monto", "producto"), "monto")
     return out.withColumns({c: F.round(c, 4) for c in ("monto_monto_origen", "monto_final")})

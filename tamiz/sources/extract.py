@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tamiz.sources.files import listing, plan_ranges
+from tamiz.sources.files import exists, listing, plan_ranges
 
 LEDGER = "n int, low long, high long, write string, status string, rows long, checksum string, error string, seconds double, at timestamp"
 #: Chunks written by one job, hence lost at most when it ends early.
@@ -97,8 +97,7 @@ class Extract:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _has(self, name: str) -> bool:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path) and bool(listing(self.spark, path.toString()))
+        return exists(self.spark, f"{self.root}/{name}") and bool(listing(self.spark, f"{self.root}/{name}"))
 
     def plan(self, parts: list[Range] | None = None) -> list[Range]:
         """The extract's ranges; ``parts`` become its plan if it has none yet."""

@@ -69,6 +69,11 @@ def distinct_names(names: list[str]) -> list[str]:
     return out
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(top)
+
+
 def listing(spark: SparkSession, path: str) -> list[str]:
     """Files, and folders of part files, in a folder of any store that Spark reads."""
     jvm = spark.sparkContext._jvm

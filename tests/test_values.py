@@ -271,6 +271,38 @@ def test_exact_quantiles(spark, monkeypatch):
     assert statistics.quantiles(df.where("v = 7"), {"m": (F.col("v"), 0.3)}) == {"m": 7.0}
 
 
+def test_quantiles_of_a_column_with_nan_and_infinities(spark, monkeypatch):
+    import math
+
+    inf, nan = math.inf, math.nan
+    df = spark.range(4000).select(F.when(F.col("id") % 100 == 0, nan).when(F.col("id") % 100 == 1, inf).when(F.col("id") % 100 == 2, -inf).otherwise(F.col("id").cast("double")).alias("v")).repartition(3)
+    values = sorted(inf if i % 100 == 1 else -inf if i % 100 == 2 else float(i) for i in range(4000) if i % 100) + [nan] * 40
+    collected, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    monkeypatch.setattr(statistics, "GATHERED", 10)
+    monkeypatch.setattr(statistics, "ACCURACY", 200)
+    for share in (0.0, 0.005, 0.3, 0.5, 0.98, 0.985, 0.995, 1.0):
+        rank = share * 3999
+        low, high = values[int(rank)], values[math.ceil(rank)]
+        want = low if low == high or rank == int(rank) else low + (high - low) * (rank - int(rank))
+        got = statistics.quantiles(df, {"m": (F.col("v"), share)})["m"]
+        assert got == pytest.approx(want, rel=1e-12) or math.isnan(got) and math.isnan(want), share
+    assert max((len(rows) for rows in collected), default=0) <= 10
+    assert math.isnan(statistics.quantiles(df.where("isnan(v)"), {"m": (F.col("v"), 0.5)})["m"])
+
+
+def test_anchors_are_versions(spark, tmp_path):
+    df = spark.createDataFrame([("1", "$ 1.200.000", "Mouse logitech"), ("2", "850", "Mouse logitech"), ("3", None, "Pizza"), ("4", "900.000", "RTX 4090")], "id string, monto string, producto string")
+    first = semantic.learn(df)
+    path = str(tmp_path / "anchors")
+    assert first.save(spark, path, 4) == 1 and semantic.Anchors({"monto": semantic.Anchor("USD", 7.0)}, ["x"]).save(spark, path) == 2
+    assert semantic.Anchors.read(spark, path, 1) == first and semantic.Anchors.read(spark, path).money["monto"].anchor == 7.0
+    assert sorted(semantic.enrich(df, first).collect()) == sorted(semantic.enrich(df).collect()) and semantic.enrich(df, first).columns == semantic.enrich(df).columns
+    # Nothing is counted under anchors: rows one by one give the same.
+    one = [semantic.enrich(df.where(F.col("id") == i), first).first() for i in "1234"]
+    assert sorted(one) == sorted(semantic.enrich(df).collect())
+
+
 def test_distinct_counts(spark, monkeypatch):
     df = spark.range(5000).select((F.col("id") % 7).alias("few"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("many"), (F.col("id") % 50 / 7).alias("real"), F.lit(None).cast("string").alias("none"))
     want = {"few": 7, "many": 2500, "real": 50, "none": 0}
@@ -313,6 +345,27 @@ def test_late_rows_and_state(spark, tmp_path):
     assert arrive("2024-01-01 09:40:00", "2024-01-01 12:30:00")["09"] == (2, 2)  # far behind 12:00 less ten minutes
 
 
+def test_flags_by_hour_with_late_rows_and_bounded_state(spark, tmp_path):
+    from tamiz.streaming import streams
+
+    top, kind = str(tmp_path), "ts timestamp, v string, tags array<string>, score int"
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, "t string, v string, tags array<string>, score int").select(F.col("t").cast("timestamp").alias("ts"), "v", "tags", "score").coalesce(1).write.mode("append").parquet(f"{top}/in")
+        stream = spark.readStream.schema(kind).parquet(f"{top}/in")
+        done = streams.write_hourly(streams.hourly_flags(stream, "ts", ["v"], "tags", "score"), f"{top}/out", f"{top}/checkpoint")
+        return {(str(r["hour"])[11:13], r["flag"]): (r["n"], r["nulls_v"], r["score_sum"], r["scored"]) for r in streams.read_hourly(spark, f"{top}/out", ["flag"]).collect()}, done
+
+    got, _ = arrive(("2024-01-01 08:10:00", None, ["a", "b"], 50), ("2024-01-01 08:20:00", "x", ["a"], None), ("2024-01-01 09:05:00", "x", None, 90))
+    assert got == {("08", None): (2, 1, 50, 1), ("08", "a"): (2, 1, 50, 1), ("08", "b"): (1, 1, 50, 1), ("09", None): (1, 0, 90, 1)}
+    got, _ = arrive(("2024-01-01 09:20:00", None, ["b", "b"], 10), ("2024-01-01 13:00:00", "x", [], 70))
+    assert got["09", None] == (2, 1, 100, 2) and got["09", "b"] == (2, 2, 20, 2) and got["13", None] == (1, 0, 70, 1) and ("13", "b") not in got
+    got, done = arrive(("2024-01-01 09:40:00", None, ["a"], 1), ("2024-01-01 13:30:00", "x", ["c"], 30))  # the first is far behind
+    assert got["09", None] == (2, 1, 100, 2) and ("09", "a") not in got and got["13", None] == (2, 0, 100, 2)
+    # Hours behind the watermark have left the state; the open hour has its total and one flag.
+    assert done.lastProgress.stateOperators[0].numRowsTotal == 2
+
+
 def test_database_scan_in_ranges(spark, tmp_path):
     url, driver = f"jdbc:derby:memory:{tmp_path.name};create=true", "org.apache.derby.jdbc.EmbeddedDriver"
     rows = spark.range(1, 1001).select((F.col("id") * 3).alias("K"), (F.col("id") % 7).cast("int").alias("V"))
