@@ -25,13 +25,15 @@ def with_share(df: DataFrame, value: str = "venta", name: str = "share") -> Data
 
 
 def kpis(df: DataFrame) -> DataFrame:
-    """One row of totals, averages and distinct counts."""
+    """One row of totals, averages and distinct counts, in one pass: each row gives its measures once and a narrow cell for each
+    counted column, and both are combined by (column, value) before the shuffle."""
     names = {c: f"n_{c}" for c in ("cliente_codigo", "producto", "comuna", "region", "familia")} | {"fecha": "n_meses"}
-    held = staged(df.select("venta", "unidades", "costo", *names))  # the joined rows are read several times
-    counts = statistics.distinct_counts(held, list(names))
-    one = held.agg(
-        F.sum("venta").alias("venta"), F.sum("unidades").alias("unidades"), F.sum("costo").alias("costo"), F.count("*").alias("lineas"),
-        *[F.any_value(F.lit(counts[c]).cast("long")).alias(name) for c, name in names.items()])
+    measures = ["venta", "unidades", "costo"]
+    own = F.struct(F.lit(-1).alias("c"), F.lit(None).cast("string").alias("v"))
+    each = df.select(*measures, F.explode(F.concat(F.array(own), statistics.cells(df, list(names)))).alias("r")).where("r.c = -1 or r.v is not null")
+    is_row = F.col("r.c") == -1
+    combined = each.groupBy("r.c", "r.v").agg(*[F.sum(F.when(is_row, F.col(m))).alias(m) for m in measures], F.count_if(is_row).alias("lineas"))
+    one = combined.agg(*[F.sum(m).alias(m) for m in measures], F.coalesce(F.sum("lineas"), F.lit(0)).alias("lineas"), *[F.count_if(F.col("c") == i).alias(name) for i, name in enumerate(names.values())])
     per = lambda a, b: F.when(F.col(b) != 0, F.round(F.col(a) / F.col(b), 6))
     return one.withColumns({
         "margen": F.col("venta") - F.col("costo"), "margen_pct": F.when(F.col("venta") != 0, F.round((F.col("venta") - F.col("costo")) / F.col("venta") * 100, 6)),

@@ -44,7 +44,7 @@ def column_roles(df: DataFrame) -> DataFrame:
             (F.sum(x.cast("double")) if t in NUMERIC else F.any_value(F.lit(None).cast("double"))).alias("total")).alias(f"_{i}"))
     wide = staged(df.agg(F.count("*").alias("rows"), *aggs))  # one row
     told = wide.select(*[F.col(f"_{i}.sketch").alias(f"_{i}") for i in range(len(df.columns))]).first()
-    uniques = statistics.distinct_table(df, df.columns, dict(zip(df.columns, told)))
+    uniques = statistics.distinct_table(df, df.columns)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("kind"), F.lit(name_has(c, DATE_TOKENS)).alias("date_name"), F.lit(name_has(c, ID_TOKENS)).alias("id_name"), F.lit(is_internal(c)).alias("internal"), F.col(f"_{i}").alias("f")) for i, (c, t) in enumerate(df.dtypes)])
     tall = wide.select("rows", F.explode(rows).alias("r")).select("rows", "r.column_name", "r.kind", "r.date_name", "r.id_name", "r.internal", "r.f.*").join(F.broadcast(uniques), "column_name")  # one row a column
     filled, numeric = F.col("rows") - F.col("nulls"), F.col("kind").isin(*NUMERIC)
@@ -142,7 +142,7 @@ def redundant_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     told = dict(zip(columns, filled.agg(*statistics.sketches(columns)).first()))
     far = 10 * statistics.SKETCH_ERROR
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :] if abs(told[a] - told[b]) <= far * max(told[a], told[b])]
-    single = statistics.distinct_counts(filled, sorted({c for p in pairs for c in p}), told)
+    single = statistics.distinct_counts(filled, sorted({c for p in pairs for c in p}))
     pairs = [(a, b) for a, b in pairs if single[a] == single[b]]
     both = filled.select(*[F.struct(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     n = statistics.distinct_counts(both, both.columns) if pairs else {}

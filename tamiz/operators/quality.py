@@ -41,7 +41,7 @@ def capped_distinct(df: DataFrame, cap: int = DISTINCT_CAP) -> DataFrame:
     """Distinct values, exact up to ``cap``. A sketch first tells the columns that are far above, which
     the exact count then leaves out."""
     sketch = dict(zip(df.columns, df.agg(*statistics.sketches(df.columns)).first()))
-    exact = statistics.distinct_counts(df, [c for c in df.columns if sketch[c] <= 1.2 * cap], sketch)
+    exact = statistics.distinct_counts(df, [c for c in df.columns if sketch[c] <= 1.2 * cap])
     rows = [(c, str(exact[c]) if exact.get(c, cap + 1) <= cap else f">{cap}", exact.get(c, cap + 1) > cap) for c in df.columns]
     return df.sparkSession.createDataFrame(rows, "column_name string, uniques string, high_cardinality boolean")
 

@@ -1,8 +1,8 @@
 """Exact order statistics and distinct counts of whole columns, without one task that holds a column.
 
-``F.percentile`` and ``F.median`` keep every distinct value in one aggregation buffer, and several
-``count_distinct`` in one aggregate copy each row once a column. Here sketches of bounded size come
-first, and what is exact is then counted only where it has to be.
+``F.percentile`` and ``F.median`` keep every distinct value in one aggregation buffer, so here a sketch bounds a quantile and
+only what lies between the bounds is counted. Several ``count_distinct`` in one aggregate copy each row once a column; here
+narrow cells are combined instead, in one plan at every size.
 """
 
 from __future__ import annotations
@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 GATHERED = 50_000
 #: Ranks told by a sketch are off by at most one in so many.
 ACCURACY = 10_000
-#: Columns with fewer values than this, by the sketch, are counted as sets in one aggregate.
-SET_VALUES = 2_000
-#: Cells of a table, by its counted rows, up to which all columns are counted in one aggregate.
-COPIED_CELLS = 5_000_000
 #: Relative standard deviation of the distinct sketch.
 SKETCH_ERROR = 0.02
 
@@ -33,23 +29,34 @@ def quantiles(df: DataFrame, wanted: dict[str, tuple[Column, float]]) -> dict[st
     """
     given = list(wanted)
     wanted = {f"_{i}": wanted[name] for i, name in enumerate(given)}  # names that need no quotes
-    given_rows = df.select(*[column.cast("double").alias(n) for n, (column, _) in wanted.items()])
-    real = lambda n: F.when(~F.isnan(n), F.col(n))
-    rows = given_rows.select(*[real(n).alias(n) for n in wanted])
-    first = given_rows.agg(*[F.struct(F.count(real(n)).alias("n"), F.count(n).alias("all"), F.min(real(n)).alias("low"), F.max(real(n)).alias("high")).alias(n) for n in wanted]).first()
-    out: dict[str, float | None] = {n: None for n in wanted if not first[n]["all"]}
-    rank = {n: wanted[n][1] * (first[n]["all"] - 1) for n in wanted if n not in out}
-    out |= {n: math.nan for n, r in rank.items() if math.ceil(r) >= first[n]["n"]}
+    # Quantiles of one and the same column share its figures.
+    columns = {id(column): f"_c{i}" for i, (column, _) in enumerate(wanted.values())}
+    of = {n: columns[id(column)] for n, (column, _) in wanted.items()}
+    named_columns = {columns[id(column)]: column for column, _ in wanted.values()}
+    margin = dict.fromkeys(wanted, 2 / ACCURACY)
+    around = lambda n, share: [min(1.0, max(0.0, share + d)) for d in (-margin[n], margin[n])]
+    given_rows = df.select(*[column.cast("double").alias(c) for c, column in named_columns.items()])
+    real = {c: F.when(~F.isnan(c), F.col(c)) for c in named_columns}
+    rows = given_rows.select(*[x.alias(c) for c, x in real.items()])
+    first = given_rows.agg(*[F.struct(
+        F.count(x).alias("n"), F.count(c).alias("all"), F.min(x).alias("low"), F.max(x).alias("high"),
+        F.approx_percentile(x, [p for n in wanted if of[n] == c for p in around(n, wanted[n][1])], ACCURACY).alias("told")).alias(c) for c, x in real.items()]).first()
+    out: dict[str, float | None] = {n: None for n in wanted if not first[of[n]]["all"]}
+    rank = {n: wanted[n][1] * (first[of[n]]["all"] - 1) for n in wanted if n not in out}
+    out |= {n: math.nan for n, r in rank.items() if math.ceil(r) >= first[of[n]]["n"]}
     rank = {n: r for n, r in rank.items() if n not in out}
-    bounds = {n: (first[n]["low"], first[n]["high"]) for n in rank}
-    below, inside = dict.fromkeys(rank, 0), {n: first[n]["n"] for n in rank}
-    margin = dict.fromkeys(rank, 2 / ACCURACY)
-    while wide := [n for n in rank if n not in out and inside[n] > GATHERED and bounds[n][0] < bounds[n][1]]:
-        between = {n: F.when(F.col(n).between(*bounds[n]), F.col(n)) for n in wide}
-        shares = {n: [min(1.0, max(0.0, (rank[n] - below[n]) / inside[n] + d)) for d in (-margin[n], margin[n])] for n in wide}
-        told = rows.agg(*[F.approx_percentile(between[n], shares[n], ACCURACY).alias(n) for n in wide]).first()
+    bounds = {n: (first[of[n]]["low"], first[of[n]]["high"]) for n in rank}
+    below, inside = dict.fromkeys(rank, 0), {n: first[of[n]]["n"] for n in rank}
+    told = {n: first[of[n]]["told"][2 * i : 2 * i + 2] for c in named_columns for i, n in enumerate([n for n in wanted if of[n] == c]) if n in rank}
+    shares = {n: around(n, wanted[n][1]) for n in rank}
+    while wide := [n for n in rank if n not in out and (inside[n] > GATHERED or n in told) and bounds[n][0] < bounds[n][1]]:
+        if again := [n for n in wide if n not in told]:
+            between = {n: F.when(F.col(of[n]).between(*bounds[n]), F.col(of[n])) for n in again}
+            shares |= {n: around(n, (rank[n] - below[n]) / inside[n]) for n in again}
+            told |= rows.agg(*[F.approx_percentile(between[n], shares[n], ACCURACY).alias(n) for n in again]).first().asDict()
         new = {n: (bounds[n][0] if shares[n][0] == 0 else told[n][0], bounds[n][1] if shares[n][1] == 1 else told[n][1]) for n in wide}
-        counts = rows.agg(*[_around(F.col(n), *new[n]).alias(n) for n in wide]).first()
+        told = {}
+        counts = rows.agg(*[_around(F.col(of[n]), *new[n]).alias(n) for n in wide]).first()
         for n in wide:
             c, (low, high) = counts[n], new[n]
             ranks = (int(rank[n]), int(rank[n]) + (rank[n] > int(rank[n])))
@@ -68,7 +75,7 @@ def quantiles(df: DataFrame, wanted: dict[str, tuple[Column, float]]) -> dict[st
     open_ = [n for n in rank if n not in out]
     if open_:
         # At most GATHERED rows a name lie between its bounds.
-        pairs = F.array_compact(F.array(*[F.when(F.col(n).between(*bounds[n]), F.struct(F.lit(n).alias("name"), F.col(n).alias("x"))) for n in open_]))
+        pairs = F.array_compact(F.array(*[F.when(F.col(of[n]).between(*bounds[n]), F.struct(F.lit(n).alias("name"), F.col(of[n]).alias("x"))) for n in open_]))
         found = rows.select(F.explode(pairs).alias("p")).groupBy("p.name", "p.x").agg(F.count("*").alias("k")).collect()
         for n in open_:
             at, values, want = below[n], sorted((r["x"], r["k"]) for r in found if r["name"] == n), rank[n]
@@ -97,32 +104,37 @@ def sketches(columns: list[str]) -> list[Column]:
     return [F.approx_count_distinct(F.col(f"`{c}`"), SKETCH_ERROR).alias(f"_{i}") for i, c in enumerate(columns)]
 
 
-def distinct_counts(df: DataFrame, columns: list[str], sketch: dict[str, int] | None = None) -> dict[str, int]:
-    """Exact number of values of each column, nulls left out.
+def _told_apart(column: str, kind: str) -> Column:
+    """A text for each value of a column, the same for equal values only; nulls stay."""
+    x = F.col(f"`{column}`")
+    if kind in ("double", "float"):
+        return (x.cast("double") + 0.0).cast("string")  # one zero
+    if kind == "timestamp":
+        return F.unix_micros(x).cast("string")  # a clock shows some hours twice
+    if kind == "binary":
+        return F.base64(x)
+    return F.to_json(x, {"ignoreNullFields": "false"}) if kind.startswith(("array", "struct", "map")) else x.cast("string")
 
-    Columns of few values, as a sketch of all tells, are counted as sets in one aggregate. Each other one is
-    a group-by of its own, which reads that column alone and combines its values before the shuffle.
+
+def cells(df: DataFrame, columns: list[str]) -> Column:
+    """An array of (c, v), one for each column: its place in ``columns`` and its value as text."""
+    kinds = dict(df.dtypes)
+    return F.array(*[F.struct(F.lit(i).alias("c"), _told_apart(c, kinds[c]).alias("v")) for i, c in enumerate(columns)])
+
+
+def distinct_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, uniques): the exact number of values of each column, nulls left out.
+
+    One scan gives a narrow row a cell; these are combined by (column, value) before the only shuffle that grows with
+    the data, so neither a frequent value nor a column of many values meets in one task or buffer.
     """
-    if not columns:
-        return {}
-    if sketch is None:
-        *told, rows = df.agg(*sketches(columns), F.count("*")).first()
-        if rows * len(columns) <= COPIED_CELLS:  # small enough to copy each row once a column, in one job
-            return dict(zip(columns, df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(columns)]).first()))
-        sketch = dict(zip(columns, told))
-    types = dict(df.dtypes)
-    few = [c for c in columns if sketch[c] <= SET_VALUES and types[c] not in ("double", "float")]
-    out: dict[str, int] = {}
-    if few:
-        out |= dict(zip(few, df.agg(*[F.size(F.collect_set(F.col(f"`{c}`"))).alias(f"_{i}") for i, c in enumerate(few)]).first()))
-    counted = None
-    for c in columns:
-        if c not in few:
-            one = df.select(F.col(f"`{c}`").alias("v")).where("v is not null").distinct().agg(F.count("*").alias("n")).select(F.lit(c).alias("c"), "n")
-            counted = one if counted is None else counted.unionByName(one)
-    return out | ({r["c"]: r["n"] for r in counted.collect()} if counted is not None else {})  # one row a column
-
-
-def distinct_table(df: DataFrame, columns: list[str], sketch: dict[str, int] | None = None) -> DataFrame:
-    """(column_name, uniques), one row a column."""
-    return df.sparkSession.createDataFrame(list(distinct_counts(df, columns, sketch).items()), "column_name string, uniques long")
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(columns)], "_c int, column_name string")
+    values = df.select(F.explode(cells(df, columns)).alias("r")).where("r.v is not null").groupBy("r.c", "r.v").agg(F.lit(1).alias("one")) if columns else None
+    if values is None:
+        return names.select("column_name", F.lit(0).cast("long").alias("uniques"))
+    counts = values.groupBy("c").agg(F.count("*").alias("uniques"))
+    return names.join(F.broadcast(counts), F.col("_c") == F.col("c"), "left").select("column_name", F.coalesce("uniques", F.lit(0)).alias("uniques"))  # one row a column
+
+
+def distinct_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    return {r["column_name"]: r["uniques"] for r in distinct_table(df, columns).collect()}  # one row a column

@@ -303,14 +303,18 @@ def test_anchors_are_versions(spark, tmp_path):
     assert sorted(one) == sorted(semantic.enrich(df).collect())
 
 
-def test_distinct_counts(spark, monkeypatch):
-    df = spark.range(5000).select((F.col("id") % 7).alias("few"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("many"), (F.col("id") % 50 / 7).alias("real"), F.lit(None).cast("string").alias("none"))
-    want = {"few": 7, "many": 2500, "real": 50, "none": 0}
-    assert statistics.distinct_counts(df, df.columns) == want
-    monkeypatch.setattr(statistics, "COPIED_CELLS", 0)
-    assert statistics.distinct_counts(df, df.columns) == want
-    monkeypatch.setattr(statistics, "SET_VALUES", 0)
-    assert statistics.distinct_counts(df, df.columns) == want
+def test_distinct_counts(spark):
+    x = F.col("id")
+    df = spark.range(5000).select(
+        (x % 7).alias("few"), F.when(x % 2 == 0, x).alias("many"), (x % 50 / 7).alias("real"), F.lit(None).cast("string").alias("none"), F.when(x % 3 == 0, -0.0).when(x % 3 == 1, 0.0).otherwise(float("nan")).alias("a.zero"),
+        F.timestamp_seconds(x % 40 * 1800 + 1729987200).alias("clock"), F.array(x % 3, F.lit(None).cast("long")).alias("list"), F.to_binary((x % 9).cast("string"), F.lit("utf-8")).alias("raw"), F.date_add(F.lit("2024-01-01").cast("date"), (x % 31).cast("int")).alias("day"))
+    want = {"few": 7, "many": 2500, "real": 50, "none": 0, "a.zero": 2, "clock": 40, "list": 3, "raw": 9, "day": 31}
+    assert statistics.distinct_counts(df, df.columns) == want and statistics.distinct_counts(df.limit(0), ["few"]) == {"few": 0} and statistics.distinct_counts(df, []) == {}
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")  # the clock goes back within these hours
+    try:
+        assert statistics.distinct_counts(df, ["clock"]) == {"clock": 40}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_redundant_pairs(spark):
