@@ -145,18 +145,83 @@ def infer_pk(table: str, columns: list[str]) -> str | None:
     return plain.get(f"{bare}key") or next((c for p, c in plain.items() if p.endswith(f"{bare}key")), None) or (keys[0] if len(keys) == 1 else None)
 
 
+#: Columns that one number tells apart.
+MASK = 62
+
+
+def _comparable(df: DataFrame) -> list[str]:
+    return [c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "string", "date")]
+
+
+def value_index(tables: dict[str, DataFrame]) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """An inverted index: each value of all whole-number, text and date columns, with masks of the columns that hold it, and these columns.
+
+    Every table is read once. Values are combined in masks before their one shuffle, so a hot value
+    crosses it once a task, and a value's row is as wide as the number of columns asks, whatever holds it.
+    """
+    columns = [(t, c) for t, df in tables.items() for c in _comparable(df)]
+    words, out = -(-len(columns) // MASK), None
+    for t, df in tables.items():
+        own = [i for i, (name, _) in enumerate(columns) if name == t]
+        if own:
+            cells = F.explode(statistics.cells(df, [columns[i][1] for i in own]))
+            one = df.select(cells.alias("r")).where("r.v is not null").select("r.v", (F.col("r.c") + own[0]).alias("c"))  # a table's columns follow each other
+            out = one if out is None else out.unionByName(one)
+    bit = lambda k: F.expr(f"CASE WHEN c BETWEEN {k * MASK} AND {(k + 1) * MASK - 1} THEN shiftleft(1L, c - {k * MASK}) ELSE 0L END")
+    return out.groupBy("v").agg(*[F.bit_or(bit(k)).alias(f"m{k}") for k in range(words)]), columns
+
+
+def inclusions(tables: dict[str, DataFrame], least: float = 1.0) -> DataFrame:
+    """(fact, fk, dim, pk, n_values, confidence): columns whose values a key column of another table holds, as told by the values themselves.
+
+    A key column has a value in each row and none twice. The confidence is the share of the column's distinct values
+    that the key holds; columns without values are left out. Values of different types are equal if they are written alike.
+    """
+    index, columns = value_index(tables)
+    masks = [c for c in index.columns if c != "v"]
+    # Few sets of columns occur; what follows works on one row a set.
+    sets = index.groupBy(*masks).agg(F.count("*").alias("n"))
+    has = F.array(*[F.getbit(F.col(f"m{i // MASK}"), F.lit(i % MASK)) == 1 for i in range(len(columns))])
+    held = sets.select("n", F.filter(F.transform(has, lambda x, i: F.when(x, i)), lambda i: i.isNotNull()).alias("held"))
+    both = held.select("n", F.explode("held").alias("a"), "held").select("n", "a", F.explode("held").alias("b")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    spark = index.sparkSession
+    counts = None
+    for t, df in tables.items():
+        if own := [i for i, (name, _) in enumerate(columns) if name == t]:
+            wide = df.agg(F.count("*").alias("rows"), *[F.count(F.col(f"`{columns[i][1]}`")).alias(f"_{i}") for i in own])
+            one = wide.select("rows", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_{i}").alias("filled")) for i in own])).alias("r")).select("r.i", "rows", "r.filled")
+            counts = one if counts is None else counts.unionByName(one)
+    single = both.where("a = b").select(F.col("a").alias("i"), F.col("n").alias("uniques"))
+    told = single.join(counts, "i").join(spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(columns)], "i int, t string, c string"), "i")
+    fact = told.select(F.col("i").alias("a"), F.col("t").alias("fact"), F.col("c").alias("fk"), F.col("uniques").alias("n_values"))
+    dim = told.where("uniques = rows").select(F.col("i").alias("b"), F.col("t").alias("dim"), F.col("c").alias("pk"))
+    share = F.col("n") / F.col("n_values")
+    return both.join(fact, "a").join(dim, "b").where("fact <> dim").select("fact", "fk", "dim", "pk", "n_values", F.round(share, 6).alias("confidence")).where(share >= least)
+
+
 def inferred_relationships(tables: dict[str, DataFrame], least: float = 0.9) -> DataFrame:
-    """Foreign keys that share a dimension's key name (after the table prefix), accepted by confidence."""
+    """Foreign keys that share a dimension's key name (after the table prefix), accepted by the share of rows that
+    find their key. Rows of all candidates are counted by value in one shuffle, and all pairs are judged in one aggregate."""
     bare = lambda c: c.split("_", 1)[-1]
     pks = {t: infer_pk(t, df.columns) for t, df in tables.items()}
-    out = None
+    pairs = [(t, c, d, pk) for t, df in tables.items() for c in df.columns for d, pk in pks.items() if pk and d != t and bare(c) == bare(pk) and c != pks[t]]
+    spark = next(iter(tables.values())).sparkSession
+    if not pairs:
+        return spark.createDataFrame([], "fact string, dim string, fk string, pk string, confidence double")
+    used = list(dict.fromkeys([x for t, c, d, pk in pairs for x in ((t, c), (d, pk))]))
+    cells = None
     for t, df in tables.items():
-        for c in df.columns:
-            for d, pk in pks.items():
-                if pk and d != t and bare(c) == bare(pk) and c != pks[t]:
-                    one = orphans(df, tables[d], c, pk).select(F.lit(t).alias("fact"), F.lit(d).alias("dim"), "fk", "pk", "confidence")
-                    out = one if out is None else out.unionByName(one)
-    return out.where(F.col("confidence") >= least)
+        if own := [c for name, c in used if name == t]:
+            which = F.element_at(F.array(*[F.lit(used.index((t, c))) for c in own]), F.col("r.c") + 1)
+            one = df.select(F.explode(statistics.cells(df, own)).alias("r")).select("r.v", which.alias("c"))
+            cells = one if cells is None else cells.unionByName(one)
+    by_value = cells.groupBy("v").agg(*[F.count_if(F.col("c") == i).alias(f"n{i}") for i in range(len(used))])
+    figures = []
+    for k, (t, c, d, pk) in enumerate(pairs):
+        n, key = F.col(f"n{used.index((t, c))}"), F.col(f"n{used.index((d, pk))}")
+        lost = F.coalesce(F.sum(F.when(F.col("v").isNotNull() & (key == 0), n)), F.lit(0)) / F.greatest(F.sum(n), F.lit(1))
+        figures.append(F.struct(*[F.lit(x).alias(name) for name, x in (("fact", t), ("dim", d), ("fk", c), ("pk", pk))], F.round(1 - lost, 6).alias("confidence")))
+    return by_value.agg(F.array(*figures).alias("r")).select(F.explode("r").alias("r")).select("r.*").where(F.col("confidence") >= least)
 
 
 def recovered_dim(facts: list[tuple[DataFrame, str]], key: str, labels: list[str], dim: DataFrame | None = None) -> DataFrame:

@@ -108,6 +108,18 @@ def _(n, r, c, s):
     return lake.inferred_relationships({"nation": n, "region": r, "customer": c.withColumnRenamed("c_custkey", "c_customerkey"), "supplier": s.withColumnRenamed("s_suppkey", "s_supplierkey")})
 
 
+_VALUES = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"], "supplier": ["s_suppkey", "s_name", "s_nationkey"], "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]}
+
+
+@query("j6_inclusions", " ".join(_VALUES), "WITH v AS (" + " UNION ALL ".join(f"SELECT DISTINCT '{t}' AS t, '{c}' AS c, CAST({c} AS VARCHAR) AS v FROM {t} WHERE {c} IS NOT NULL" for t, cs in _VALUES.items() for c in cs) + """),
+ k AS (""" + " UNION ALL ".join(f"SELECT '{t}' AS t, '{c}' AS c, count(*) = count(DISTINCT {c}) AS is_key, count(DISTINCT {c}) AS n FROM {t}" for t, cs in _VALUES.items() for c in cs) + """)
+ SELECT a.t AS fact, a.c AS fk, b.t AS dim, b.c AS pk, any_value(k.n) AS n_values, round(count(*) / any_value(k.n)::DOUBLE, 6) AS confidence
+ FROM v a JOIN v b ON a.v = b.v AND a.t <> b.t JOIN k ON k.t = a.t AND k.c = a.c JOIN k kb ON kb.t = b.t AND kb.c = b.c AND kb.is_key GROUP BY 1, 2, 3, 4 HAVING count(*) = any_value(k.n)""")
+def _(*t):
+    """All true inclusions among columns of the given tables, by their values."""
+    return lake.inclusions({name: df.select(cs) for (name, cs), df in zip(_VALUES.items(), t)})
+
+
 @query("j7_key_candidates", _LAKE, f"SELECT table_name, column_name, key_role FROM ({_AUDIT}) WHERE key_role IS NOT NULL")
 def _(*t):
     return _audited(*t).where("key_role is not null").select("table_name", "column_name", "key_role")

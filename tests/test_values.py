@@ -97,6 +97,17 @@ def test_orphans_of_an_empty_fact(spark):
     assert lake.orphans(empty, spark.createDataFrame([(1,)], "pk int"), "fk", "pk").first()["confidence"] == 1.0
 
 
+def test_inclusions_of_many_columns(spark):
+    wide = spark.range(40).select(*[(F.col("id") % (i + 1)).alias(f"c{i}") for i in range(70)], F.lit(None).cast("string").alias("none"), F.lit("7").alias("text"))
+    keys = spark.range(60).select((F.col("id")).alias("k"), F.lit(1.5).alias("real"), F.when(F.col("id") > 0, F.col("id")).alias("holed"))
+    got = {(r["fk"], r["pk"]): r["confidence"] for r in lake.inclusions({"f": wide, "d": keys}, 0.0).collect() if r["fact"] == "f"}
+    assert got == {(c, "k"): 1.0 for c in [*[f"c{i}" for i in range(70)], "text"]}  # a column with a null is no key, and one without values no foreign key
+    part = {(r["fk"], r["confidence"]) for r in lake.inclusions({"f": wide, "d": keys.where("k < 10")}, 0.5).collect() if r["fact"] == "f"}
+    assert ("c19", 0.5) in part and ("c20", round(10 / 21, 6)) not in part and ("c9", 1.0) in part
+    plan = lake.value_index({"f": wide, "d": keys})[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 def test_primary_keys():
     assert lake.infer_pk("DimProduct", ["ProductKey", "OtherKey"]) == "ProductKey"
     assert lake.infer_pk("x", ["a", "only_key"]) == "only_key" and lake.infer_pk("x", ["a_key", "b_key"]) is None
