@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tamiz.operators import cleaning, quality, rules, semantic
 from tamiz.operators.stage import staged
 from tamiz.sources import files, sinks
-
-
-class DriftError(ValueError):
-    """A table lacks a column of its frozen schema, or a type no longer fits."""
+from tamiz.sources.schemas import DriftError, Evaluation, Registry
 
 
 @dataclass
@@ -22,16 +20,20 @@ class Run:
     violations: dict[str, DataFrame] = field(default_factory=dict)
     #: Lines of delimited tables with another number of fields than the header's.
     rejected: dict[str, DataFrame] = field(default_factory=dict)
+    #: What the registry told of each table.
+    schemas: dict[str, Evaluation] = field(default_factory=dict)
     totals: DataFrame | None = None
     passed: bool = True
 
 
-def process(df: DataFrame, hint: str, ruleset: rules.RuleSet | None = None, frozen: DataFrame | None = None, enrich: bool = True) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(valid, quarantined, violations) of one table."""
+def process(df: DataFrame, hint: str, ruleset: rules.RuleSet | None = None, frozen: DataFrame | None = None, enrich: bool = True, check: Callable[[DataFrame], object] | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(valid, quarantined, violations) of one table. ``check`` sees the cleaned table and may stop it."""
     cleaner = cleaning.choose(df.columns, hint=hint)
     cleaned = staged(cleaner.clean(df)) if cleaner else df  # kept, rejected and enriched rows all come from one parse
     if frozen is not None and (bad := quality.drift(frozen, cleaned).where("severity = 'fatal'").collect()):
         raise DriftError(", ".join(f"{r['column_name']} {r['change']}" for r in bad))
+    if check is not None:
+        check(cleaned)
     kept, rejected = rules.split_by_score(cleaned)
     if enrich and cleaner and cleaner.name == "transactional":
         kept = semantic.enrich(kept)
@@ -43,13 +45,16 @@ def process(df: DataFrame, hint: str, ruleset: rules.RuleSet | None = None, froz
     return outcome.valid, rejected.unionByName(outcome.quarantined, allowMissingColumns=True), outcome.violations
 
 
-def run(spark: SparkSession, source: str, out: str, run_id: str, rulesets: dict[str, rules.RuleSet] | None = None, threshold: float = 0.05) -> Run:
-    """Every table of a folder; one that fails is noted and the others go on."""
+def run(spark: SparkSession, source: str, out: str, run_id: str, rulesets: dict[str, rules.RuleSet] | None = None, threshold: float = 0.05, schemas: str | None = None) -> Run:
+    """Every table of a folder; one that fails is noted and the others go on. With ``schemas``, a registry's folder, the first
+    run freezes each table's cleaned schema and later ones are held against it."""
     found = files.discover_tables(spark, source)
+    registry = Registry(spark, schemas) if schemas else None
     done, frames = Run(errors=dict(found.errors)), {}
     for name, table in found.tables.items():
         try:
-            valid, rejected, violations = process(table.df, name, (rulesets or {}).get(name))
+            check = (lambda df, name=name: done.schemas.setdefault(name, registry.check(name, df, run_id))) if registry else None
+            valid, rejected, violations = process(table.df, name, (rulesets or {}).get(name), check=check)
             path = sinks.run_path(out, run_id, name)
             sinks.write_parquet(valid, f"{path}/clean")
             sinks.quarantine(rejected, f"{path}/quarantine", "score-or-rule")

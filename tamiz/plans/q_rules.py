@@ -8,6 +8,7 @@ from tamiz.operators import cleaning, quality, rules
 from tamiz.plans import q_clean as C
 from tamiz.plans.catalog import query
 from tamiz.plans.q_files import _folder
+from tamiz.sources import schemas
 
 D = "dirty_sales"
 R = rules.Rule
@@ -114,6 +115,21 @@ def _(o):
     return quality.drift_cells(spark.read.parquet(f"{top}/was"), spark.read.parquet(f"{top}/now"))
 
 
+@query("q2_registry_runs", "orders", """SELECT run, first_time, fatal, column_name, change, severity, n AS n_rows FROM (VALUES ('r1', true, false, NULL, NULL, NULL), ('r2', false, false, 'extra', 'added', 'warn'), ('r2', false, false, 'o_small', 'widened', 'warn'),
+ ('r3', false, true, 'o_custkey', 'missing', 'fatal'), ('r3', false, true, 'o_small', 'incompatible', 'fatal')) AS v(run, first_time, fatal, column_name, change, severity), (SELECT count(*) AS n FROM orders WHERE o_custkey IS NOT NULL)""")
+def _(o):
+    """Three runs of one table against a registry: the first freezes, the second only widens, the third breaks the schema."""
+    spark, top = o.sparkSession, _folder(o, "registry")
+    small = F.col("o_custkey").cast("int")
+    runs = {"r1": o.withColumn("o_small", small), "r2": o.withColumns({"o_small": F.col("o_custkey"), "extra": F.lit(1)}), "r3": o.withColumn("o_small", F.col("o_orderstatus")).drop("o_custkey")}
+    for run, df in runs.items():
+        df.write.parquet(f"{top}/{run}")
+        schemas.Registry(spark, f"{top}/schemas").evaluate("orders", spark.read.parquet(f"{top}/{run}"), run)
+    n = spark.read.parquet(f"{top}/r1").agg(F.count("o_custkey").alias("n_rows"))
+    log = schemas.Registry(spark, f"{top}/schemas").log()
+    return log.select("run", "first_time", "fatal", F.explode_outer("changes").alias("c")).select("run", "first_time", "fatal", "c.*").crossJoin(F.broadcast(n))  # one row
+
+
 @query("q4_null_profile", D, " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls, count({c}) AS non_null, round((count(*) - count({c})) / count(*)::DOUBLE, 6) AS null_ratio FROM dirty_sales" for c in ["row_no", "id_venta", "fecha_venta", "monto", "producto", "estado", "notas_jose"]))
 def _(d):
     return quality.null_profile(d)

@@ -7,7 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.sources import extract, files
+from tamiz.plans import pipeline
+from tamiz.sources import extract, files, schemas
 
 
 def some(spark, n=100):
@@ -189,3 +190,29 @@ def test_delimited_edge_cases(spark, tmp_path):
     assert len(scan.rows.columns) == 6000 and [r["c0"] for r in scan.rows.select("c0").collect()] == ["a\nb"] and [r["reason"] for r in scan.rejected.collect()] == [files.TOO_MANY]
     (tmp_path / "known.csv").write_bytes("a,b\né,1\n".encode("latin-1"))
     assert scanned(spark, tmp_path / "known.csv", encoding="iso-8859-1", separator=",")[0] == [("é", "1")]
+
+
+def test_runs_are_held_against_the_registry(spark, tmp_path):
+    body = "id_venta,fecha_venta,monto,producto,estado\n1,2026-04-01,1500.50,Mouse,vendido\n2,2026-04-02,200,Teclado,cambio\n"
+    for name, text in {"a": body, "b": body.replace("estado\n", "estado,canal\n").replace("vendido\n", "vendido,web\n").replace("cambio\n", "cambio,web\n"), "c": body.replace("monto", "otra")}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "ventas.csv").write_text(text)
+    run = lambda name: pipeline.run(spark, str(tmp_path / name), str(tmp_path / "out"), name, schemas=str(tmp_path / "schemas"))
+    first, wider, broken = run("a"), run("b"), run("c")
+    assert first.schemas["ventas"].first_time and not first.errors
+    assert not wider.errors and wider.schemas["ventas"].changes == [("canal", "added", "warn")]
+    assert "monto missing" in broken.errors["ventas"] and not broken.tables
+    log = schemas.Registry(spark, str(tmp_path / "schemas")).log()
+    assert {(r["run"], r["first_time"], r["fatal"]) for r in log.collect()} == {("a", True, False), ("b", False, False), ("c", False, True)}
+
+
+def test_versions_are_compared_and_appended(spark, tmp_path):
+    registry = schemas.Registry(spark, str(tmp_path / "s"))
+    one, two = spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(1, "x")], "a long, b string")
+    assert registry.load("t") is None and registry.evaluate("t", one, "r1").first_time
+    assert not registry.append("t", two, "other", 0)  # the version is taken
+    assert registry.evaluate("t", two, "r2").changes == [("a", "widened", "warn"), ("b", "added", "warn")]
+    assert registry.accept("t", two, "r2") == 2 and registry.evaluate("t", two, "r3").changes == []
+    assert registry.load("t", 1)["run"] == "r1" and registry.evaluate("t", one, "r4").fatal
+    with pytest.raises(schemas.DriftError, match="b missing"):
+        registry.check("t", one, "r5")
