@@ -1,9 +1,8 @@
 """License scans by ordered signature rules, in SQL functions only.
 
 A text is reduced to its lower-case words. Its rule keywords decide which of some hundred regexes are
-tried at all. Detections are intervals of words; of those that overlap, the one of the better priority
-stays, then the longer one, so that one within another goes. All of that happens within a document's
-row, and only the labels of what is left come out.
+tried at all. Detections are intervals of words; one that lies within another of a better priority, or of the same and longer,
+goes, and what only overlaps stays. All of that happens within a document's row, and only the labels of what is left come out.
 """
 
 from __future__ import annotations
@@ -18,6 +17,8 @@ from tamiz.llm.common import documents, let
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Of rules; 1 is the best.
+PRIORITIES = 4
 RULE = "array<struct<rule:int,priority:int,label:string,regex:string,weight:double>>"
 
 #: The base phrases and their labels.
@@ -73,8 +74,7 @@ _GRANTED = [("mit", "mit"), ("mit", "expat"), ("isc", "isc"), ("zlib", "zlib")]
 #: label, name: SPDX identifiers that are no name above; with a version if the family has any.
 _IDS = [("boost", "bsl"), ("python", "psf"), ("artistic", "artistic"), ("blueoak", "blueoak"), ("ms-pl", "ms pl"), ("ms-rl", "ms rl")]
 _SPDX = "spdx license identifier "
-#: An identifier further on in an expression; the words before it are not part of the match.
-_SPDX_NEXT = f"(?<={_SPDX}[a-z0-9 ]{{1,60}} (?:or|and) )"
+_SPDX_TAG = "(?i)spdx-license-identifier:"
 
 _FSF = "redistribute it and or modify it under the terms of (?:version {v} of )?the gnu {kind}public license as published by the free software foundation"
 #: label, keyword, regex of license bodies and headers.
@@ -182,8 +182,8 @@ def rules() -> list[tuple[int, str, str, str, float]]:
         for name in [*ids, label.replace("-", " ")]:
             for version in [*versions, ""]:
                 regex, own = f"{name} {version}{_LATER}" if version else name, full.get(version, label)
-                out.extend((1, own, "spdx", f"{at}{regex}", 1.0) for at in (_SPDX, _SPDX_NEXT))
-    out += [(1, "bsd-0-clause", "spdx", f"{at}0bsd", 1.0) for at in (_SPDX, _SPDX_NEXT)] + [(2, "bsd-0-clause", "0bsd", "0bsd", 0.9)]
+                out.append((1, own, "spdx", f"{_SPDX}{regex}", 1.0))
+    out += [(1, "bsd-0-clause", "spdx", f"{_SPDX}0bsd", 1.0), (2, "bsd-0-clause", "0bsd", "0bsd", 0.9)]
     out += [(3, label, name, f"{_GRANT}{name}", 0.8) for label, name in _GRANTED]
     out += [(1, label, keyword, regex, 1.0) for label, keyword, regex in ADDRESSES]
     return out + [(2, label, keyword, regex, 0.9) for label, keyword, regex in [*BODIES, *NOTICES]]
@@ -233,23 +233,41 @@ def detections(joined: Column, keywords: Column) -> Column:
 
 
 def resolved(found: Column) -> Column:
-    """Detections in order, of those that overlap only the best: by priority, then length, then rule.
+    """Detections without those that lie within a better one: of a better priority, else longer, else of an earlier rule. What only overlaps stays.
 
-    In one pass, each is compared with the last one that was kept, and takes its place if it is better.
+    Taken by start, and the longer first, a detection lies within one before it if that one ends no earlier. One of the
+    same or a better priority is then better, so one number a priority tells: the furthest end so far.
     """
     kind = "array<struct<start:int,end:int,priority:int,rule:int,label:string,weight:double>>"
+    order = F.array_sort(F.transform(found, lambda d: F.struct(d["start"].alias("start"), (-d["end"]).alias("back"), d["priority"].alias("priority"), d["rule"].alias("rule"), d["label"].alias("label"), d["weight"].alias("weight"))))
+    start = F.struct(F.array().cast(kind).alias("kept"), F.array_repeat(F.lit(-1), PRIORITIES).alias("ends"))
 
-    def better(x: Column, last: Column) -> Column:
-        length = lambda d: d["end"] - d["start"]
-        order = lambda d: F.struct(d["priority"], -length(d), d["rule"])
-        return order(x) < order(last)
+    def step(a: Column, x: Column) -> Column:
+        end = -x["back"]
+        free = F.get(a["ends"], x["priority"] - 1) < end
+        kept = F.struct(x["start"].alias("start"), end.alias("end"), x["priority"].alias("priority"), x["rule"].alias("rule"), x["label"].alias("label"), x["weight"].alias("weight"))
+        ends = F.transform(a["ends"], lambda e, i: F.when(i >= x["priority"] - 1, F.greatest(e, end)).otherwise(e))
+        return F.when(free, F.struct(F.concat(a["kept"], F.array(kept)).alias("kept"), ends.alias("ends"))).otherwise(a)
 
-    def step(kept: Column, x: Column) -> Column:
-        last = F.try_element_at(kept, F.lit(-1))
-        free = (F.size(kept) == 0) | (x["start"] >= last["end"])
-        return F.when(free, F.concat(kept, F.array(x))).when(better(x, last), F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(x))).otherwise(kept)
+    return F.aggregate(order, start, step, lambda a: a["kept"])
 
-    return F.aggregate(found, F.array().cast(kind), step)
+
+def _further_identifiers(text: Column) -> Column:
+    """The identifiers behind the first of each SPDX expression, as words behind a tag of their own. An expression goes on in its line as long as every
+    second token is an operator."""
+    def ids(piece: Column) -> Column:
+        tokens = F.filter(F.split(F.substring_index(piece, "\n", 1), r"[\x20\t\r()]+"), lambda t: t != "")
+
+        def told(t: Column) -> Column:
+            ends = F.filter(F.transform(t, lambda x, i: F.when((i % 2 == 1) & ~F.lower(x).isin("or", "and", "with"), i)), lambda i: i.isNotNull())
+            return F.filter(F.slice(t, 1, F.coalesce(F.array_min(ends), F.size(t))), lambda x, i: (i % 2 == 0) & (i > 0))
+
+        return let(tokens, told)
+
+    words = lambda i: F.trim(F.regexp_replace(F.translate(i, UPPER, LOWER), SEPARATOR, " "))
+    pieces = F.split(text, _SPDX_TAG)
+    found = F.flatten(F.transform(F.slice(pieces, 2, F.size(pieces)), ids))
+    return F.when(F.rlike(text, F.lit(_SPDX_TAG)), F.array_join(F.transform(found, lambda i: F.concat(F.lit(_SPDX), words(i), F.lit(" "))), "")).otherwise(F.lit(""))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -261,10 +279,13 @@ def scanned(docs: DataFrame) -> DataFrame:
     words = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), SEPARATOR), "")
     known = F.array(*[F.lit(k) for k in sorted({r[2] for r in rules()} | {phrase.split(" ")[0] for phrase in BASE})])
 
+    further = _further_identifiers(F.coalesce(F.col("text"), F.lit("")))
+
     def read(w: Column) -> Column:
         def told(found: Column) -> Column:
             base = F.when(F.size(found) > 0, F.array(*[_base_places(w, p) for p in BASE])).otherwise(F.array(*[F.array().cast("array<int>")] * len(BASE)))
-            own = F.when(F.size(found) > 0, resolved(detections(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), found)))
+            # Behind the text's own words, so they meet none of its detections.
+            own = F.when(F.size(found) > 0, resolved(detections(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "), further), found)))
             return F.struct(F.size(w).cast("long").alias("n_words"), base.alias("base"), own.alias("own"))
 
         return let(F.array_intersect(w, known), told)
