@@ -135,7 +135,8 @@ def sequential_ids(df: DataFrame, column: str, order: list[str]) -> DataFrame:
     found = df.where(~missing & (digits != "")).agg(F.max_by(F.struct(prefix.alias("p"), F.length(digits).alias("w"), digits.try_cast("bigint").alias("v")), digits.try_cast("bigint")).alias("m")).first()["m"]
     lead, width, base = (found["p"], found["w"], found["v"]) if found else ("AUTO-", 4, 0)
     rows = df.where(missing).repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = rows.withColumn("_id", F.monotonically_increasing_id())  # partition in the high bits, place in the low ones
+    # Partition in the high bits, place in the low ones; stored, as a second evaluation could cut the ranges elsewhere.
+    rows = staged(rows.withColumn("_id", F.monotonically_increasing_id()))
     part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit(2**33 - 1))
     counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))

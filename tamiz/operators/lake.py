@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.operators import statistics
@@ -81,7 +81,47 @@ def lake_summary(audited: DataFrame) -> DataFrame:
     bad = issues(audited).groupBy("table_name").agg(*[F.count_if(F.col("severity") == s).alias(f"n_{s}") for s in ("high", "warning", "info")])
     keys = lambda role: F.array_join(F.array_sort(F.collect_list(F.when(F.col("key_role") == role, F.col("column_name")))), ",")
     tables = audited.groupBy("table_name").agg(F.max("n_rows").alias("n_rows"), F.count("*").alias("n_columns"), keys("PK").alias("pks"), keys("FK").alias("fks"))
-    return tables.join(bad, "table_name", "left").na.fill(0, ["n_high", "n_warning", "n_info"])
+    return tables.join(bad, "table_name", "left").na.fill(0, ["n_high", "n_warning", "n_info"]).orderBy(F.col("n_rows").desc(), "table_name")
+
+
+def critical_issues(*found: DataFrame) -> DataFrame:
+    """The critical and high ones of all issues, by table and column."""
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.where(F.col("severity").isin("critical", "high")).orderBy("table_name", "column_name", "issue")
+
+
+#: What a text looks like, tried in this order; whole numbers are numbers too.
+SHAPES = {"integer": "^[+-]?[0-9]+$", "number": "^[+-]?([0-9]+[.,][0-9]*|[.,][0-9]+)$", "date": "^([0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}|[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{2,4})", "boolean": "^(?i:true|false)$"}
+
+
+def value_shapes(df: DataFrame, name: str) -> DataFrame:
+    """(table_name, column_name, shape, n): how many values of each text column look like what; blanks and nulls left out. One pass; counts
+    of several parts of a table add up."""
+    columns = [c for c, t in df.dtypes if t == "string"]
+    aggs = []
+    for i, c in enumerate(columns):
+        x = F.trim(F.col(f"`{c}`"))
+        shape = F.lit("text")
+        for what, pattern in reversed(SHAPES.items()):
+            shape = F.when(x.rlike(pattern), what).otherwise(shape)
+        shape = F.when(x != "", shape)
+        aggs.append(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(what).alias("shape"), F.count_if(shape == what).alias("n")) for what in [*SHAPES, "text"]]).alias(f"_{i}"))
+    if not aggs:
+        return df.sparkSession.createDataFrame([], "table_name string, column_name string, shape string, n long")
+    wide = df.agg(*aggs)
+    return wide.select(F.explode(F.flatten(F.array(*[f"_{i}" for i in range(len(columns))]))).alias("r")).select(F.lit(name).alias("table_name"), "r.*").where("n > 0")
+
+
+def mixed_types(shapes: DataFrame) -> DataFrame:
+    """(table_name, column_name, severity, issue, kind, counts) of text columns whose values have several types. Whole numbers
+    among numbers are numbers; any other two types have no common one but text."""
+    joined = F.when(F.col("shape") == "integer", "number").otherwise(F.col("shape"))
+    counts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("shape", "n"))), lambda r: F.concat_ws(":", r["shape"], r["n"].cast("string"))), ",")
+    summed = shapes.groupBy("table_name", "column_name", "shape").agg(F.sum("n").alias("n"))
+    told = summed.groupBy("table_name", "column_name").agg(F.count_distinct(joined).alias("types"), counts.alias("counts"))
+    return told.where("types > 1").select("table_name", "column_name", F.lit("high").alias("severity"), F.lit("mixed types").alias("issue"), F.lit("text").alias("kind"), "counts")
 
 
 def shared_keys(audited: DataFrame) -> DataFrame:
@@ -264,6 +304,23 @@ def unify(parts: list[DataFrame]) -> DataFrame:
     return out.select(list(types))
 
 
+def unify_observed(parts: list[DataFrame]) -> tuple[DataFrame, Observation]:
+    """``unify``, and the cells of each column that a cast made null, counted by the pass that first reads the result to its end, so by its write."""
+    marked = []
+    types: dict[str, list[str]] = {}
+    for p in parts:
+        for c, t in p.dtypes:
+            types.setdefault(c, []).append(t)
+    for p in parts:
+        lost = [(F.col(c).isNotNull() & F.col(c).try_cast(unified_type(types[c])).isNull() if c in p.columns else F.lit(False)).alias(c) for c in types]
+        marked.append(p.select(*[F.col(c).try_cast(unified_type(types[c])).alias(c) for c in p.columns], F.struct(*lost).alias("_lost")))
+    out = marked[0]
+    for m in marked[1:]:
+        out = out.unionByName(m, allowMissingColumns=True)
+    seen = Observation()
+    return out.observe(seen, *[F.count_if(F.col("_lost")[c]).alias(c) for c in types]).select(list(types)), seen
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(c, t) for c, t in df.dtypes], "column_name string, kind string")
 

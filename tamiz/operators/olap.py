@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tamiz.operators import statistics
 
 #: A level of a hierarchy has at least this many times the values of the level above.
+#: The calendar's levels, from the widest.
+CALENDAR = ["CalendarYear", "CalendarQuarter", "CalendarMonth", "Datekey"]
 LEVEL_RATIO = 1.5
 
 
@@ -35,19 +37,26 @@ def inferred_measures(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.agg(*aggs, F.count("*").alias("row_count"))
 
 
+def _family(name: str) -> str:
+    """What columns of one hierarchy share: their capital letters (SalesTerritoryGroup, SalesTerritoryRegion), else their first word."""
+    capitals = "".join(c for c in name if c.isupper())
+    return capitals if capitals and not name.isupper() else name.split("_")[0]
+
+
 def hierarchies(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(hierarchy, level, column, n): columns that share a first word, from few values to many, each at
-    least LEVEL_RATIO times the one above; two levels at least."""
+    """(hierarchy, level, column, n): columns of one family, from few values to many, each at least LEVEL_RATIO times the one
+    above; two levels at least. A table of dates has the calendar's levels, whatever their numbers."""
+    calendar = [c for c in CALENDAR if c in df.columns]
     families: dict[str, list[str]] = {}
     for c in df.columns:
-        if c not in keys:
-            families.setdefault(c.split("_")[0], []).append(c)
+        if c not in keys and not (len(calendar) > 1 and c in calendar):
+            families.setdefault(_family(c), []).append(c)
     columns = [c for group in families.values() if len(group) > 1 for c in group]
-    counts = statistics.distinct_counts(df, columns)
-    rows = []
+    counts = statistics.distinct_counts(df, [*columns, *(calendar if len(calendar) > 1 else [])])
+    rows = [("Calendar", i, c, counts[c]) for i, c in enumerate(calendar, 1) if len(calendar) > 1]
     for family, group in families.items():
         levels: list[str] = []
-        for c in sorted((c for c in group if c in counts), key=lambda c: (counts[c], c)):
+        for c in sorted((c for c in group if counts.get(c)), key=lambda c: (counts[c], c)):
             if not levels or counts[c] >= LEVEL_RATIO * counts[levels[-1]]:
                 levels.append(c)
         rows += [(family, i, c, counts[c]) for i, c in enumerate(levels, 1) if len(levels) > 1]

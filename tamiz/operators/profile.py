@@ -18,6 +18,10 @@ DATE_TOKENS = ("fecha", "date", "periodo", "period", "mes", "month", "dia", "day
 FLAG_VALUES = ("0", "1", "True", "False", "true", "false", "S", "N", "Si", "No", "SI", "NO")
 INTERNAL = ("data_quality_flags", "quality_score", "hoja_origen", "estado_normalizado", "tipo_movimiento")
 DERIVED = ("_parsed", "_final", "_scale_corrected", "_monto_origen", "_moneda_origen", "_currency", "_domain_flag", "_as_date", "_normalized", "_semantic", "_original", "_confidence", "_is_serial_date", "_parse_error", "_raw")
+#: Names of codes, the number of breakdowns, and the values that a scatter's dimension may have.
+CODE_TOKENS = ("codigo", "code", "_id", "cod_")
+CHARTS = 6
+SCATTER_VALUES = (6, 120)
 NUMERIC = ("int", "bigint", "smallint", "tinyint", "double", "float")
 
 
@@ -40,10 +44,9 @@ def column_roles(df: DataFrame) -> DataFrame:
         x = F.col(f"`{c}`")
         dated = F.count_if(dates.parse_date(x).isNotNull()) if t == "string" and name_has(c, DATE_TOKENS) else F.any_value(F.lit(0).cast("long"))
         aggs.append(F.struct(
-            F.count_if(x.isNull()).alias("nulls"), F.approx_count_distinct(x, statistics.SKETCH_ERROR).alias("sketch"), F.min(x.cast("string")).alias("low"), F.max(x.cast("string")).alias("high"), dated.alias("dated"),
+            F.count_if(x.isNull()).alias("nulls"), F.min(x.cast("string")).alias("low"), F.max(x.cast("string")).alias("high"), dated.alias("dated"),
             (F.sum(x.cast("double")) if t in NUMERIC else F.any_value(F.lit(None).cast("double"))).alias("total")).alias(f"_{i}"))
-    wide = staged(df.agg(F.count("*").alias("rows"), *aggs))  # one row
-    told = wide.select(*[F.col(f"_{i}.sketch").alias(f"_{i}") for i in range(len(df.columns))]).first()
+    wide = df.agg(F.count("*").alias("rows"), *aggs)
     uniques = statistics.distinct_table(df, df.columns)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("kind"), F.lit(name_has(c, DATE_TOKENS)).alias("date_name"), F.lit(name_has(c, ID_TOKENS)).alias("id_name"), F.lit(is_internal(c)).alias("internal"), F.col(f"_{i}").alias("f")) for i, (c, t) in enumerate(df.dtypes)])
     tall = wide.select("rows", F.explode(rows).alias("r")).select("rows", "r.column_name", "r.kind", "r.date_name", "r.id_name", "r.internal", "r.f.*").join(F.broadcast(uniques), "column_name")  # one row a column
@@ -151,8 +154,30 @@ def redundant_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def dimension_score(uniques: Column, name: Column) -> Column:
     """Best near ten values; code-like names a little less; fewer than two values never."""
-    code = F.when(F.lower(name).rlike("codigo|code|key|_id$"), 0.15).otherwise(0.0)
-    return F.when(uniques < 2, -99.0).otherwise(-F.abs(F.ln(uniques.cast("double")) - F.ln(F.lit(10.0))) - code)
+    code = F.when(F.lower(name).rlike("|".join(CODE_TOKENS)), 0.15).otherwise(0.0)
+    return F.when(uniques < 2, -99.0).otherwise(-F.abs(F.ln(uniques.cast("double")) - F.ln(F.lit(10.0)))) - code
+
+
+def ranked_dimensions(roles: DataFrame) -> DataFrame:
+    """(place, column_name, uniques, score) of the dimensions, those that make the best chart first; no internal columns."""
+    known = roles.where(~F.col("internal") & (F.col("role") == "dimension"))
+    scored = known.withColumn("score", dimension_score(F.col("uniques"), F.col("column_name")))
+    place = F.row_number().over(Window.orderBy(F.col("score").desc(), "column_name"))  # one row a column
+    return scored.select(place.alias("place"), "column_name", "uniques", F.round("score", 6).alias("score"))
+
+
+def chart_dimensions(df: DataFrame, roles: DataFrame) -> tuple[list[str], str | None]:
+    """The dimensions worth a chart, best first, of equivalent ones only the better; and the one for a scatter: that of most
+    values from 6 to 120 that isn't a time."""
+    ranked = [(r["column_name"], r["uniques"]) for r in ranked_dimensions(roles).orderBy("place").collect()]
+    names = [c for c, _ in ranked]
+    same = {frozenset(p) for p in redundant_pairs(df, names).collect()} if len(names) > 1 else set()  # pairs of columns
+    kept: list[str] = []
+    for c in names:
+        if not any(frozenset((c, k)) in same for k in kept):
+            kept.append(c)
+    points = [(n, c) for c, n in ranked if c in kept and SCATTER_VALUES[0] <= n <= SCATTER_VALUES[1] and not name_has(c, DATE_TOKENS)]
+    return kept, max(points, key=lambda p: (p[0], -kept.index(p[1])))[1] if points else None
 
 
 def insights(df: DataFrame) -> dict[str, DataFrame]:
@@ -160,13 +185,14 @@ def insights(df: DataFrame) -> dict[str, DataFrame]:
     roles = staged(column_roles(df))
     ranked = dataset_profile(roles)
     pick = lambda role, n: [r["column_name"] for r in ranked.where((F.col("role") == role) & (F.col("place") <= n)).orderBy("place").collect()]  # noqa: E731  columns, not rows
-    day, measures, dims = pick("date", 1), pick("measure", 3), pick("dimension", 6)
+    day, measures = pick("date", 1), pick("measure", 3)
+    dims, points = chart_dimensions(df, roles)
     out = {"roles": roles, "profile": ranked}
     if day and (series := time_series(df, day[0], measures)) is not None:
         out["series"] = series
-    out |= {f"by_{d}": breakdown(df, d, measures[0] if measures else None) for d in dims}
+    out |= {f"by_{d}": breakdown(df, d, measures[0] if measures else None) for d in dims[:CHARTS]}
     if measures:
         out["histogram"] = histogram(df, measures[0])
-    if len(measures) > 1 and dims:
-        out["scatter"] = scatter(df, dims[-1], measures[0], measures[1])
+    if len(measures) > 1 and points:
+        out["scatter"] = scatter(df, points, measures[1], measures[0])
     return out

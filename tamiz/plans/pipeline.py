@@ -70,6 +70,7 @@ def run(spark: SparkSession, source: str, out: str, run_id: str, rulesets: dict[
     if frames:
         done.totals = quality.totals(frames)
         done.passed = rules.gate(*[_union([f[i] for f in frames.values()]) for i in range(3)], threshold).first()["passed"]
+        sinks.mark_latest(spark, out, run_id)
     return done
 
 

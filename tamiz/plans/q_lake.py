@@ -60,6 +60,27 @@ def _(o):
     return lake.issues(lake.audit(_dirty(o), "dirty"))
 
 
+_SHAPED = ["id_venta", "fecha_venta", "monto", "producto", "estado"]
+_SHAPE = """CASE WHEN trim(x) = '' OR x IS NULL THEN NULL WHEN regexp_matches(trim(x), '^[+-]?[0-9]+$') THEN 'integer' WHEN regexp_matches(trim(x), '^[+-]?([0-9]+[.,][0-9]*|[.,][0-9]+)$') THEN 'number'
+ WHEN regexp_matches(trim(x), '^([0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}|[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{2,4})') THEN 'date' WHEN lower(trim(x)) IN ('true', 'false') THEN 'boolean' ELSE 'text' END"""
+_MIXED = "WITH v AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS x FROM dirty_sales" for c in _SHAPED) + f"""), s AS (SELECT column_name, {_SHAPE} AS shape, count(*) AS n FROM v GROUP BY ALL)
+ SELECT 'sales' AS table_name, column_name, 'high' AS severity, 'mixed types' AS issue, 'text' AS kind, string_agg(shape || ':' || n, ',' ORDER BY shape) AS counts FROM s WHERE shape IS NOT NULL GROUP BY column_name HAVING count(DISTINCT CASE WHEN shape = 'integer' THEN 'number' ELSE shape END) > 1"""
+
+
+@query("a21_mixed_types", "dirty_sales", _MIXED)
+def _(d):
+    """Counted by halves of the table, which add up."""
+    d = d.select("row_no", *_SHAPED)
+    parts = [lake.value_shapes(d.where(F.col("row_no") % 2 == k), "sales") for k in (0, 1)]
+    return lake.mixed_types(parts[0].unionByName(parts[1]))
+
+
+@query("a22_critical_issues", "orders dirty_sales", f"""SELECT table_name, column_name, severity, issue FROM ({_MIXED}) UNION ALL SELECT 'dirty', c, 'high', i FROM (VALUES ('price', 'infinite values'), ('day', 'dates out of range')) AS t(c, i) WHERE (SELECT count(*) FROM orders WHERE o_orderkey % 63 = 0) > 0""")
+def _(o, d):
+    mixed = lake.mixed_types(lake.value_shapes(d.select(_SHAPED), "sales")).select("table_name", "column_name", "severity", "issue")
+    return lake.critical_issues(mixed, lake.issues(lake.audit(_dirty(o), "dirty")))
+
+
 @query("a22_lake_summary", _LAKE, f"WITH a AS ({_AUDIT}) SELECT table_name, max(n_rows) AS n_rows, count(*) AS n_columns, coalesce(string_agg(CASE WHEN key_role = 'PK' THEN column_name END, ',' ORDER BY column_name), '') AS pks, coalesce(string_agg(CASE WHEN key_role = 'FK' THEN column_name END, ',' ORDER BY column_name), '') AS fks, CAST(0 AS BIGINT) AS n_high, CAST(0 AS BIGINT) AS n_warning, CAST(0 AS BIGINT) AS n_info FROM a GROUP BY table_name")
 def _(*t):
     return lake.lake_summary(_audited(*t))
@@ -164,6 +185,17 @@ def _(o):
     return lake.unify([a, b]).select("o_orderkey", F.col("price").isNotNull().alias("ok"), "mixed", "extra")
 
 
+@query("j13_lost_cells", "orders", """SELECT column_name, lost FROM (SELECT 'o_orderkey' AS column_name, CAST(0 AS BIGINT) AS lost UNION ALL SELECT 'price', 0 UNION ALL SELECT 'extra', 0
+ UNION ALL SELECT 'mixed', (SELECT count(o_orderstatus) - count(TRY_CAST(o_orderstatus AS BIGINT)) FROM orders))""")
+def _(o):
+    """Two files of one table are written under one schema; the write itself counts the cells that became null."""
+    a = o.select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("mixed"), F.col("o_orderpriority").alias("extra"))
+    b = o.select("o_orderkey", F.col("o_custkey").alias("price"), F.col("o_custkey").alias("mixed"))
+    df, lost = lake.unify_observed([a, b])
+    df.write.parquet(_folder(o, "j13"))
+    return o.sparkSession.createDataFrame(list(lost.get.items()), "column_name string, lost long")
+
+
 @query("j14_schema_drift", "orders", """WITH n AS (SELECT count(o_custkey) AS k, count(o_orderdate) AS d, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS f FROM orders)
  SELECT 'o_custkey' AS column_name, 'bigint' AS was, 'string' AS "is", 'type changed' AS change, k AS cells_was, k AS cells_is FROM n UNION ALL SELECT 'o_orderdate', 'timestamp', NULL, 'removed', d, NULL FROM n UNION ALL SELECT 'added', NULL, 'string', 'added', NULL, f FROM n""")
 def _(o):

@@ -40,6 +40,16 @@ def _(c, n, r):
     return olap.hierarchies(df.select("c_custkey", F.col("c_name").alias("geo_customer"), F.col("n_name").alias("geo_nation"), F.col("r_name").alias("geo_region"), "c_mktsegment"), ["c_custkey"])
 
 
+@query("o3_calendar_and_capitals", "orders customer nation region", """WITH s AS (SELECT count(DISTINCT year(o_orderdate)) AS y, count(DISTINCT year(o_orderdate) * 10 + quarter(o_orderdate)) AS q, count(DISTINCT year(o_orderdate) * 100 + month(o_orderdate)) AS m, count(DISTINCT CAST(o_orderdate AS DATE)) AS d, count(DISTINCT r_name) AS r, count(DISTINCT n_name) AS n
+ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+ SELECT hierarchy, level, column_name, n FROM (SELECT 'Calendar' AS hierarchy, 1 AS level, 'CalendarYear' AS column_name, y AS n FROM s UNION ALL SELECT 'Calendar', 2, 'CalendarQuarter', q FROM s UNION ALL SELECT 'Calendar', 3, 'CalendarMonth', m FROM s UNION ALL SELECT 'Calendar', 4, 'Datekey', d FROM s
+ UNION ALL SELECT 'ST', 1, 'SalesTerritory', r FROM s UNION ALL SELECT 'ST', 2, 'StateTerritory', n FROM s)""")
+def _(o, c, n, r):
+    df = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), n.n_regionkey == r.r_regionkey)  # fixed tables of 25 and 5 rows
+    y, d = F.year("o_orderdate"), F.col("o_orderdate")
+    return olap.hierarchies(df.select(y.alias("CalendarYear"), (y * 10 + F.quarter(d)).alias("CalendarQuarter"), (y * 100 + F.month(d)).alias("CalendarMonth"), d.cast("date").alias("Datekey"), F.col("r_name").alias("SalesTerritory"), F.col("n_name").alias("StateTerritory"), "o_orderkey"), ["o_orderkey"])
+
+
 @query("o5_preaggregates", S, " UNION ALL ".join(f"SELECT '{d}' AS dim, CAST({d} AS VARCHAR) AS member, CAST(sum(venta) AS BIGINT) AS total FROM sales GROUP BY {d}" for d in ("anio", "region", "categoria", "grupo_cliente")))
 def _(s):
     return olap.preaggregates(s, ["anio", "region", "categoria", "grupo_cliente"], "venta")
@@ -113,6 +123,24 @@ def _(o):
     return profile.dataset_profile(profile.column_roles(_orders(o)))
 
 
+_DIMS = ["region", "comuna", "familia", "tipo_reposicion", "empaque", "grupo_cliente", "codigo"]
+
+
+@query("f4_dimension_ranking", S, "WITH u AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c if c != 'codigo' else 'region'}) AS uniques FROM sales" for c in _DIMS) + """), s AS (SELECT *, round(CASE WHEN uniques < 2 THEN -99.0 ELSE -abs(ln(uniques) - ln(10.0)) END - CASE WHEN column_name = 'codigo' THEN 0.15 ELSE 0 END, 6) AS score FROM u)
+ SELECT CAST(row_number() OVER (ORDER BY score DESC, column_name) AS INT) AS place, column_name, uniques, CAST(score AS DOUBLE) AS score FROM s""")
+def _(s):
+    return profile.ranked_dimensions(profile.column_roles(s.withColumn("codigo", F.col("region")).select(_DIMS)))
+
+
+@query("f5_chosen_charts", S, "WITH u AS (" + " UNION ALL ".join(f"SELECT '{c}' AS c, count(DISTINCT {c}) AS n FROM sales" for c in _DIMS[:-1]) + """), r AS (SELECT *, row_number() OVER (ORDER BY -abs(ln(n) - ln(10.0)) DESC, c) AS place FROM u)
+ SELECT 'by_' || c AS part FROM r WHERE place <= 6 UNION ALL SELECT 'scatter by ' || arg_max(c, n) FROM r WHERE n BETWEEN 6 AND 120""")
+def _(s):
+    """Of equivalent dimensions one is kept: codigo is region under another name."""
+    df = s.withColumn("codigo", F.col("region")).select(_DIMS)
+    dims, points = profile.chart_dimensions(df, profile.column_roles(df))
+    return s.sparkSession.createDataFrame([(f"by_{d}",) for d in dims[: profile.CHARTS]] + [(f"scatter by {points}",)], "part string")
+
+
 @query("f5_insights", "orders", f"""WITH d AS ({_O}), s AS ({_F_STATS}), p AS ({_F_PROFILE}),
  t AS (SELECT date_diff('second', min(o_orderdate), max(o_orderdate)) / 86400.0 AS days FROM orders)
  SELECT 'roles' AS part, count(*) AS n FROM s UNION ALL SELECT 'profile', count(*) FROM p

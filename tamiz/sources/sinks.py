@@ -47,9 +47,9 @@ def checksums(spark: SparkSession, path: str, kind: str = "sha256") -> DataFrame
     return files.select("path", F.col("length").alias("bytes"), value.alias("checksum"))
 
 
-def quarantine(df: DataFrame, path: str, reason: str) -> None:
-    """Rejected rows with their reason, each reason a part of its own, which a second run overwrites."""
-    df.write.mode("overwrite").parquet(f"{path}/reason={reason}")
+def quarantine(df: DataFrame, path: str, reason: str, batch: str = "0") -> None:
+    """Rejected rows with their reason. Each batch of a reason is a part of its own: a further one is added, and one that runs again overwrites itself."""
+    df.write.mode("overwrite").parquet(f"{path}/reason={reason}/batch={batch}")
 
 
 def run_path(root: str, run_id: str, table: str) -> str:
@@ -57,6 +57,24 @@ def run_path(root: str, run_id: str, table: str) -> str:
     return f"{root.rstrip('/')}/{run_id}/{table}"
 
 
+def _marker(spark: SparkSession, root: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/LATEST")
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def mark_latest(spark: SparkSession, root: str, run_id: str) -> None:
+    """Names the run that readers of ``root`` should take, once all of it is written."""
+    path, fs = _marker(spark, root)
+    out = fs.create(path, True)
+    out.write(run_id.encode())
+    out.close()
+
+
+def latest_run(spark: SparkSession, root: str) -> str | None:
+    path, fs = _marker(spark, root)
+    return spark.read.text(path.toString(), wholetext=True).first()[0] if fs.exists(path) else None
+
+
 def manifest(spark: SparkSession, paths: dict[str, str], settings: dict[str, str]) -> DataFrame:
     """One JSON row: rows and files of each output with size and SHA-256, totals and settings."""
     out = None
