@@ -1,10 +1,10 @@
 """Host-level quality rules: failures of each rule by host, shrunk by an empirical beta prior, joined back.
 
-Every rule has a limit that a document fails and a softer one that it nearly fails. The hosts' own
-rates fit a beta prior of each rule: its mean, and the variance between hosts that is left when the
-variance of sampling is taken off. A host is judged by its posterior rate: far above the prior it is
-bad for that rule, and documents that nearly fail go too; clearly below it vouches for its
-documents, which may fail that rule; in between, documents that fail go.
+A rule measures a document against a limit; above it the document fails. The hosts' own shares of failures fit a beta
+prior of each rule: its mean, and the variance between hosts that is left when the variance of sampling is
+taken off. A host's posterior rate then moves the limit for its documents: it is divided by the odds ratio of the posterior
+against the prior. So a document of a host that fails often is turned down sooner, one of a host that hardly
+ever fails later, and the host enters every verdict, by as much as its documents tell.
 """
 
 from __future__ import annotations
@@ -17,17 +17,17 @@ from tamiz.llm.common import documents, let, small_or_shuffled, stored, words
 WINDOW = 8
 MIN_WORDS = 20
 MOST_REPEATED_PERCENT = 30
-#: A host is bad for a rule from this many standard deviations of the prior above its mean on, and
-#: vouches for its documents from so many below it.
-BAD_FROM, VOUCHES_FROM = 2.0, 1.0
-#: The prior counts as this many documents where the hosts' rates differ no more than by sampling.
-MOST_STRENGTH = 1e6
-#: name: (limit that fails, limit that nearly fails), over the figures of a document.
+#: A prior never counts for more documents than this. Where hosts differ no more than by sampling, the variance between
+#: them can't be told from none, and the hosts' own documents still count.
+MOST_STRENGTH = 100.0
+#: A limit moves by this factor at most.
+LARGEST_SHIFT = 4.0
+#: A document's figure as a share of the rule's limit; null where there is nothing to measure.
 RULES = {
-    "repeats": ("100 * n_repeat_words > 30 * n_words", "100 * n_repeat_words > 15 * n_words"),
-    "symbols": ("10 * n_symbols > n_words", "20 * n_symbols > n_words"),
-    "lines": ("100 * n_dup_lines > 30 * n_lines", "100 * n_dup_lines > 15 * n_lines"),
-    "word_length": ("word_chars < 2 * n_words or word_chars > 20 * n_words", "2 * word_chars < 5 * n_words or word_chars > 15 * n_words"),
+    "repeats": "100 * n_repeat_words / nullif(30 * n_words, 0)",
+    "symbols": "10 * n_symbols / nullif(n_words, 0)",
+    "lines": "100 * n_dup_lines / nullif(30 * n_lines, 0)",
+    "word_length": "greatest(2 * n_words / nullif(word_chars, 0), word_chars / nullif(20 * n_words, 0))",
 }
 SYMBOLS = "#*$%&|<>"
 
@@ -68,14 +68,13 @@ def text_rules(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def host_verdicts(rows: DataFrame) -> DataFrame:
-    """(host, <rule>_rate, <rule>_bad, <rule>_vouches): posterior rates (failures + m s) / (documents + s).
+    """(host, <rule>_rate, <rule>_shift): posterior rates (failures + m s) / (documents + s), and their odds ratio against the prior.
 
     The prior of a rule has the mean m of the hosts' rates and the strength s = m (1 - m) / v - 1 for
-    the variance v between hosts: that of the rates less what m (1 - m) / documents explains. Its
-    standard deviation, sqrt(m (1 - m) / (s + 1)), sets the limits. One host, or hosts that differ by
-    sampling alone, have the largest strength, and none of them is bad or vouches.
+    the variance v between hosts: that of the rates less what m (1 - m) / documents explains; at least 1, at most MOST_STRENGTH. A rule that
+    no document fails, or every one, moves no limit; nor does the only host.
     """
-    hosts = rows.groupBy("host").agg(F.count("*").alias("n"), *[F.sum(F.col(f"{r}_fails").cast("long")).alias(r) for r in RULES])
+    hosts = rows.groupBy("host").agg(F.count("*").alias("n"), *[F.count_if(F.col(r) > 1).alias(r) for r in RULES])
     prior = hosts.agg(F.avg(1 / F.col("n")).alias("inverse"), *[x for r in RULES for x in (F.avg(F.col(r) / F.col("n")).alias(f"{r}_m"), F.var_samp(F.col(r) / F.col("n")).alias(f"{r}_v"))])
     fitted = []
     for r in RULES:
@@ -87,8 +86,9 @@ def host_verdicts(rows: DataFrame) -> DataFrame:
     out = [F.col("host")]
     for r in RULES:
         m, s = F.col(f"{r}_m"), F.col(f"{r}_s")
-        rate, spread = F.round((F.col(r) + m * s) / (F.col("n") + s), 9), F.sqrt(m * (1 - m) / (s + 1))
-        out += [rate.alias(f"{r}_rate"), (rate > m + BAD_FROM * spread).alias(f"{r}_bad"), (rate < m - VOUCHES_FROM * spread).alias(f"{r}_vouches")]
+        rate = F.round((F.col(r) + m * s) / (F.col("n") + s), 9)
+        ratio = F.when((m > 0) & (m < 1), (rate / (1 - rate)) / (m / (1 - m))).otherwise(F.lit(1.0))
+        out += [rate.alias(f"{r}_rate"), F.round(F.least(F.greatest(ratio, F.lit(1 / LARGEST_SHIFT)), F.lit(LARGEST_SHIFT)), 6).alias(f"{r}_shift")]
     return told.select(*out)
 
 
@@ -99,13 +99,13 @@ def judged(docs: DataFrame, host: str = "source") -> DataFrame:
     rows count as often as they stand; an empty table gives an empty result; further columns are ignored.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    marks = [F.expr(limit).alias(f"{r}_{what}") for r, limits in RULES.items() for what, limit in zip(("fails", "nearly"), limits)]
+    marks = [F.coalesce(F.expr(share), F.lit(0.0)).alias(r) for r, share in RULES.items()]
     rows = stored(text_rules(docs, host).select("*", failed.alias("base_failed"), *marks))
     verdicts = stored(host_verdicts(rows)).withColumnRenamed("host", "_host")
     joined = rows.join(small_or_shuffled(verdicts, verdicts.count()), rows.host.eqNullSafe(F.col("_host")), "left")
     turned_down = F.lit(False)
     for r in RULES:
-        turned_down = turned_down | (F.col(f"{r}_fails") & ~F.col(f"{r}_vouches")) | (F.col(f"{r}_nearly") & F.col(f"{r}_bad"))
+        turned_down = turned_down | (F.col(r) * F.col(f"{r}_shift") > 1)
     return joined.withColumn("kept", ~F.col("base_failed") & ~turned_down).drop("_host")
 
 
@@ -137,26 +137,23 @@ figures AS (
          (len(x) - len(list_distinct(x)))::BIGINT AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
   FROM base b JOIN lines USING (doc_id) LEFT JOIN repeats r USING (doc_id)),
 marked AS (
-  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         100 * n_repeat_words > 30 * n_words AS f1, 100 * n_repeat_words > 15 * n_words AS g1, 10 * n_symbols > n_words AS f2, 20 * n_symbols > n_words AS g2,
-         100 * n_dup_lines > 30 * n_lines AS f3, 100 * n_dup_lines > 15 * n_lines AS g3,
-         word_chars < 2 * n_words OR word_chars > 20 * n_words AS f4, 2 * word_chars < 5 * n_words OR word_chars > 15 * n_words AS g4
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, coalesce(100 * n_repeat_words / nullif(30 * n_words, 0), 0) AS x1,
+         coalesce(10 * n_symbols / nullif(n_words, 0), 0) AS x2, coalesce(100 * n_dup_lines / nullif(30 * n_lines, 0), 0) AS x3,
+         coalesce(greatest(2 * n_words / nullif(word_chars, 0), word_chars / nullif(20 * n_words, 0)), 0) AS x4
   FROM figures),
 rules AS (
-  SELECT source, rule, count(*) AS n, sum(fails::INT)::DOUBLE AS failed
-  FROM (SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([f1, f2, f3, f4]) AS fails FROM marked) GROUP BY ALL),
+  SELECT source, rule, count(*) AS n, sum((x > 1)::INT)::DOUBLE AS failed
+  FROM (SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([x1, x2, x3, x4]) AS x FROM marked) GROUP BY ALL),
 moments AS (
   SELECT rule, avg(failed / n) AS m, coalesce(var_samp(failed / n), 0) - avg(failed / n) * (1 - avg(failed / n)) * avg(1 / n) AS v FROM rules GROUP BY rule),
-prior AS (SELECT rule, m, CASE WHEN v > 0 THEN greatest(least(m * (1 - m) / v - 1, 1e6), 1.0) ELSE 1e6 END AS s FROM moments),
-posterior AS (
-  SELECT source, rule, m, s, round((failed + m * s) / (n + s), 9) AS rate, sqrt(m * (1 - m) / (s + 1)) AS spread FROM rules JOIN prior USING (rule)),
+prior AS (SELECT rule, m, CASE WHEN v > 0 THEN greatest(least(m * (1 - m) / v - 1, 100.0::DOUBLE), 1.0::DOUBLE) ELSE 100.0::DOUBLE END AS s FROM moments),
+posterior AS (SELECT source, rule, m, round((failed + m * s) / (n + s), 9) AS rate FROM rules JOIN prior USING (rule)),
 verdicts AS (
-  SELECT source, map_from_entries(list((rule, rate))) AS rate, map_from_entries(list((rule, rate > m + 2 * spread))) AS bad,
-         map_from_entries(list((rule, rate < m - spread))) AS vouches
+  SELECT source, map_from_entries(list((rule, rate))) AS rate,
+         map_from_entries(list((rule, round(least(greatest(CASE WHEN m > 0 AND m < 1 THEN (rate / (1 - rate)) / (m / (1 - m)) ELSE 1 END, 0.25::DOUBLE), 4.0::DOUBLE), 6)))) AS shift
   FROM posterior GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR (f1 AND NOT vouches[1]) OR (g1 AND bad[1]) OR (f2 AND NOT vouches[2]) OR (g2 AND bad[2])
-            OR (f3 AND NOT vouches[3]) OR (g3 AND bad[3]) OR (f4 AND NOT vouches[4]) OR (g4 AND bad[4])) AS kept,
+       NOT (base_failed OR x1 * shift[1] > 1 OR x2 * shift[2] > 1 OR x3 * shift[3] > 1 OR x4 * shift[4] > 1) AS kept,
        rate[1] AS repeats_rate, rate[2] AS symbols_rate, rate[3] AS lines_rate, rate[4] AS word_length_rate
 FROM marked m JOIN verdicts v ON m.source IS NOT DISTINCT FROM v.source
 """,
