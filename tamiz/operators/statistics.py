@@ -104,7 +104,7 @@ def sketches(columns: list[str]) -> list[Column]:
     return [F.approx_count_distinct(F.col(f"`{c}`"), SKETCH_ERROR).alias(f"_{i}") for i, c in enumerate(columns)]
 
 
-def _told_apart(column: str, kind: str) -> Column:
+def told_apart(column: str, kind: str) -> Column:
     """A text for each value of a column, the same for equal values only; nulls stay."""
     x = F.col(f"`{column}`")
     if kind in ("double", "float"):
@@ -119,7 +119,7 @@ def _told_apart(column: str, kind: str) -> Column:
 def cells(df: DataFrame, columns: list[str]) -> Column:
     """An array of (c, v), one for each column: its place in ``columns`` and its value as text."""
     kinds = dict(df.dtypes)
-    return F.array(*[F.struct(F.lit(i).alias("c"), _told_apart(c, kinds[c]).alias("v")) for i, c in enumerate(columns)])
+    return F.array(*[F.struct(F.lit(i).alias("c"), told_apart(c, kinds[c]).alias("v")) for i, c in enumerate(columns)])
 
 
 def distinct_table(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tamiz.operators import cleaning, quality, rules
+from tamiz.operators import cleaning, incremental, quality, rules
 from tamiz.plans import q_clean as C
 from tamiz.plans.catalog import query
 from tamiz.plans.q_files import _folder
@@ -156,6 +156,41 @@ def _(d):
     return quality.score_distribution(cleaning.clean_transactional(d))
 
 
+def _batches(d):
+    """The report of a cleaned table that came in three batches; one of them came twice."""
+    top = _folder(d, "batches")
+    cleaned = cleaning.clean_transactional(d)
+    cleaned.withColumn("part", F.col("row_no") % 3).write.partitionBy("part").parquet(f"{top}/in")
+    report = incremental.Report(d.sparkSession, f"{top}/report")
+    for k in (0, 1, 2, 1):
+        report.add("sales", f"b{k}", d.sparkSession.read.parquet(f"{top}/in/part={k}"))
+    return report
+
+
+@query("q4_merged_nulls", D, " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({x}) AS nulls, round((count(*) - count({x})) / count(*)::DOUBLE, 6) AS null_ratio FROM dirty_sales" for c, x in [("row_no", "row_no"), ("id_venta", C.ID), ("fecha_venta", C.DATE), ("producto", "producto"), ("estado", "estado"), ("notas_jose", "notas_jose")]))
+def _(d):
+    return _batches(d).columns().where(F.col("column_name").isin("row_no", "id_venta", "fecha_venta", "producto", "estado", "notas_jose")).select("column_name", "n_rows", "nulls", "null_ratio")
+
+
+@query("q5_merged_distinct", D, " UNION ALL ".join(f"SELECT '{c}' AS column_name, true AS near FROM dirty_sales HAVING count(DISTINCT {c}) > 1" for c in ("row_no", "producto", "estado")))
+def _(d):
+    """Estimates of the merged sketches beside exact counts: within four standard errors."""
+    exact = d.select(*[F.count_distinct(c).alias(c) for c in ("row_no", "producto", "estado")])
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in exact.columns])).alias("r")).select("r.*")
+    return _batches(d).columns().join(exact, "column_name").select("column_name", (F.abs(F.col("uniques") - F.col("exact")) <= 0.0324 * F.col("exact") + 1).alias("near"))
+
+
+@query("q6_merged_flags", D, f"SELECT flag, count(*) AS n FROM (SELECT unnest({C.FLAGS}) AS flag FROM dirty_sales) GROUP BY flag")
+def _(d):
+    return _batches(d).flags().select("flag", "n")
+
+
+@query("q7_merged_scores", D, f"""WITH s AS (SELECT CAST({C.SCORE} AS DOUBLE) AS x FROM dirty_sales) SELECT min(x) AS low, quantile_cont(x, 0.25) AS p25, quantile_cont(x, 0.5) AS p50, quantile_cont(x, 0.75) AS p75, quantile_cont(x, 0.95) AS p95, max(x) AS high,
+ round(avg(x), 6) AS mean, round(count(CASE WHEN x < 50 THEN 1 END) / count(x)::DOUBLE, 6) AS share_below FROM s""")
+def _(d):
+    return _batches(d).scores().drop("table_name")
+
+
 @query("q8_totals", D, f"""WITH m AS (SELECT {C.SCORE} < 50 AS q FROM dirty_sales), t AS (SELECT count(*) AS e, count(CASE WHEN NOT q THEN 1 END) AS c, count(CASE WHEN q THEN 1 END) AS x FROM m)
  SELECT 'sales' AS table_name, e AS extracted, c AS cleaned, x AS quarantined, round(x / e::DOUBLE, 6) AS ratio FROM t UNION ALL SELECT 'total', e, c, x, round(x / e::DOUBLE, 6) FROM t""")
 def _(d):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamiz.functions import dates, money, text
-from tamiz.operators import bi, cleaning, forecast, lake, olap, profile, quality, rules, semantic, statistics, structure, view
+from tamiz.operators import bi, cleaning, forecast, incremental, lake, olap, profile, quality, rules, semantic, statistics, structure, view
 from tamiz.plans import pipeline
 from tamiz.sources import files, sinks
 
@@ -108,6 +108,27 @@ def test_inclusions_of_many_columns(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_reports_of_batches_add_up(spark, tmp_path):
+    x = F.col("id")
+    df = spark.range(9000).select(x.alias("k"), F.when(x % 4 > 0, (x * 7919 % 9000).cast("double")).alias("v"), F.when(x % 9 == 0, float("nan")).otherwise(F.col("id") / 2).alias("n"), F.array(F.when(x % 5 == 0, "a").otherwise("b"), F.lit("c")).alias("data_quality_flags"), (x % 101).cast("int").alias("quality_score"))
+    report = incremental.Report(spark, str(tmp_path / "r"))
+    assert report.columns().isEmpty() and report.flags().isEmpty() and report.scores().isEmpty()
+    report.add("t", "one", df.where("k < 4000"))
+    report.add("t", "two", df.where("k >= 4000").drop("n"))
+    report.add("t", "none", df.where("k < 0"))
+    report.add("other", "one", df.select("k"))
+    got = {r["column_name"]: r for r in report.columns().where("table_name = 't'").collect()}
+    assert (got["k"]["n_rows"], got["k"]["nulls"], got["k"]["least"], got["k"]["most"]) == (9000, 0, 0.0, 8999.0)
+    assert got["v"]["nulls"] == 2250 and got["n"]["nulls"] == 5000 and got["n"]["total"] == sum(i / 2 for i in range(4000) if i % 9)
+    assert abs(got["k"]["uniques"] - 9000) < 0.0324 * 9000 and got["v"]["uniques"] < 1.0324 * 6750
+    assert all(abs(got["k"][p] - q * 9000) < 0.01 * 9000 for p, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))) and got["quality_score"]["p50"] in range(48, 53)
+    assert {r["flag"]: r["n"] for r in report.flags().collect()} == {"a": 1800, "b": 7200, "c": 9000}
+    whole, merged = quality.score_distribution(df).first(), report.scores().drop("table_name").first()
+    assert tuple(whole) == tuple(merged)
+    report.add("t", "two", df.where("k >= 4000 and k < 5000").drop("n"))  # a batch again
+    assert report.columns().where("table_name = 't' and column_name = 'k'").first()["n_rows"] == 5000
+
+
 def test_primary_keys():
     assert lake.infer_pk("DimProduct", ["ProductKey", "OtherKey"]) == "ProductKey"
     assert lake.infer_pk("x", ["a", "only_key"]) == "only_key" and lake.infer_pk("x", ["a_key", "b_key"]) is None
