@@ -3,7 +3,7 @@
 The base patterns find the seeds; long mixed strings of letters and digits are supposed to be secrets.
 What stands around a seed makes lexical patterns of its kind: the word, the two and the three words before
 it, and the words on both sides. Patterns and the identifiers that they introduce form a graph, which is
-scored in rounds: a pattern is as good as the identifiers it introduces, an identifier as likely as its
+scored in rounds, until one finds no new identifier: a pattern is as good as the identifiers it introduces, an identifier as likely as its
 patterns make it (noisy-or over the patterns of one sort, the best of the sorts, as these overlap).
 Digit groups, words with an @ and mixed strings that the base patterns missed are taken where good
 patterns introduce them.
@@ -35,7 +35,6 @@ CANDIDATES = {
     "at": (r"@", r"(?<![^\x20\x09-\x0D@])[^\x20\x09-\x0D@]++@[^\x20\x09-\x0D@]++"),
     "mixed": (r"[0-9]", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}+"),
 }
-ROUNDS = 4
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.8
 #: Identifiers that a pattern is taken to have introduced wrongly before any is seen.
@@ -116,7 +115,9 @@ def scored_graph(seeds: DataFrame, supposed: DataFrame, candidates: DataFrame) -
     able = stored(edges.groupBy("kind", "sort", "pattern").agg(F.sum("seed").alias("seeds")).where(F.col("seeds") >= LEAST_SEEDS).drop("seeds"))
     edges = stored(edges.join(able, ["kind", "sort", "pattern"]))
     scored = edges.withColumns({"likely": F.lit(0.0), "round": F.lit(None).cast("int")})
-    for k in range(1, ROUNDS + 1):
+    k, found_new = 0, True
+    while found_new:  # a round finds an identifier for the first time, or is the last
+        k += 1
         scored = scored.withColumn("counts", F.greatest("seed", F.when(F.col("likely") >= LEAST_CONFIDENCE, F.col("likely")).otherwise(F.lit(0.0))))
         patterns = stored(scored.groupBy("kind", "sort", "pattern").agg(F.sum("counts").alias("all"), F.count("*").alias("n")))
         score = (F.col("all") - F.col("counts")) / (F.col("n") - 1 + DOUBT)
@@ -125,6 +126,7 @@ def scored_graph(seeds: DataFrame, supposed: DataFrame, candidates: DataFrame) -
         likely = by_sort.groupBy("kind", "instance").agg(F.min("round").alias("round"), F.max("likely").alias("likely"))
         likely = likely.withColumn("round", F.coalesce("round", F.when(F.col("likely") >= LEAST_CONFIDENCE, F.lit(k))))
         scored = stored(edges.join(likely, ["kind", "instance"]))
+        found_new = not scored.where(F.col("round") == k).isEmpty()
     new = scored.groupBy("kind", "instance").agg(F.bool_or("sure").alias("sure"), F.max("likely").alias("confidence"), F.min("round").alias("round"))
     return stored(new.where(~F.col("sure") & (F.col("confidence") >= LEAST_CONFIDENCE)).drop("sure"))
 
