@@ -48,6 +48,13 @@ def _(*t):
     return _audited(*t)
 
 
+@query("a20_footer_figures", _LAKE, f"SELECT table_name, column_name, n_rows, nulls, low, high, true AS from_footers FROM ({_AUDIT})")
+def _(*t):
+    """Rows, nulls and extremes of the audit, told by the footers of the tables' own files."""
+    tables = {name: df.inputFiles() for name, df in zip(_TABLES, t)}
+    return lake.footer_figures(t[0].sparkSession, tables).drop("kind")
+
+
 def _dirty(o):
     return o.select("o_orderkey", F.when(F.col("o_orderkey") % 20 == 0, F.col("o_orderpriority")).alias("sparse"), F.lit(None).cast("string").alias("empty"),
                     (F.col("o_orderkey") * 1_000_000_000).alias("wide"), F.when(F.col("o_orderkey") % 9 == 0, F.lit(float("inf"))).otherwise(F.col("o_totalprice")).alias("price"),

@@ -129,6 +129,18 @@ def test_reports_of_batches_add_up(spark, tmp_path):
     assert report.columns().where("table_name = 't' and column_name = 'k'").first()["n_rows"] == 5000
 
 
+def test_footers_answer_without_data(spark, tmp_path):
+    x = F.col("id")
+    df = spark.range(500).select(x.alias("k"), F.when(x % 3 > 0, x / 4).alias("v"), F.lit("a").alias("s.t"), F.date_add(F.lit("2024-01-01").cast("date"), x.cast("int")).alias("d"))
+    df.repartition(4).write.parquet(str(tmp_path / "a"))
+    df.select("k", F.when(F.col("k") == 7, float("nan")).otherwise(F.col("v")).alias("v")).write.parquet(str(tmp_path / "b"))
+    got = {(r["table_name"], r["column_name"]): tuple(r)[3:] for r in lake.footer_figures(spark, {"a": [str(tmp_path / "a")], "b": [str(tmp_path / "b")]}).collect()}
+    assert got["a", "k"] == (500, 0, 0.0, 499.0, True) and got["a", "v"] == (500, 167, 0.25, 124.75, True) and got["a", "s.t"] == (500, 0, None, None, True) and got["a", "d"][:2] == (500, 0)
+    assert got["b", "k"][:4] == (500, 0, 0.0, 499.0) and got["b", "v"][:2] == (500, 167)
+    plan = lake.footer_aggregate(lake.footer_session(spark), [str(tmp_path / "a")])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan
+
+
 def test_primary_keys():
     assert lake.infer_pk("DimProduct", ["ProductKey", "OtherKey"]) == "ProductKey"
     assert lake.infer_pk("x", ["a", "only_key"]) == "only_key" and lake.infer_pk("x", ["a_key", "b_key"]) is None
