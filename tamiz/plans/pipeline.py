@@ -70,7 +70,10 @@ def run(spark: SparkSession, source: str, out: str, run_id: str, rulesets: dict[
     if frames:
         done.totals = quality.totals(frames)
         done.passed = rules.gate(*[_union([f[i] for f in frames.values()]) for i in range(3)], threshold).first()["passed"]
-        sinks.mark_latest(spark, out, run_id)
+    clean = {name: f"{sinks.run_path(out, run_id, name)}/clean" for name in frames}
+    inputs = {name: table.origin for name, table in found.tables.items()}
+    sinks.manifest(spark, clean, {"threshold": str(threshold), "passed": str(done.passed)}, inputs, done.errors).coalesce(1).write.mode("overwrite").text(f"{out}/{run_id}/manifest")
+    sinks.mark_latest(spark, out, run_id)
     return done
 
 

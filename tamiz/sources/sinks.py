@@ -41,8 +41,9 @@ def write_zstd(df: DataFrame, path: str, level: int = 3) -> DataFrame:
     return checksums(df.sparkSession, path, "md5")
 
 
-def checksums(spark: SparkSession, path: str, kind: str = "sha256") -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+def checksums(spark: SparkSession, path: str, kind: str = "sha256", files: str = "*.parquet") -> DataFrame:
+    """(path, bytes, checksum) of the files that a pattern names."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", files).option("recursiveFileLookup", True).load(path)
     value = F.md5("content") if kind == "md5" else F.sha2("content", 256)
     return files.select("path", F.col("length").alias("bytes"), value.alias("checksum"))
 
@@ -75,16 +76,29 @@ def latest_run(spark: SparkSession, root: str) -> str | None:
     return spark.read.text(path.toString(), wholetext=True).first()[0] if fs.exists(path) else None
 
 
-def manifest(spark: SparkSession, paths: dict[str, str], settings: dict[str, str]) -> DataFrame:
-    """One JSON row: rows and files of each output with size and SHA-256, totals and settings."""
+def _listed(spark: SparkSession, paths: dict[str, str], files: str) -> DataFrame:
+    """(table_name, files, bytes, sha256): the digest of a table is that of its files' sorted digests."""
     out = None
     for name, path in paths.items():
-        rows = spark.read.parquet(path).agg(F.count("*").alias("rows"))
-        one = checksums(spark, path).withColumn("table_name", F.lit(name)).crossJoin(F.broadcast(rows))  # one row
+        one = checksums(spark, path, files=files).withColumn("table_name", F.lit(name))
         out = one if out is None else out.unionByName(one)
-    files = out.groupBy("table_name").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.max("rows").alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list("checksum")), ","), 256).alias("sha256"))
-    whole = files.agg(F.sum("bytes").alias("total_bytes"), F.array_sort(F.collect_list(F.struct("table_name", "files", "rows", "bytes", "sha256"))).alias("outputs"))
-    return whole.withColumn("settings", F.create_map(*[F.lit(x) for k, v in settings.items() for x in (k, v)])).select(F.to_json(F.struct("*")).alias("manifest"))
+    return out.groupBy("table_name").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list("checksum")), ","), 256).alias("sha256"))
+
+
+def manifest(spark: SparkSession, paths: dict[str, str], settings: dict[str, str], inputs: dict[str, str] | None = None, errors: dict[str, str] | None = None) -> DataFrame:
+    """One JSON row: rows and files of each output with size and SHA-256, totals and settings; the inputs by name, size and
+    digest, and what went wrong, by table."""
+    rows = None
+    for name, path in paths.items():
+        one = spark.read.parquet(path).agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name))
+        rows = one if rows is None else rows.unionByName(one)
+    empty = spark.createDataFrame([], "table_name string, files long, bytes long, sha256 string")
+    files = (_listed(spark, paths, "*.parquet").join(F.broadcast(rows), "table_name") if paths else empty.withColumn("rows", F.lit(None).cast("long")))  # one row a table
+    whole = files.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"), F.array_sort(F.collect_list(F.struct("table_name", "files", "rows", "bytes", "sha256"))).alias("outputs"))
+    texts = lambda d: F.create_map(*[F.lit(x) for k, v in d.items() for x in (k, v)]) if d else F.create_map().cast("map<string,string>")
+    whole = whole.withColumns({"settings": texts(settings), "errors": texts(errors or {})})
+    read = (_listed(spark, inputs, "*") if inputs else empty).agg(F.array_sort(F.collect_list(F.struct("table_name", "files", "bytes", "sha256"))).alias("inputs"))
+    return whole.crossJoin(F.broadcast(read)).select(F.to_json(F.struct("*")).alias("manifest"))  # one row each
 
 
 def publish(tables: dict[str, DataFrame], root: str) -> None:

@@ -268,7 +268,18 @@ def test_run(spark, tmp_path):
     done = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), "r1")
     total = done.totals.where("table_name = 'total'").first()
     assert not done.errors and total["extracted"] == total["cleaned"] + total["quarantined"] == 4 and not done.passed
-    assert sinks.checksums(spark, str(tmp_path / "out/r1/ventas/clean")).count() >= 1
+    # The manifest's digests are those of the files themselves.
+    import hashlib
+
+    digest = lambda paths: hashlib.sha256(",".join(sorted(hashlib.sha256(p.read_bytes()).hexdigest() for p in paths)).encode()).hexdigest()
+    (tmp_path / "in/otra.docx").write_text("?")
+    assert sinks.latest_run(spark, str(tmp_path / "out")) == "r1" and sinks.latest_run(spark, str(tmp_path / "in")) is None
+    pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), "r2")
+    told = json.loads(spark.read.text(str(tmp_path / "out/r2/manifest")).first()[0])
+    (one,), (read,) = told["outputs"], told["inputs"]
+    assert one["rows"] == done.tables["ventas"].count() and one["sha256"] == digest((tmp_path / "out/r2/ventas/clean").glob("*.parquet"))
+    assert read["sha256"] == digest([tmp_path / "in/ventas.csv"]) and read["bytes"] == len(body.encode()) and "otra.docx" in next(iter(told["errors"])) and told["settings"]["passed"] == "False"
+    assert sinks.latest_run(spark, str(tmp_path / "out")) == "r2" and spark.read.parquet(str(tmp_path / "out/r1/ventas/clean")).count() == one["rows"]
 
 
 def test_empty_tables(spark):
