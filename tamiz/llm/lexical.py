@@ -35,6 +35,8 @@ BUCKET, ITEMS = 1 << 18, 512
 ROUNDS = (1 / 16, 1 / 4, 1.0)
 #: Largest coordinates of an item that bound a score before it is computed.
 FOCUS = 6
+#: Texts whose terms are counted and handed on at once.
+COUNTED = 256
 #: By so much a bound is raised before a threshold is held against it, as it is computed in doubles.
 MARGIN = 1 + 1e-9
 #: Bytes outside terms become spaces, and A-Z small letters. Bytes of 128 and above are parts of characters that terms may hold.
@@ -46,7 +48,7 @@ def terms(text: str | None) -> list[bytes]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(i, COUNTED) for b in batches for i in range(0, b.num_rows, COUNTED)):
         found = [Counter(terms(t)) for t in batch.column("text").to_pylist()]
         words = pa.array([list(c) for c in found], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
         times = pa.array([list(c.values()) for c in found], pa.list_(pa.int64()))
