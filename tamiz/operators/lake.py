@@ -8,6 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tamiz.functions import dates, text
 from tamiz.operators import statistics
 
 #: The widest integers that an INT and a BIGINT hold.
@@ -32,6 +33,30 @@ def preload_guard(df: DataFrame, bigints: list[str] = (), longest: int = 1_000_0
     return df.select(*out)
 
 
+def sanitized(df: DataFrame, first: int = 1900, last: int = 2100) -> tuple[DataFrame, Observation]:
+    """Clean texts, dates within bounds and finite numbers, and what that made null, counted by the pass that writes the result: empty_strings_nulled,
+    nan_strings_nulled, invalid_dates_nulled and invalid_numbers_nulled, over all columns."""
+    out, counts = [], {"empty_strings": [], "nan_strings": [], "invalid_dates": [], "invalid_numbers": []}
+    for c, t in df.dtypes:
+        x, made = F.col(f"`{c}`"), F.col(f"`{c}`")
+        if t == "string":
+            made = text.sanitize(x)
+            is_nan = F.lower(F.trim(x)) == "nan"
+            counts["nan_strings"].append(is_nan)
+            counts["empty_strings"].append(x.isNotNull() & made.isNull() & ~is_nan)
+        elif t in ("date", "timestamp", "timestamp_ntz"):
+            made = dates.in_bounds(x, first, last)
+            counts["invalid_dates"].append(x.isNotNull() & made.isNull())
+        elif t in ("double", "float"):
+            made = F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+            counts["invalid_numbers"].append(x.isNotNull() & made.isNull())
+        out.append(made.alias(c))
+    marks = [sum((F.coalesce(m, F.lit(False)).cast("int") for m in found), F.lit(0)).alias(f"_{what}") for what, found in counts.items()]
+    seen = Observation()
+    marked = df.select(*out, *marks).observe(seen, *[F.coalesce(F.sum(f"_{what}"), F.lit(0)).alias(f"{what}_nulled") for what in counts])
+    return marked.select(*[F.col(f"`{c}`") for c in df.columns]), seen
+
+
 def _is_key_name(name: str) -> bool:
     return bool(re.search(r"(key|_id|id)$", name, re.I))
 

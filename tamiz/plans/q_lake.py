@@ -203,6 +203,19 @@ def _(o):
     return o.sparkSession.createDataFrame(list(lost.get.items()), "column_name string, lost long")
 
 
+@query("t20_counted_by_the_write", "orders", """SELECT 'empty_strings_nulled' AS what, count(CASE WHEN o_orderkey % 5 = 0 THEN 1 END) AS n FROM orders UNION ALL SELECT 'nan_strings_nulled', count(CASE WHEN o_orderkey % 5 > 0 AND o_orderkey % 7 = 0 THEN 1 END) FROM orders
+ UNION ALL SELECT 'invalid_dates_nulled', count(CASE WHEN o_orderkey % 3 = 0 THEN 1 END) FROM orders UNION ALL SELECT 'invalid_numbers_nulled', count(CASE WHEN o_orderkey % 11 = 0 THEN 1 END) FROM orders
+ UNION ALL SELECT 'texts_written', count(CASE WHEN o_orderkey % 5 > 0 AND o_orderkey % 7 > 0 THEN 1 END) FROM orders""")
+def _(o):
+    """A table is sanitised and written; the counts come from that write."""
+    k, path = F.col("o_orderkey"), _folder(o, "t20")
+    raw = o.select("o_orderkey", F.when(k % 5 == 0, " \t").when(k % 7 == 0, " NaN").otherwise(F.concat(F.lit(" "), "o_orderstatus")).alias("s"), F.when(k % 3 == 0, F.lit("1800-01-01").cast("date")).otherwise(F.col("o_orderdate").cast("date")).alias("d"), F.when(k % 11 == 0, float("inf")).otherwise(F.col("o_totalprice")).alias("x"))
+    df, seen = lake.sanitized(raw)
+    df.write.parquet(path)
+    written = o.sparkSession.read.parquet(path).where("length(s) = 1").count()
+    return o.sparkSession.createDataFrame([*seen.get.items(), ("texts_written", written)], "what string, n long")
+
+
 @query("j14_schema_drift", "orders", """WITH n AS (SELECT count(o_custkey) AS k, count(o_orderdate) AS d, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS f FROM orders)
  SELECT 'o_custkey' AS column_name, 'bigint' AS was, 'string' AS "is", 'type changed' AS change, k AS cells_was, k AS cells_is FROM n UNION ALL SELECT 'o_orderdate', 'timestamp', NULL, 'removed', d, NULL FROM n UNION ALL SELECT 'added', NULL, 'string', 'added', NULL, f FROM n""")
 def _(o):
