@@ -149,6 +149,8 @@ class Scan:
     rejected: DataFrame
 
 
+#: A table of a row a file is broadcast up to this many.
+BROADCAST_FILES = 100_000
 TOO_MANY, TOO_FEW, UNCLOSED = "too many fields", "too few fields", "unclosed quote"
 def file_kinds(spark: SparkSession, path: str, encoding: str | None = None) -> dict[tuple[str, bool], list[str]]:
     """Files by encoding and by whether a line has an odd number of quotes, as told by all their lines. Files all of one
@@ -232,9 +234,11 @@ def whole_records(lines: DataFrame, separator: str) -> DataFrame:
     return gathered.withColumn("closed", F.lit(True)).unionByName(single)
 
 
-def placed_lines(lines: DataFrame) -> DataFrame:
-    """(file, place, value, closed) of lines that are records; the place is told in a file's first block, and null behind it."""
+def placed_lines(lines: DataFrame, n_files: int) -> DataFrame:
+    """(file, place, value, closed) of lines that are records; the place is told in a file's first block, and null behind it. Lines stay where
+    they were read, as the table of files is broadcast, unless there are too many of them."""
     first = lines.where("block = 0").groupBy(F.col("file").alias("_of")).agg(F.min("id").alias("_start"))
+    first = F.broadcast(first) if n_files <= BROADCAST_FILES else first
     place = F.when(F.col("block") == 0, F.col("id") - F.col("_start"))
     return lines.join(first, F.col("file") == F.col("_of"), "left").select("file", place.alias("place"), "value", F.lit(True).alias("closed"))
 
@@ -259,6 +263,7 @@ def scan_delimited(spark: SparkSession, path: str, separator: str | None = None,
     lines of an odd number of quotes have their lines joined, and stay split for it.
     """
     kinds = file_kinds(spark, path, encoding)
+    n_files = sum(len(spark.read.text(p).inputFiles()) for p in kinds.values()) if len(kinds) == 1 else sum(map(len, kinds.values()))
     (first_encoding, odd), paths = min(kinds.items(), key=lambda k: k[1])
     lines = [r["value"] for r in lines_of(spark, paths[:1], first_encoding).limit(SNIFFED_LINES).collect()]
     lines = records(lines) if odd else lines
@@ -271,7 +276,7 @@ def scan_delimited(spark: SparkSession, path: str, separator: str | None = None,
     found = None
     for (coding, quoted), of_kind in kinds.items():
         own = lines_of(spark, of_kind, coding)
-        own = whole_records(own, separator) if quoted else placed_lines(own)
+        own = whole_records(own, separator) if quoted else placed_lines(own, n_files)
         found = own if found is None else found.unionByName(own)
     body = (F.col("place").isNull() | (F.col("place") > first)) & (F.trim("value") != "")
     schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))] + [T.StructField("_bad", T.StringType())])
