@@ -26,8 +26,9 @@ class Run:
     passed: bool = True
 
 
-def process(df: DataFrame, hint: str, ruleset: rules.RuleSet | None = None, frozen: DataFrame | None = None, enrich: bool = True, check: Callable[[DataFrame], object] | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(valid, quarantined, violations) of one table. ``check`` sees the cleaned table and may stop it."""
+def process(df: DataFrame, hint: str, ruleset: rules.RuleSet | None = None, frozen: DataFrame | None = None, enrich: bool = True, check: Callable[[DataFrame], object] | None = None, anchors: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(valid, quarantined, violations) of one table. ``check`` sees the cleaned table and may stop it. The statistics that
+    enrichment rests on are saved under ``anchors``, for streams of the same table."""
     cleaner = cleaning.choose(df.columns, hint=hint)
     cleaned = staged(cleaner.clean(df)) if cleaner else df  # kept, rejected and enriched rows all come from one parse
     if frozen is not None and (bad := quality.drift(frozen, cleaned).where("severity = 'fatal'").collect()):
@@ -36,7 +37,10 @@ def process(df: DataFrame, hint: str, ruleset: rules.RuleSet | None = None, froz
         check(cleaned)
     kept, rejected = rules.split_by_score(cleaned)
     if enrich and cleaner and cleaner.name == "transactional":
-        kept = semantic.enrich(kept)
+        learned = semantic.learn(kept) if anchors else None
+        if learned is not None:
+            learned.save(df.sparkSession, f"{anchors}/{hint}")
+        kept = semantic.enrich(kept, learned)
     if ruleset is None:
         return kept, rejected, None
     outcome = rules.validate(kept, ruleset)
@@ -45,16 +49,16 @@ def process(df: DataFrame, hint: str, ruleset: rules.RuleSet | None = None, froz
     return outcome.valid, rejected.unionByName(outcome.quarantined, allowMissingColumns=True), outcome.violations
 
 
-def run(spark: SparkSession, source: str, out: str, run_id: str, rulesets: dict[str, rules.RuleSet] | None = None, threshold: float = 0.05, schemas: str | None = None) -> Run:
+def run(spark: SparkSession, source: str, out: str, run_id: str, rulesets: dict[str, rules.RuleSet] | None = None, threshold: float = 0.05, schemas: str | None = None, anchors: str | None = None) -> Run:
     """Every table of a folder; one that fails is noted and the others go on. With ``schemas``, a registry's folder, the first
-    run freezes each table's cleaned schema and later ones are held against it."""
+    run freezes each table's cleaned schema and later ones are held against it; under ``anchors`` each run adds a version of a table's statistics."""
     found = files.discover_tables(spark, source)
     registry = Registry(spark, schemas) if schemas else None
     done, frames = Run(errors=dict(found.errors)), {}
     for name, table in found.tables.items():
         try:
             check = (lambda df, name=name: done.schemas.setdefault(name, registry.check(name, df, run_id))) if registry else None
-            valid, rejected, violations = process(table.df, name, (rulesets or {}).get(name), check=check)
+            valid, rejected, violations = process(table.df, name, (rulesets or {}).get(name), check=check, anchors=anchors)
             path = sinks.run_path(out, run_id, name)
             sinks.write_parquet(valid, f"{path}/clean")
             sinks.quarantine(rejected, f"{path}/quarantine", "score-or-rule")

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tamiz.operators import semantic
 from tamiz.plans import pipeline
 from tamiz.sources import extract, files, schemas
 
@@ -197,8 +198,13 @@ def test_runs_are_held_against_the_registry(spark, tmp_path):
     for name, text in {"a": body, "b": body.replace("estado\n", "estado,canal\n").replace("vendido\n", "vendido,web\n").replace("cambio\n", "cambio,web\n"), "c": body.replace("monto", "otra")}.items():
         (tmp_path / name).mkdir()
         (tmp_path / name / "ventas.csv").write_text(text)
-    run = lambda name: pipeline.run(spark, str(tmp_path / name), str(tmp_path / "out"), name, schemas=str(tmp_path / "schemas"))
+    run = lambda name: pipeline.run(spark, str(tmp_path / name), str(tmp_path / "out"), name, schemas=str(tmp_path / "schemas"), anchors=str(tmp_path / "anchors"))
     first, wider, broken = run("a"), run("b"), run("c")
+    # Each run that got through left a version of the statistics, under which its rows come out as they did.
+    saved = semantic.Anchors.read(spark, str(tmp_path / "anchors/ventas"), 1)
+    assert set(saved.money) == {"monto"} and sorted(f.name for f in (tmp_path / "anchors/ventas").iterdir()) == ["version=1", "version=2"]
+    done = first.tables["ventas"]
+    assert sorted(semantic.enrich(done.select("monto", "producto"), saved).select("monto_final").collect()) == sorted(done.select("monto_final").collect())
     assert first.schemas["ventas"].first_time and not first.errors
     assert not wider.errors and wider.schemas["ventas"].changes == [("canal", "added", "warn")]
     assert "monto missing" in broken.errors["ventas"] and not broken.tables
