@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -408,6 +409,27 @@ def schema_drift_cells(first: DataFrame, other: DataFrame) -> DataFrame:
     return found.join(count(first, "cells_was"), "column_name", "left").join(count(other, "cells_is"), "column_name", "left")
 
 
+def file_schemas(spark: SparkSession, path: str, at_once: int = 16) -> DataFrame:
+    """(file, column_name, kind) of each Parquet file of a table. Footers are read by tasks, some files at once; the driver sees schemas only."""
+    files = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path).select("path").collect()]
+    with ThreadPoolExecutor(at_once) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).dtypes, files))
+    rows = [(f, c, t) for f, columns in zip(files, schemas) for c, t in columns]
+    return spark.createDataFrame(rows, "file string, column_name string, kind string")
+
+
+def schema_drift_files(schemas: DataFrame) -> DataFrame:
+    """(file, column_name, was, is, change): what each file adds, lacks or types otherwise against the first one by name."""
+    first = schemas.agg(F.min("file").alias("_first"))
+    whole = schemas.crossJoin(F.broadcast(first))  # one row
+    was = whole.where("file = _first").select("column_name", F.col("kind").alias("was"))
+    files = schemas.select("file").distinct()
+    wanted = files.crossJoin(F.broadcast(was))  # as many rows as the first file has columns
+    both = wanted.join(schemas.withColumnRenamed("kind", "is"), ["file", "column_name"], "full")
+    change = F.when(F.col("was").isNull(), "added").when(F.col("is").isNull(), "removed").when(F.col("was") != F.col("is"), "type changed")
+    return both.withColumn("change", change).where("change is not null")
+
+
 def pascal_keys(columns: list[str]) -> dict[str, str]:
     """product_key, Datekey → ProductKey, DateKey."""
     return {c: "".join(w.capitalize() for w in re.sub("(?i)_?key$", "", c).split("_")) + "Key" for c in columns if re.search("key$", c, re.I)}

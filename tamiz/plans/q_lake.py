@@ -226,6 +226,20 @@ def _(o):
     return lake.schema_drift_cells(spark.read.parquet(f"{top}/first"), spark.read.parquet(f"{top}/other"))
 
 
+@query("j14_drift_over_files", "orders", """WITH d AS (SELECT * FROM (VALUES (1, 'o_custkey', 'bigint', 'string', 'type changed'), (2, 'o_orderstatus', 'string', NULL, 'removed'), (2, 'added', NULL, 'int', 'added')) AS v(part, column_name, was, "is", change))
+ SELECT part, column_name, was, "is", change, (SELECT count(*) FROM orders WHERE o_orderkey % 3 = part) AS n_rows FROM d""")
+def _(o):
+    """Three files of one table; the rows that a change concerns are those of its file."""
+    spark, top = o.sparkSession, _folder(o, "j14-files")
+    base = o.select("o_orderkey", "o_custkey", "o_orderstatus")
+    part = lambda k: base.where(F.col("o_orderkey") % 3 == k).coalesce(1)
+    for k, df in enumerate([part(0), part(1).withColumn("o_custkey", F.col("o_custkey").cast("string")), part(2).drop("o_orderstatus").withColumn("added", F.lit(1))]):
+        df.write.parquet(f"{top}/{k}")
+    number = F.regexp_extract("file", "/([0-9])/[^/]*$", 1).cast("int")
+    rows = [(k, spark.read.parquet(f"{top}/{k}").count()) for k in range(3)]
+    return lake.schema_drift_files(lake.file_schemas(spark, top)).withColumn("part", number).join(spark.createDataFrame(rows, "part int, n_rows long"), "part").drop("file")
+
+
 @query("j12_pascal_keys", "part", "SELECT p_partkey AS \"ProductKey\", p_size AS \"DateKey\" FROM part")
 def _(p):
     df = p.select(F.col("p_partkey").alias("product_key"), F.col("p_size").alias("Datekey"))
