@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +16,10 @@ from pyspark.sql import types as T
 
 #: Rows of one file at most.
 FILE_ROWS = 2_000_000
+#: Bytes that a task hashes as one value; longer files are hashed in ranges of so many.
+BLOCK = 64 * 2**20
+#: Bytes of a range that are held at once.
+PIECE = 2**20
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -29,23 +40,62 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] = (), compression: str = "snappy") -> int:
-    """Overwrites; lists stay lists. Returns the rows written, from the files' own statistics. Files are kept
-    small enough to be hashed as one value."""
+    """Overwrites; lists stay lists. Returns the rows written, from the files' own statistics."""
     df.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).option("compression", compression).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path).count()
 
 
-def write_zstd(df: DataFrame, path: str, level: int = 3) -> DataFrame:
-    """ZSTD files, and (path, bytes, md5) of each."""
+def write_zstd(df: DataFrame, path: str, level: int = 3, block: int = BLOCK) -> DataFrame:
+    """ZSTD files, and (path, bytes, checksum) of each by MD5."""
     df.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
-    return checksums(df.sparkSession, path, "md5")
-
-
-def checksums(spark: SparkSession, path: str, kind: str = "sha256", files: str = "*.parquet") -> DataFrame:
-    """(path, bytes, checksum) of the files that a pattern names."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", files).option("recursiveFileLookup", True).load(path)
-    value = F.md5("content") if kind == "md5" else F.sha2("content", 256)
-    return files.select("path", F.col("length").alias("bytes"), value.alias("checksum"))
+    return checksums(df.sparkSession, path, "md5", block=block)
+
+
+def _opened(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file that Hadoop calls file:/x, s3a://x and so on."""
+    scheme, rest = path.split(":", 1)
+    if scheme == "file":
+        return pafs.LocalFileSystem(), re.sub("^/+", "/", rest)
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", quote(path, safe=":/@")))
+
+
+def _ranges_hashed(kind: str):
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for path, start, size in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "size"))):
+                digest, left = hashlib.new(kind), size
+                fs, name = _opened(path)
+                with fs.open_input_file(name) as file:
+                    file.seek(start)
+                    while left:
+                        piece = file.read(min(PIECE, left))
+                        if not piece:
+                            raise OSError(f"{path} ends before byte {start + size}")
+                        digest.update(piece)
+                        left -= len(piece)
+                out.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("bytes"), batch.column("nth"), pa.array(out, pa.string())], ["path", "bytes", "nth", "digest"])
+
+    return hashed
+
+
+def checksums(spark: SparkSession, path: str, kind: str = "sha256", files: str = "*.parquet", block: int = BLOCK) -> DataFrame:
+    """(path, bytes, checksum) of the files that a pattern names, of any size.
+
+    A file of at most ``block`` bytes has its plain digest. A longer one is hashed in ranges of ``block`` bytes, each in a
+    task of its own that holds PIECE bytes; its checksum is the digest of its ranges' hex digests in order, then "-" and
+    their number, as object stores name what was uploaded in parts.
+    Files without bytes are not listed, as Spark scans none.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", files).option("recursiveFileLookup", True).load(path)
+    digest = F.md5 if kind == "md5" else lambda x: F.sha2(x, 256)
+    small = found.where(F.col("length") <= block).select("path", F.col("length").alias("bytes"), digest(F.col("content")).alias("checksum"))
+    ranges = found.where(F.col("length") > block).select("path", F.col("length").alias("bytes"), F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(block).cast("long"))).alias("nth", "start"))
+    ranges = ranges.withColumn("size", F.least(F.lit(block).cast("long"), F.col("bytes") - F.col("start"))).repartition(spark.sparkContext.defaultParallelism, "path", "nth")  # a number, as these rows are too small for Spark to keep apart
+    parts = ranges.mapInArrow(_ranges_hashed(kind), "path string, bytes long, nth int, digest string").groupBy("path", "bytes").agg(F.array_sort(F.collect_list(F.struct("nth", "digest"))).alias("parts"))
+    whole = F.concat(digest(F.array_join(F.col("parts.digest"), "")), F.lit("-"), F.size("parts"))
+    return small.unionByName(parts.select("path", "bytes", whole.alias("checksum")))
 
 
 def quarantine(df: DataFrame, path: str, reason: str, batch: str = "0") -> None:

@@ -1,6 +1,7 @@
 """Value examples and edge cases of single operators."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -436,6 +437,31 @@ def test_database_scan_in_ranges(spark, tmp_path):
     assert got.rdd.getNumPartitions() == 4 and sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
 
 
+def test_checksums_of_any_size(spark, tmp_path):
+    """Ranges against hashlib: below, at and above the limit; a path with a space; and above the 2 GB of one value."""
+    import hashlib
+
+    (tmp_path / "in a folder").mkdir()
+    bodies = {"empty.parquet": b"", "limit.parquet": b"x" * 100, "above.parquet": bytes(range(101)), "many.parquet": os.urandom(1234)}
+    for name, body in bodies.items():
+        (tmp_path / "in a folder" / name).write_bytes(body)
+
+    def told(body, kind, n=100):
+        parts = [hashlib.new(kind, body[i : i + n]).hexdigest() for i in range(0, len(body), n)]
+        return hashlib.new(kind, body).hexdigest() if len(body) <= n else f"{hashlib.new(kind, ''.join(parts).encode()).hexdigest()}-{len(parts)}"
+
+    for kind in ("sha256", "md5"):
+        got = {os.path.basename(r["path"]): (r["bytes"], r["checksum"]) for r in sinks.checksums(spark, str(tmp_path / "in a folder"), kind, block=100).collect()}
+        assert got == {name: (len(body), told(body, kind)) for name, body in bodies.items() if body}
+    size, start = 2**31 + 5, hashlib.md5(bytes(sinks.BLOCK)).hexdigest()
+    (tmp_path / "large").mkdir()
+    with open(tmp_path / "large/zeros.parquet", "wb") as file:
+        file.truncate(size)  # takes no room on disk
+    (got,) = sinks.checksums(spark, str(tmp_path / "large"), "md5").collect()
+    parts = [start] * (size // sinks.BLOCK) + [hashlib.md5(bytes(5)).hexdigest()]
+    assert got["bytes"] == size and got["checksum"] == f"{hashlib.md5(''.join(parts).encode()).hexdigest()}-{len(parts)}"
+
+
 def test_a_second_run_overwrites_its_quarantine(spark, tmp_path):
     df = spark.range(5)
     for _ in range(2):
