@@ -251,10 +251,12 @@ def enrich(df: DataFrame, anchors: Anchors | None = None) -> DataFrame:
 
     Statistics come from ``df`` itself, or from ``anchors``: then nothing is counted, and ``df`` may be a stream.
     """
-    serial = _serial(df) if anchors is None else [c for c in anchors.serial if c in df.columns]
+    given = df.columns
     df, moneys, domain = _flagged(df)
     frozen = None if anchors is None else anchors.frame(df.sparkSession) if df.isStreaming else anchors.money
     if anchors is not None:
         moneys = [c for c in moneys if c in anchors.money]
     df = _normalized(df, moneys, domain, frozen)
-    return df.withColumns({f"{c}_as_date": dates.serial_to_date(F.col(c)) for c in serial if c in df.columns})
+    # Told by what is stored by now, where money columns were parsed.
+    serial = _serial(df.select(*[F.col(f"`{c}`") for c in given if c in df.columns])) if anchors is None else [c for c in anchors.serial if c in df.columns]
+    return df.withColumns({f"{c}_as_date": dates.serial_to_date(F.col(c)) for c in serial})
