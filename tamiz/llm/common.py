@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tamiz.operators.stage import shared_home as shared_dir
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -28,18 +29,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where none is set, a local session (tests) gets a
-    temporary one, and a cluster an error, as its executors could not see each other's files."""
-    context = spark.sparkContext
-    if not (found := spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tamiz-"))
-        found = context.getCheckpointDir()
-    return found.rstrip("/")
-
-
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -103,7 +103,7 @@ def pivot(size: np.ndarray, mass: np.ndarray, draws: np.ndarray) -> np.ndarray:
 def _level(rows: DataFrame, level: int, last: bool) -> DataFrame:
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
         # Large documents meet first, so that what is left open is small.
-        frame = frame.sort_values(["size", "place", "doc_id"], ascending=[False, True, True], kind="stable", na_position="last").reset_index(drop=True)
+        frame = frame.sort_values(["size", "place", "doc_id", "mark"], ascending=[False, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
         size, draws = frame["size"].to_numpy(float), _unit(frame["place"].to_numpy(), level)
         mass = pivot(size, frame["mass"].to_numpy(float), draws)
         if last:  # at most one is left: it is taken with its own probability
@@ -134,7 +134,7 @@ def _settled(rows: DataFrame) -> DataFrame:
 
 
 def taken_copies(sizes: DataFrame, sources: DataFrame) -> DataFrame:
-    """``sizes`` (row, doc_id, source, size) and ``sources`` (source, source_size, target) → one row a row of
+    """``sizes`` (row, doc_id, source, mark, size) and ``sources`` (source, source_size, target) → one row a row of
     ``sizes`` with ``copies``. Documents without words are never taken."""
     same = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
     parts = stored(sources.withColumn("source_key", F.xxhash64(same)).withColumnRenamed("source", "_source"))
@@ -142,7 +142,7 @@ def taken_copies(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn("whole", F.least(F.floor(expected), F.lit(MOST_COPIES)).cast("long"))
     rows = rows.withColumn("mass", (expected - F.col("whole")) * F.col("size"))
-    # Rows equal in document, source and size are alike here, so any order among them is the same draw.
+    # Rows equal in document, source and size share their draw; the hash of the text, ``mark``, tells which goes first.
     rows = stored(rows.withColumn("place", F.xxhash64("doc_id", "source", F.lit(SEED))))
 
     share = F.when(F.col("target") > 0, F.col("size") / F.col("target")).otherwise(F.lit(0.0))
@@ -188,7 +188,7 @@ def mixed(docs: DataFrame, weights: list[int]) -> DataFrame:
     source of its own, sorted last; repeated rows are documents of their own; an empty table gives
     an empty result; further columns are ignored.
     """
-    sizes = stored(docs.select("doc_id", "source", text_size(F.col("text")).alias("size")))
+    sizes = stored(docs.select("doc_id", "source", F.xxhash64("text").alias("mark"), text_size(F.col("text")).alias("size")))
     return _decided(sizes.withColumn("row", F.lit(0).cast("long")), weights).select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
@@ -198,10 +198,10 @@ def mixed_documents(docs: DataFrame, weights: list[int]) -> DataFrame:
     """The mix itself: each document repeated as often as it is taken, with the columns of ``docs``.
 
     Rows are numbered in a stored copy and meet their decisions by that number, so each row keeps its own,
-    also where rows share a doc_id. Columns of ``docs`` may have any names; nulls and empty tables as in ``mixed``.
+    also where rows share a doc_id; which of their texts are taken rests on the texts, not on the order of arrival. Columns of ``docs`` may have any names; nulls and empty tables as in ``mixed``.
     """
-    held = stored(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"), text_size(F.col("text")).alias("size")))
-    chosen = stored(_decided(held.select("row", "doc.doc_id", "doc.source", "size"), weights).where("copies > 0").select(F.col("row").alias("_row"), "copies"))
+    held = stored(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("mark"), text_size(F.col("text")).alias("size")))
+    chosen = stored(_decided(held.select("row", "doc.doc_id", "doc.source", "mark", "size"), weights).where("copies > 0").select(F.col("row").alias("_row"), "copies"))
     # By a shuffle at every size: the decisions grow with the documents.
     joined = held.select("doc", "row").join(shuffled(chosen), F.col("row") == F.col("_row"))
     return joined.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")

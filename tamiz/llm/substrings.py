@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.llm import bytesnp as B
-from tamiz.llm.common import documents, stored
+from tamiz.llm.common import documents, global_rank, stored
 
 WINDOW = 13
 ANCHOR = 5
@@ -252,7 +253,7 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, removed: array of (content, mask)): the segments of each document and, bit by bit, which
     of their windows start in a document with a smaller doc_id too."""
-    whole = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     seen = stored(whole.mapInArrow(_occurrences, "anchor long, content long, doc_id long"))
     shared = seen.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y")
     shared = stored(shared.select("anchor", (F.col("n") > HOT_SEGMENTS).alias("hot")))
@@ -316,11 +317,18 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words joined by spaces.
 
     A null text has no words. A row without doc_id is never compared and keeps all its words; rows
-    that repeat a doc_id are one document, so they remove nothing from each other; an empty table
-    gives an empty result; further columns are ignored.
+    that repeat a doc_id are one document, so they remove nothing from each other; a doc_id of another
+    type than integers is ordered as Spark orders it; an empty table gives an empty result; further columns are ignored.
     """
-    removed = repeated_windows(docs).withColumnRenamed("doc_id", "_id")
-    rows = docs.select("doc_id", "text").join(removed, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "removed")
+    rows = docs.select("doc_id", "text")
+    if isinstance(rows.schema["doc_id"].dataType, T.IntegralType):
+        removed = repeated_windows(rows).withColumnRenamed("doc_id", "_id")
+        rows = rows.join(removed, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "removed")
+    else:
+        places = stored(global_rank(rows.where("doc_id is not null").select(F.col("doc_id").alias("_given")).distinct(), [F.col("_given")], "_place"))
+        rows = stored(rows.join(places, F.col("doc_id") == F.col("_given"), "left").select("doc_id", "text", "_place"))
+        removed = repeated_windows(rows.select(F.col("_place").alias("doc_id"), "text")).withColumnRenamed("doc_id", "_id")
+        rows = rows.join(removed, F.col("_place") == F.col("_id"), "left").select("doc_id", "text", "removed")
     return rows.mapInArrow(_kept, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept string")
 
 

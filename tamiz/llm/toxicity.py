@@ -19,6 +19,8 @@ DIMENSIONS = 1 << 20
 MOST_LABELLED = 20_000
 #: Rows that one model is fitted on; larger samples are fitted in shards whose weights are averaged.
 SHARD_ROWS = 4_000
+#: Bytes of features, 4 each, that one model is fitted on or so; a sample of long texts is dealt to more shards.
+SHARD_BYTES = 256 * 2**20
 EPOCHS = 6
 ALPHA, BETA, L2 = 1.0, 1.0, 0.1
 #: L1 follows the positive rows of a shard, within these bounds: a feature of few rows gets no weight.
@@ -53,7 +55,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             keys = np.unique(doc * DIMENSIONS + feature)
             cuts = np.searchsorted(keys, np.arange(1, j - i) * DIMENSIONS)
             out += [(x % DIMENSIONS).astype("<i4").tobytes() for x in np.split(keys, cuts)]
-        yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("place"), batch.column("toxic"), pa.array(out, pa.binary())], ["shard", "place", "toxic", "features"])
+        yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("toxic"), pa.array(out, pa.binary())], ["place", "toxic", "features"])
 
 
 def _ftrl(frame: pd.DataFrame) -> pd.DataFrame:
@@ -90,9 +92,10 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sample = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(place, "doc_id").limit(MOST_LABELLED)
     sample = stored(sample.withColumn("place", place)).withColumnRenamed("doc_id", "_id")
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # at most MOST_LABELLED rows
-    shards = max(1, sample.count() // SHARD_ROWS)
-    rows = rows.select("text", "toxic", "place", F.pmod(F.col("place"), F.lit(shards)).cast("int").alias("shard"))
-    drawn = rows.mapInArrow(_feature_rows, "shard int, place long, toxic int, features binary")
+    drawn = stored(rows.select("text", "toxic", "place").mapInArrow(_feature_rows, "place long, toxic int, features binary"))
+    told = drawn.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("features")), F.lit(0)).alias("bytes")).first()
+    shards = max(1, told["rows"] // SHARD_ROWS, -(-told["bytes"] // SHARD_BYTES))
+    drawn = drawn.withColumn("shard", F.pmod(F.col("place"), F.lit(shards)).cast("int"))
     # Dealt by range, so that no two shards meet in one task.
     models = drawn.repartitionByRange(shards, "shard").groupBy("shard").applyInPandas(_ftrl, "feature long, weight double")
     mean = models.groupBy("feature").agg((F.sum("weight") / shards).alias("weight")).toPandas().sort_values("feature")

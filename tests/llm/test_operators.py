@@ -117,6 +117,13 @@ def test_mixed_documents_keep_their_own_decision(spark):
     assert out.columns == docs.columns and all(len(r.text.split()) == r.copies for r in out.collect())
 
 
+def test_mixed_documents_of_one_id_rest_on_their_texts(spark):
+    """Different texts of one id, source and size: the same ones are taken in whatever order and partitions the rows come."""
+    docs = spark.createDataFrame([(1, f"w{i} x", s) for i in range(30) for s in ("a", "b")], "doc_id long, text string, source string")
+    taken = [bag(mixing.mixed_documents(d, [1, 2]).collect()) for d in (docs.coalesce(1).orderBy("text"), docs.repartition(5).orderBy(F.col("text").desc()))]
+    assert taken[0] == taken[1] and 0 < len(set(taken[0])) < 60
+
+
 def test_hosts_decide(spark):
     """Of hosts that differ, a bad one loses documents that nearly fail, and a good one keeps those that fail a rule of the method."""
     plain = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
@@ -163,6 +170,19 @@ def test_substrings(given, empty):
     assert substrings.deduplicated(empty).count() == 0
 
 
+def test_substrings_with_other_ids(spark, given):
+    """Texts and small integers as ids: the same words go, by the order that Spark gives these ids."""
+    docs = given.where("doc_id between 0 and 9999").select("doc_id", "text")
+    want = {r.doc_id: (r.n_removed, r.kept) for r in substrings.deduplicated(docs).collect()}
+    as_text = docs.select(F.format_string("d%05d", "doc_id").alias("doc_id"), "text").unionByName(spark.createDataFrame([(None, "no id")], "doc_id string, text string"))
+    rows = substrings.deduplicated(as_text)
+    assert dict(rows.dtypes)["doc_id"] == "string"
+    got = {r.doc_id: (r.n_removed, r.kept) for r in rows.collect()}
+    assert got.pop(None) == (0, "no id") and {int(d[1:]): x for d, x in got.items()} == want and any(n for n, _ in want.values())
+    narrow = substrings.deduplicated(docs.withColumn("doc_id", F.col("doc_id").cast("int")))
+    assert dict(narrow.dtypes)["doc_id"] == "int" and {r.doc_id: (r.n_removed, r.kept) for r in narrow.collect()} == want
+
+
 def test_substrings_dealt_by_window(given, monkeypatch):
     want = bag(tuple(r) for r in substrings.deduplicated(given).collect())
     monkeypatch.setattr(substrings, "HOT_SEGMENTS", 1)
@@ -278,6 +298,18 @@ def test_weights_are_the_mean_over_shards(spark, monkeypatch):
     assert shards > 4 and set(got) == set(sums) and all(abs(got[f] - sums[f]) < 1e-9 for f in sums)
 
 
+def test_toxicity_shards_by_size(spark, monkeypatch):
+    """Long texts are dealt to more shards, and the result is the mean of their models."""
+    rows = [(i, " ".join(f"{'bad' if i % 3 == 0 else 'good'}{j % 7} w{i * j % 50}" for j in range(30)), int(i % 3 == 0)) for i in range(400)]
+    docs, marks = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    seen, fit = [], toxicity.F.pmod
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 50_000)
+    monkeypatch.setattr(toxicity.F, "pmod", lambda x, n: seen.append(str(n)) or fit(x, n))
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, marks).collect()}
+    assert int(re.sub(r"\D", "", seen[0])) > 1
+    assert all((got[i] >= 0.5) == bool(y) for i, _, y in rows)
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, marks = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.scored(docs.select("doc_id", "text"), marks).where("held_out").join(marks, "doc_id").select("score", "toxic").collect()
