@@ -106,6 +106,44 @@ def test_an_extract_of_nothing_and_of_empty_ranges(spark, tmp_path):
     assert job.rows().count() == 12 and job.damaged().count() == 0
 
 
+def test_jobs_and_directories_of_an_extract_do_not_grow_with_its_chunks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(extract, "PASSES", 3, raising=False)
+    monkeypatch.setattr(extract, "DIRECTORIES", 20, raising=False)
+    df, reads = some(spark, 900), []
+    table = extract.from_table(df, "k")
+
+    def read(parts):
+        reads.append([p.n for p in parts])
+        if 400 in reads[-1] and len(parts) > 1:
+            raise OSError("the server went away")
+        return table(parts)
+
+    job = extract.Extract(spark, str(tmp_path / "x"))
+    parts = job.plan(extract.planned(df, "k", 2))
+    assert len(parts) > 400
+    job.run(read, wave=1, waves=1)
+    job.run(read)
+    # One chunk at first, then three jobs, of which that with chunk 400 is taken apart: three jobs, and one for each chunk of the last.
+    assert len(reads) == 1 + 3 + 3 + sum(len(r) == 1 for r in reads[1:]) and sum(len(r) == 1 for r in reads) < 70
+    assert len(glob.glob(f"{tmp_path}/x/data/chunk=*")) <= 20
+    bounds = {p.n: (p.low, p.high) for p in parts}
+    rows = job.rows().collect()
+    assert bag(job.rows()) == bag(df) and all(r["k"] is None if bounds[r["chunk"]][0] is None else bounds[r["chunk"]][0] <= r["k"] <= bounds[r["chunk"]][1] for r in rows)
+    assert {r["n"]: r["rows"] for r in job.chunks().collect()} == {n: sum(r["chunk"] == n for r in rows) for n in bounds}
+    lost = sorted(glob.glob(f"{tmp_path}/x/data/chunk=0/*/*.parquet"))[0]
+    gone = spark.read.parquet(lost).groupBy("_chunk").count().collect()
+    os.remove(lost)
+    assert sorted(r["n"] for r in job.damaged().collect()) == sorted(r["_chunk"] for r in gone)
+
+
+def test_chunks_of_many_separate_ranges_are_told(spark):
+    parts = [extract.Range(2 * i, 10 * i, 10 * i + 4) for i in range(1500)] + [extract.Range(7000 + i, -(2**63) + 3 * i, -(2**63) + 3 * i + 2) for i in range(4)] + [extract.Range(9000, 2**63 - 5, 2**63 - 1), extract.Range(9001, None, None)]
+    keys = [None, 0, 4, 5, 9, 7777, 14990, 14994, 14995, -(2**63), -(2**63) + 5, -(2**63) + 12, 2**63 - 6, 2**63 - 1]
+    want = [next((p.n for p in parts if (k is None) == (p.low is None) and (k is None or p.low <= k <= p.high)), None) for k in keys]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k long")
+    assert [r["c"] for r in df.select("i", extract.chunk_of("k", parts).alias("c")).orderBy("i").collect()] == want
+
+
 def test_a_database_is_extracted_by_one_query_a_chunk(spark, tmp_path):
     url, driver = f"jdbc:derby:memory:{tmp_path.name};create=true", "org.apache.derby.jdbc.EmbeddedDriver"
     df = some(spark, 40).toDF("K", "V")
