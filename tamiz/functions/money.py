@@ -35,6 +35,11 @@ def _whole(word: str) -> str:
     return rf"(?:^|[^{_LETTER}]){word}(?:[^{_LETTER}]|$)"
 
 
+def _has(text: Column, word: str, pattern: str) -> Column:
+    """``pattern`` holds, every match of which has ``word`` in it: a search for the word spares most texts the regex."""
+    return text.contains(word) & text.rlike(pattern)
+
+
 def words_to_number(c: Column) -> Column:
     """Number words add up; a magnitude multiplies what has been gathered (1 if nothing) and starts anew; 0 is null."""
     tokens = F.array_remove(F.split(F.regexp_replace(F.lower(c), r"[^a-záéíóúüñ0-9\s]", " "), r"\s+"), "")
@@ -80,7 +85,7 @@ def parse_price(c: Column) -> Column:
     def magnitude(lower: Column) -> Column:
         times = F.lit(1.0)
         for word, value in reversed(MAGNITUDES.items()):
-            times = F.when(lower.rlike(_whole(word)), value).otherwise(times)
+            times = F.when(_has(lower, word, _whole(word)), value).otherwise(times)
         return F.when(lower.rlike("|".join(MAGNITUDES)), times).otherwise(1.0)  # most amounts have no such word
 
     return let(let(found, number) * let(F.lower(c), magnitude), lambda v: F.when(v.isNotNull(), v).otherwise(words_to_number(c)))
@@ -91,7 +96,7 @@ def detect_currency(c: Column) -> Column:
     def read(text: Column) -> Column:
         out = F.lit("DESCONOCIDA")
         for word, code in reversed(KEYWORDS):
-            out = F.when(text.rlike(_whole(word)), code).otherwise(out)
+            out = F.when(_has(text, word, _whole(word)), code).otherwise(out)
         for symbol, code in reversed(SYMBOLS):
             out = F.when(text.contains(symbol), code).otherwise(out)
         return out
@@ -107,20 +112,24 @@ def parse_money_text(c: Column) -> Column:
         digits = text
         for word, value in SMALL_WORDS.items():
             digits = F.regexp_replace(digits, rf"\b{word}\b", str(value))
-        spoken = text.rlike(rf"\b(?:{'|'.join(SMALL_WORDS)})\b")  # one look spares most amounts the twenty replacements
+        spoken = text.rlike("[a-z]") & text.rlike(rf"\b(?:{'|'.join(SMALL_WORDS)})\b")  # one look spares most amounts the twenty replacements
         return let(F.regexp_replace(F.when(spoken, digits).otherwise(text), r"[a-z\s]", ""), lambda t: _plain(t).try_cast("double") * times)
 
-    def step(k: int, text: Column, times: Column) -> Column:
-        if k == len(words):
-            return finish(text, times)
-        word, value = words[k]
-        hit = text.rlike(rf"(?:\b|[0-9]){word}\b")
-        cut = F.when(hit, F.trim(F.regexp_replace(text, rf"{word}\b", ""))).otherwise(text)
-        return let(F.struct(cut.alias("t"), (times * F.when(hit, value).otherwise(1.0)).alias("x")), lambda s: step(k + 1, s["t"], s["x"]))
+    def step(a: Column, k: Column) -> Column:
+        hit, cut = F.when(F.lit(False), False), F.when(F.lit(False), "")
+        for i, (word, _) in enumerate(words):
+            hit = hit.when(k == i, _has(a["t"], word, rf"(?:\b|[0-9]){word}\b"))
+            cut = cut.when(k == i, F.trim(F.regexp_replace(a["t"], rf"{word}\b", "")))
+        value = F.get(F.array(*[F.lit(v) for _, v in words]), k)
+        return F.when(hit, F.struct(cut.alias("t"), (a["x"] * value).alias("x"))).otherwise(a)
+
+    def cut_down(text: Column) -> Column:
+        start = F.struct(text.alias("t"), F.lit(1.0).alias("x"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(len(words) - 1)), start, step, lambda a: finish(a["t"], a["x"]))
 
     # Most amounts have no multiplier at all, and need none of its steps.
     text = F.trim(F.regexp_replace(F.lower(c), r"[^a-z0-9\s.,]", ""))
-    return let(text, lambda t: F.when(t.rlike("|".join(MULTIPLIERS)), step(0, t, F.lit(1.0))).otherwise(finish(t, F.lit(1.0))))
+    return let(text, lambda t: F.when(t.rlike("|".join(MULTIPLIERS)), cut_down(t)).otherwise(finish(t, F.lit(1.0))))
 
 
 def _plain(text: Column) -> Column:

@@ -473,3 +473,12 @@ def test_a_second_run_overwrites_its_quarantine(spark, tmp_path):
 def test_duplicates_with_nulls(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, "a"), (2, "b"), (2, "b"), (3, "c")], "k int, v string")
     assert sorted(map(str, rules.members_of_duplicates(df, ["k", "v"]).collect())) == sorted(map(str, df.where("k = 2 or v is null").collect()))
+
+
+def test_multipliers_of_an_amount_take_one_pass_and_not_a_nested_one_each(spark):
+    texts = ["10 mil", "20k", "sesenta lucas", "3 mil k", "1.500 palos", "2m", "milk 3k", "kk 5 miles", "4 millones", "USD 7", "", None, "un millon", "12,5 mil pesos"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    parsed = df.select(money.parse_money_text(F.col("s")).alias("v"))
+    assert [r["v"] for r in parsed.collect()] == [10e3, 20e3, 60e3, 3e6, 1500e6, 2e6, 3e6, 5e3, 4e6, 7.0, None, None, 1e6, 12.5e3]
+    # Spark prepares a nested lambda function anew for each row.
+    assert parsed._jdf.queryExecution().analyzed().toString().count("lambdafunction(") < 10
