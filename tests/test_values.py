@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions import dates, money, text
 from tamiz.operators import bi, cleaning, forecast, incremental, lake, olap, profile, quality, rules, semantic, statistics, structure, view
-from tamiz.plans import pipeline
+from tamiz.plans import pipeline, q_rules
 from tamiz.sources import files, sinks
 
 
@@ -482,3 +482,10 @@ def test_multipliers_of_an_amount_take_one_pass_and_not_a_nested_one_each(spark)
     assert [r["v"] for r in parsed.collect()] == [10e3, 20e3, 60e3, 3e6, 1500e6, 2e6, 3e6, 5e3, 4e6, 7.0, None, None, 1e6, 12.5e3]
     # Spark prepares a nested lambda function anew for each row.
     assert parsed._jdf.queryExecution().analyzed().toString().count("lambdafunction(") < 10
+
+
+def test_exact_counts_of_columns_do_not_copy_the_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "n int, s string")
+    counts = q_rules._exact(df, "n").unionByName(q_rules._exact(df, "s"))
+    assert sorted(map(tuple, counts.collect())) == [("n", 3), ("s", 1)]
+    assert "Expand" not in counts._jdf.queryExecution().optimizedPlan().toString()
